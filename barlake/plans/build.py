@@ -226,10 +226,13 @@ class _Job:
                 fs.delete(empty, True)
 
     def result(self, mode: str) -> DataFrame:
-        table = self.current()
-        issues = _RULES[self.target](table)
-        texts = issues.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
-        counts = {r["level"]: r["n"] for r in texts.collect()}
+        # all issues are stored as a table; the result row shows the first few per level
+        found = _RULES[self.target](self.current())
+        issues = self.spark.read.schema(found.schema).parquet(
+            write_version(found, f"{self.paths.silver}/issues/{self.target}")
+        )
+        levels = issues.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+        counts = {r["level"]: r["n"] for r in levels.collect()}
         shown = {
             level: [r[0] for r in issues.filter(F.col("level") == level)
                     .orderBy("message").select("message").limit(50).collect()]

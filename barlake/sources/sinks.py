@@ -68,8 +68,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """Folder of the newest finished version under ``root``."""
+def current_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
+    """Folder of the newest finished version under ``root``, or of the newest below one."""
     where = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(where):
@@ -78,6 +78,7 @@ def current_version(spark: SparkSession, root: str) -> str | None:
         status.getPath().getName()
         for status in fs.listStatus(where)
         if status.getPath().getName().startswith("v=")
+        and (below is None or int(status.getPath().getName()[2:]) < below)
         and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
     ]
     return f"{root}/{max(done)}" if done else None

@@ -125,7 +125,7 @@ def stream_snapshot_replace(sdf: DataFrame, root: str, checkpoint: str) -> Strea
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = current_version(spark, root)
+        stored = current_version(spark, root, below=batch_id)
         both = batch if stored is None else batch.unionByName(
             spark.read.schema(schema).parquet(stored)
         )
