@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import doc_escape_link, escape, let, short_hash, strip
+from ..functions import doc_escape_link, escape, has_text, let, short_hash, strip
 from ..functions.text import SPACE
 
 _GAP = rf"[{SPACE}&&[^\n]]*+"  # white space inside a line
@@ -59,7 +59,7 @@ def doc_assemble(
     part = F.concat(F.lit("=== "), F.col(category), F.lit(" ===\n"), F.col(text))
     rank = F.col(category if order is None else order)
     return (
-        parts.filter(strip(F.col(text)) != "")
+        parts.filter(has_text(F.col(text)))
         .groupBy(code)
         .agg(F.array_sort(F.collect_list(F.struct(rank.alias("r"), part.alias("t")))).alias("p"))
         .select(code, F.array_join(F.transform("p", lambda p: p["t"]), "\n\n").alias("text"))
@@ -93,7 +93,7 @@ def sections_of(text: Column) -> Column:
             lambda n, i: F.struct(strip(n).alias("name"), F.get(b, i + 1).alias("body")),
         ),
     )
-    return F.filter(pairs, lambda s: (s["name"] != "") & (strip(s["body"]) != ""))
+    return F.filter(pairs, lambda s: (s["name"] != "") & has_text(s["body"]))
 
 
 def doc_sections(docs: DataFrame, keys: Sequence[str] = ("code",), text: str = "text") -> DataFrame:

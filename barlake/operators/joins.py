@@ -162,11 +162,12 @@ def factor_asof(
     )
     rows = bars.withColumn("__bar", F.lit(True)).unionByName(marks, allowMissingColumns=True)
     per_key = Window.partitionBy(key)
+    day = F.unix_date(F.col(date))  # whole days, so that a frame can end one day away
     extra = {}
     if after:
-        frame = per_key.orderBy(F.col(date).desc()).rangeBetween(Window.unboundedPreceding, -1)
+        frame = per_key.orderBy(day.desc()).rangeBetween(Window.unboundedPreceding, -1)
         extra[after] = F.coalesce(F.product("__factor").over(frame), F.lit(1.0))
     if upto:
-        frame = per_key.orderBy(F.col(date)).rangeBetween(Window.unboundedPreceding, 0)
+        frame = per_key.orderBy(day).rangeBetween(Window.unboundedPreceding, 0)
         extra[upto] = F.coalesce(F.product("__factor").over(frame), F.lit(1.0))
     return rows.withColumns(extra).filter("__bar").drop("__bar", "__factor")

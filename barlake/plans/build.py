@@ -21,7 +21,7 @@ from ..operators.upsert import new_rows, replace_keys, upsert_update
 from ..operators.windows import surrogate_id
 from ..schemas import ADJ_FACTOR, BUILD_RESULT, DAILY, DOC, FINANCE, MINUTE, STOCK_MAP
 from ..sources.files import read_documents
-from ..sources.sinks import current_version, path_exists, read_version, write_version
+from ..sources.sinks import by_year, current_version, path_exists, read_version, write_version
 from . import silver
 
 # Dependency order: factors need daily bars.
@@ -167,9 +167,8 @@ class _Job:
 
     def _new_version(self, df: DataFrame) -> None:
         if self.target in _YEAR_OF:
-            by = ["year", *reversed(_KEYS[self.target])]
             self.path = write_version(
-                self._years(df).repartitionByRange(*by), self.root, partition_by=["year"]
+                by_year(self._years(df), *_KEYS[self.target]), self.root, partition_by=["year"]
             )
         else:
             self.path = write_version(df, self.root)
@@ -211,8 +210,7 @@ class _Job:
             stored.filter(F.col("year").isin(years)),
             self._years(self._counted(batch)), "stock_code", codes,
         )
-        by = ["year", *reversed(_KEYS[self.target])]
-        kept.repartitionByRange(*by).write.mode("overwrite").option(
+        by_year(kept, *_KEYS[self.target]).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("year").parquet(self.path)
         # a year whose last row went has no new files to replace its old ones

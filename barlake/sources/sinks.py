@@ -111,13 +111,21 @@ def with_year(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn("year", F.year(ts))
 
 
-def write_by_year(df: DataFrame, path: str, ts: str, mode: str = "append") -> None:
-    """Route rows to year partitions; with mode 'overwrite' only touched years change.
+def by_year(df: DataFrame, *order: str) -> DataFrame:
+    """Rows laid out for a year-partitioned write, sorted for row-group skipping.
 
-    One exchange on the year alone would give each year to one task, so rows are spread
-    by the range of (year, ts), which also keeps files sorted by time.
+    A plain exchange on the year would give each year to one task. The rebalance hint
+    lets AQE cut large years into tasks of the advisory size and merge small ones, with
+    no sampling pass over the input.
     """
-    with_year(df, ts).repartitionByRange("year", ts).write.mode(mode).option(
+    return df.hint("rebalance", "year").sortWithinPartitions("year", *order)
+
+
+def write_by_year(
+    df: DataFrame, path: str, ts: str, mode: str = "append", order: Sequence[str] = ()
+) -> None:
+    """Route rows to year partitions; with mode 'overwrite' only touched years change."""
+    by_year(with_year(df, ts), *order, ts).write.mode(mode).option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("year").parquet(path)
 

@@ -38,12 +38,14 @@ def _(t):
     return parsers.parse_intraday(t.fx_intraday())
 
 
-@query("src_gbk_text", "SELECT '行情~' || c_name || '~' || c_mktsegment AS value FROM customer")
+@query("src_gbk_text", "SELECT CAST(c_custkey AS VARCHAR) AS path, '行情~' || c_name || '~' || v AS value FROM customer, (SELECT unnest(['a', '其他']) AS v)")
 def _(t):
-    path = work_dir(t.spark, "gbk")
-    line = F.concat(F.lit("行情~"), "c_name", F.lit("~"), "c_mktsegment")
-    t.table("customer").select(line.alias("value")).write.mode("overwrite").option("encoding", "GBK").text(path)
-    return files.read_gbk(t.spark, path).select("value")
+    # Spark has no GBK writer, so the file contents are encoded in place
+    line = F.concat(F.lit("行情~"), "c_name", F.lit("~"))
+    text = F.concat(line, F.lit("a\r\n"), line, F.lit("其他\n"))
+    return files.gbk_lines(
+        t.table("customer").select(C("c_custkey").cast("string").alias("path"), F.encode(text, "GBK").alias("content"))
+    )
 
 
 @query("src_documents", "SELECT substr(sha256(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10)), 1, 16) AS h, DATE '2024-01-31' AS trade_date, count(*) AS n FROM documents GROUP BY 1")
