@@ -39,6 +39,7 @@ def local_session(cpus: str = "8", partitions: str = "8", memory: str = "8g") ->
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.debug.maxToStringFields", "200")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in CONF.items():
         builder = builder.config(name, value)
