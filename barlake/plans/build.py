@@ -21,7 +21,9 @@ from ..operators.upsert import new_rows, replace_keys, upsert_update
 from ..operators.windows import surrogate_id
 from ..schemas import ADJ_FACTOR, BUILD_RESULT, DAILY, DOC, FINANCE, MINUTE, STOCK_MAP
 from ..sources.files import read_documents
-from ..sources.sinks import by_year, current_version, path_exists, read_version, write_version
+from ..sources.sinks import (
+    by_year, current_version, path_exists, read_version, remove_path, write_version,
+)
 from . import silver
 
 # Dependency order: factors need daily bars.
@@ -152,7 +154,9 @@ class _Job:
             read_documents(self.spark, self.paths.raw("docs")), "stock_code", codes
         )
         if day is not None:
-            known = self.current().withColumnRenamed("source_hash", "file_hash")
+            known = self.current().select(
+                "stock_code", F.col("source_hash").alias("file_hash")
+            )
             docs = doc_changed(doc_hash(docs), known, "stock_code")
         return silver.doc_pages(docs)
 
@@ -202,26 +206,23 @@ class _Job:
 
     def _replace_years(self, batch: DataFrame, codes: Sequence[str]) -> None:
         """Rewrite the year partitions that hold, or will hold, rows of the codes."""
+        staged = write_version(
+            self._years(self._counted(batch)), f"{self.paths.silver}/repair/{self.target}"
+        )
+        rebuilt = self.spark.read.parquet(staged)
         stored = self.current()
         held = code_in_list(stored, "stock_code", codes).select("year")
-        touched = held.union(self._years(batch).select("year")).distinct()
+        touched = held.union(rebuilt.select("year")).distinct()
         years = [r[0] for r in touched.collect()]  # one small number per calendar year
-        kept = replace_keys(
-            stored.filter(F.col("year").isin(years)),
-            self._years(self._counted(batch)), "stock_code", codes,
+        now = replace_keys(
+            stored.filter(F.col("year").isin(years)), rebuilt, "stock_code", codes
         )
-        by_year(kept, *_KEYS[self.target]).write.mode("overwrite").option(
+        left = [r[0] for r in now.select("year").distinct().collect()]
+        by_year(now, *_KEYS[self.target]).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("year").parquet(self.path)
-        # a year whose last row went has no new files to replace its old ones
-        left = [r[0] for r in self._years(batch).select("year").distinct().collect()]
-        for year in set(years) - set(left):
-            only = stored.filter(F.col("year") == year)
-            gone = F.col("stock_code").isin(list(codes))
-            if only.filter(~gone).isEmpty():
-                empty = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/year={year}")
-                fs = empty.getFileSystem(self.spark._jsc.hadoopConfiguration())
-                fs.delete(empty, True)
+        for year in set(years) - set(left):  # no new files replaced the old ones
+            remove_path(self.spark, f"{self.path}/year={year}")
 
     def result(self, mode: str) -> DataFrame:
         # all issues are stored as a table; the result row shows the first few per level

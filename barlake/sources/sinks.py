@@ -61,6 +61,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table, or an empty frame of the schema where nothing was written yet."""
     if not path_exists(spark, path):

@@ -14,20 +14,27 @@ def land(spark, root, days, price=1.0):
     bars = [(c, f"2023-12-{d:02d} 15:00" if d > 20 else f"2024-01-{d:02d} 15:00", price * (10.0 + d + i), 9.0, 100.0, 1.0, 200.0, 5.0)
             for i, c in enumerate(CODES) for d in days]
     daily = spark.createDataFrame(bars, "stock_code string, datetime string, close double, open double, high double, low double, volume double, amount double")
-    daily.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/daily_primary")
+    daily.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/daily_primary")
     minute = daily.withColumnRenamed("volume", "vol")
-    minute.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/minute")
+    minute.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/minute")
+
+
+XDXR = [("600000", 2024, 1, 3, 1, 5.0, 0.0, 1.0, 0.0), ("600000", 2024, 1, 4, 2, 5.0, 0.0, 1.0, 0.0)]
+
+
+def land_events(spark, root, rows):
+    kind = "code string, year int, month int, day int, category int, fenhong double, peigujia double, songzhuangu double, peigu double"
+    spark.createDataFrame(rows, kind).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/xdxr")
 
 
 @pytest.fixture()
 def paths(spark, tmp_path):
     root = str(tmp_path / "bronze")
     stocks = [(c, f"n{c}", "sz" if c[0] in "03" else "sh") for c in CODES]
-    spark.createDataFrame(stocks, "code string, name string, market string").write.parquet(f"{root}/stocks")
+    spark.createDataFrame(stocks, "code string, name string, market string").coalesce(1).write.parquet(f"{root}/stocks")
     fin = spark.createDataFrame([(c, 20240101, 20230101) for c in CODES], "code string, updated_date bigint, ipo_date bigint")
-    fin.withColumns({m: F.lit(1.0) for m in FINANCE_MEASURES}).withColumn("ingested_at", F.lit("2024-01-02").cast("timestamp_ntz")).write.parquet(f"{root}/finance")
-    xdxr = [("600000", 2024, 1, 3, 1, 5.0, 0.0, 1.0, 0.0), ("600000", 2024, 1, 4, 2, 5.0, 0.0, 1.0, 0.0)]
-    spark.createDataFrame(xdxr, "code string, year int, month int, day int, category int, fenhong double, peigujia double, songzhuangu double, peigu double").write.parquet(f"{root}/xdxr")
+    fin.withColumns({m: F.lit(1.0) for m in FINANCE_MEASURES}).withColumn("ingested_at", F.lit("2024-01-02").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{root}/finance")
+    land_events(spark, root, XDXR)
     docs = tmp_path / "bronze" / "docs"
     docs.mkdir()
     for c in CODES:
@@ -55,13 +62,16 @@ def test_full_then_nothing_new(spark, paths):
 
 
 def test_incremental_day_by_day_equals_full(spark, paths, tmp_path):
-    for i, d in enumerate([28, 29, 2, 3, 4]):
-        land(spark, paths.bronze, [28, 29, 2, 3, 4][: i + 1])
-        day = f"2023-12-{d:02d}" if d > 20 else f"2024-01-{d:02d}"
-        build_all(spark, "incremental", paths, day=day)
+    bars = ["daily", "adj_factor", "minute"]
+    days = {29: "2023-12-29", 2: "2024-01-02", 3: "2024-01-03"}
+    for i, (d, day) in enumerate(days.items()):
+        land(spark, paths.bronze, list(days)[: i + 1])
+        land_events(spark, paths.bronze, XDXR if d == 3 else XDXR[1:])  # landed on its day
+        for target in bars:
+            build(spark, target, "incremental", paths, day=day)
     whole = Paths(paths.bronze, str(tmp_path / "whole"))
-    build_all(spark, "full", whole)
-    for target in TARGETS:
+    for target in bars:
+        build(spark, target, "full", whole)
         assert stored(spark, paths, target) == stored(spark, whole, target), target
 
 
