@@ -104,11 +104,11 @@ def freshness(df: DataFrame, ts: str, day: Column) -> DataFrame:
 def industry_groups(df: DataFrame, group: str, part: Column | None = None) -> DataFrame:
     """Members of each industry as an array of (code, name, pct), largest move first.
 
-    One row per (industry, part). ``part`` cuts an industry into pieces so that a group
-    holding much of the universe is never one array; the default spreads members over
-    one piece per thousand code values.
+    One row per (industry, part): ``part`` cuts an industry into pieces, so that a group
+    holding much of the universe is never one array. The default is sixteen pieces by
+    code; pass ``F.lit(0)`` for a single array where industries are known to be small.
     """
-    pieces = F.lit(0) if part is None else part
+    pieces = F.pmod(F.xxhash64("code"), F.lit(16)) if part is None else part
     size = F.abs(F.col("pct"))
     ranked = F.array_sort(
         F.collect_list(F.struct((-size).alias("neg"), "code", "name", "pct"))

@@ -101,14 +101,17 @@ def completeness_minute(
         return (F.year(day) if per_year else F.lit(0)).alias("__period")
 
     calendar = reference_calendar(minute, key, F.to_date(F.col(ts)), [reference])
-    periods = calendar.groupBy(period("trade_date")).agg(
-        F.min("trade_date").alias("__from"), F.max("trade_date").alias("__last")
-    )
+    bounds = [F.min("trade_date").alias("__from"), F.max("trade_date").alias("__last")]
+    periods = calendar.groupBy(period("trade_date")).agg(*bounds)
     checked = minute if codes is None else code_in_list(minute, key, codes)
     counts = bars_per_day(checked, key, ts).withColumn("__period", period("trade_date"))
     last = counts.groupBy(key, "__period").agg(F.max("trade_date").alias("latest"))
-    if codes is None:
+    if codes is None and per_year:
         spans = last.join(periods, "__period")
+    elif codes is None:
+        spans = last.withColumns(
+            {name: calendar.select(bound).scalar() for name, bound in zip(("__from", "__last"), bounds)}
+        ).filter(F.col("__from").isNotNull())
     else:
         listing = periods.agg(F.collect_list(F.struct("*"))).scalar()
         wanted = minute.sparkSession.createDataFrame(

@@ -81,15 +81,19 @@ def expected_calendar(
     The range condition ``trade_date >= start`` would plan as a nested-loop join. Here
     each instrument emits its civil days up to the calendar's end and the calendar keeps
     the trading days through an equi semi-join, so the work stays proportional to the
-    output (about 365/250 of it) and never depends on a broadcast.
+    output (about 365/250 of it) and never depends on a broadcast. Instruments are few
+    bytes but become many rows, so they are spread over all tasks before they multiply.
     """
+    tasks = int(instruments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     last = calendar.select(F.max(date)).scalar()
     first = calendar.select(F.min(date)).scalar()
     stop = last if end is None else F.least(F.col(end), last)
     begin = F.greatest(F.col(start), first)
-    days = instruments.filter(F.col(start).isNotNull()).select(
-        key,
-        F.explode(F.when(begin <= stop, F.sequence(begin, stop))).alias(date),
+    spans = instruments.filter(F.col(start).isNotNull()).select(
+        key, begin.alias("__begin"), stop.alias("__stop")
+    )
+    days = spans.filter("__begin <= __stop").repartition(tasks, key).select(
+        key, F.explode(F.sequence("__begin", "__stop")).alias(date)
     )
     return days.join(calendar.select(date).distinct(), date, "left_semi").select(key, date)
 

@@ -93,10 +93,20 @@ def stream_subscribe(sdf: DataFrame, subscriptions: DataFrame, key: str = "code"
 
 def stream_dedup(
     sdf: DataFrame, delay: str = "10 minutes", keys: Sequence[str] = ("code", "update_time"),
-    ts: str = "event_time",
+    ts: str = "event_time", spread: str = "poll_id",
 ) -> DataFrame:
-    """Suppress repeated identical polls inside the watermark."""
-    return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """Suppress repeated identical polls inside the watermark.
+
+    Copies of one quote are first reduced within a few salts of ``spread`` and then
+    across them, so a quote repeated in most polls does not fill one task.
+    """
+    salted = sdf.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(_SALTS)))
+    return (
+        salted.withWatermark(ts, delay)
+        .dropDuplicatesWithinWatermark([*keys, "__salt"])
+        .dropDuplicatesWithinWatermark(list(keys))
+        .drop("__salt")
+    )
 
 
 def run_available(

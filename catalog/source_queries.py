@@ -121,12 +121,12 @@ def _(t):
 
 
 def intraday_payloads(t):
-    """One response per (user, day): the items of a day, as the intraday API returns them."""
+    """Responses of at most fifty items each, as the intraday API returns them."""
     e = t.table("events")
     u = C("user_id")
     item = F.concat(F.lit('"'), F.date_format("ts", "HHmm"), F.lit(" 1.5 "), C("event_id").cast("string"), F.lit(' 2"'))
     code = F.concat(fx_market(u), fx_code(u))
-    return e.groupBy(code.alias("code"), F.to_date("ts").alias("day")).agg(F.array_sort(F.collect_list(item)).alias("items")).select(
+    return e.groupBy(code.alias("code"), F.floor(C("event_id") / 50).alias("part")).agg(F.array_sort(F.collect_list(item)).alias("items")).select(
         "code", F.concat(F.lit('{"code": 0, "data": {"'), "code", F.lit('": {"data": ['), F.array_join("items", ","), F.lit("]}}}")).alias("payload")
     )
 
