@@ -22,7 +22,8 @@ from ..operators.windows import surrogate_id
 from ..schemas import ADJ_FACTOR, BUILD_RESULT, DAILY, DOC, FINANCE, MINUTE, STOCK_MAP
 from ..sources.files import read_documents
 from ..sources.sinks import (
-    by_year, current_version, path_exists, read_version, remove_path, write_version,
+    by_year, current_version, path_exists, read_version, remove_path, stored_years,
+    write_version,
 )
 from . import silver
 
@@ -186,7 +187,12 @@ class _Job:
             self._new_version(upsert_update(self.current(), self._counted(batch), _KEYS["doc"]))
             return
         target = self.current()
-        fresh = self._counted(new_rows(target, batch, _KEYS[self.target]))
+        if self.target == "daily":  # the batch is one day: other years cannot clash
+            target = target.filter(F.col("year") == int(day[:4]))
+        if self.target == "minute":  # later than the code's last bar, hence unseen
+            fresh = self._counted(batch)
+        else:
+            fresh = self._counted(new_rows(target, batch, _KEYS[self.target]))
         if self.target in _YEAR_OF:
             self._years(fresh).write.mode("append").partitionBy("year").parquet(self.path)
         else:
@@ -226,7 +232,10 @@ class _Job:
 
     def result(self, mode: str) -> DataFrame:
         # all issues are stored as a table; the result row shows the first few per level
-        found = _RULES[self.target](self.current())
+        table = self.current()
+        if self.target == "minute" and mode != "full":
+            table = table.filter(F.col("year") == max(stored_years(self.spark, self.path)))
+        found = _RULES[self.target](table)
         issues = self.spark.read.schema(found.schema).parquet(
             write_version(found, f"{self.paths.silver}/issues/{self.target}")
         )

@@ -61,6 +61,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def stored_years(spark: SparkSession, path: str) -> list[int]:
+    """Years of a year-partitioned folder, from its listing alone."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in fs.listStatus(where)]
+    return sorted(int(n[5:]) for n in names if n.startswith("year=") and n[5:].isdigit())
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
