@@ -44,12 +44,34 @@ def append_bronze(
     ).parquet(path)
 
 
+def touched_partitions(
+    stored: DataFrame, rows: DataFrame, partition_by: Sequence[str]
+) -> DataFrame:
+    """The part of a stored table that lies in the partitions of the incoming rows.
+
+    The distinct partition values (a handful per batch) become literals, so the scan
+    prunes by them; a join condition alone would read every partition.
+    """
+    if not partition_by:
+        return stored
+    anywhere = F.lit(False)
+    for values in rows.select(*partition_by).distinct().collect():
+        same = F.lit(True)
+        for name in partition_by:
+            same = same & F.col(name).eqNullSafe(F.lit(values[name]))
+        anywhere = anywhere | same
+    return stored.filter(anywhere)
+
+
 def insert_new(
     df: DataFrame, path: str, pk: Sequence[str], partition_by: Sequence[str] = ()
 ) -> int:
-    """Append the rows whose key is not stored yet, once per key; returns their number."""
+    """Append the rows whose key is not stored yet, once per key; returns their number.
+
+    Partition columns must be a function of the key.
+    """
     spark = df.sparkSession
-    target = read_table(spark, path, df.schema)
+    target = touched_partitions(read_table(spark, path, df.schema), df, partition_by)
     counted = Observation()
     rows = new_rows(target, df, pk).observe(counted, F.count(F.lit(1)).alias("n"))
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
@@ -115,6 +137,25 @@ def read_version(spark: SparkSession, root: str, schema: StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest finished versions; returns what was deleted.
+
+    Call it when no job reads an older version any more.
+    """
+    newest, kept = None, []
+    while len(kept) < keep:
+        found = current_version(spark, root, newest)
+        if found is None:
+            break
+        kept.append(found)
+        newest = int(found.rsplit("v=", 1)[1])
+    dropped = []
+    while kept and (old := current_version(spark, root, newest)) is not None:
+        remove_path(spark, old)
+        dropped.append(old)
+    return dropped
+
+
 def overwrite_snapshot(df: DataFrame, root: str) -> str:
     """Replace a whole list (instruments, blocks) by its newest download."""
     return write_version(df, root)

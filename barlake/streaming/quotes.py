@@ -20,7 +20,7 @@ from ..operators.upsert import new_rows
 from ..schemas import QUOTE_FIELDS
 from ..sources.files import gbk_lines
 from ..sources.parsers import parse_quote_lines
-from ..sources.sinks import current_version, read_table, write_version
+from ..sources.sinks import current_version, read_table, touched_partitions, write_version
 
 _SALTS = 32
 
@@ -169,15 +169,21 @@ def stream_bronze_to_silver(
     partition_by: Sequence[str] = (),
     max_files: int | None = None,
 ) -> StreamingQuery:
-    """New landed files, cleaned and added to a keyed table where their keys are unseen."""
+    """New landed files, cleaned and added to a keyed table where their keys are unseen.
+
+    With ``partition_by`` (a function of the keys) a batch is compared with the stored
+    rows of its own partitions only.
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = clean(batch)
+        rows = clean(batch).persist()
         stored = read_table(batch.sparkSession, target, rows.schema)
+        stored = touched_partitions(stored, rows, partition_by)
         new_rows(stored, rows, keys).write.mode("append").partitionBy(*partition_by).parquet(target)
+        rows.unpersist()
 
     return run_available(reader.parquet(source), checkpoint, merge)
 

@@ -16,7 +16,7 @@ _HASH = "substr(sha256({}), 1, 16)"
 @query("doc_assemble", f"SELECT code, {_HASH.format('text')} AS h, strlen(text) AS size FROM fx_docs")
 def _(t):
     return docs.doc_assemble(t.fx_doc_parts()).select(
-        "code", F.substring(F.sha2("text", 256), 1, 16).alias("h"), F.octet_length("text").alias("size")
+        "code", F.substring(F.sha2("text", 256), 1, 16).alias("h"), F.octet_length("text").cast("bigint").alias("size")
     )
 
 

@@ -361,7 +361,7 @@ SQL: dict[str, str] = {
     "fx_doc_parts": "SELECT 'D' || (doc_id // 4) AS code, source || '_' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS category, text FROM documents",
     "fx_docs": "SELECT code, string_agg('=== ' || category || ' ===' || chr(10) || text, chr(10) || chr(10) ORDER BY category) AS text FROM fx_doc_parts WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> '' GROUP BY code",
     "fx_reports": "SELECT printf('%06d', p_partkey) AS code, * FROM part",
-    "fx_results": f"SELECT 'plan_' || strftime(o_orderdate, '%Y%m') AS plan_id, lower(left(o_orderpriority, 1)) AS step_name, o_orderkey AS seq, {_TABLE_CASE} AS \"table\", CASE o_orderstatus WHEN 'F' THEN 'fail' WHEN 'O' THEN 'ok' ELSE 'partial' END AS status, o_orderkey % 3 AS rows, CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END AS failed, o_orderkey % 100 AS elapsed_ms, {_code('o_custkey')} AS code FROM orders",
+    "fx_results": f"SELECT 'plan_' || strftime(o_orderdate, '%Y%m') AS plan_id, lower(left(o_orderpriority, 1)) AS step_name, o_orderkey AS seq, {_TABLE_CASE} AS \"table\", CASE o_orderstatus WHEN 'F' THEN 'fail' WHEN 'O' THEN 'ok' ELSE 'partial' END AS status, o_orderkey % 3 AS rows, CAST(CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END AS BIGINT) AS failed, o_orderkey % 100 AS elapsed_ms, {_code('o_custkey')} AS code FROM orders",
     "fx_failed": "SELECT \"table\", code FROM fx_results WHERE status <> 'ok' UNION SELECT \"table\", 'sh' || code FROM fx_results WHERE status <> 'ok'",
 }
 

@@ -16,7 +16,7 @@ _SHOWN = ["code", "name", "current_price", "update_time", "change_pct", "currenc
 
 @query("src_kline_json", """SELECT market || stock_code AS stock_code, CAST(trade_date AS VARCHAR) AS date,
  round(open, 2) AS open, round(close, 2) AS close, round(high, 2) AS high, round(low, 2) AS low, round(lots, 2) AS volume,
- CASE WHEN day(trade_date) % 7 = 0 THEN NULL WHEN day(trade_date) % 5 = 0 THEN 12.5 WHEN day(trade_date) % 3 = 0 THEN 7.5 END AS amount,
+ CAST(CASE WHEN day(trade_date) % 7 = 0 THEN NULL WHEN day(trade_date) % 5 = 0 THEN 12.5 WHEN day(trade_date) % 3 = 0 THEN 7.5 END AS DOUBLE) AS amount,
  CASE WHEN day(trade_date) % 7 = 0 THEN '{"fh":1}' WHEN day(trade_date) % 5 = 0 THEN '{"fh":2}' END AS extra FROM fx_daily_b""")
 def _(t):
     out = parsers.parse_kline_json(t.fx_kline_json(), "stock_code", fq="qfq")
@@ -95,7 +95,7 @@ def _(t):
     return sinks.read_version(t.spark, root, stocks.schema)
 
 
-@query("sink_year_partition", "SELECT year(o_orderdate) AS year, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1")
+@query("sink_year_partition", "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1")
 def _(t):
     path = work_dir(t.spark, "years") + "/orders"
     sinks.write_by_year(t.table("orders").select("o_orderkey", "o_orderdate"), path, "o_orderdate")
@@ -131,6 +131,6 @@ def intraday_payloads(t):
     )
 
 
-@query("src_intraday_json", f"SELECT strftime(ts, '%H%M') AS time, 1.5 AS price, CAST(event_id AS DOUBLE) AS volume, 2.0 AS amount FROM events")
+@query("src_intraday_json", f"SELECT strftime(ts, '%H%M') AS time, CAST(1.5 AS DOUBLE) AS price, CAST(event_id AS DOUBLE) AS volume, CAST(2.0 AS DOUBLE) AS amount FROM events")
 def _(t):
     return parsers.parse_intraday_json(intraday_payloads(t)).drop("stock_code")

@@ -9,7 +9,7 @@ from barlake.functions import industry_label
 from barlake.plans import silver
 from barlake.schemas import QUOTE_FIELDS
 from barlake.session import work_dir
-from barlake.sources.sinks import read_version
+from barlake.sources.sinks import read_version, with_year
 from barlake.streaming import quotes as st
 
 from .registry import query, rounded
@@ -104,10 +104,11 @@ def _(t):
     # every bar lands twice, in different files
     raw.unionByName(raw).write.mode("overwrite").parquet(f"{root}/bronze")
     st.stream_bronze_to_silver(
-        t.spark, f"{root}/bronze", raw.schema, lambda df: silver.minute_bars(df)[0],
-        f"{root}/minute", silver.MINUTE_KEYS, f"{root}/checkpoint", max_files=8,
+        t.spark, f"{root}/bronze", raw.schema,
+        lambda df: with_year(silver.minute_bars(df)[0], "datetime"),
+        f"{root}/minute", silver.MINUTE_KEYS, f"{root}/checkpoint", ["year"], max_files=8,
     ).awaitTermination()
-    return rounded(t.spark.read.parquet(f"{root}/minute"), 4, "amount")
+    return rounded(t.spark.read.parquet(f"{root}/minute").drop("year"), 4, "amount")
 
 
 __all__ = ["QUOTE_FIELDS"]

@@ -93,6 +93,27 @@ def test_versions_ignore_unfinished_ones(spark, tmp_path):
     assert sinks.read_version(spark, root, df.schema).count() == 1
 
 
+def test_old_versions_are_dropped(spark, tmp_path):
+    root = str(tmp_path / "t")
+    df = spark.createDataFrame([("a",)], "k string")
+    for version in range(4):
+        sinks.write_version(df, root, version)
+    assert len(sinks.drop_old_versions(spark, root)) == 2
+    assert sorted(os.listdir(root)) == [f"v={v:020d}" for v in (2, 3)]
+    assert sinks.drop_old_versions(spark, root) == []
+
+
+def test_insert_new_reads_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("a", 1, 2023), ("b", 2, 2024), ("c", 3, None)], "k string, v int, y int")
+    assert sinks.insert_new(df, path, ["k"], ["y"]) == 3
+    assert sinks.insert_new(df.unionByName(spark.createDataFrame([("d", 4, 2024)], df.schema)), path, ["k"], ["y"]) == 1
+    stored = sinks.read_table(spark, path, df.schema)
+    part = sinks.touched_partitions(stored, df.filter("y = 2024"), ["y"])
+    assert part.count() == 2
+    assert len(part.inputFiles()) < len(stored.inputFiles())
+
+
 def test_year_overwrite_touches_only_its_years(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([("a", "2023-05-01"), ("b", "2024-05-01")], "k string, d string").withColumn("d", F.col("d").cast("date"))
