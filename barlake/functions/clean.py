@@ -32,16 +32,16 @@ def numeric(value: Column, text: bool = True) -> Column:
 
 def int_to_date(value: Column) -> Column:
     """YYYYMMDD number to date; missing, non-positive and impossible dates are NULL."""
-    digits = F.substring(value.try_cast("bigint").cast("string"), 1, 8)
-    return F.when(value > 0, F.try_to_date(digits, "yyyyMMdd"))
+    number = value.try_cast("bigint")
+    digits = F.substring(number.cast("string"), 1, 8)
+    return F.when(number > 0, F.try_to_date(digits, "yyyyMMdd"))
 
 
 def ymd_to_date(year: Column, month: Column, day: Column) -> Column:
     """Three number columns to date, NULL when they name no real day."""
-    text = F.format_string("%04d-%02d-%02d", year.cast("int"), month.cast("int"), day.cast("int"))
-    return F.when(
-        year.isNotNull() & month.isNotNull() & day.isNotNull(), text.try_cast("date")
-    )
+    y, m, d = (part.try_cast("int") for part in (year, month, day))
+    text = F.format_string("%04d-%02d-%02d", y, m, d)
+    return F.when(y.isNotNull() & m.isNotNull() & d.isNotNull(), text.try_cast("date"))
 
 
 def datetime_to_date(value: Column) -> Column:
@@ -70,7 +70,7 @@ def lots_to_shares(volume: Column) -> Column:
 
 def clean_volume(volume: Column) -> Column:
     """NULL and sub-unit noise become 0, the rest truncates to a whole number."""
-    return F.when(volume >= 1, volume).otherwise(F.lit(0)).cast("bigint")
+    return F.coalesce(F.when(volume >= 1, volume).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def per_ten_to_per_share(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -49,7 +49,7 @@ def enrich_dimension(
     """Left join on a trimmed key; the right side is first reduced to its latest row."""
     trimmed = right.withColumn(key, F.trim(F.col(key).cast("string")))
     latest = keep_last(
-        trimmed.select(key, *dict.fromkeys([*columns, *order])), [key], order
+        trimmed.select(key, *dict.fromkeys([*columns, *order])), [key], [*order, *columns]
     ).select(key, *columns)
     return left.withColumn(key, F.trim(F.col(key).cast("string"))).join(latest, key, "left")
 

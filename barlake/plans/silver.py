@@ -100,18 +100,23 @@ def minute_bars(
     return kept, typed.filter(~ok)
 
 
-def corporate_actions(raw: DataFrame) -> DataFrame:
-    """Ex-right events (category 1), per share, one per code and day."""
+def corporate_actions(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Ex-right events (category 1), per share, one per code and day.
+
+    Where several fall on one day the rights price is the first by ``order`` (columns of
+    the landed table), by default by arrival where that is recorded.
+    """
     terms = ["fenhong", "songzhuangu", "peigu"]
+    order = list(order) or [c for c in ("ingested_at",) if c in raw.columns]
     events = raw.filter(F.col("category") == 1).select(
         F.col("code").alias("stock_code"),
         ymd_to_date(F.col("year"), F.col("month"), F.col("day")).alias("trade_date"),
-        *terms, F.col("peigujia").alias("peigu_price"),
+        *terms, F.col("peigujia").alias("peigu_price"), *order,
     )
     events = fill_zero(coerce_numeric(events, [*terms, "peigu_price"]), [*terms, "peigu_price"])
     events = per_ten_to_per_share(events, terms)
     return merge_same_day_events(
-        events, DAILY_KEYS, terms, "peigu_price", ["peigu_price"]
+        events, DAILY_KEYS, terms, "peigu_price", [*order, "peigu_price"]
     )
 
 
@@ -132,7 +137,10 @@ def adj_factors(raw: DataFrame, daily: DataFrame) -> DataFrame:
 def finance_rows(raw: DataFrame, order: Sequence[str] = ("ingested_at",)) -> DataFrame:
     """Statements: the last landed row per (code, date), typed; undated rows are dropped."""
     columns = ["code", "updated_date", "ipo_date", *FINANCE_MEASURES]
-    latest = dedup_keep_last(raw.select(*columns, *order), ["code", "updated_date"], order)
+    latest = dedup_keep_last(
+        raw.select(*columns, *order), ["code", "updated_date"],
+        [*order, "ipo_date", *FINANCE_MEASURES],  # values settle equal arrival times
+    )
     typed = coerce_numeric(latest.select(*columns), FINANCE_MEASURES).withColumns({
         c: int_to_date(F.col(c)) for c in ("updated_date", "ipo_date")
     })

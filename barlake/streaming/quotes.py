@@ -26,7 +26,7 @@ _SALTS = 32
 
 
 def poll_of(path: Column) -> Column:
-    """Poll number: the last run of digits in the file's own or its folder's name."""
+    """Poll number out of a path such as ``.../poll17.txt`` or ``.../poll=17/...``."""
     return F.regexp_extract(path, r"poll[_=]?(\d+)", 1).try_cast("bigint")
 
 

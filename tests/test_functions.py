@@ -33,6 +33,7 @@ def test_universe_filters(spark):
 def test_dates(spark):
     assert values(spark, [19991110, 0, -5, 20231301, None, 20230230], fn.int_to_date, "bigint") == [
         date(1999, 11, 10), None, None, None, None, None]
+    assert values(spark, ["19991110", "x", None], fn.int_to_date) == [date(1999, 11, 10), None, None]
     df = spark.createDataFrame([(2024, 2, 29), (2023, 2, 29), (2024, None, 1)], "y int, m int, d int")
     got = [r[0] for r in df.select(fn.ymd_to_date(F.col("y"), F.col("m"), F.col("d"))).collect()]
     assert got == [date(2024, 2, 29), None, None]
@@ -42,7 +43,7 @@ def test_dates(spark):
 
 def test_numbers(spark):
     assert values(spark, ["1.5", "x", "NaN", "", None, "2d", "1e3"], fn.numeric) == [1.5, None, None, None, None, None, 1000.0]
-    assert values(spark, [None, 0.4, 1.9, -3.0, 100.0], fn.clean_volume, "double") == [0, 0, 1, 0, 100]
+    assert values(spark, [None, 0.4, 1.9, -3.0, 100.0, float("inf")], fn.clean_volume, "double") == [0, 0, 1, 0, 100, 0]
     assert values(spark, ["3.456", "--", None], fn.pct_or_zero) == [3.46, 0.0, 0.0]
     assert values(spark, [-8.0, 6.0, -4.5, 2.0, 1.99, None], fn.heat_tier, "double") == [5, 4, 3, 2, 1, 1]
 
