@@ -53,12 +53,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges (from, to) whose texts hold about ``size`` bytes, at least one row each."""
-    rows, start = len(offsets) - 1, 0
-    while start < rows:
+def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES, rows: int = 512) -> Iterator[tuple[int, int]]:
+    """Row ranges (from, to) of at most ``rows`` texts of about ``size`` bytes, at least one text."""
+    n, start = len(offsets) - 1, 0
+    while start < n:
         stop = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
-        stop = min(max(stop, start + 1), rows)
+        stop = min(max(stop, start + 1), start + rows, n)
         yield start, stop
         start = stop
 

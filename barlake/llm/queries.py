@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from .bpe import op3_bpe
+from .langid import op9_langid
 from .mixing import op10_mixing
+from .secrets import op8_secrets
+from .token_counts import op6_token_counts
 from .url_filter import op7_url_filter
 
-QUERIES = {f.__name__: f for f in (op7_url_filter, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op6_token_counts, op7_url_filter, op8_secrets, op9_langid, op10_mixing)}
 ORACLES: dict[str, str] = {}
