@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barlake.session import work_dir
 
@@ -17,7 +23,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 1 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Let the cluster's Python workers import this package; once per application."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if package.is_dir() and not any("barlake-code" in name for name in context._python_includes):
+        folder = tempfile.mkdtemp(prefix="barlake-code-")  # the driver serves the file while it runs
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/barlake-code-{uuid.uuid4().hex}", "zip", package.parent, package.name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,6 +48,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About ``rows`` rows, or all if there are no more: those with the smallest hashes of ``key``.
+
+    The cut follows from the number of rows, so nothing is sorted and the choice depends on
+    neither order nor partitions. ``df`` is read twice.
+    """
+    span = 1 << 30
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.filter(F.pmod(F.xxhash64(key), F.lit(span)) < span * rows // total)
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]):
     """A mapInArrow function from one that turns a batch into batches."""
 

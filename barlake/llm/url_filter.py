@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import hash_sample, table
 
 #: (verdict, host, path): hosts stand for themselves and all subdomains, paths are prefixes.
 RULES = (
@@ -23,7 +23,7 @@ RULES = (
 NGRAM = (3, 4)
 #: Size of the hashed feature vector.
 FEATURES = 1 << 12
-#: The regression is fitted on this many labelled URLs at most.
+#: The regression is fitted on about this many labelled URLs at most.
 TRAINING_ROWS = 20_000
 
 
@@ -69,10 +69,10 @@ def ngrams(sizes: Sequence[int] = NGRAM) -> Column:
 def fit(labelled: DataFrame, features: int = FEATURES, rows: int = TRAINING_ROWS) -> LogisticRegressionModel | None:
     """A regression from (host, path, label 0/1); None if there are not two labels.
 
-    At most ``rows`` labelled URLs are used, those with the smallest hashes: what is learned
+    About ``rows`` labelled URLs are used, those with the smallest hashes: what is learned
     doesn't depend on the order of the table.
     """
-    sample = labelled.filter(F.col("label").isNotNull()).orderBy(F.xxhash64("host", "path"), "host", "path", "label").limit(rows)
+    sample = hash_sample(labelled.filter(F.col("label").isNotNull()), F.concat_ws("/", "host", "path"), rows)
     counted = HashingTF(inputCol="grams", outputCol="features", numFeatures=features, binary=True).transform(
         sample.select(ngrams().alias("grams"), F.col("label").cast("double").alias("label"))
     )
