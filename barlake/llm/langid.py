@@ -8,14 +8,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BLOCK_BYTES, blocks, per_batch, table, utf8
 
 #: Size of the hashed n-gram vector (a power of two).
 FEATURES = 1 << 12
-#: The classifier is fitted on this many labelled documents at most, equally many per language.
+#: The classifier is fitted on about this many labelled documents, equally many per language.
 TRAINING_DOCS = 2_000
 CENTROIDS = 3
 #: A document is rejected when its cosine is below this share of what its language's own
@@ -141,20 +141,20 @@ def held_out() -> Column:
 def fit(docs: DataFrame, training: Column | None = None, size: int = TRAINING_DOCS, k: int = CENTROIDS) -> Centroids | None:
     """Fit on text and lang of the ``training`` rows (default: not held out); None without any.
 
-    Per language, the documents with the smallest hashes of doc_id are taken, ``size`` over
-    all languages together; that bounds what the driver holds. A scan of doc_id and lang
-    finds the cut, so only the texts taken are read into Python.
+    Per language, the documents with the smallest hashes of doc_id are taken, about ``size``
+    over all languages together; that bounds what the driver holds. The cut follows from the
+    number of documents per language, so only the texts taken are read into Python.
     """
     rows = docs.filter(~held_out() & F.col("doc_id").isNotNull() if training is None else training)
-    rows = rows.filter("lang is not null and text is not null").withColumn("__h", F.xxhash64("doc_id"))
-    languages = sorted(r.lang for r in rows.select("lang").distinct().collect())
-    if not languages:
+    rows = rows.filter("lang is not null and text is not null")
+    # one row per language, and with it the share of its documents that is taken
+    known = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not known:
         return None
-    each = max(size // len(languages), 1)
-    order = Window.partitionBy("lang").orderBy("__h")
-    cut = rows.select("lang", "__h").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= each)
-    cut = cut.groupBy("lang").agg(F.max("__h").alias("__cut"))
-    sample = rows.join(cut, "lang").filter(F.col("__h") <= F.col("__cut")).select("lang", "__h", "text")
+    span, each = 1 << 30, max(size // len(known), 1)
+    cuts = F.create_map(*[F.lit(x) for name, n in known.items() for x in (name, min(span * each // n, span))])
+    rows = rows.withColumn("__h", F.xxhash64("doc_id"))
+    sample = rows.filter(F.pmod("__h", F.lit(span)) < cuts[F.col("lang")]).select("lang", "__h", "text")
 
     def run(batch: pa.RecordBatch):
         for start, stop, counts, letters in ngram_counts(batch.column("text")):
