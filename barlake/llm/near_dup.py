@@ -52,6 +52,8 @@ TWO_WORDS = Scheme(shingle=2)
 STAR_GAIN = 20
 #: Members of a key that are held at once when the rest of it is compared.
 BLOCK = 4096
+#: Ids are sent to all tasks up to this size, at 16 bytes each.
+BROADCAST_BYTES = 16 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -233,7 +235,10 @@ def _close(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
-    """(id, shingles) of the documents whose doc_id is in ``ids``; texts of others are not read into Python."""
+    """(id, shingles), stored, of the documents whose doc_id is in ``ids``.
+
+    Ids that fit BROADCAST_BYTES are sent to the texts; more are joined by a shuffle.
+    """
 
     def run(batch: pa.RecordBatch):
         for start, stop, sets in shingle_sets(batch.column("text"), scheme.shingle):
@@ -241,8 +246,10 @@ def full_sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, stop - start), lists], ["id", "shingles"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return rows.mapInArrow(per_batch(run), "id long, shingles array<long>")
+    ids = staged(ids.distinct(), "near-ids")
+    small = ids.count() * 16 <= BROADCAST_BYTES
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if small else ids, "id", "left_semi")
+    return staged(rows.mapInArrow(per_batch(run), "id long, shingles array<long>"), "near-sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
@@ -255,13 +262,6 @@ def confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
     return both.filter(shared * 100 >= union * scheme.threshold).select("a", "b").distinct()
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """The candidate pairs that are links, by the full sets of the documents among them."""
-    pairs = staged(pairs, "near-pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    return staged(confirmed(pairs, staged(full_sets(docs, ids, scheme), "near-sets"), scheme), "near-links")
-
-
 def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of keys that hold more than one component, with each id's component."""
     rows = buckets.join(labels, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("component"))
@@ -278,8 +278,9 @@ def _slots(equal: np.ndarray, scheme: Scheme) -> np.ndarray:
 
 
 def _flags(key, x, block, i, j, equal, scheme):
-    """Emit for _compared: the rows of a key that may have a link left."""
-    ids = np.unique(np.concatenate((x["id"][i], block["id"][j])))
+    """Emit for _compared: the rows of a key that may have a link which is this key's to find."""
+    first = _slots(equal, scheme) == x["slot"][i]
+    ids = np.unique(np.concatenate((x["id"][i[first]], block["id"][j[first]])))
     return [np.full(len(ids), key), ids]
 
 
@@ -370,46 +371,47 @@ def _compared(rows: DataFrame, scheme: Scheme, emit, schema: str) -> DataFrame:
     return lined.mapInArrow(run, schema).distinct()
 
 
-def _rest(rows: DataFrame, docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """All links left between members of a key in different components.
-
-    Signatures single out the rows that may have one; only for these are full sets read.
-    """
-    sized = rows.join(classes.select("id", "sig", "n"), "id").select("key", "slot", "id", "component", "n", "sig")
-    flagged = staged(_compared(sized, scheme, _flags, "key long, id long"), "near-flagged")
-    sets = staged(full_sets(docs, flagged.select("id").distinct(), scheme), "near-sets")
-    full = sized.join(flagged, ["key", "id"]).join(sets, "id").withColumn("n", F.size("shingles").cast("long"))
-    return staged(_compared(full.select(*sized.columns, "shingles"), scheme, _exact, "a long, b long"), "near-links")
-
-
 def links(docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
     """Confirmed links (a, b) that connect every component of similar classes.
 
-    Members of a key are not all compared with each other. In a star round each is compared with
-    one centre of its key, and only if it is not connected to the centre yet; a large group of
-    near copies is connected after a few rounds of as many pairs as it has members. When a
-    round connects few, what a key still holds beside its largest component is compared
-    with every member of other components. So each pair that shares a key is examined, or
-    connected already.
+    Members of a key are not all compared with each other. First each is compared with the
+    smallest id of its key; a large group of near copies is mostly connected by that. Then
+    signatures single out the members that may have a link to another component still, and
+    only their full sets are read. Star rounds with other centres go on while they connect
+    many. At last, what a key still holds beside its largest component is compared with
+    every member of other components. So each pair that shares a key is examined, or
+    connected already. Texts are read three times in all.
     """
     keyed = _keyed(classes, scheme)
     shared = keyed.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1")
     buckets = staged(keyed.join(shared, "key"), "near-keys")
     pairs = buckets.filter("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
-    found = _confirm(_close(pairs, classes, scheme), docs, scheme)
-    larger, round_ = buckets.filter("n > 2").select("key", "slot", "id"), 0  # a pair alone on its key is done
+    pairs = staged(_close(pairs, classes, scheme), "near-pairs")
+    sets = full_sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), scheme)
+    found = staged(confirmed(pairs, sets, scheme), "near-links")
+
+    larger = buckets.filter("n > 2").select("key", "slot", "id")  # a pair alone on its key is done
+    rows = _open(larger, staged(components(found), "near-components"))
+    sized = rows.join(classes.select("id", "sig", "n"), "id").select("key", "slot", "id", "component", "n", "sig")
+    flagged = staged(_compared(sized, scheme, _flags, "key long, id long"), "near-flagged")
+    members = staged(larger.join(flagged, ["key", "id"]), "near-members")
+    sets = full_sets(docs, members.select("id"), scheme)
+    round_ = 0
     while True:
-        rows = staged(_open(larger, staged(components(found), "near-components")), "near-open")
+        rows = staged(_open(members, staged(components(found), "near-components")), "near-open")
         drawn = F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(round_))).alias("c")
         pairs = rows.join(rows.groupBy("key").agg(drawn), "key").filter("c.component <> component").select(
             F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b")
         )
-        more = _confirm(_close(pairs.distinct(), classes, scheme), docs, scheme)
-        found, larger, round_ = found.union(more), rows.select("key", "slot", "id"), round_ + 1
+        pairs = staged(_close(pairs.distinct(), classes, scheme), "near-pairs")
+        more = staged(confirmed(pairs, sets, scheme), "near-links")
+        found, members, round_ = found.union(more), rows.select("key", "slot", "id"), round_ + 1
         if more.count() * STAR_GAIN <= rows.count():
             break
-    rows = staged(_open(larger, staged(components(found), "near-components")), "near-open")
-    return found.union(_rest(rows, docs, classes, scheme))
+    rows = _open(members, staged(components(found), "near-components"))
+    full = rows.join(classes.select("id", "sig"), "id").join(sets, "id").withColumn("n", F.size("shingles").cast("long"))
+    last = _compared(full.select("key", "slot", "id", "component", "n", "sig", "shingles"), scheme, _exact, "a long, b long")
+    return found.union(staged(last, "near-links"))
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
