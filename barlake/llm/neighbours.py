@@ -39,14 +39,16 @@ class Forest:
         return x @ self.normals.T - self.offsets if len(self.normals) else np.zeros((len(x), 0))
 
     def leaf_of(self, x: np.ndarray) -> np.ndarray:
-        """The leaf of each vector in each tree."""
-        side, out = self.sides(x), np.empty((len(x), len(self.roots)), dtype=np.int32)
-        for tree, root in enumerate(self.roots):
-            at = np.full(len(x), root)
-            while (inner := np.flatnonzero(at >= 0)).size:
-                node = at[inner]
-                at[inner] = np.where(side[inner, node] < 0, self.children[node, 0], self.children[node, 1])
-            out[:, tree] = -at - 1
+        """The leaf of each vector in each tree; 256 vectors at a time meet all boundaries."""
+        out = np.empty((len(x), len(self.roots)), dtype=np.int32)
+        for start in range(0, len(x), 256):
+            side = self.sides(x[start : start + 256])
+            for tree, root in enumerate(self.roots):
+                at = np.full(len(side), root)
+                while (inner := np.flatnonzero(at >= 0)).size:
+                    node = at[inner]
+                    at[inner] = np.where(side[inner, node] < 0, self.children[node, 0], self.children[node, 1])
+                out[start : start + 256, tree] = -at - 1
         return out
 
     def visit(self, side: np.ndarray) -> Iterator[int]:
@@ -182,11 +184,11 @@ def _sought(queries: DataFrame, forest: Forest, sizes: np.ndarray, rows: int) ->
     budget = forest.share * rows
 
     def run(batch: pa.RecordBatch):
-        side = forest.sides(_matrix(batch.column("embedding")))
+        x = _matrix(batch.column("embedding"))
         leaf, row = [], []
-        for i in range(len(side)):
+        for i in range(len(x)):
             met = 0
-            for at in forest.visit(side[i]):
+            for at in forest.visit(forest.sides(x[i : i + 1])[0]):
                 if sizes[at]:
                     leaf.append(at)
                     row.append(i)
