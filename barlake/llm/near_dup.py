@@ -443,6 +443,23 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def without_near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, less all but one document of each group.
+
+    The document with the smallest doc_id stays, once if its doc_id is repeated; so do all
+    rows with a null doc_id and all documents without words.
+    """
+    judged = near_duplicates(docs, scheme)
+    gone = staged(judged.filter(~F.col("kept")).select("doc_id").distinct(), "near-gone")
+    repeated = staged(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "near-repeated")
+    small = lambda ids: F.broadcast(ids) if ids.count() * 16 <= BROADCAST_BYTES else ids
+    left = docs.join(small(gone), "doc_id", "left_anti")
+    if not repeated.isEmpty():
+        again = left.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        left = left.join(small(repeated), "doc_id", "left_anti").unionByName(again)
+    return left.select(*[left[c] for c in docs.columns])
+
+
 def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose two-word shingle sets are similar to 0.8 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), TWO_WORDS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op3_bpe
+from .fingerprints import op4_fingerprints
 from .langid import op9_langid
 from .mixing import op10_mixing
 from .near_dup import OP1_SQL, op1_near_dup
@@ -10,11 +11,13 @@ from .neighbours import op2_neighbours
 from .secrets import op8_secrets
 from .token_counts import op6_token_counts
 from .url_filter import op7_url_filter
+from .warc import OP5_SQL, op5_warc
 
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_near_dup, op2_neighbours, op3_bpe, op6_token_counts, op7_url_filter, op8_secrets, op9_langid, op10_mixing,
+        op1_near_dup, op2_neighbours, op3_bpe, op4_fingerprints, op5_warc, op6_token_counts, op7_url_filter, op8_secrets,
+        op9_langid, op10_mixing,
     )
 }
-ORACLES: dict[str, str] = {"op1_near_dup": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_near_dup": OP1_SQL, "op5_warc": OP5_SQL}

@@ -4,8 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlake.llm.common import staged, table
+from barlake.llm.bpe import encode
+from barlake.llm.common import ship, staged, table
+from barlake.llm.langid import accepted, fit
 from barlake.llm.mixing import taken_documents
+from barlake.llm.near_dup import without_near_duplicates
+from barlake.llm.secrets import redact
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is near a learned language; the rest goes.
+
+    Texts without a letter go, and so do texts far from all languages. The languages are
+    learned from the labelled documents; without any, all texts are kept.
+    """
+    ship(spark)
+    model = fit(docs)
+    return docs if model is None else accepted(docs, model)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    ship(spark)
+    return without_near_duplicates(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets masked in their texts."""
+    ship(spark)
+    return redact(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,7 +40,15 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken_documents(docs)
 
 
-STAGES = [("mixing", mixing)]
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document left, beside its columns other than the text."""
+    ship(spark)
+    return encode(docs, keep=[c for c in docs.columns if c != "text"], with_offsets=False)
+
+
+STAGES = [
+    ("language", language), ("near_dedup", near_dedup), ("secrets", secrets), ("mixing", mixing), ("tokens", tokens),
+]
 #: Language vectors, hash thresholds and token ids are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
