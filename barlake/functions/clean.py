@@ -31,10 +31,10 @@ def numeric(value: Column, text: bool = True) -> Column:
 
 
 def int_to_date(value: Column) -> Column:
-    """YYYYMMDD number to date; missing, non-positive and impossible dates are NULL."""
+    """YYYYMMDD number to date; all but eight digits and impossible dates are NULL."""
     number = value.try_cast("bigint")
-    digits = F.substring(number.cast("string"), 1, 8)
-    return F.when(number > 0, F.try_to_date(digits, "yyyyMMdd"))
+    eight = number.between(10_000_000, 99_999_999)
+    return F.when(eight, F.try_to_date(number.cast("string"), "yyyyMMdd"))
 
 
 def ymd_to_date(year: Column, month: Column, day: Column) -> Column:
@@ -88,13 +88,16 @@ def quality_gate(
     high: str = "high",
     low: str = "low",
     observation: Observation | None = None,
+    date: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Split bars into (kept, rejected).
+    """Split bars into (kept, rejected); with ``date``, undated bars are rejected too.
 
     With an ``observation`` the reject count is measured while the kept rows are being
     written (metric ``rejected``), so no second pass over the input is needed.
     """
     ok = gate_passes(F.col(close), F.col(high), F.col(low))
+    if date is not None:
+        ok = ok & F.col(date).isNotNull()
     seen = df
     if observation is not None:
         seen = df.observe(
@@ -129,23 +132,21 @@ def date_prefix_filter(df: DataFrame, column: str, day: str) -> DataFrame:
     return df.filter((c >= start.cast(kind)) & (c < F.date_add(start, 1).cast(kind)))
 
 
-# Longest list written into the plan as literals; longer ones become a join.
-_INLINE_CODES = 200
-
-
 def code_in_list(df: DataFrame, code: str, codes: Iterable[str] | DataFrame) -> DataFrame:
-    """Rows of the listed codes.
+    """Rows of the listed codes: a left semi join, for a list and a DataFrame alike.
 
-    A short list is a pushed-down IN; a long one, or a DataFrame, is a left semi join
-    whose strategy (broadcast or sort-merge) Spark chooses from the measured size.
+    Spark chooses its strategy (broadcast or sort-merge) from the measured size. The range
+    of a given list is a filter of its own, which reaches the Parquet scan; for a single
+    code that is the code itself.
     """
-    if isinstance(codes, DataFrame):
-        return df.join(codes.select(F.col(codes.columns[0]).alias(code)), code, "left_semi")
-    listed = sorted(set(codes))
-    if len(listed) <= _INLINE_CODES:
-        return df.filter(F.col(code).isin(listed))
-    table = df.sparkSession.createDataFrame([(c,) for c in listed], f"`{code}` string")
-    return df.join(table, code, "left_semi")
+    if not isinstance(codes, DataFrame):
+        listed = sorted(set(codes))
+        if not listed:
+            return df.filter(F.lit(False))
+        df = df.filter(F.col(code).between(listed[0], listed[-1]))
+        codes = df.sparkSession.createDataFrame([(c,) for c in listed], "code string")
+    wanted = codes.select(F.col(codes.columns[0]).alias(code)).distinct()
+    return df.join(wanted, code, "left_semi").select(*df.columns)
 
 
 # Session bounds in seconds of the day, five minutes wider than trading.
@@ -176,7 +177,8 @@ def pct_or_zero(value: Column) -> Column:
 
 
 def heat_tier(pct: Column) -> Column:
-    """Five tiers of absolute change, in steps of two percent from two upwards."""
+    """Tier of the absolute change; NULL counts as no change."""
     size = F.abs(F.coalesce(pct, F.lit(0.0)))
-    steps = [F.when(size >= bound, 1).otherwise(0) for bound in (2, 4, 6, 8)]
-    return (F.lit(1) + steps[0] + steps[1] + steps[2] + steps[3]).cast("int")
+    # fixed values
+    tier = F.when(size >= 8, 5).when(size >= 6, 4).when(size >= 4, 3).when(size >= 2, 2).otherwise(1)
+    return tier.cast("int")

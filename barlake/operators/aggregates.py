@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import heat_tier
@@ -68,12 +68,9 @@ def short_days(counts: DataFrame, min_bars: int = 240) -> DataFrame:
     return counts.filter(F.col("bars") < min_bars)
 
 
-def duplicate_groups(df: DataFrame, keys: Sequence[str], limit: int = 10) -> DataFrame:
-    """The first few keys that occur more than once: a report, hence the limit."""
-    return (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
-        .filter("cnt > 1").orderBy(*keys).limit(limit)
-    )
+def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All keys that occur more than once, with their number of rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1")
 
 
 def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -101,12 +98,23 @@ def freshness(df: DataFrame, ts: str, day: Column) -> DataFrame:
     )
 
 
+def industry_members(df: DataFrame, group: str) -> DataFrame:
+    """One row per member of an industry with its place by size of move, largest first.
+
+    The main form: a reader takes the rows of the industries it shows. Ties follow code,
+    name and change.
+    """
+    order = Window.partitionBy(group).orderBy(F.abs(F.col("pct")).desc(), "code", "name", "pct")
+    return df.select(group, F.row_number().over(order).alias("place"), "code", "name", "pct")
+
+
 def industry_groups(df: DataFrame, group: str, part: Column | None = None) -> DataFrame:
     """Members of each industry as an array of (code, name, pct), largest move first.
 
     One row per (industry, part): ``part`` cuts an industry into pieces, so that a group
     holding much of the universe is never one array. The default is sixteen pieces by
     code; pass ``F.lit(0)`` for a single array where industries are known to be small.
+    Use it on quotes reduced to one row per code; ``industry_members`` has no such bound.
     """
     pieces = F.pmod(F.xxhash64("code"), F.lit(16)) if part is None else part
     size = F.abs(F.col("pct"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .keep import keep_first, keep_last
+from .keep import keep_first, keep_last, without_keys
 
 
 def merge_source_priority(
@@ -108,7 +108,8 @@ def semi_present(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> D
 
 
 def new_keys_only(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return batch.join(target.select(*keys), list(keys), "left_anti")
+    """Batch rows whose key is not stored; a stored NULL key makes a NULL key known."""
+    return without_keys(batch, target, keys)
 
 
 def newer_than_watermark(

@@ -46,3 +46,10 @@ def keep_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def _named(order: Sequence[str | Column]) -> list[Column]:
     columns = [F.col(o) if isinstance(o, str) else o for o in order]
     return [c.alias(f"o{i}") for i, c in enumerate(columns)]
+
+
+def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``other``; NULL equals NULL, as in a group."""
+    known = other.select(*[F.col(k).alias(f"__known{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"__known{i}")) for i, k in enumerate(keys)]
+    return df.join(known, same, "left_anti")

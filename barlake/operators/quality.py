@@ -62,9 +62,9 @@ def null_rule(df: DataFrame, table: str, column: str, level: str = "warning") ->
     )
 
 
-def duplicate_rule(df: DataFrame, table: str, keys: Sequence[str], limit: int = 10) -> DataFrame:
-    """One error when a key repeats; the number of groups is reported up to ``limit``."""
-    n = F.least(F.col("n"), F.lit(limit))
+def duplicate_rule(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """One error with the number of keys that repeat."""
+    n = F.col("n")
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     counted = groups.agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
     return _issue(

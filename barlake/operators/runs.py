@@ -102,9 +102,30 @@ def retry_outcome(tried: DataFrame, failed: DataFrame, rounds: int = MAX_ROUNDS)
     )
 
 
-def backfill_worklist(report: DataFrame, key: str = "stock_code") -> DataFrame:
-    """Instruments with gaps that a backfill could close."""
-    return report.filter(F.col("missing_count") > 0).select(key, "missing_count")
+def backfill_worklist(
+    report: DataFrame, tried: DataFrame | None = None, key: str = "stock_code", rounds: int = MAX_ROUNDS
+) -> DataFrame:
+    """Instruments with gaps that a backfill could close, with the round it would be.
+
+    ``tried`` (key, round) lists the rounds made so far; an instrument is fetched ``rounds``
+    times at most. Without it everything is in round 1.
+    """
+    gaps = report.filter(F.col("missing_count") > 0).select(key, "missing_count")
+    if tried is None:
+        return gaps.withColumn("round", F.lit(1))
+    last = tried.groupBy(key).agg(F.max("round").alias("__last"))
+    due = gaps.join(last, key, "left").withColumn("round", F.coalesce(F.col("__last"), F.lit(0)) + 1)
+    return due.filter(F.col("round") <= rounds).select(key, "missing_count", "round")
+
+
+def repair_worklist(outcome: DataFrame, feeds: DataFrame) -> DataFrame:
+    """(target, code) to rebuild after a retry: every table that a succeeded feed serves.
+
+    ``outcome`` is that of ``retry_outcome``; ``feeds`` (table, target) may list several
+    targets per feed, e.g. finance serves both statements and the instrument list.
+    """
+    done = outcome.filter(F.col("outcome") == "succeeded").select("table", "code")
+    return done.join(feeds.select("table", "target"), "table").select("target", "code").distinct()
 
 
 def heal_worklist(coverage: DataFrame, missing: DataFrame) -> DataFrame:
@@ -113,9 +134,7 @@ def heal_worklist(coverage: DataFrame, missing: DataFrame) -> DataFrame:
     A bulk table without codes yields one row with NULL codes: fetch it whole.
     """
     sick = coverage.filter(F.col("status") != "ok").select("table", "source")
-    plain = F.when(F.col("code").rlike("^s[hz]."), F.substring(F.col("code"), 3, 100)).otherwise(
-        F.col("code")
-    )
+    plain = F.regexp_replace("code", "^s[hz](?=.)", "")
     return sick.join(missing.select("table", "code"), "table", "left").select(
         "table", "source",
         plain.alias("plain_code"),
@@ -123,6 +142,20 @@ def heal_worklist(coverage: DataFrame, missing: DataFrame) -> DataFrame:
     )
 
 
+def step_errors(
+    results: DataFrame, keys: Sequence[str] = ("plan_id", "step_name"), order: Sequence[str] = ("seq",)
+) -> DataFrame:
+    """Every error of every step, with its place in its result."""
+    return results.select(*keys, *order, F.posexplode("errors").alias("pos", "error"))
+
+
+def step_failed_codes(results: DataFrame, keys: Sequence[str] = ("plan_id", "step_name")) -> DataFrame:
+    """Every code that a step's errors name, once."""
+    return error_codes(results.withColumn("table", F.struct(*keys))).select(
+        *[F.col("table")[k].alias(k) for k in keys], "code"
+    ).distinct()
+
+
 def run_step_rollup(
     results: DataFrame,
     keys: Sequence[str] = ("plan_id", "step_name"),
@@ -130,19 +163,21 @@ def run_step_rollup(
     max_errors: int = 50,
     max_codes: int = 100,
 ) -> DataFrame:
-    """Step summary: sums, status, the first errors and the first failed codes.
+    """Step summary: sums, status, counts, and a preview of errors and failed codes.
 
-    The two lists are top-k by definition of the log. The rank filter lets Spark drop the
-    surplus on the map side before the shuffle, so a step with millions of errors never
-    meets in one task.
+    Nothing is lost: ``n_errors`` and ``n_failed_codes`` are true counts, and all of them are
+    the rows of ``step_errors`` and ``step_failed_codes``. The previews are top-k; the rank
+    filter lets Spark drop the surplus on the map side before the shuffle, so a step with
+    millions of errors never meets in one task.
     """
     keys = list(keys)
     sums = results.groupBy(*keys).agg(
         F.sum("rows").alias("rows"), F.sum("failed").alias("failed"),
         F.sum("elapsed_ms").alias("elapsed_ms"),
+        F.sum(F.coalesce(F.size("errors"), F.lit(0))).alias("n_errors"),
     )
     by_step = Window.partitionBy(*keys)
-    lines = results.select(*keys, *order, F.posexplode("errors").alias("pos", "error"))
+    lines = step_errors(results, keys, order)
     top = (
         lines.withColumn("rn", F.row_number().over(by_step.orderBy(*order, "pos", "error")))
         .filter(F.col("rn") <= max_errors)
@@ -150,9 +185,7 @@ def run_step_rollup(
         .agg(F.array_sort(F.collect_list(F.struct("rn", "error"))).alias("errors"))
         .withColumn("errors", F.col("errors.error"))
     )
-    named = error_codes(results.withColumn("table", F.struct(*keys))).select(
-        *[F.col("table")[k].alias(k) for k in keys], "code"
-    ).distinct()
+    named = step_failed_codes(results, keys)
     codes = (
         named.withColumn("rn", F.row_number().over(by_step.orderBy("code")))
         .filter(F.col("rn") <= max_codes)
@@ -160,14 +193,16 @@ def run_step_rollup(
         .agg(F.array_sort(F.collect_list("code")).alias("failed_codes"))
     )
     nothing = F.array().cast("array<string>")
+    counts = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_failed_codes"))
     return (
-        sums.join(top, keys, "left").join(codes, keys, "left")
+        sums.join(top, keys, "left").join(codes, keys, "left").join(counts, keys, "left")
         .withColumns({
+            "n_failed_codes": F.coalesce("n_failed_codes", F.lit(0)),
             "errors": F.coalesce("errors", nothing),
             "failed_codes": F.coalesce("failed_codes", nothing),
         })
         .withColumn(
             "status",
-            F.when((F.col("failed") == 0) & (F.size("failed_codes") == 0), "ok").otherwise("partial"),
+            F.when((F.col("failed") == 0) & (F.col("n_failed_codes") == 0), "ok").otherwise("partial"),
         )
     )

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import code_in_list
 from ..schemas import PRICES
-from .windows import adjust_backward, adjust_forward
+from .windows import adjust_backward, adjust_forward, change_pct
 
 
 def _plain(code: str) -> str:
@@ -36,16 +36,24 @@ def stock_info(df: DataFrame, code: str) -> DataFrame:
 
 
 def _adjusted(bars: DataFrame, factors: DataFrame | None, fq: str) -> DataFrame:
-    if fq == "bfq":
-        return bars
+    """Bars in adjusted terms; the previous close is the adjusted close of the bar before.
+
+    So events on days without a bar count as well. A window group holds a code's bars, one
+    per day. The first bar keeps its own previous close, adjusted like its prices.
+    """
     if factors is None:
         raise ValueError("adjusted prices need the factor table")
+    adjust = {"qfq": adjust_forward, "hfq": adjust_backward}.get(fq)
+    if adjust is None:
+        raise ValueError(f"unknown adjustment {fq!r}")
     prices = [c for c in [*PRICES, "pre_close"] if c in bars.columns]
-    if fq == "qfq":
-        return adjust_forward(bars, factors, prices=prices).drop("adj")
-    if fq == "hfq":
-        return adjust_backward(bars, factors, prices=prices).drop("adj")
-    raise ValueError(f"unknown adjustment {fq!r}")
+    out = adjust(bars, factors, prices=prices).drop("adj")
+    if "pre_close" in bars.columns:
+        before = F.lag("close").over(Window.partitionBy("stock_code").orderBy("trade_date"))
+        out = out.withColumn("pre_close", F.coalesce(before, F.col("pre_close")))
+        if "change_pct" in bars.columns:
+            out = out.withColumn("change_pct", change_pct(F.col("close"), F.col("pre_close")))
+    return out.select(*bars.columns)
 
 
 def daily(
@@ -70,15 +78,18 @@ def daily_batch(
 ) -> DataFrame:
     """Bars of several instruments in an inclusive date range, by code and date.
 
-    A factor applies to bars of other dates, so adjustment sees the codes' factors of
-    all dates; bars need no date outside the range for either direction.
+    A factor applies to bars of other dates, so adjustment sees the codes' factors of all
+    dates, and the bar before the range for the first previous close in it.
     """
     wanted = codes if isinstance(codes, DataFrame) else [_plain(c) for c in codes]
     bars = code_in_list(df, "stock_code", wanted)
-    bars = bars.filter(F.col("trade_date").between(_day(start), _day(end)))
-    if factors is not None and fq != "bfq":
+    inside = F.col("trade_date").between(_day(start), _day(end))
+    if fq == "bfq":
+        return bars.filter(inside).orderBy("stock_code", "trade_date")
+    if factors is not None:
         factors = code_in_list(factors, "stock_code", wanted)
-    return _adjusted(bars, factors, fq).orderBy("stock_code", "trade_date")
+    bars = _adjusted(bars.filter(F.col("trade_date") <= _day(end)), factors, fq)
+    return bars.filter(inside).orderBy("stock_code", "trade_date")
 
 
 def minute(df: DataFrame, code: str, date: str) -> DataFrame:

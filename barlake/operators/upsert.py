@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .keep import keep_any, keep_first, keep_last
+from .keep import keep_any, keep_first, keep_last, without_keys
 
 
 def new_rows(
@@ -22,7 +22,7 @@ def new_rows(
 ) -> DataFrame:
     """The batch rows an insert that ignores conflicts would add."""
     once = keep_first(batch, keys, order) if order else keep_any(batch, keys)
-    return once.join(target.select(*keys), list(keys), "left_anti").select(*batch.columns)
+    return without_keys(once, target, keys).select(*batch.columns)
 
 
 def upsert_ignore(
@@ -43,20 +43,22 @@ def upsert_update(
 ) -> DataFrame:
     """Batch rows win, the last by ``order`` within the batch."""
     once = keep_last(batch, keys, order) if order else keep_any(batch, keys)
-    kept = target.join(once.select(*keys), list(keys), "left_anti").select(*target.columns)
+    kept = without_keys(target, once, keys).select(*target.columns)
     return kept.unionByName(once, allowMissingColumns=True)
 
 
 def replace_keys(
     target: DataFrame, rebuilt: DataFrame, key: str, codes: DataFrame | Sequence[str]
 ) -> DataFrame:
-    """Delete the rows of the codes, then add the rebuilt rows of those codes."""
-    if isinstance(codes, DataFrame):
-        listed = codes.select(F.col(codes.columns[0]).alias(key)).distinct()
-        kept = target.join(listed, key, "left_anti").select(*target.columns)
-        return kept.unionByName(rebuilt.join(listed, key, "left_semi").select(*rebuilt.columns))
-    gone = F.coalesce(F.col(key).isin(list(codes)), F.lit(False))
-    return target.filter(~gone).unionByName(rebuilt.filter(F.col(key).isin(list(codes))))
+    """Delete the rows of the codes, then add the rebuilt rows of those codes.
+
+    Codes are a table, however they are given: a list becomes one first.
+    """
+    if not isinstance(codes, DataFrame):
+        codes = target.sparkSession.createDataFrame([(c,) for c in codes], "code string")
+    listed = codes.select(F.col(codes.columns[0]).alias(key)).distinct()
+    kept = target.join(listed, key, "left_anti").select(*target.columns)
+    return kept.unionByName(rebuilt.join(listed, key, "left_semi").select(*rebuilt.columns))
 
 
 def replace_row(log: DataFrame, row: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -54,7 +54,8 @@ def daily_bars(
 ) -> tuple[DataFrame, DataFrame]:
     """(daily table, rejected bars) from one or two landed feeds.
 
-    The source is decided before the gate: a bad primary bar is rejected, not replaced.
+    The source is decided before the gate: a bad primary bar is rejected, not replaced. A bar
+    whose date is unreadable is rejected too, so none stands before a code's first day.
     Among copies of a key in one source a passing bar is preferred. Two shuffles: the
     merge on (code, date), combined map-side, and the previous-close window on the code,
     whose groups hold one row per trading day.
@@ -66,7 +67,7 @@ def daily_bars(
     merged = merge_by_priority(
         sources, DAILY_KEYS, [bad, *PRICES, "volume", "amount"]
     ).withColumn("volume", clean_volume(F.col("volume")))
-    kept, rejects = quality_gate(merged, observation=observation)
+    kept, rejects = quality_gate(merged, observation=observation, date="trade_date")
     bars = pre_close(kept, "stock_code", "trade_date", seed=seed).withColumn(
         "change_pct", change_pct(F.col("close"), F.col("pre_close"))
     )
@@ -101,7 +102,7 @@ def minute_bars(
 
 
 def corporate_actions(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """Ex-right events (category 1), per share, one per code and day.
+    """Ex-right events (category 1) of real days, per share, one per code and day.
 
     Where several fall on one day the rights price is the first by ``order`` (columns of
     the landed table), by default by arrival where that is recorded.
@@ -113,6 +114,7 @@ def corporate_actions(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
         ymd_to_date(F.col("year"), F.col("month"), F.col("day")).alias("trade_date"),
         *terms, F.col("peigujia").alias("peigu_price"), *order,
     )
+    events = events.filter(F.col("trade_date").isNotNull())
     events = fill_zero(coerce_numeric(events, [*terms, "peigu_price"]), [*terms, "peigu_price"])
     events = per_ten_to_per_share(events, terms)
     return merge_same_day_events(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barlake.functions import code_to_prefixed, industry_label, is_a_share, pct_or_zero
 from barlake.operators import aggregates, complete, joins, quality, runs, serve, setops, upsert, windows
 from barlake.plans import silver
-from barlake.schemas import FINANCE_MEASURES
+from barlake.schemas import FINANCE_MEASURES, PRICES
 from barlake.sources.parsers import parse_quote_lines
 
 from .fixtures import fx_code
@@ -82,7 +82,7 @@ def _(t):
 
 
 def quotes(t):
-    q = parse_quote_lines(t.fx_quote_lines()).select(F.substring("code", 3, 10).alias("code"), "name", "tail", pct_or_zero(C("change_pct")).alias("pct"))
+    q = parse_quote_lines(t.fx_quote_lines()).select(F.regexp_replace("code", "^s[hz](?=.)", "").alias("code"), "name", "tail", pct_or_zero(C("change_pct")).alias("pct"))
     industry = t.fx_industry().filter("industry is not null").withColumn("industry", industry_label(C("industry")))
     return joins.industry_join(q, industry, "其他")
 
@@ -146,7 +146,7 @@ def _(t):
     return aggregates.short_days(aggregates.bars_per_day(t.fx_minute(), "stock_code", "datetime"), 3)
 
 
-@query("duplicate_groups", "SELECT event_id, count(*) AS cnt FROM fx_bronze_dup GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 10")
+@query("duplicate_groups", "SELECT event_id, count(*) AS cnt FROM fx_bronze_dup GROUP BY 1 HAVING count(*) > 1")
 def _(t):
     return aggregates.duplicate_groups(t.fx_bronze_dup(), ["event_id"])
 
@@ -174,6 +174,11 @@ def _(t):
     return out.select("industry", "part", joined(text).alias("members"))
 
 
+@query("industry_members", f"SELECT industry, row_number() OVER (PARTITION BY industry ORDER BY abs(pct) DESC, code, name, pct) AS place, code, name, pct FROM {_QIND}")
+def _(t):
+    return aggregates.industry_members(quotes(t), "industry")
+
+
 @query("industry_average", f"SELECT industry, round(avg(pct), 6) AS avg_pct, count(*) AS members, CASE WHEN abs(avg(pct)) >= 8 THEN 5 WHEN abs(avg(pct)) >= 6 THEN 4 WHEN abs(avg(pct)) >= 4 THEN 3 WHEN abs(avg(pct)) >= 2 THEN 2 ELSE 1 END AS tier FROM {_QIND} GROUP BY 1")
 def _(t):
     return rounded(aggregates.industry_average(quotes(t), "industry", "pct"), 6, "avg_pct")
@@ -258,12 +263,23 @@ def _(t):
 @query("run_step_rollup", """SELECT plan_id, step_name, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(failed) AS BIGINT) AS failed, CAST(sum(elapsed_ms) AS BIGINT) AS elapsed_ms,
  (SELECT coalesce(string_agg(error, '|' ORDER BY seq, pos), '') FROM (SELECT * FROM (SELECT f.seq, u.pos, CASE u.pos WHEN 0 THEN f.code || ': timeout' WHEN 1 THEN 'general failure' ELSE 'sh' || f.code || ': empty: x' END AS error FROM fx_results f, (SELECT unnest([0, 1, 2]) AS pos) u WHERE f.status <> 'ok' AND f.plan_id = r.plan_id AND f.step_name = r.step_name) ORDER BY seq, pos LIMIT 50)) AS errors,
  (SELECT coalesce(string_agg(code, ',' ORDER BY code), '') FROM (SELECT DISTINCT code FROM (SELECT f.code FROM fx_results f WHERE f.status <> 'ok' AND f.plan_id = r.plan_id AND f.step_name = r.step_name UNION ALL SELECT 'sh' || f.code FROM fx_results f WHERE f.status <> 'ok' AND f.plan_id = r.plan_id AND f.step_name = r.step_name) ORDER BY code LIMIT 100)) AS failed_codes,
+ CAST(count(*) FILTER (WHERE status <> 'ok') * 3 AS BIGINT) AS n_errors, CAST(2 * count(DISTINCT code) FILTER (WHERE status <> 'ok') AS BIGINT) AS n_failed_codes,
  CASE WHEN sum(failed) = 0 THEN 'ok' ELSE 'partial' END AS status FROM fx_results r GROUP BY 1, 2""")
 def _(t):
     out = runs.run_step_rollup(t.fx_results())
     return out.withColumns({"errors": joined("errors", "|"), "failed_codes": joined("failed_codes")})
 
 
+@query("step_errors", "SELECT plan_id, step_name, seq, CAST(u.pos AS INTEGER) AS pos, CASE u.pos WHEN 0 THEN code || ': timeout' WHEN 1 THEN 'general failure' ELSE 'sh' || code || ': empty: x' END AS error FROM fx_results, (SELECT unnest([0, 1, 2]) AS pos) u WHERE status <> 'ok'")
+def _(t):
+    return runs.step_errors(t.fx_results())
+
+
+@query("step_failed_codes", "SELECT plan_id, step_name, code FROM fx_results WHERE status <> 'ok' UNION SELECT plan_id, step_name, 'sh' || code FROM fx_results WHERE status <> 'ok'")
+def _(t):
+    return runs.step_failed_codes(t.fx_results())
+
+
 # ---- windows ----------------------------------------------------------------------
 
 
@@ -301,6 +317,12 @@ def _(t):
     return rounded(t.fx_factors(), 6, "fenhong", "songzhuangu", "peigu", "single_factor")
 
 
+_ADJ_ALL = """SELECT stock_code, trade_date, open, high, low, close, pre_close, volume, round(amount, 4) AS amount,
+ round(CASE WHEN pre_close > 0 THEN (close - pre_close) / pre_close * 100 END, 4) AS change_pct FROM (
+ SELECT b.stock_code, b.trade_date, b.open {op} AS open, b.high {op} AS high, b.low {op} AS low, b.close {op} AS close, b.volume, b.amount,
+  coalesce(lag(b.close {op}) OVER (PARTITION BY b.stock_code ORDER BY b.trade_date), b.pre_close {op}) AS pre_close
+ FROM fx_daily b JOIN (SELECT b.stock_code, b.trade_date, coalesce(product(coalesce(f.single_factor, 1)) FILTER (WHERE f.trade_date {cmp} b.trade_date), 1) AS p FROM fx_daily b LEFT JOIN fx_factors f ON f.stock_code = b.stock_code GROUP BY 1, 2) x ON x.stock_code = b.stock_code AND x.trade_date = b.trade_date)"""
+_ADJ_OUT = "SELECT * REPLACE (round(open, 4) AS open, round(high, 4) AS high, round(low, 4) AS low, round(close, 4) AS close, round(pre_close, 4) AS pre_close) FROM ({rows}) WHERE stock_code IN ({codes}) AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
 _ADJ = "SELECT b.stock_code, b.trade_date, round(b.close {op}, 4) AS close, round(b.open {op}, 4) AS open FROM fx_daily b JOIN (SELECT b.stock_code, b.trade_date, coalesce(product(coalesce(f.single_factor, 1)) FILTER (WHERE f.trade_date {cmp} b.trade_date), 1) AS p FROM fx_daily b LEFT JOIN fx_factors f ON f.stock_code = b.stock_code GROUP BY 1, 2) x ON x.stock_code = b.stock_code AND x.trade_date = b.trade_date"
 _QFQ = _ADJ.format(op="* p", cmp=">")
 _HFQ = _ADJ.format(op="/ nullif(p, 0)", cmp="<=")
@@ -400,7 +422,7 @@ def _null_sql(level, table, column, source):
 
 
 def _dup_sql(table, keys, source):
-    return _issue_sql("error", table, f"least(n, 10) || ' duplicate groups of {keys}'", "least(n, 10)",
+    return _issue_sql("error", table, f"n || ' duplicate groups of {keys}'", "n",
                       f"(SELECT count(*) AS n FROM (SELECT {keys} FROM {source} GROUP BY {keys} HAVING count(*) > 1)) WHERE n > 0")
 
 
@@ -485,16 +507,18 @@ def _(t):
     return rounded(serve.daily(t.fx_daily(), "sh600002", "2024-01-05", "2024-01-20"), 4, "amount", "change_pct")
 
 
-@query("q_daily_qfq", f"SELECT stock_code, trade_date, close FROM ({_QFQ}) WHERE stock_code = '600002' AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
+@query("q_daily_qfq", _ADJ_OUT.format(rows=_ADJ_ALL.format(op="* p", cmp=">"), codes="SELECT stock_code FROM fx_events"))
 def _(t):
-    out = serve.daily(t.fx_daily(), "600002", "2024-01-05", "2024-01-20", "qfq", t.fx_factors())
-    return rounded(out, 4, "close").select(*DAY, "close")
+    codes = silver.corporate_actions(t.fx_xdxr()).select("stock_code").distinct()
+    out = serve.daily_batch(t.fx_daily(), codes, "2024-01-05", "2024-01-20", "qfq", t.fx_factors())
+    return rounded(out, 4, *PRICES, "pre_close", "amount", "change_pct")
 
 
-@query("q_daily_hfq", f"SELECT stock_code, trade_date, close FROM ({_HFQ}) WHERE stock_code = '600002' AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
+@query("q_daily_hfq", _ADJ_OUT.format(rows=_ADJ_ALL.format(op="/ nullif(p, 0)", cmp="<="), codes="SELECT stock_code FROM fx_events"))
 def _(t):
-    out = serve.daily(t.fx_daily(), "600002", "2024-01-05", "2024-01-20", "hfq", t.fx_factors())
-    return rounded(out, 4, "close").select(*DAY, "close")
+    codes = silver.corporate_actions(t.fx_xdxr()).select("stock_code").distinct()
+    out = serve.daily_batch(t.fx_daily(), codes, "2024-01-05", "2024-01-20", "hfq", t.fx_factors())
+    return rounded(out, 4, *PRICES, "pre_close", "amount", "change_pct")
 
 
 @query("q_daily_batch", f"SELECT {_DAILY_OUT} FROM fx_daily WHERE stock_code IN ('000000', '600002', '680003') AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
@@ -599,9 +623,22 @@ def _(t):
     return runs.retry_outcome(tried, r.filter("status = 'fail'"))
 
 
-@query("backfill_worklist", f"SELECT stock_code, missing_count FROM ({_COMPLETE}) WHERE missing_count > 0")
+@query("backfill_worklist", f"SELECT stock_code, missing_count, CAST(CASE WHEN left(stock_code, 2) = '60' THEN 2 ELSE 1 END AS INTEGER) AS round FROM ({_COMPLETE}) WHERE missing_count > 0 AND left(stock_code, 2) <> '30'")
 def _(t):
-    return runs.backfill_worklist(complete.completeness_report(t.fx_stock_map(), t.fx_daily(), REF))
+    # boards 60 and 30 were tried before, the latter twice
+    tried = t.fx_stocks().select(C("code").alias("stock_code"), F.when(C("code").startswith("60"), F.array(F.lit(1))).when(C("code").startswith("30"), F.array(F.lit(1), F.lit(2))).alias("r"))
+    tried = tried.select("stock_code", F.explode("r").alias("round"))
+    return runs.backfill_worklist(complete.completeness_report(t.fx_stock_map(), t.fx_daily(), REF), tried)
+
+
+_FEEDS = [("bronze.finance", "finance"), ("bronze.finance", "stock_map"), ("bronze.bars_daily_primary", "daily"), ("bronze.xdxr", "adj_factor")]
+
+
+@query("repair_worklist", "SELECT DISTINCT target, code FROM (SELECT DISTINCT \"table\", code FROM fx_results) JOIN (SELECT unnest(['bronze.finance', 'bronze.finance', 'bronze.bars_daily_primary', 'bronze.xdxr']) AS \"table\", unnest(['finance', 'stock_map', 'daily', 'adj_factor']) AS target) USING (\"table\") WHERE (\"table\", code) NOT IN (SELECT \"table\", code FROM fx_results WHERE status = 'fail')")
+def _(t):
+    r = t.fx_results().join(t.table("orders").select(C("o_orderkey").alias("seq"), fx_code(C("o_custkey")).alias("code")), "seq")
+    outcome = runs.retry_outcome(r.select("table", "code").distinct().withColumn("round", F.lit(1)), r.filter("status = 'fail'"))
+    return runs.repair_worklist(outcome, t.spark.createDataFrame(_FEEDS, "table string, target string"))
 
 
 @query("heal_worklist", "SELECT * FROM (" + _LANDED + """
