@@ -19,12 +19,20 @@ from barlake.session import work_dir
 #: A word: a maximal run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
+BATCH_OPTION, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
 #: Rows or bytes that a numpy pass holds at once; a single longer text is taken alone.
 BLOCK_BYTES = 1 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Let the cluster's Python workers import this package; once per application."""
+    """Let the cluster's Python workers import this package; once per application.
+
+    Where the session has no size of Arrow batches of its own, it gets BATCH_ROWS: texts are
+    long, and both Spark and Python hold a batch in memory several times.
+    """
+    if spark.conf.get(BATCH_OPTION, None) is None:
+        spark.conf.set(BATCH_OPTION, BATCH_ROWS)
     context, package = spark.sparkContext, Path(__file__).resolve().parents[1]
     if package.is_dir() and not any("barlake-code" in name for name in context._python_includes):
         folder = tempfile.mkdtemp(prefix="barlake-code-")  # the driver serves the file while it runs

@@ -26,8 +26,8 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 #: Payloads of fewer bytes are never replaced by a revisit.
 LEAST_PAYLOAD = 0
-#: Archives are closed after this many records.
-FILE_RECORDS = 2_000
+#: Archives are closed after this many records; a reading task holds a whole archive.
+FILE_RECORDS = 500
 #: Captures in one range of the ordered index, about: what a merging task holds at once.
 RANGE_ROWS = 100_000
 #: Capture dates of a table that has none: this second (2024-01-01T00:00:00Z) and one more per page_id.
@@ -72,7 +72,7 @@ def record(page: DataFrame) -> Column:
         F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
         F.col("payload_bytes").cast("string"), F.lit(CRLF + CRLF),
     )
-    block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("html")))
+    length = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("payload_bytes"))
     return F.concat(
         F.lit("WARC/1.0" + CRLF),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
@@ -82,8 +82,8 @@ def record(page: DataFrame) -> Column:
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(revisit, F.concat(line("WARC-Refers-To", urn(F.col("first"))), F.lit(f"WARC-Profile: {IDENTICAL_PAYLOAD}{CRLF}"))).otherwise(F.lit("")),
         F.lit(f"Content-Type: application/http; msgtype=response{CRLF}"),
-        line("Content-Length", F.octet_length(block).cast("string")),
-        F.lit(CRLF), block,
+        line("Content-Length", length.cast("string")),
+        F.lit(CRLF), http, F.when(revisit, F.lit("")).otherwise(F.col("html")),
     )
 
 
