@@ -1,12 +1,14 @@
 """Full, incremental and repair builds of the silver tables.
 
 A full build writes a new version. An incremental one appends to the current version the
-rows it lacks. A repair replaces rows: for the year-partitioned bar tables by dynamic
-overwrite of the touched years, for the small tables by a new version.
+rows it lacks; a day that lands late also corrects the bar after it. A repair replaces
+rows: for the year-partitioned bar tables by overwriting the touched years, for the small
+tables by a new version. The codes of a repair are a table throughout.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -18,12 +20,12 @@ from ..operators import quality
 from ..operators.documents import doc_changed, doc_hash
 from ..operators.joins import new_keys_only, newer_than_watermark
 from ..operators.upsert import new_rows, replace_keys, upsert_update
-from ..operators.windows import surrogate_id
+from ..operators.windows import change_pct, surrogate_id
 from ..schemas import ADJ_FACTOR, BUILD_RESULT, DAILY, DOC, FINANCE, MINUTE, STOCK_MAP
 from ..sources.files import read_documents
 from ..sources.sinks import (
-    by_year, current_version, path_exists, read_version, remove_path, stored_years,
-    write_version,
+    by_year, current_version, drop_old_versions, path_exists, read_version, remove_path,
+    require_rename, stored_years, write_version,
 )
 from . import silver
 
@@ -75,6 +77,7 @@ class _Job:
         self.gate = Observation()
         self.written = Observation()
         self.gated = target in ("daily", "minute")
+        self.years: list[int] | None = None  # years of a bar table this build wrote
         self.root = paths.clean(target)
         self.path = current_version(spark, self.root)
 
@@ -93,17 +96,14 @@ class _Job:
 
     # -- rows of the target, from all landed data or from a part of it
 
-    def rows(self, day: str | None = None, codes: Sequence[str] | None = None) -> DataFrame:
+    def rows(self, day: str | None = None, codes: DataFrame | None = None) -> DataFrame:
         return getattr(self, f"_{self.target}")(day, codes)
 
     def _pick(self, df, key, codes, prefixed=False):
         if df is None or codes is None:
             return df
         if prefixed:
-            listed = self.spark.createDataFrame([(c,) for c in codes], "c string").select(
-                code_to_prefixed_lookup(F.col("c")).alias("c")
-            )
-            return code_in_list(df, key, listed)
+            codes = codes.select(code_to_prefixed_lookup(F.col("code")).alias("code"))
         return code_in_list(df, key, codes)
 
     def _daily(self, day, codes):
@@ -165,7 +165,11 @@ class _Job:
 
     def _counted(self, df: DataFrame) -> DataFrame:
         names = _SCHEMAS[self.target].fieldNames()
-        return df.select(*names).observe(self.written, F.count(F.lit(1)).alias("n"))
+        span = []
+        if self.target in _YEAR_OF:
+            year = F.year(_YEAR_OF[self.target])
+            span = [F.min(year).alias("first"), F.max(year).alias("last")]
+        return df.select(*names).observe(self.written, F.count(F.lit(1)).alias("n"), *span)
 
     def _years(self, df: DataFrame) -> DataFrame:
         return df.withColumn("year", F.year(_YEAR_OF[self.target]))
@@ -177,6 +181,7 @@ class _Job:
             )
         else:
             self.path = write_version(df, self.root)
+        drop_old_versions(self.spark, self.root)
 
     def full(self) -> None:
         self._new_version(self._counted(self.rows()))
@@ -197,8 +202,31 @@ class _Job:
             self._years(fresh).write.mode("append").partitionBy("year").parquet(self.path)
         else:
             fresh.write.mode("append").parquet(self.path)
+        if self.target == "daily":
+            self._correct_after(day)
+
+    def _correct_after(self, day: str) -> None:
+        """Give each code's first bar after a day that landed late its new previous close.
+
+        Nothing is stored after the newest day, so the usual build ends with a look at the
+        partitions from the day's year on.
+        """
+        stored, at = self.current(), F.lit(day).cast("date")
+        from_day = stored.filter((F.col("year") >= int(day[:4])) & (F.col("trade_date") >= at))
+        later = from_day.filter(F.col("trade_date") > at)
+        if later.isEmpty():
+            return
+        today = from_day.filter(F.col("trade_date") == at).select("stock_code", F.col("close").alias("__close"))
+        following = later.groupBy("stock_code").agg(F.min("trade_date").alias("trade_date"))
+        wrong = (
+            later.join(following, ["stock_code", "trade_date"]).join(today, "stock_code")
+            .filter(~F.col("pre_close").eqNullSafe(F.col("__close")))
+            .withColumn("pre_close", F.col("__close"))
+            .withColumn("change_pct", change_pct(F.col("close"), F.col("pre_close")))
+        )
+        self._overwrite_years(wrong.drop("year", "__close"), lambda held, rows: upsert_update(held, rows, _KEYS["daily"]))
 
-    def repair(self, codes: Sequence[str]) -> None:
+    def repair(self, codes: DataFrame) -> None:
         # rebuilt rows come from landed tables only, never from the partitions replaced
         batch = self.rows(codes=codes)
         if self.target in ("adj_factor", "stock_map"):
@@ -210,43 +238,64 @@ class _Job:
         else:
             self._replace_years(batch, codes)
 
-    def _replace_years(self, batch: DataFrame, codes: Sequence[str]) -> None:
+    def _replace_years(self, batch: DataFrame, codes: DataFrame) -> None:
         """Rewrite the year partitions that hold, or will hold, rows of the codes."""
-        staged = write_version(
-            self._years(self._counted(batch)), f"{self.paths.silver}/repair/{self.target}"
-        )
-        rebuilt = self.spark.read.parquet(staged)
-        stored = self.current()
-        held = code_in_list(stored, "stock_code", codes).select("year")
-        touched = held.union(rebuilt.select("year")).distinct()
-        years = [r[0] for r in touched.collect()]  # one small number per calendar year
-        now = replace_keys(
-            stored.filter(F.col("year").isin(years)), rebuilt, "stock_code", codes
+        held = code_in_list(self.current(), "stock_code", codes).select("year")
+        self._overwrite_years(
+            self._counted(batch), lambda stored, rows: replace_keys(stored, rows, "stock_code", codes), held
         )
+
+    def _overwrite_years(self, batch: DataFrame, change, also: DataFrame | None = None) -> None:
+        """Overwrite the years of ``batch`` (and ``also``) with ``change`` of their stored rows.
+
+        The new rows of all touched years are staged first, and what is staged is removed at
+        the end: the overwrite reads nothing that it replaces.
+        """
+        require_rename(self.spark, self.path)
+        names = [*_SCHEMAS[self.target].fieldNames(), "year"]
+        rows = f"{self.paths.silver}/repair/{self.target}-rows-{time.time_ns()}"
+        self._years(batch).select(*names).write.parquet(rows)
+        rebuilt = self.spark.read.parquet(rows)
+        touched = rebuilt.select("year") if also is None else rebuilt.select("year").union(also)
+        years = [r[0] for r in touched.distinct().collect()]  # one small number per calendar year
+        stored = self.current().select(*names).filter(F.col("year").isin(years))
+        staged = f"{self.paths.silver}/repair/{self.target}-years-{time.time_ns()}"
+        change(stored, rebuilt).write.partitionBy("year").parquet(staged)
+        now = self.spark.read.schema(rebuilt.schema).parquet(staged)
         left = [r[0] for r in now.select("year").distinct().collect()]
         by_year(now, *_KEYS[self.target]).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("year").parquet(self.path)
         for year in set(years) - set(left):  # no new files replaced the old ones
             remove_path(self.spark, f"{self.path}/year={year}")
+        self.years = years
+        for folder in (rows, staged):
+            remove_path(self.spark, folder)
+
+    def _written_years(self) -> list[int]:
+        """Exactly the stored years that this build changed."""
+        if self.years is not None:
+            return self.years
+        span = self.written.get
+        if not span["n"]:
+            return []
+        return [y for y in stored_years(self.spark, self.path) if span["first"] <= y <= span["last"]]
 
     def result(self, mode: str) -> DataFrame:
-        # all issues are stored as a table; the result row shows the first few per level
-        table = self.current()
+        # all issues are stored as a table; the result row has their number and its place
+        written, table = self.written.get["n"], self.current()
         if self.target == "minute" and mode != "full":
-            table = table.filter(F.col("year") == max(stored_years(self.spark, self.path)))
+            table = table.filter(F.col("year").isin(self._written_years()))
         found = _RULES[self.target](table)
-        issues = self.spark.read.schema(found.schema).parquet(
-            write_version(found, f"{self.paths.silver}/issues/{self.target}")
-        )
+        where = write_version(found, f"{self.paths.silver}/issues/{self.target}")
+        drop_old_versions(self.spark, f"{self.paths.silver}/issues/{self.target}")
+        issues = self.spark.read.schema(found.schema).parquet(where)
         levels = issues.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
         counts = {r["level"]: r["n"] for r in levels.collect()}
         shown = {
-            level: [r[0] for r in issues.filter(F.col("level") == level)
-                    .orderBy("message").select("message").limit(50).collect()]
+            level: [f"{counts[level]} of level {level} in {where}"]
             for level in counts if level in ("error", "warning")
         }
-        written = self.written.get["n"]
         rejected = self.gate.get["rejected"] if self.gated else 0
         read = self.gate.get["read"] if self.gated else written
         if rejected:
@@ -281,15 +330,23 @@ def build_incremental(spark: SparkSession, target: str, paths: Paths, day: str)
 
 
 def build_repair(
-    spark: SparkSession, target: str, paths: Paths, codes: Sequence[str]
+    spark: SparkSession, target: str, paths: Paths, codes: DataFrame | Sequence[str]
 ) -> DataFrame:
-    """Rebuild the given codes; a target never built is built in full."""
-    if not codes:
+    """Rebuild the given codes; a target never built is built in full.
+
+    Codes are a table, e.g. of ``failed_codes`` or ``repair_worklist`` (its column ``code``, or
+    else its first), which never passes the driver; a list becomes one.
+    """
+    if not isinstance(codes, DataFrame):
+        codes = spark.createDataFrame([(c,) for c in codes], "code string")
+    column = "code" if "code" in codes.columns else codes.columns[0]
+    codes = codes.select(F.col(column).alias("code")).filter(F.col("code").isNotNull()).distinct()
+    if codes.isEmpty():
         return _result(spark, target, "repair", "skipped", errors=["repair mode requires codes"])
     job = _Job(spark, target, paths)
     if job.path is None:
         return build_full(spark, target, paths)
-    job.repair(list(codes))
+    job.repair(codes)
     return job.result("repair")
 
 
@@ -299,7 +356,7 @@ def build(
     mode: str,
     paths: Paths,
     day: str | None = None,
-    codes: Sequence[str] | None = None,
+    codes: DataFrame | Sequence[str] | None = None,
 ) -> DataFrame:
     """One target in one mode; any error becomes a result row with status 'fail'."""
     try:
@@ -308,9 +365,9 @@ def build(
         if mode == "incremental":
             return build_incremental(spark, target, paths, day)
         if mode == "repair":
-            return build_repair(spark, target, paths, codes or [])
+            return build_repair(spark, target, paths, [] if codes is None else codes)
     except Exception as error:  # noqa: BLE001 - reported, so that other targets still run
-        return _result(spark, target, mode, "fail", errors=[str(error)[:2000]])
+        return _result(spark, target, mode, "fail", errors=[str(error)])
     return _result(spark, target, mode, "skipped", errors=[f"unsupported mode: {mode}"])
 
 
@@ -319,7 +376,7 @@ def build_all(
     mode: str,
     paths: Paths,
     day: str | None = None,
-    codes: Sequence[str] | None = None,
+    codes: DataFrame | Sequence[str] | None = None,
 ) -> DataFrame:
     """All targets in dependency order."""
     results = None

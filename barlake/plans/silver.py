@@ -86,8 +86,13 @@ def last_close(daily: DataFrame, before: Column) -> DataFrame:
 def minute_bars(
     raw: DataFrame, observation: Observation | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(minute table, rejected bars); a bar whose time is unreadable is rejected too."""
-    typed = project_silver(raw, MINUTE.fieldNames())
+    """(minute table, rejected bars); a bar whose time is unreadable is rejected too.
+
+    Of several copies of a bar the first to arrive is kept, where arrival is recorded, as a
+    stream over the same files keeps it; values settle the rest.
+    """
+    arrival = [c for c in ("ingested_at",) if c in raw.columns]
+    typed = project_silver(raw, [*MINUTE.fieldNames(), *arrival])
     typed = coerce_numeric(typed, [*PRICES, "vol", "amount"]).withColumn(
         "datetime", text_to_timestamp(F.col("datetime"))
     )
@@ -97,8 +102,8 @@ def minute_bars(
         seen = typed.observe(
             observation, F.count(F.lit(1)).alias("read"), F.count_if(~ok).alias("rejected")
         )
-    kept = keep_first(seen.filter(ok), MINUTE_KEYS, [*PRICES, "vol", "amount"])
-    return kept, typed.filter(~ok)
+    kept = keep_first(seen.filter(ok), MINUTE_KEYS, [*arrival, *PRICES, "vol", "amount"])
+    return kept.drop(*arrival), typed.filter(~ok).drop(*arrival)
 
 
 def corporate_actions(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:

@@ -15,8 +15,6 @@ CONF = {
     # hot keys in equi-joins are split at run time, even at the price of one more shuffle
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # repairs replace only the partitions they touch
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # decode(..., 'GBK') for landing files in the exchange's native encoding
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -52,9 +50,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for checkpoints and intermediate tables.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, so it
-    outlives any executor. Only where that is unset (tests) is a local folder used.
+    outlives any executor. Where that is unset, only a session whose driver and executors
+    are one process may use a folder of its own; a cluster must name one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"barlake-{name}-")
+    master = spark.conf.get("spark.master", "")
+    if master == "local" or master.startswith("local["):
+        return tempfile.mkdtemp(prefix=f"barlake-{name}-")
+    raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")

@@ -1,9 +1,11 @@
 """Table writers.
 
-Appends go straight to the table. Whatever replaces rows either overwrites single
-partitions (Spark stages them and moves them in at job commit) or writes a complete new
-version beside the old one, which readers pick up once its success marker exists, so a
-job that dies half-way leaves the previous version in place.
+Appends go straight to the table. Small tables are replaced by a complete new version beside
+the old one, which readers pick up once its success marker exists, so a job that dies
+half-way leaves the previous version in place. Year partitions are overwritten one by one:
+Spark stages them and renames them in at job commit. That is no single step, and a driver
+lost during the commit can leave a year out until the job is run again; where a store
+can't rename folders at all, such writes are refused (``require_rename``).
 """
 
 from __future__ import annotations
@@ -16,6 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.upsert import new_rows
+from ..session import work_dir
+
+# File systems that rename a folder in one step.
+_RENAMING = ("file", "hdfs", "viewfs")
 
 
 def add_lineage(
@@ -71,11 +77,16 @@ def insert_new(
     Partition columns must be a function of the key.
     """
     spark = df.sparkSession
-    target = touched_partitions(read_table(spark, path, df.schema), df, partition_by)
+    held = work_dir(spark, "insert")  # the batch is looked at twice and must not change
+    df.write.parquet(held)
+    batch = spark.read.schema(df.schema).parquet(held)
+    target = touched_partitions(read_table(spark, path, df.schema), batch, partition_by)
     counted = Observation()
-    rows = new_rows(target, df, pk).observe(counted, F.count(F.lit(1)).alias("n"))
+    rows = new_rows(target, batch, pk).observe(counted, F.count(F.lit(1)).alias("n"))
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
-    return counted.get["n"]
+    added = counted.get["n"]
+    remove_path(spark, held)
+    return added
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -83,6 +94,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def require_rename(spark: SparkSession, path: str) -> None:
+    """Refuse to overwrite partitions in a store that copies objects to rename them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = where.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    if scheme not in _RENAMING:
+        raise ValueError(f"partitions can't be replaced safely in a {scheme} store")
+
+
 def stored_years(spark: SparkSession, path: str) -> list[int]:
     """Years of a year-partitioned folder, from its listing alone."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -130,6 +149,21 @@ def write_version(
     return path
 
 
+def next_versions(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """Number of a stream's first version under ``root``: above all that were there when it began.
+
+    Kept in the stream's checkpoint, so a repeated batch gets its number again, and a stream
+    with a new checkpoint never hides its results behind older ones.
+    """
+    kept = f"{checkpoint}/first-version"
+    if not path_exists(spark, kept):
+        last = current_version(spark, root)
+        first = 0 if last is None else int(last.rsplit("v=", 1)[1]) + 1
+        write = spark.createDataFrame([(first,)], "first bigint").coalesce(1).write
+        write.mode("overwrite").parquet(kept)
+    return spark.read.parquet(kept).first()["first"]
+
+
 def read_version(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
     path = current_version(spark, root)
     if path is None:

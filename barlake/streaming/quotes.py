@@ -1,7 +1,9 @@
 """Live quotes: latest row per code, subscriptions, industry averages, bronze to silver.
 
 Every job reads files that land in a folder, so it can be replayed. Checkpoints belong in
-a shared folder; sinks are keyed by the batch id, so a repeated batch writes the same.
+a shared folder; versions are numbered by batch from where the checkpoint began, so a repeated
+batch writes the same and a new checkpoint continues above what is there. Sinks keep the
+last two versions, so finding the current one costs the same however long a stream runs.
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from ..operators.upsert import new_rows
 from ..schemas import QUOTE_FIELDS
 from ..sources.files import gbk_lines
 from ..sources.parsers import parse_quote_lines
-from ..sources.sinks import current_version, read_table, touched_partitions, write_version
+from ..sources.sinks import (
+    current_version, drop_old_versions, next_versions, read_table, touched_partitions, write_version,
+)
 
 _SALTS = 32
 
@@ -129,18 +133,23 @@ def stream_snapshot_replace(sdf: DataFrame, root: str, checkpoint: str) -> Strea
     """The newest poll replaces the snapshot, so codes absent from it vanish.
 
     A poll may arrive in several batches and older polls may come late: stored and new
-    rows are put together and only those of the highest poll stay.
+    rows are put together and only those of the highest poll stay. A row without a poll number
+    is an error, for its file's name can't be placed.
     """
-    schema = sdf.schema
+    schema, first = sdf.schema, next_versions(sdf.sparkSession, root, checkpoint)
 
     def replace(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        stored = current_version(spark, root, below=batch_id)
+        spark, version = batch.sparkSession, first + batch_id
+        stored = current_version(spark, root, below=version)
         both = batch if stored is None else batch.unionByName(
             spark.read.schema(schema).parquet(stored)
         )
-        newest = both.select(F.max("poll_id")).scalar()
-        write_version(both.filter(F.col("poll_id") == newest).distinct(), root, batch_id)
+        seen = both.agg(F.max("poll_id").alias("newest"), F.count_if(F.col("poll_id").isNull()).alias("lost")).first()
+        if seen["lost"]:
+            raise ValueError(f"{seen['lost']} quotes come from files without a poll number")
+        newest = F.lit(seen["newest"]).cast("bigint")
+        write_version(both.filter(F.col("poll_id") == newest).distinct(), root, version)
+        drop_old_versions(spark, root)
 
     return run_available(sdf, checkpoint, replace)
 
@@ -149,11 +158,13 @@ def stream_industry(
     sdf: DataFrame, industry: DataFrame, root: str, checkpoint: str, default: str = "其他"
 ) -> StreamingQuery:
     """Industry averages of the latest quotes after every update."""
+    first = next_versions(sdf.sparkSession, root, checkpoint)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         quotes = batch.withColumn("pct", pct_or_zero(F.col("change_pct")))
         joined = industry_join(quotes.select("code", "name", "pct"), industry, default)
-        write_version(industry_average(joined, "industry", "pct"), root, batch_id)
+        write_version(industry_average(joined, "industry", "pct"), root, first + batch_id)
+        drop_old_versions(batch.sparkSession, root)
 
     return run_available(stream_latest(sdf), checkpoint, publish, mode="complete")
 

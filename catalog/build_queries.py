@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barlake.operators.runs import failed_codes
 from barlake.plans.build import Paths, build_all, build_full, build_incremental, build_repair
 from barlake.schemas import DAILY
 from barlake.session import work_dir
@@ -68,7 +69,39 @@ def _(t):
     return stored(t, paths).select("stock_code", "trade_date", "close")
 
 
-@query("build_all", "SELECT 'stock_map' AS target, 'partial' AS status, count(*) AS rows_written FROM fx_stock_map UNION ALL SELECT 'daily', 'ok', count(*) FROM fx_daily UNION ALL SELECT 'adj_factor', 'ok', count(*) FROM fx_factors UNION ALL SELECT 'minute', 'ok', count(*) FROM fx_minute UNION ALL SELECT 'finance', 'ok', count(*) FROM fx_finance_rows")
+@query("build_all", "SELECT 'stock_map' AS target, 'partial' AS status, count(*) AS rows_written FROM fx_stock_map UNION ALL SELECT 'daily', 'ok', count(*) FROM fx_daily UNION ALL SELECT 'adj_factor', 'ok', count(*) FROM fx_factors UNION ALL SELECT 'minute', 'ok', count(*) FROM fx_minute UNION ALL SELECT 'finance', 'ok', count(*) FROM fx_finance_rows UNION ALL SELECT 'doc', 'ok', count(*) FROM part")
 def _(t):
-    out = build_all(t.spark, "full", land(t))
-    return out.filter("target <> 'doc'").select("target", "status", "rows_written")
+    out = build_all(t.spark, "full", land(t, with_docs=True))
+    return out.select("target", "status", "rows_written")
+
+
+def _bad(df, date):
+    """A few bars whose date can't be read."""
+    return df.filter(C(date).startswith("2024-01-02")).withColumn(date, F.lit("some day"))
+
+
+@query("build_late_day", f"SELECT {_DAILY_OUT} FROM fx_daily")
+def _(t):
+    # one day and some undated bars land last; the bars after that day are corrected
+    paths, day = land(t), "2024-01-15"
+    names = {"daily_primary": (t.fx_daily_a(), "datetime"), "daily_secondary": (t.fx_daily_b(), "date")}
+    for name, (df, date) in names.items():
+        df.filter(~C(date).startswith(day)).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(paths.raw(name))
+    build_full(t.spark, "daily", paths)
+    for name, (df, date) in names.items():
+        df.filter(C(date).startswith(day)).unionByName(_bad(df, date)).write.mode("append").parquet(paths.raw(name))
+    for _ in range(2):  # the second time nothing is new
+        build_incremental(t.spark, "daily", paths, day)
+    return stored(t, paths)
+
+
+@query("build_repair_failed", "SELECT stock_code, trade_date, close FROM (SELECT stock_code, trade_date, CASE WHEN stock_code IN (SELECT code FROM fx_failed) THEN close * 2 ELSE close END AS close FROM fx_daily)")
+def _(t):
+    # the codes come straight from the ingest log
+    paths = land(t)
+    build_full(t.spark, "daily", paths)
+    doubled = lambda df: df.withColumns({c: C(c) * 2 for c in ("open", "high", "low", "close")})
+    doubled(t.fx_daily_a()).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(paths.raw("daily_primary"))
+    doubled(t.fx_daily_b()).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(paths.raw("daily_secondary"))
+    build_repair(t.spark, "daily", paths, failed_codes(t.fx_results()).select("code"))
+    return stored(t, paths).select("stock_code", "trade_date", "close")

@@ -189,6 +189,7 @@ class Tables:
             F.when(F.col("o_orderstatus") == "F", 1).otherwise(2).alias("category"),
             (k % 7 * 0.1).alias("fenhong"), (k % 5 * 1.0).alias("peigujia"),
             (k % 3 * 0.1).alias("songzhuangu"), F.when(k % 4 > 0, k % 4 * 0.1).alias("peigu"),
+            F.timestamp_seconds(1_800_000_000 - k).alias("ingested_at"),  # the last order arrives first
         )
 
     @once
@@ -353,8 +354,8 @@ SQL: dict[str, str] = {
     "fx_kept": "SELECT *, lag(close) OVER (PARTITION BY stock_code ORDER BY trade_date) AS pre_close FROM fx_merged WHERE close > 0 AND high >= low",
     "fx_daily": "SELECT stock_code, trade_date, open, high, low, close, pre_close, CAST(CASE WHEN volume < 1 THEN 0 ELSE volume END AS BIGINT) AS volume, amount, CASE WHEN pre_close > 0 THEN (close - pre_close) / pre_close * 100 END AS change_pct FROM fx_kept",
     "fx_minute": "SELECT " + _code("user_id") + " AS stock_code, datetime, open, high, low, close, volume AS vol, amount FROM (" + _bars_sql("date_trunc('hour', ts)", "datetime") + ")",
-    "fx_xdxr": f"SELECT {_code('o_custkey % ' + _USERS)} AS code, {_DAY} AS d, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS category, o_orderkey % 7 * 0.1::DOUBLE AS fenhong, o_orderkey % 5 * 1.0::DOUBLE AS peigujia, o_orderkey % 3 * 0.1::DOUBLE AS songzhuangu, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 4 * 0.1::DOUBLE END AS peigu FROM orders",
-    "fx_events": "SELECT code AS stock_code, d AS trade_date, sum(fenhong / 10) AS fenhong, min(peigujia) AS peigu_price, sum(songzhuangu / 10) AS songzhuangu, sum(coalesce(peigu, 0) / 10) AS peigu FROM fx_xdxr WHERE category = 1 GROUP BY 1, 2",
+    "fx_xdxr": f"SELECT {_code('o_custkey % ' + _USERS)} AS code, {_DAY} AS d, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END AS category, o_orderkey % 7 * 0.1::DOUBLE AS fenhong, o_orderkey % 5 * 1.0::DOUBLE AS peigujia, o_orderkey % 3 * 0.1::DOUBLE AS songzhuangu, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 4 * 0.1::DOUBLE END AS peigu, -o_orderkey AS arrival FROM orders",
+    "fx_events": "SELECT code AS stock_code, d AS trade_date, sum(fenhong / 10) AS fenhong, first(peigujia ORDER BY arrival, peigujia) AS peigu_price, sum(songzhuangu / 10) AS songzhuangu, sum(coalesce(peigu, 0) / 10) AS peigu FROM fx_xdxr WHERE category = 1 GROUP BY 1, 2",
     "fx_factors": "SELECT e.*, CASE WHEN pre_close > 0 THEN (pre_close - fenhong + peigu_price * peigu) / nullif(pre_close * (1 + songzhuangu + peigu), 0) END AS single_factor FROM fx_events e LEFT JOIN fx_daily b USING (stock_code, trade_date)",
     "fx_latest_ipo": "SELECT code, CAST(try_strptime(CAST(CASE WHEN ipo_date > 0 THEN ipo_date END AS VARCHAR), '%Y%m%d') AS DATE) AS ipo_date FROM fx_finance WHERE ingested_at = TIMESTAMP '2024-02-02'",
     "fx_stock_map": "SELECT row_number() OVER (ORDER BY code) AS stock_code_id, code AS stock_code, name AS stock_name, market, ipo_date, CAST(NULL AS DATE) AS delist_date FROM fx_stocks LEFT JOIN fx_latest_ipo USING (code) WHERE (market = 'sz' AND left(code, 2) IN ('00', '30')) OR (market = 'sh' AND left(code, 2) IN ('60', '68'))",

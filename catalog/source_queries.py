@@ -23,14 +23,16 @@ def _(t):
     return out.withColumn("extra", F.replace("extra", F.lit(" "), F.lit("")))
 
 
-@query("src_quote_lines", f"SELECT poll_id, {', '.join(_SHOWN)} FROM fx_quotes")
+@query("src_quote_lines", f"SELECT poll_id, {', '.join(_SHOWN)}, md5(concat_ws('~', {', '.join(PLACES)})) AS fields FROM fx_quotes")
 def _(t):
-    return parsers.parse_quote_lines(t.fx_quote_lines()).select("poll_id", *_SHOWN)
+    # all fields, in order, as a digest beside those shown
+    fields = F.md5(F.concat_ws("~", *PLACES)).alias("fields")
+    return parsers.parse_quote_lines(t.fx_quote_lines()).select("poll_id", *_SHOWN, fields)
 
 
-@query("src_positional_lines", "SELECT poll_id, string_split(value, '~')[2] AS c1, string_split(value, '~')[3] AS c2, string_split(value, '~')[4] AS c3 FROM fx_quote_lines")
+@query("src_positional_lines", "SELECT poll_id, " + ", ".join(f"string_split(value, '~')[{i + 1}] AS c{i}" for i in range(12)) + " FROM fx_quote_lines")
 def _(t):
-    return parsers.parse_positional(t.fx_quote_lines(), 12).select("poll_id", "c1", "c2", "c3")
+    return parsers.parse_positional(t.fx_quote_lines(), 12)
 
 
 @query("src_minute_cumulative", "SELECT stock_code, event_id, string_split(item, ' ')[1] AS time, CAST(string_split(item, ' ')[2] AS DOUBLE) AS price, CAST(string_split(item, ' ')[3] AS DOUBLE) AS volume, CAST(string_split(item, ' ')[4] AS DOUBLE) AS amount FROM fx_intraday WHERE len(string_split(item, ' ')) >= 4")
@@ -38,14 +40,14 @@ def _(t):
     return parsers.parse_intraday(t.fx_intraday())
 
 
-@query("src_gbk_text", "SELECT CAST(c_custkey AS VARCHAR) AS path, '行情~' || c_name || '~' || v AS value FROM customer, (SELECT unnest(['a', '其他']) AS v)")
+@query("src_gbk_text", "SELECT '行情~' || c_name || '~' || v AS value FROM customer, (SELECT unnest(['a', '其他']) AS v)")
 def _(t):
-    # Spark has no GBK writer, so the file contents are encoded in place
-    line = F.concat(F.lit("行情~"), "c_name", F.lit("~"))
-    text = F.concat(line, F.lit("a\r\n"), line, F.lit("其他\n"))
-    return files.gbk_lines(
-        t.table("customer").select(C("c_custkey").cast("string").alias("path"), F.encode(text, "GBK").alias("content"))
-    )
+    # the CSV writer knows the encoding: one column, no quotes, hence plain lines
+    path = work_dir(t.spark, "gbk") + "/quotes"
+    lines = t.table("customer").select("c_name", F.explode(F.array(F.lit("a"), F.lit("其他"))).alias("v"))
+    lines = lines.select(F.concat(F.lit("行情~"), "c_name", F.lit("~"), "v").alias("value"))
+    lines.write.mode("overwrite").option("encoding", "GBK").option("quote", "").option("lineSep", "\r\n").csv(path)
+    return files.read_gbk(t.spark, path).select("value")
 
 
 @query("src_documents", "SELECT substr(sha256(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10)), 1, 16) AS h, DATE '2024-01-31' AS trade_date, count(*) AS n FROM documents GROUP BY 1")

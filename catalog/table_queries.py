@@ -217,9 +217,20 @@ def _(t):
     return complete.completeness_minute(t.fx_minute(), "000000", min_bars=3)
 
 
-@query("completeness_minute_per_year", _MINUTE)
+_TWO_YEARS = """SELECT * FROM (WITH m AS (SELECT stock_code, CAST(datetime AS DATE) AS d FROM fx_minute UNION ALL SELECT stock_code, CAST(datetime + INTERVAL 366 DAY AS DATE) FROM fx_minute WHERE CAST(stock_code AS INTEGER) % 3 = 0),
+ cal AS (SELECT DISTINCT d, year(d) AS y FROM m WHERE stock_code = '000000'),
+ per_day AS (SELECT stock_code, d, year(d) AS y, count(*) AS bars FROM m GROUP BY 1, 2), last AS (SELECT stock_code, y, max(d) AS latest FROM per_day GROUP BY 1, 2)
+ SELECT stock_code, missing_date, CAST((SELECT count(*) FROM cal WHERE d > missing_date AND d <= latest) AS INTEGER) AS "offset", daily_bars FROM (
+  SELECT l.stock_code, c.d AS missing_date, l.latest, CAST(NULL AS BIGINT) AS daily_bars FROM last l JOIN cal c ON c.y = l.y AND c.d <= l.latest
+   WHERE NOT EXISTS (SELECT 1 FROM per_day p WHERE p.stock_code = l.stock_code AND p.d = c.d)
+  UNION ALL SELECT stock_code, d, latest, bars FROM per_day JOIN last USING (stock_code, y) WHERE bars < 3))"""
+
+
+@query("completeness_minute_per_year", _TWO_YEARS)
 def _(t):
-    return complete.completeness_minute(t.fx_minute(), "000000", min_bars=3, per_year=True)
+    bars = t.fx_minute().select("stock_code", "datetime")
+    later = bars.filter(C("stock_code").cast("int") % 3 == 0).withColumn("datetime", C("datetime") + F.expr("interval 366 days"))
+    return complete.completeness_minute(bars.unionByName(later), "000000", min_bars=3, per_year=True)
 
 
 def landed(t):
@@ -455,15 +466,23 @@ def _(t):
     return quality.dq_adj_factor(t.fx_factors())
 
 
-@query("dq_minute", _dup_sql("silver.minute_kline", "stock_code, datetime", "(SELECT * FROM fx_minute UNION ALL SELECT * FROM fx_minute WHERE close > 400)"))
+@query("dq_minute", _dup_sql("silver.minute_kline", "stock_code, datetime", "(SELECT * FROM fx_minute UNION ALL SELECT * FROM fx_minute WHERE close > 400)") + " UNION ALL " + _issue_sql(
+    "warning", "silver.minute_kline", "'quality gate rejected ' || n || ' rows'", "n", "(SELECT count(*) AS n FROM fx_minute WHERE close > 300) WHERE n > 0"))
 def _(t):
-    bars, rejects = silver.minute_bars(t.fx_minute_raw())
+    raw = t.fx_minute_raw()  # copies of some bars have no price
+    bars, rejects = silver.minute_bars(raw.unionByName(raw.filter("close > 300").withColumn("close", F.lit(0.0))))
     return quality.dq_minute(bars.unionByName(bars.filter("close > 400")), rejects)
 
 
-@query("dq_finance", _null_sql("warning", "silver.finance", "report_date", "fx_finance_rows") + " UNION ALL " + _dup_sql("silver.finance", "stock_code, report_date", "fx_finance_rows"))
+_ODD_FINANCE = "(SELECT stock_code, report_date FROM fx_finance_rows UNION ALL SELECT stock_code, CASE WHEN left(stock_code, 2) = '60' THEN report_date END FROM fx_finance_rows WHERE left(stock_code, 2) IN ('60', '30'))"
+
+
+@query("dq_finance", _null_sql("warning", "silver.finance", "report_date", _ODD_FINANCE) + " UNION ALL " + _dup_sql("silver.finance", "stock_code, report_date", _ODD_FINANCE))
 def _(t):
-    return quality.dq_finance(t.fx_finance_rows())
+    rows = t.fx_finance_rows()  # some statements come twice, some have lost their date
+    board = F.substring("stock_code", 1, 2)
+    odd = rows.filter(board.isin("60", "30")).withColumn("report_date", F.when(board == "60", C("report_date")))
+    return quality.dq_finance(rows.unionByName(odd))
 
 
 @query("dq_doc", _null_sql("warning", "silver.doc", "html", "d") .replace("FROM d)", "FROM (SELECT NULLIF(lang, 'fr') AS html FROM documents))") + " UNION ALL " + _dup_sql("silver.doc", "stock_code, trade_date", "(SELECT source AS stock_code, DATE '2024-01-01' AS trade_date FROM documents)"))

@@ -112,3 +112,37 @@ def test_failures_and_skips_are_reported(spark, paths):
     assert build(spark, "daily", "other", paths).first().status == "skipped"
     bad = build(spark, "minute", "full", Paths(paths.bronze + "-none", paths.silver)).first()
     assert bad.status == "fail" and bad.errors
+
+
+def test_late_day_corrects_the_bar_after_it(spark, paths, tmp_path):
+    land(spark, paths.bronze, [28, 29, 2, 4])
+    build(spark, "daily", "full", paths)
+    land(spark, paths.bronze, [28, 29, 2, 3, 4])
+    for rows in (5, 0):
+        assert build(spark, "daily", "incremental", paths, day="2024-01-03").first().rows_written == rows
+    land(spark, paths.bronze, [27, 28, 29, 2, 3, 4])  # and one whose next bar stands in its own year
+    build(spark, "daily", "incremental", paths, day="2023-12-27")
+    whole = Paths(paths.bronze, str(tmp_path / "whole"))
+    build(spark, "daily", "full", whole)
+    assert stored(spark, paths, "daily") == stored(spark, whole, "daily")
+    assert not list((tmp_path / "silver" / "repair").iterdir())
+
+
+def test_repair_takes_codes_as_a_table_and_checks_the_years_it_wrote(spark, paths, tmp_path):
+    build(spark, "minute", "full", paths)
+    part = read_version(spark, paths.clean("minute"), _SCHEMAS["minute"]).filter("year = 2023 and stock_code = '600000'").drop("year")
+    job_path = next((tmp_path / "silver" / "minute").iterdir())
+    part.write.mode("append").parquet(f"{job_path}/year=2023")  # repeated keys in the older year
+    codes = spark.createDataFrame([("bars", "300001"), ("bars", None)], "table string, code string")
+    got = build(spark, "minute", "repair", paths, codes=codes).first()
+    assert got.status == "partial" and "error" in got.errors[0]
+    got = build(spark, "minute", "repair", paths, codes=codes.filter("code is null")).first()
+    assert got.status == "skipped"
+
+
+def test_undated_events_do_not_grow(spark, paths):
+    land_events(spark, paths.bronze, [*XDXR, ("600000", 2024, 2, 31, 1, 5.0, 0.0, 1.0, 0.0)])
+    build(spark, "daily", "full", paths)
+    assert build(spark, "adj_factor", "full", paths).first().rows_written == 1
+    for _ in range(2):
+        assert build(spark, "adj_factor", "incremental", paths, day="2024-01-04").first().rows_written == 0

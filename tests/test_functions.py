@@ -33,6 +33,7 @@ def test_universe_filters(spark):
 def test_dates(spark):
     assert values(spark, [19991110, 0, -5, 20231301, None, 20230230], fn.int_to_date, "bigint") == [
         date(1999, 11, 10), None, None, None, None, None]
+    assert values(spark, [199911101, 1999111], fn.int_to_date, "bigint") == [None, None]
     assert values(spark, ["19991110", "x", None], fn.int_to_date) == [date(1999, 11, 10), None, None]
     df = spark.createDataFrame([(2024, 2, 29), (2023, 2, 29), (2024, None, 1)], "y int, m int, d int")
     got = [r[0] for r in df.select(fn.ymd_to_date(F.col("y"), F.col("m"), F.col("d"))).collect()]
@@ -79,12 +80,15 @@ def test_escape_and_link(spark):
     assert got == [f'a&lt;b&gt; &amp; see <a class="ext" href="{link}" target="_blank">{link}</a> ok']
 
 
-def test_code_in_list_long_lists_become_a_join(spark):
-    df = spark.createDataFrame([(f"{i:06d}",) for i in range(1000)], "code string")
-    wanted = [f"{i:06d}" for i in range(0, 1000, 2)]
-    out = fn.code_in_list(df, "code", wanted)
-    assert out.count() == 500
-    assert "Join" in out._jdf.queryExecution().toString()
+@pytest.mark.parametrize("n", [0, 1, 200, 201, 500])
+def test_code_in_list_is_the_same_at_any_length(spark, n):
+    df = spark.createDataFrame([(i, f"{i:06d}") for i in range(1000)], "v int, code string")
+    wanted = [f"{2 * i:06d}" for i in range(n)]
+    out = fn.code_in_list(df, "code", wanted + wanted)
+    assert out.columns == df.columns and {r.code for r in out.collect()} == set(wanted)
+    assert out.count() == n
+    listed = spark.createDataFrame([(c,) for c in wanted + wanted], "c string")
+    assert fn.code_in_list(df, "code", listed).columns == df.columns and fn.code_in_list(df, "code", listed).count() == n
 
 
 def test_date_prefix_filter_is_a_range(spark):

@@ -4,7 +4,7 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from barlake.operators import aggregates, complete, joins, keep, quality, runs, setops, upsert, windows
+from barlake.operators import aggregates, complete, joins, keep, quality, runs, serve, setops, upsert, windows
 from barlake.plans import silver
 
 D = date(2024, 1, 1)
@@ -265,3 +265,60 @@ def test_quality_rules(spark):
 def test_union_markets_skips_absent(spark):
     df = spark.createDataFrame([("1",)], "code string")
     assert as_set(setops.union_markets({"sz": df, "bj": None})) == {("1", "sz")}
+
+
+def test_null_keys_are_stored_once(spark):
+    target = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    batch = spark.createDataFrame([(None, 5), ("a", 6), ("c", 7)], "k string, v int")
+    assert as_set(joins.new_keys_only(batch, target, ["k"])) == {("c", 7)}
+    once = upsert.upsert_ignore(target, batch, ["k"])
+    assert as_set(once) == {(None, 1), ("a", 2), ("c", 7)} == as_set(upsert.upsert_ignore(once, batch, ["k"]))
+    assert as_set(upsert.upsert_update(target, batch, ["k"])) == {(None, 5), ("a", 6), ("c", 7)}
+
+
+def test_undated_bars_and_events_are_rejected(spark):
+    primary = spark.createDataFrame(
+        [("600000", "junk", 77.0, 77.0, 80.0, 70.0, 1.0, 1.0), ("600000", "2024-01-02", 10.0, 10.0, 11.0, 9.0, 1.0, 1.0)],
+        "stock_code string, datetime string, open double, close double, high double, low double, volume double, amount double")
+    bars, rejects = silver.daily_bars(primary)
+    assert [(r.trade_date, r.pre_close) for r in bars.collect()] == [(date(2024, 1, 2), None)] and rejects.count() == 1
+    raw = spark.createDataFrame([("600000", 2024, 2, 31, 1, 1.0, 0.0, 0.0, 0.0), ("600000", 2024, 2, 3, 1, 1.0, 0.0, 0.0, 0.0)],
+                                "code string, year int, month int, day int, category int, fenhong double, peigujia double, songzhuangu double, peigu double")
+    assert [r.trade_date for r in silver.corporate_actions(raw).collect()] == [date(2024, 2, 3)]
+
+
+def test_the_first_copy_of_a_minute_bar_to_arrive_stays(spark):
+    rows = [("600000", "2024-01-02 09:31", c, c, c, c, 1.0, 1.0, datetime(2024, 1, 2, 10, m)) for c, m in ((2.0, 5), (5.0, 1), (1.0, 9))]
+    raw = spark.createDataFrame(rows, "stock_code string, datetime string, open double, high double, low double, close double, vol double, amount double, ingested_at timestamp_ntz")
+    bars, _ = silver.minute_bars(raw)
+    assert [r.close for r in bars.collect()] == [5.0] and "ingested_at" not in bars.columns
+
+
+def test_adjusted_bars_agree_with_each_other(spark):
+    bars = spark.createDataFrame([("600000", day(i), c, c, c, c, p, 1, 1.0, 0.0) for i, (c, p) in enumerate([(10.0, None), (5.1, 10.0), (5.2, 5.1), (2.7, 5.2)])],
+                                 "stock_code string, trade_date date, open double, high double, low double, close double, pre_close double, volume int, amount double, change_pct double")
+    factors = spark.createDataFrame([("600000", day(1), 0.5), ("600000", day(3), 0.5)], "stock_code string, trade_date date, single_factor double")
+    for fq, closes in (("qfq", [2.5, 2.55, 2.6, 2.7]), ("hfq", [10.0, 10.2, 10.4, 10.8])):
+        for first in range(4):  # the range may begin on an ex-date
+            got = serve.daily(bars, "600000", str(day(first)), str(day(3)), fq, factors).collect()
+            assert [round(r.close, 9) for r in got] == closes[first:]
+            before = [None, *closes][first:4]
+            assert [r.pre_close if r.pre_close is None else round(r.pre_close, 9) for r in got] == before
+            assert all(p is None or round(r.change_pct, 6) == round((r.close - p) / p * 100, 6) for r, p in zip(got, before))
+
+
+def test_rounds_and_repair_work(spark):
+    report = spark.createDataFrame([("a", 3), ("b", 0), ("c", 1), ("d", 2)], "stock_code string, missing_count int")
+    tried = spark.createDataFrame([("a", 1), ("c", 1), ("c", 2)], "stock_code string, round int")
+    assert as_set(runs.backfill_worklist(report, tried)) == {("a", 3, 2), ("d", 2, 1)}
+    outcome = spark.createDataFrame([("f", "1", "succeeded"), ("f", "2", "retry"), ("g", "1", "succeeded")], "table string, code string, outcome string")
+    feeds = spark.createDataFrame([("f", "finance"), ("f", "stock_map"), ("g", "finance")], "table string, target string")
+    assert as_set(runs.repair_worklist(outcome, feeds)) == {("finance", "1"), ("stock_map", "1")}
+
+
+def test_rollup_counts_what_its_previews_cut(spark):
+    rows = [("p", "s", i, 1, 1, 1, [f"{i:06d}: e", "plain"]) for i in range(200)]
+    df = spark.createDataFrame(rows, "plan_id string, step_name string, seq int, rows int, failed int, elapsed_ms int, errors array<string>")
+    got = runs.run_step_rollup(df).first()
+    assert (got.n_errors, got.n_failed_codes) == (400, 200)
+    assert runs.step_errors(df).count() == 400 and runs.step_failed_codes(df).count() == 200

@@ -1,5 +1,7 @@
 """Streams over landed files give what a batch over the same files gives."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,3 +94,33 @@ def test_bronze_to_silver_is_idempotent(spark, tmp_path):
 def test_update_time_is_event_time(spark, landing, tmp_path):
     out = drain(spark, stream(spark, landing), tmp_path)
     assert out.filter(F.col("event_time").isNull()).count() == 0
+
+
+def test_new_checkpoint_continues_above_old_versions(spark, landing, tmp_path):
+    root, folder = str(tmp_path / "snap"), tmp_path / "landing"
+    st.stream_snapshot_replace(stream(spark, landing), root, str(tmp_path / "ck")).awaitTermination()
+    (folder / "poll9.txt").write_bytes((line("000002", "7", "20240105094000") + "\n").encode("gbk"))
+    sdf = stream(spark, landing)
+    st.stream_snapshot_replace(sdf, root, str(tmp_path / "other")).awaitTermination()
+    assert [(r.code, r.poll_id) for r in read_version(spark, root, sdf.schema).collect()] == [("000002", 9)]
+    assert len(list((tmp_path / "snap").iterdir())) <= 2
+
+
+def test_quotes_without_a_poll_number_are_an_error(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "quotes.txt").write_bytes((line("000002", "7", "20240105094000") + "\n").encode("gbk"))
+    with pytest.raises(Exception, match="poll number"):
+        st.stream_snapshot_replace(stream(spark, str(folder)), str(tmp_path / "s"), str(tmp_path / "ck")).awaitTermination()
+
+
+def test_dedup_forgets_behind_the_watermark(spark, tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for poll, clock in ((1, "093000"), (2, "093100"), (3, "113000"), (4, "093000"), (5, "113000")):
+        file = folder / f"poll{poll}.txt"
+        file.write_bytes((line("600000", "1", f"20240105{clock}") + "\n").encode("gbk"))
+        os.utime(file, (1_700_000_000 + poll, 1_700_000_000 + poll))  # files are read in this order
+    out = drain(spark, st.stream_dedup(stream(spark, str(folder)), "10 minutes"), tmp_path)
+    # the copy of 11:30 is a repeat; that of 09:30 lands an hour late and is dropped as late
+    assert sorted(r.update_time[-6:] for r in out.collect()) == ["093000", "093100", "113000"]
