@@ -329,7 +329,7 @@ def _(t):
 
 
 _ADJ_ALL = """SELECT stock_code, trade_date, open, high, low, close, pre_close, volume, round(amount, 4) AS amount,
- round(CASE WHEN pre_close > 0 THEN (close - pre_close) / pre_close * 100 END, 4) AS change_pct FROM (
+ round(CASE WHEN pre_close > 0 THEN (close - pre_close) / pre_close * 100 END, 6) AS change_pct FROM (
  SELECT b.stock_code, b.trade_date, b.open {op} AS open, b.high {op} AS high, b.low {op} AS low, b.close {op} AS close, b.volume, b.amount,
   coalesce(lag(b.close {op}) OVER (PARTITION BY b.stock_code ORDER BY b.trade_date), b.pre_close {op}) AS pre_close
  FROM fx_daily b JOIN (SELECT b.stock_code, b.trade_date, coalesce(product(coalesce(f.single_factor, 1)) FILTER (WHERE f.trade_date {cmp} b.trade_date), 1) AS p FROM fx_daily b LEFT JOIN fx_factors f ON f.stock_code = b.stock_code GROUP BY 1, 2) x ON x.stock_code = b.stock_code AND x.trade_date = b.trade_date)"""
@@ -530,14 +530,14 @@ def _(t):
 def _(t):
     codes = silver.corporate_actions(t.fx_xdxr()).select("stock_code").distinct()
     out = serve.daily_batch(t.fx_daily(), codes, "2024-01-05", "2024-01-20", "qfq", t.fx_factors())
-    return rounded(out, 4, *PRICES, "pre_close", "amount", "change_pct")
+    return rounded(rounded(out, 4, *PRICES, "pre_close", "amount"), 6, "change_pct")
 
 
 @query("q_daily_hfq", _ADJ_OUT.format(rows=_ADJ_ALL.format(op="/ nullif(p, 0)", cmp="<="), codes="SELECT stock_code FROM fx_events"))
 def _(t):
     codes = silver.corporate_actions(t.fx_xdxr()).select("stock_code").distinct()
     out = serve.daily_batch(t.fx_daily(), codes, "2024-01-05", "2024-01-20", "hfq", t.fx_factors())
-    return rounded(out, 4, *PRICES, "pre_close", "amount", "change_pct")
+    return rounded(rounded(out, 4, *PRICES, "pre_close", "amount"), 6, "change_pct")
 
 
 @query("q_daily_batch", f"SELECT {_DAILY_OUT} FROM fx_daily WHERE stock_code IN ('000000', '600002', '680003') AND trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'")
