@@ -112,16 +112,20 @@ def hashed(docs: DataFrame) -> Column:
 
 
 def source_cuts(sized: DataFrame, weights: tuple[int, ...], share: float, repeats: int) -> DataFrame:
-    """Per source (as ``of``): its size and target, whole rounds, and the threshold of one more."""
+    """Per source (as ``of``): its size and target, whole rounds, and the threshold of one more.
+
+    Stored, so that Spark knows how small it is and sends it to the documents.
+    """
     targets = staged(source_targets(sized, weights, share, repeats), "mix-targets")
     rounds = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     plan = targets.withColumn("rounds", rounds.cast("long"))
     rest = F.col("target") - F.col("rounds") * F.col("source_size")
     found = thresholds(sized, plan.select("source", F.lit(0).alias("budget"), rest.alias("amount")))
-    return plan.alias("p").join(found.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select(
+    cuts = plan.alias("p").join(found.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select(
         F.col("p.source").alias("of"), F.col("source_size").alias("of_size"), F.col("target").alias("of_target"),
         "rounds", "threshold",
     )
+    return staged(cuts, "mix-cuts")
 
 
 def copies(h: Column, repeats: int) -> Column:
