@@ -54,11 +54,14 @@ def captures(pages: DataFrame, least: int = LEAST_PAYLOAD) -> DataFrame:
     seconds = FIRST_CAPTURE + F.coalesce(F.pmod("page_id", F.lit(10**9)), F.lit(0))
     rows = pages.select(
         F.col("page_id").cast("long"), "url", F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"),
-        html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), base32(F.sha1(html)).alias("payload_digest"),
+        html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.sha1(html).alias("sha1"),
     )
-    equal = ["payload_digest", "payload_bytes"]
+    equal = ["sha1", "payload_bytes"]
     firsts = rows.filter(F.col("payload_bytes") >= least).groupBy(*equal).agg(F.min("page_id").alias("first"))
-    return rows.join(firsts, equal, "left").withColumn("first", F.when(F.col("page_id").isNotNull(), F.col("first")))
+    # the digest is spelled after the join: before it, each of its 32 characters would hash the page anew
+    return rows.join(firsts, equal, "left").withColumns({
+        "first": F.when(F.col("page_id").isNotNull(), F.col("first")), "payload_digest": base32(F.col("sha1")),
+    })
 
 
 def record(page: DataFrame) -> Column:
