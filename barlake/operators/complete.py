@@ -182,8 +182,8 @@ def coverage_by_table(tables: Sequence[Landed], day: Column, ts: str = "ingested
     """Expected, present and missing code counts per table, with a status.
 
     Per-code tables are ``ok`` or ``gap``; bulk tables ``ok`` or ``missing``, any row of
-    the day being enough. ``missing_codes`` is bounded by the six-digit code space; use
-    :func:`coverage_missing` for the same as rows.
+    the day being enough. The missing codes themselves are the rows of
+    :func:`coverage_missing`.
     """
     parts = []
     for t in tables:
@@ -196,7 +196,6 @@ def coverage_by_table(tables: Sequence[Landed], day: Column, ts: str = "ingested
                     F.lit(1).cast("bigint").alias("expected"), n,
                     (1 - n).alias("missing"),
                     F.when(n > 0, "ok").otherwise("missing").alias("status"),
-                    F.array().cast("array<string>").alias("missing_codes"),
                 )
             )
             continue
@@ -211,12 +210,10 @@ def coverage_by_table(tables: Sequence[Landed], day: Column, ts: str = "ingested
                 F.count("w").alias("expected"),
                 F.count("s").alias("present"),
                 F.count_if(absent).alias("missing"),
-                F.array_sort(F.collect_list(F.when(absent, F.col("code")))).alias("missing_codes"),
             ).select(
                 F.lit(t.name).alias("table"), F.lit(t.source).alias("source"),
                 "expected", "present", "missing",
                 F.when(F.col("missing") == 0, "ok").otherwise("gap").alias("status"),
-                "missing_codes",
             )
         )
     return reduce(DataFrame.unionByName, parts)

@@ -22,7 +22,7 @@ from ..operators.joins import new_keys_only, newer_than_watermark
 from ..operators.upsert import new_rows, replace_keys, upsert_update
 from ..operators.windows import change_pct, surrogate_id
 from ..schemas import ADJ_FACTOR, BUILD_RESULT, DAILY, DOC, FINANCE, MINUTE, STOCK_MAP
-from ..sources.files import read_documents
+from ..sources.files import landed_documents, read_documents
 from ..sources.sinks import (
     by_year, current_version, drop_old_versions, path_exists, read_version, remove_path,
     require_rename, stored_years, write_version,
@@ -151,6 +151,12 @@ class _Job:
         return fresh.unionByName(listed.join(known, "stock_code"))
 
     def _doc(self, day, codes):
+        # reports landed as rows have an index, so unchanged texts are not even read
+        indexed = self.paths.raw("docs_landed")
+        if path_exists(self.spark, indexed):
+            known = self.current() if day is not None else None
+            docs = landed_documents(self.spark, indexed, known)
+            return silver.doc_pages(self._pick(docs, "stock_code", codes))
         docs = self._pick(
             read_documents(self.spark, self.paths.raw("docs")), "stock_code", codes
         )

@@ -91,6 +91,15 @@ BUILD_RESULT = _struct(
     rows_read=T.LongType(), rows_written=T.LongType(), rows_rejected=T.LongType(),
     errors=T.ArrayType(T.StringType()), warnings=T.ArrayType(T.StringType()),
 )
+PLAN_LOG = _struct(
+    plan_id=T.StringType(), action=T.StringType(), status=T.StringType(),
+    started_at=T.TimestampNTZType(), finished_at=T.TimestampNTZType(),
+)
+STEP_LOG = _struct(
+    plan_id=T.StringType(), step_name=T.StringType(), seq=T.IntegerType(), status=T.StringType(),
+    rows=T.LongType(), failed=T.LongType(), n_errors=T.LongType(), n_failed_codes=T.LongType(),
+    failed_codes=T.ArrayType(T.StringType()), errors=T.ArrayType(T.StringType()),
+)
 INDUSTRY = _struct(code=T.StringType(), name=T.StringType(), industry=T.StringType())
 INGEST_RESULT = _struct(
     source=T.StringType(), table=T.StringType(), status=T.StringType(),

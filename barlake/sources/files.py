@@ -22,10 +22,14 @@ def read_gbk(spark: SparkSession, path: str) -> DataFrame:
 
 
 def document_columns(name: Column, today: Column) -> tuple[Column, Column]:
-    """Code and date out of a file name such as ``000001_20260622.txt``."""
-    base = F.regexp_extract(name, "([^/]+)$", 1)
+    """Code and date out of a file name such as ``000001_20260622.txt``.
+
+    A part file stands for its folder, if that is ``name=000001_20260622``.
+    """
+    folder = F.regexp_extract(name, "/name=([^/]+)/part-[^/]*$", 1)
+    base = F.when(folder != "", folder).otherwise(F.regexp_extract(name, "([^/]+)$", 1))
     code = F.regexp_extract(base, "^([^_.]+)", 1)
-    day = F.regexp_extract(base, r"(\d{4}\d{2}\d{2})", 1)
+    day = F.regexp_extract(base, r"(\d{8})", 1)
     return code, F.coalesce(F.try_to_date(day, "yyyyMMdd"), today)
 
 
@@ -33,7 +37,8 @@ def read_documents(spark: SparkSession, path: str, today: str | None = None) ->
     """Whole text files as (stock_code, trade_date, file_path, text)."""
     day = F.current_date() if today is None else F.lit(today).cast("date")
     code, date = document_columns(F.col("_metadata.file_path"), day)
-    return spark.read.text(path, wholetext=True).select(
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    return files.select(
         code.alias("stock_code"),
         date.alias("trade_date"),
         F.col("_metadata.file_path").alias("file_path"),
@@ -41,6 +46,36 @@ def read_documents(spark: SparkSession, path: str, today: str | None = None) ->
     )
 
 
+def land_documents(docs: DataFrame, path: str, batch: str) -> None:
+    """Append documents (stock_code, trade_date, text) to a container table, as one batch.
+
+    One row per document, with the hash of its text: the small columns are the landing index,
+    and texts are read by batch. A repeated batch replaces itself.
+    """
+    rows = docs.select("stock_code", "trade_date", F.substring(F.sha2("text", 256), 1, 16).alias("source_hash"), "text")
+    rows.withColumn("batch", F.lit(batch)).sortWithinPartitions("stock_code").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("batch").parquet(path)
+
+
+def landed_documents(spark: SparkSession, path: str, known: DataFrame | None = None) -> DataFrame:
+    """(stock_code, trade_date, text) of the newest landed document of each code.
+
+    With ``known`` (stock_code, source_hash), only documents whose text is another. They are
+    found in the index alone; then only the batches that hold them are scanned for texts.
+    """
+    landed = spark.read.option("basePath", path).parquet(path).withColumn("batch", F.col("batch").cast("string"))
+    place = F.struct("trade_date", "batch", "source_hash")
+    newest = landed.groupBy("stock_code").agg(F.max(place).alias("n")).select("stock_code", "n.*")
+    if known is not None:
+        same = known.select("stock_code", "source_hash").distinct()
+        newest = newest.join(same, ["stock_code", "source_hash"], "left_anti")
+    batches = [r[0] for r in newest.select("batch").distinct().collect()]  # one name per landing
+    texts = landed.filter(F.col("batch").isin(batches))
+    keys = ["stock_code", "trade_date", "batch", "source_hash"]
+    return texts.join(newest, keys, "left_semi").select("stock_code", "trade_date", "text").distinct()
+
+
 def read_industry(spark: SparkSession, path: str) -> DataFrame:
     """Industry CSV, all text; rows without code or industry are dropped."""
     return spark.read.csv(path, header=True, schema=INDUSTRY).filter(

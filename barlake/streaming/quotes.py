@@ -27,6 +27,8 @@ from ..sources.sinks import (
 )
 
 _SALTS = 32
+#: Channel of those who want all codes.
+EVERYTHING = "*"
 
 
 def poll_of(path: Column) -> Column:
@@ -75,24 +77,22 @@ def stream_session_gate(sdf: DataFrame, ts: str = "event_time") -> DataFrame:
 
 
 def stream_subscribe(sdf: DataFrame, subscriptions: DataFrame, key: str = "code") -> DataFrame:
-    """One copy of a quote per subscriber (sub_id) that wants its code.
+    """Quotes by channel (sub_id): one copy per subscriber that wants the code, one for EVERYTHING.
 
-    A subscription with a NULL code wants all codes. Both kinds are one equi-join: each
-    quote is probed under its code and under one of a few salted wildcards, and wildcard
-    subscriptions are listed under every salt, so no single join key takes all quotes.
+    A subscription with a NULL code wants all codes. Such subscribers share the channel
+    EVERYTHING, which carries each quote once; ``wildcard_subscribers`` lists them. So what is
+    sent grows with the quotes, not with quotes times wildcard subscribers.
     """
-    salts = F.transform(
-        F.sequence(F.lit(0), F.lit(_SALTS - 1)), lambda s: F.concat(F.lit("*"), s.cast("string"))
-    )
-    wanted = subscriptions.select(
-        "sub_id",
-        F.explode(
-            F.when(F.col("code").isNull(), salts).otherwise(F.array(code_to_plain(F.col("code"))))
-        ).alias("__want"),
+    wanted = subscriptions.filter(F.col("code").isNotNull()).select(
+        "sub_id", code_to_plain(F.col("code")).alias("__want")
     ).distinct()
-    salt = F.concat(F.lit("*"), F.pmod(F.xxhash64(*sdf.columns), F.lit(_SALTS)).cast("string"))
-    probes = sdf.withColumn("__want", F.explode(F.array(F.col(key), salt)))
-    return probes.join(wanted, "__want").select("sub_id", *sdf.columns)
+    some = sdf.join(wanted, sdf[key] == wanted["__want"]).select("sub_id", *[sdf[c] for c in sdf.columns])
+    return some.unionByName(sdf.select(F.lit(EVERYTHING).alias("sub_id"), *sdf.columns))
+
+
+def wildcard_subscribers(subscriptions: DataFrame) -> DataFrame:
+    """The subscribers (sub_id) of the channel EVERYTHING."""
+    return subscriptions.filter(F.col("code").isNull()).select("sub_id").distinct()
 
 
 def stream_dedup(
@@ -202,5 +202,5 @@ def stream_bronze_to_silver(
 __all__ = [
     "QUOTE_FIELDS", "poll_of", "run_available", "stream_bronze_to_silver", "stream_dedup",
     "stream_industry", "stream_latest", "stream_quotes", "stream_session_gate",
-    "stream_snapshot_replace", "stream_subscribe",
+    "stream_snapshot_replace", "stream_subscribe", "wildcard_subscribers",
 ]

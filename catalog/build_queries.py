@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barlake.operators.runs import failed_codes
+from barlake.operators.runs import failed_codes, run_step_rollup
 from barlake.plans.build import Paths, build_all, build_full, build_incremental, build_repair
-from barlake.schemas import DAILY
+from barlake.plans.landed import dedup_landed, save_steps
+from barlake.schemas import DAILY, STEP_LOG
 from barlake.session import work_dir
 from barlake.sources.sinks import read_version
 
@@ -105,3 +106,22 @@ def _(t):
     doubled(t.fx_daily_b()).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(paths.raw("daily_secondary"))
     build_repair(t.spark, "daily", paths, failed_codes(t.fx_results()).select("code"))
     return stored(t, paths).select("stock_code", "trade_date", "close")
+
+
+@query("landed_dedup", "SELECT code, updated_date, ingested_at FROM fx_finance WHERE ingested_at = TIMESTAMP '2024-02-02' UNION ALL SELECT 'rows', before, NULL FROM (SELECT count(*) AS before FROM fx_finance)")
+def _(t):
+    paths = land(t)
+    counts = dedup_landed(t.spark, paths.bronze, {"finance": ["code"]})
+    kept = t.spark.read.parquet(paths.raw("finance")).select("code", "updated_date", "ingested_at")
+    total = counts.select(F.lit("rows").alias("code"), C("before").alias("updated_date"), F.lit(None).cast("timestamp_ntz").alias("ingested_at"))
+    return kept.unionByName(total)
+
+
+@query("run_log", """SELECT plan_id, step_name, CAST(row_number() OVER (PARTITION BY plan_id ORDER BY step_name) - 1 AS INTEGER) AS seq, rows, failed, status, n FROM (
+ SELECT plan_id, step_name, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(failed) AS BIGINT) AS failed, CASE WHEN sum(failed) = 0 THEN 'ok' ELSE 'partial' END AS status, CAST(count(*) FILTER (WHERE status <> 'ok') * 3 AS BIGINT) AS n FROM fx_results GROUP BY 1, 2)""")
+def _(t):
+    root = work_dir(t.spark, "log")
+    steps = run_step_rollup(t.fx_results())
+    save_steps(t.spark, f"{root}/step", steps.withColumn("status", F.lit("running")))
+    save_steps(t.spark, f"{root}/step", steps)
+    return read_version(t.spark, f"{root}/step", STEP_LOG).select("plan_id", "step_name", "seq", "rows", "failed", "status", C("n_errors").alias("n"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barlake.plans.landed import append_intraday
 from barlake.session import work_dir
 from barlake.sources import files, parsers, sinks
 
-from .fixtures import PLACES, fx_code, fx_market
+from .fixtures import PLACES, _code, _market, fx_code, fx_market
 from .registry import query
 
 C = F.col
@@ -50,13 +51,40 @@ def _(t):
     return files.read_gbk(t.spark, path).select("value")
 
 
-@query("src_documents", "SELECT substr(sha256(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10)), 1, 16) AS h, DATE '2024-01-31' AS trade_date, count(*) AS n FROM documents GROUP BY 1")
+@query("src_documents", "SELECT CAST(doc_id AS VARCHAR) AS stock_code, substr(sha256(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10)), 1, 16) AS h, CASE WHEN doc_id % 5 = 0 THEN DATE '2024-01-31' ELSE DATE '2024-02-01' + CAST(doc_id % 28 AS INTEGER) END AS trade_date FROM documents")
 def _(t):
-    path = work_dir(t.spark, "docs")
-    t.table("documents").select("text").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    path, d = work_dir(t.spark, "docs"), C("doc_id")
+    # a name per document; every fifth has no date
+    day = F.date_format(F.date_add(F.lit("2024-02-01").cast("date"), (d % 28).cast("int")), "yyyyMMdd")
+    name = F.concat(d.cast("string"), F.when(d % 5 == 0, "").otherwise(F.concat(F.lit("_"), day)))
+    t.table("documents").select(name.alias("name"), "text").write.mode("overwrite").partitionBy("name").text(path)
     docs = files.read_documents(t.spark, path, "2024-01-31")
-    h = F.substring(F.sha2("text", 256), 1, 16)
-    return docs.groupBy(h.alias("h"), F.lit("2024-01-31").cast("date").alias("trade_date")).agg(F.count(F.lit(1)).alias("n"))
+    return docs.select("stock_code", F.substring(F.sha2("text", 256), 1, 16).alias("h"), "trade_date")
+
+
+@query("src_documents_landed", "SELECT source AS stock_code, max(doc_id) AS n, md5(arg_max(text, doc_id) || CASE WHEN source < 'src2' THEN ' again' ELSE '' END) AS h FROM documents GROUP BY source HAVING max(doc_id) >= 0")
+def _(t):
+    # the newest document of each source lands, then some change and land again
+    path = work_dir(t.spark, "landed") + "/docs"
+    docs = t.table("documents").groupBy(C("source").alias("stock_code")).agg(F.max("doc_id").alias("n"), F.max_by("text", "doc_id").alias("text"))
+    dated = docs.withColumn("trade_date", F.lit("2024-01-31").cast("date"))
+    files.land_documents(dated, path, "b1")
+    known = files.landed_documents(t.spark, path).select("stock_code", F.substring(F.sha2("text", 256), 1, 16).alias("source_hash"))
+    again = dated.filter("stock_code < 'src2'").withColumn("text", F.concat("text", F.lit(" again")))
+    files.land_documents(again, path, "b2")
+    changed = files.landed_documents(t.spark, path, known).select("stock_code", F.md5("text").alias("h"), F.lit(True).alias("new"))
+    first = docs.select("stock_code", F.md5("text").alias("was"), "n")
+    return first.join(changed, "stock_code", "left").select("stock_code", "n", F.coalesce("h", "was").alias("h"))
+
+
+@query("sink_intraday", "SELECT market || code AS stock_code, CAST(ts AS DATE) AS trade_date, strftime(ts, '%H%M') AS time, count(*) > 0 AS stored FROM (SELECT ts, user_id FROM events) JOIN (SELECT DISTINCT user_id, code, market FROM (SELECT user_id FROM events) JOIN (SELECT DISTINCT " + _code("user_id") + " AS code, " + _market("user_id") + " AS market, user_id AS u FROM events) ON u = user_id) USING (user_id) WHERE CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-08') GROUP BY 1, 2, 3")
+def _(t):
+    path, u = work_dir(t.spark, "intraday") + "/points", C("user_id")
+    points = t.table("events").select(
+        F.concat(fx_market(u), fx_code(u)).alias("stock_code"), F.date_format("ts", "HHmm").alias("time"), F.to_date("ts").alias("day"), C("value").alias("price"))
+    for day in ("2024-01-05", "2024-01-08", "2024-01-05"):  # one day is fetched twice
+        append_intraday(points.filter(C("day") == day).drop("day"), path, day)
+    return t.spark.read.parquet(path).select("stock_code", C("trade_date").cast("date"), "time", F.lit(True).alias("stored"))
 
 
 @query("src_industry_csv", "SELECT code, name, industry FROM fx_industry WHERE industry IS NOT NULL")

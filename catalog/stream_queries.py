@@ -70,8 +70,13 @@ def subscriptions(t) -> DataFrame:
 
 @query("stream_subscribe", "SELECT sub_id, code, count(*) AS n FROM (SELECT 'sub_' || market AS sub_id, code FROM fx_live JOIN fx_stocks USING (code) UNION ALL SELECT 'all_' || r_regionkey, code FROM fx_live, region) GROUP BY 1, 2")
 def _(t):
-    out = drain(t, st.stream_subscribe(live(t), subscriptions(t)).select("sub_id", "code"))
-    return out.groupBy("sub_id", "code").agg(F.count(F.lit(1)).alias("n"))
+    wanted = subscriptions(t)
+    out = drain(t, st.stream_subscribe(live(t), wanted).select("sub_id", "code"))
+    counts = out.groupBy("sub_id", "code").agg(F.count(F.lit(1)).alias("n"))
+    # the counts of the shared channel hold for each of its subscribers
+    shared = st.wildcard_subscribers(wanted).withColumn("channel", F.lit(st.EVERYTHING))
+    everyone = shared.join(counts.withColumnRenamed("sub_id", "channel"), "channel").select("sub_id", "code", "n")
+    return counts.filter(C("sub_id") != st.EVERYTHING).unionByName(everyone)
 
 
 @query("stream_session_gate", f"SELECT {', '.join(_LIVE)} FROM fx_live WHERE isodow({_EVENT}) <= 5 AND (CAST({_EVENT} AS TIME) BETWEEN TIME '09:25:00' AND TIME '11:35:00' OR CAST({_EVENT} AS TIME) BETWEEN TIME '12:55:00' AND TIME '15:05:00')")

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.plans.build import TARGETS, Paths, _SCHEMAS, build, build_all
-from barlake.schemas import FINANCE_MEASURES
+from barlake.plans import landed
+from barlake.schemas import FINANCE_MEASURES, STEP_LOG
+from barlake.sources import files
 from barlake.sources.sinks import read_version
 
 CODES = ["000001", "300001", "600000", "688001", "900001"]
@@ -146,3 +148,28 @@ def test_undated_events_do_not_grow(spark, paths):
     assert build(spark, "adj_factor", "full", paths).first().rows_written == 1
     for _ in range(2):
         assert build(spark, "adj_factor", "incremental", paths, day="2024-01-04").first().rows_written == 0
+
+
+def test_indexed_documents_are_read_by_batch(spark, tmp_path):
+    docs = lambda rows: spark.createDataFrame(rows, "stock_code string, day string, text string").selectExpr("stock_code", "cast(day as date) as trade_date", "text")
+    paths = Paths(str(tmp_path / "bronze"), str(tmp_path / "silver"))
+    at = paths.raw("docs_landed")
+    files.land_documents(docs([(c, "2024-01-05", f"=== a ===\ntext of {c}") for c in CODES]), at, "b1")
+    assert build(spark, "doc", "full", paths).first().rows_written == 5
+    assert build(spark, "doc", "incremental", paths, day="2024-01-06").first().rows_written == 0
+    files.land_documents(docs([("600000", "2024-01-06", "=== a ===\nnew"), ("300001", "2024-01-06", "=== a ===\ntext of 300001")]), at, "b2")
+    known = read_version(spark, paths.clean("doc"), _SCHEMAS["doc"])
+    changed = files.landed_documents(spark, at, known)
+    assert [r.stock_code for r in changed.collect()] == ["600000"]
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    assert "batch" in plan and "b2" in plan and "b1" not in plan.split("PartitionFilters")[1][:80]
+    assert build(spark, "doc", "incremental", paths, day="2024-01-06").first().rows_written == 1
+
+
+def test_step_numbers_continue(spark, tmp_path):
+    steps = lambda rows: spark.createDataFrame([("p", s, n, 0, 0, 0, "ok", [], []) for s, n in rows], "plan_id string, step_name string, rows long, failed long, n_errors long, n_failed_codes long, status string, failed_codes array<string>, errors array<string>")
+    root = str(tmp_path / "step")
+    landed.save_steps(spark, root, steps([("b", 1), ("a", 1)]))
+    landed.save_steps(spark, root, steps([("b", 2), ("c", 3)]))
+    got = {r.step_name: (r.seq, r.rows) for r in read_version(spark, root, STEP_LOG).collect()}
+    assert got == {"a": (0, 1), "b": (1, 2), "c": (2, 3)}

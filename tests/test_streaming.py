@@ -68,7 +68,8 @@ def test_subscribe(spark, landing, tmp_path):
     subs = spark.createDataFrame([("s1", "sh600000"), ("s1", "600000"), ("s2", "999999"), ("all", None)], "sub_id string, code string")
     out = drain(spark, st.stream_subscribe(stream(spark, landing), subs), tmp_path)
     counts = {r.sub_id: r["count"] for r in out.groupBy("sub_id").count().collect()}
-    assert counts == {"s1": 3, "all": 6}
+    assert counts == {"s1": 3, st.EVERYTHING: 6}
+    assert [r.sub_id for r in st.wildcard_subscribers(subs).collect()] == ["all"]
 
 
 def test_industry(spark, landing, tmp_path):
