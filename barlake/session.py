@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 # Options that change results or plans; cluster sizing stays with the deployer.
@@ -46,17 +50,36 @@ def local_session(cpus: str = "8", partitions: str = "8", memory: str = "8g") ->
     return spark
 
 
+_MADE: list[str] = []
+
+
+@atexit.register
+def _remove_work() -> None:
+    """Intermediate tables last as long as the program that made them."""
+    context = SparkContext._active_spark_context
+    for path in _MADE:
+        with contextlib.suppress(Exception):  # what can't be removed must not spoil the exit
+            if context is None:
+                shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+            else:
+                where = context._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for checkpoints and intermediate tables.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``, so it
-    outlives any executor. Where that is unset, only a session whose driver and executors
-    are one process may use a folder of its own; a cluster must name one.
+    outlives any executor; it is removed when the program ends. Where that is unset, only a
+    session whose driver and executors are one process may use a folder of its own; a
+    cluster must name one.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared, master = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.master", "")
     if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    master = spark.conf.get("spark.master", "")
-    if master == "local" or master.startswith("local["):
-        return tempfile.mkdtemp(prefix=f"barlake-{name}-")
-    raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    elif master == "local" or master.startswith("local["):
+        path = tempfile.mkdtemp(prefix=f"barlake-{name}-")
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    _MADE.append(path)
+    return path
