@@ -276,7 +276,7 @@ def _finish(row: Column, width: Column) -> Column:
 
 
 def _unmarked(text: Column) -> Column:
-    """Trimmed, without the bullet marks header cells carry."""
+    """Trimmed, without the bullet marks header cells carry (fixed values)."""
     return F.regexp_replace(strip(text), r"\A[●★☆◆◇■□]+", "")
 
 
@@ -482,7 +482,7 @@ def _section_html(section: Column) -> Column:
 
 
 def render_html(text: Column, code: Column, css: str = CSS) -> Column:
-    """A report as one HTML page: navigation, then its sections."""
+    """A report as one HTML page: navigation, then its sections. The tags are fixed values."""
 
     def page(sections: Column) -> Column:
         some = F.size(sections) > 0

@@ -96,7 +96,9 @@ def _(t):
     )
 
 
-@query("doc_render_corpus", "SELECT code, len(text) > 0 AS has_text FROM fx_docs")
+@query("doc_render_corpus", "SELECT code, count(*) AS sections, count(*) AS links, count(*) AS headings FROM fx_doc_parts WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> '' GROUP BY code")
 def _(t):
+    # every part that isn't blank is a section with a heading, and a link to it
     pages = docs.doc_render_html(docs.doc_assemble(t.fx_doc_parts()))
-    return pages.select("code", (F.length("html") > 0).alias("has_text"))
+    found = lambda mark: F.regexp_count("html", F.lit(mark)).cast("long")
+    return pages.select("code", found('<section id="').alias("sections"), found('<a href="#').alias("links"), found("<h1>").alias("headings"))
