@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BLOCK_BYTES, mixed, table
@@ -114,27 +114,32 @@ def likeness(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
     return float(np.mean(np.isin(both, a) & np.isin(both, b)))
 
 
+def _bucket(borders: list[int]) -> Column:
+    """How many borders are not above doc_id; a null id is below all."""
+
+    @F.pandas_udf("int")
+    def count(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(borders, np.int64), ids.to_numpy(), side="right").astype(np.int32))
+
+    return count(F.coalesce("doc_id", F.lit(-(2**63))))  # without nulls ids stay integers on their way
+
+
 def _destinations(docs: DataFrame, parts: int) -> DataFrame:
     """(bucket, role, doc_id, text): documents in buckets of successive doc_ids.
 
-    Bucket borders are quantiles of doc_id, which are ids that occur. The documents on a
-    border are the last of the upper bucket's order, where they are only looked at (role 1), and the
+    Bucket borders are ids near the quantiles of doc_id. The documents on a border are the last of the upper bucket's order, where they are only looked at (role 1), and the
     first of the lower one, where they get their result. The documents with the largest id are
     looked at once more at the end of the lowest bucket (role 2), where the order closes.
     """
     shares = [i / parts for i in range(1, parts)]
     known = docs.agg(F.percentile_approx("doc_id", shares, 10 * parts).alias("q") if shares else F.lit(None).alias("q"), F.max("doc_id").alias("m")).first()
-    borders = sorted(set(known["q"] or ()))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    # quantiles may be no ids at all; the smallest id of each bucket they make is one
+    firsts = docs.groupBy(_bucket(sorted(set(known["q"] or ()))).alias("b")).agg(F.min("doc_id").alias("id")).collect()
+    borders = sorted({r["id"] for r in firsts if r["id"] is not None and r["b"] > 0})
     if not borders:
         return rows.select(F.lit(0).alias("bucket"), F.lit(0).alias("role"), "doc_id", "text")
-
-    @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        at = np.searchsorted(borders, ids.fillna(-(2**63)).to_numpy().astype(np.int64), side="right")
-        return pd.Series(at.astype(np.int32))
-
-    own = rows.withColumn("b", bucket_of(F.col("doc_id")))
+    own = rows.withColumn("b", _bucket(borders))
     at_border = F.coalesce(F.get(F.array(*map(F.lit, borders)), F.col("b") - 1) == F.col("doc_id"), F.lit(False))
     place = lambda bucket, role: F.struct(bucket.cast("int").alias("bucket"), F.lit(role).alias("role"))
     stays = F.when(at_border, F.array(place(F.col("b"), 1), place(F.col("b") - 1, 0))).otherwise(F.array(place(F.col("b"), 0)))
@@ -143,10 +148,10 @@ def _destinations(docs: DataFrame, parts: int) -> DataFrame:
 
 
 class _Order:
-    """Documents of a partition in order: each result needs the document after it."""
+    """Documents of a bucket in order: each result needs the document after it."""
 
     def __init__(self):
-        self.items, self.size, self.known, self.first = [], 0, None, {}
+        self.items, self.size, self.known, self.first = [], 0, None, None
 
     def add(self, bucket, role, doc_id, text):
         """Results that are due once this document is known."""
@@ -155,7 +160,8 @@ class _Order:
             last[4] += 1  # a repeated row shares the result
             return ()
         self.items.append([bucket, role, doc_id, text, 1])
-        self.first.setdefault(bucket, text) if bucket == 0 else None
+        if self.first is None:
+            self.first = text
         self.size += len(text)
         return self.due() if self.size >= BLOCK_BYTES else ()
 
@@ -182,8 +188,8 @@ class _Order:
         yield from self.due()
         last = self.items[0]
         if last[0] == 0 and last[1] == 0:
-            text = edited(last[3], self.first[0])
-            own, new, after = sketches([last[3], text, self.first[0]])
+            text = edited(last[3], self.first)
+            own, new, after = sketches([last[3], text, self.first])
             yield from self.result(last, text, own, new, after)
         self.items = []
 

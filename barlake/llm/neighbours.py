@@ -138,11 +138,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     rows = rows.filter("vec_id is not null and embedding is not null").filter(
         F.forall("embedding", finite) & F.exists("embedding", lambda x: x != 0)
     )
-    lengths = rows.groupBy(F.size("embedding").alias("n")).count().collect()
-    if not lengths:
-        return rows
-    usual = max(lengths, key=lambda r: (r["count"], -r["n"])).n
-    return rows.filter(F.size("embedding") == usual)
+    usual = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return rows if usual is None else rows.filter(F.size("embedding") == usual["n"])
 
 
 def _matrix(column: pa.Array) -> np.ndarray:

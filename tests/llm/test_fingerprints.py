@@ -44,7 +44,7 @@ def test_whole_table(spark):
 def test_odd_rows(spark, made):
     rows = [
         (5, "abc " * 50), (5, "abc " * 50), (5, "zz"), (9, None), (8, ""), (3, "é漢😀" * 40), (-4, "x" * 5000), (None, "tail one"),
-        (None, None), (7, "the quick brown fox " * 3000), (100, "top"), (100, "also top"),
+        (None, None), (7, "the quick brown fox " * 3000), (100, "top"), (100, "also top"), (2**62 + 1, "far"), (2**62 + 2, "farther"), (2**62 + 3, "no"),
     ]
     at = made("documents", [(*r, 1, "s") for r in rows], "doc_id long, text string, bucket int, role string")
     docs = spark.read.parquet(f"{at}/documents.parquet")
