@@ -205,7 +205,8 @@ class _Job:
         else:
             fresh = self._counted(new_rows(target, batch, _KEYS[self.target]))
         if self.target in _YEAR_OF:
-            self._years(fresh).write.mode("append").partitionBy("year").parquet(self.path)
+            rows = by_year(self._years(fresh), *_KEYS[self.target])  # sorted, for row-group skipping
+            rows.write.mode("append").partitionBy("year").parquet(self.path)
         else:
             fresh.write.mode("append").parquet(self.path)
         if self.target == "daily":
