@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import PRICES
+from ..session import work_dir
 from .joins import factor_asof
 
 
@@ -75,13 +76,19 @@ def surrogate_id(
 ) -> DataFrame:
     """Consecutive numbers in the order of a unique column, continuing after ``start``.
 
-    Numbering runs inside order-preserving buckets (by default the first four
-    characters) and each bucket is shifted by the size of all earlier ones, so no task
-    sees the whole table. ``bucket`` must not decrease as ``order`` increases; only the
-    table of bucket sizes is brought together.
+    Numbering runs inside order-preserving buckets and each bucket is shifted by the size
+    of all earlier ones, so no task sees the whole table. By default the buckets are ranges
+    of the whole column, as even as a sample of it makes them; the ranged table is stored, so
+    that all that follows sees the same ranges. A given ``bucket`` must not decrease as
+    ``order`` increases. Only the table of bucket sizes is brought together.
     """
-    codes = F.substring(F.col(order).cast("string"), 1, 4) if bucket is None else bucket
-    cut = df.withColumn("__bucket", codes)
+    if bucket is None:
+        spark, path = df.sparkSession, work_dir(df.sparkSession, "numbered")
+        ranged = df.repartitionByRange(order).withColumn("__bucket", F.spark_partition_id())
+        ranged.write.parquet(path)
+        cut = spark.read.schema(ranged.schema).parquet(path)
+    else:
+        cut = df.withColumn("__bucket", bucket)
     sizes = cut.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(

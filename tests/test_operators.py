@@ -53,11 +53,15 @@ def test_dedup_latest_ties_keeps_ties_and_null_keys(spark):
 
 
 def test_surrogate_id_is_dense_and_ordered(spark):
-    codes = [f"{i * 7:06d}" for i in range(5000)]
-    random.Random(1).shuffle(codes)
-    df = spark.createDataFrame([(c,) for c in codes], "code string").repartition(7)
-    got = windows.surrogate_id(df, "code", 10).orderBy("code").collect()
-    assert [r["id"] for r in got] == list(range(11, 5011))
+    for stem in ("", "SAME-START-"):  # a common start is no single bucket
+        codes = [f"{stem}{i * 7:06d}" for i in range(5000)]
+        random.Random(1).shuffle(codes)
+        df = spark.createDataFrame([(c,) for c in codes], "code string").repartition(7)
+        got = windows.surrogate_id(df, "code", 10).orderBy("code").collect()
+        assert [r["id"] for r in got] == list(range(11, 5011)) and [r.code for r in got] == sorted(codes)
+    assert windows.surrogate_id(df.filter("false"), "code").collect() == []
+    own = windows.surrogate_id(df, "code", bucket=F.substring("code", 1, 13)).orderBy("code").collect()
+    assert [r["id"] for r in own] == list(range(1, 5001))
 
 
 def test_pre_close_chunked_equals_plain_with_a_hot_key(spark):
