@@ -21,8 +21,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 BATCH_OPTION, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
-#: Rows or bytes that a numpy pass holds at once; a single longer text is taken alone.
-BLOCK_BYTES = 1 << 20
+#: Bytes of text that a numpy pass holds at once, small enough for a core's cache; a single
+#: longer text is taken alone.
+BLOCK_BYTES = 1 << 18
 
 
 def ship(spark: SparkSession) -> None:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, mixed, per_batch, staged, table, utf8
+from .common import BLOCK_BYTES, blocks, mixed, per_batch, staged, table, utf8
 from .components import components
 
 
@@ -68,7 +68,7 @@ _KNOWN_POWERS: dict[int, np.ndarray] = {}
 def _powers(base: int, n: int) -> np.ndarray:
     """base ** 0 to base ** (n - 1), modulo 2 ** 64."""
     if len(_KNOWN_POWERS.get(base, ())) < n:
-        out = np.full(max(n, 1 << 21), base, dtype=np.uint64)
+        out = np.full(max(n, 2 * BLOCK_BYTES), base, dtype=np.uint64)
         out[0] = 1
         _KNOWN_POWERS[base] = np.multiply.accumulate(out)
     return _KNOWN_POWERS[base][:n]
@@ -95,7 +95,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return hashes, np.diff(np.searchsorted(start, at))
 
 
-def _words(raw: np.ndarray, at: np.ndarray, size: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def _words(raw: np.ndarray, at: np.ndarray, size: int = BLOCK_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """word_hashes of a block; one very long text is read in slices cut at white space."""
     if len(at) > 2 or len(raw) <= size:
         return word_hashes(raw, at)
