@@ -24,7 +24,7 @@ from ..operators.windows import change_pct, surrogate_id
 from ..schemas import ADJ_FACTOR, BUILD_RESULT, DAILY, DOC, FINANCE, MINUTE, STOCK_MAP
 from ..sources.files import landed_documents, read_documents
 from ..sources.sinks import (
-    by_year, current_version, drop_old_versions, path_exists, read_version, remove_path,
+    by_year, current_version, drop_old_versions, measured, path_exists, read_version, remove_path,
     require_rename, stored_years, write_version,
 )
 from . import silver
@@ -205,7 +205,8 @@ class _Job:
         else:
             fresh = self._counted(new_rows(target, batch, _KEYS[self.target]))
         if self.target in _YEAR_OF:
-            rows = by_year(self._years(fresh), *_KEYS[self.target])  # sorted, for row-group skipping
+            # sorted, for row-group skipping
+            rows = self._years(fresh).sortWithinPartitions("year", *_KEYS[self.target])
             rows.write.mode("append").partitionBy("year").parquet(self.path)
         else:
             fresh.write.mode("append").parquet(self.path)
@@ -283,14 +284,14 @@ class _Job:
         """Exactly the stored years that this build changed."""
         if self.years is not None:
             return self.years
-        span = self.written.get
+        span = measured(self.written, "n")
         if not span["n"]:
             return []
         return [y for y in stored_years(self.spark, self.path) if span["first"] <= y <= span["last"]]
 
     def result(self, mode: str) -> DataFrame:
         # all issues are stored as a table; the result row has their number and its place
-        written, table = self.written.get["n"], self.current()
+        written, table = measured(self.written, "n")["n"], self.current()
         if self.target == "minute" and mode != "full":
             table = table.filter(F.col("year").isin(self._written_years()))
         found = _RULES[self.target](table)
@@ -303,8 +304,8 @@ class _Job:
             level: [f"{counts[level]} of level {level} in {where}"]
             for level in counts if level in ("error", "warning")
         }
-        rejected = self.gate.get["rejected"] if self.gated else 0
-        read = self.gate.get["read"] if self.gated else written
+        gate = measured(self.gate, "read", "rejected") if self.gated else {"read": written, "rejected": 0}
+        read, rejected = gate["read"], gate["rejected"]
         if rejected:
             shown.setdefault("warning", []).append(f"quality gate rejected {rejected} rows")
         if not counts.get("error"):

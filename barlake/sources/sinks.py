@@ -13,6 +13,7 @@ from __future__ import annotations
 import time
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,6 +70,20 @@ def touched_partitions(
     return stored.filter(anywhere)
 
 
+def measured(observation: Observation, *names: str) -> dict[str, int]:
+    """Metrics of a finished write.
+
+    Where Spark proves while running that nothing is left to write, it drops the rest of the
+    plan, the observation with it; then there is no row to convert, and all metrics are 0.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        return dict.fromkeys(names, 0)
+
+
 def insert_new(
     df: DataFrame, path: str, pk: Sequence[str], partition_by: Sequence[str] = ()
 ) -> int:
@@ -84,7 +99,7 @@ def insert_new(
     counted = Observation()
     rows = new_rows(target, batch, pk).observe(counted, F.count(F.lit(1)).alias("n"))
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
-    added = counted.get["n"]
+    added = measured(counted, "n")["n"]
     remove_path(spark, held)
     return added
 
