@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,13 @@ FEATURES = 1 << 12
 #: The classifier is fitted on about this many labelled documents, equally many per language.
 TRAINING_DOCS = 2_000
 CENTROIDS = 3
-#: A document is rejected when its cosine is below this share of what its language's own
-#: training documents reach at least, all but the lowest hundredth.
+#: Cosines grow with length, so cuts are fitted for texts of 8, 16, ... 1024 letters and
+#: interpolated between. Texts with fewer than the least have too few n-grams for a distance to
+#: mean anything; they are never rejected.
+LENGTHS = tuple(8 << i for i in range(8))
+#: A cut lies so far from what unlike text reaches, all but its highest hundredth, to what a
+#: language's own text reaches, all but its lowest hundredth. Where they overlap it is the latter.
 REJECT_SHARE = 0.25
-#: Texts with fewer letters have too few n-grams for a distance to mean anything; they are never rejected.
-REJECT_LETTERS = 40
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 3, 1
 
@@ -104,7 +107,19 @@ class Centroids:
     vectors: np.ndarray
     of: np.ndarray
     languages: tuple[str, ...]
-    reject: np.ndarray
+    reject: np.ndarray  # languages x LENGTHS
+
+    def cut(self, language: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The cosine under which a text of so many letters is none of its nearest language."""
+        at = np.clip(np.log2(np.maximum(letters, 1) / LENGTHS[0]), 0, len(LENGTHS) - 1)
+        low = np.minimum(at.astype(np.int64), len(LENGTHS) - 2)
+        a, b = self.reject[language, low], self.reject[language, low + 1]
+        return np.where(letters < LENGTHS[0], 0.0, a + (b - a) * (at - low))
+
+    def by_language(self, counts: np.ndarray) -> np.ndarray:
+        """The cosine of each row of counts with its nearest centroid of each language."""
+        near = weighted(counts, self.idf) @ self.vectors.T
+        return np.stack([near[:, self.of == i].max(axis=1) for i in range(len(self.languages))], axis=1)
 
     def predict(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(language index, cosine with its nearest centroid) of each row of counts."""
@@ -138,12 +153,63 @@ def held_out() -> Column:
     return F.coalesce(fold == HELD_OUT, F.lit(False))
 
 
+def _pieces(text: str, seed: int) -> Iterator[tuple[int, str, str]]:
+    """(place in LENGTHS, beginning of a text with so many letters, the same with its letters shuffled)."""
+    letters = list(itertools.islice((i for i, c in enumerate(text) if c.isalpha()), LENGTHS[-1]))
+    rng = np.random.default_rng(seed % 2**32)
+    for k, n in enumerate(LENGTHS):
+        if n > len(letters):
+            return
+        piece = text[: letters[n - 1] + 1]
+        other = list(piece)
+        for i, j in zip(letters[:n], rng.permutation(n)):
+            other[i] = piece[letters[j]]
+        yield k, piece, "".join(other)
+
+
+def _cuts(sample: DataFrame, model: Centroids) -> np.ndarray:
+    """Cuts of each language and length: between its own texts and unlike ones of that length.
+
+    Unlike a language are the sample's texts of other languages, and texts of its nearest
+    language whose letters were shuffled. A length that no text of the language has takes the
+    cut of the length below.
+    """
+
+    def run(batch: pa.RecordBatch):
+        columns = [batch.column(c).to_pylist() for c in ("lang", "__h", "text")]
+        made = [(lang, k, *pair) for lang, h, text in zip(*columns) for k, *pair in _pieces(text, h)]
+        for shuffled in (False, True):
+            texts = pa.array([m[2 + shuffled] for m in made], pa.string())
+            for start, stop, counts, _ in ngram_counts(texts):
+                part = made[start:stop]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([m[0] for m in part], pa.string()), pa.array([m[1] for m in part], pa.int32()),
+                    pa.array([shuffled] * len(part)), pa.array(list(model.by_language(counts).astype(np.float64)), pa.list_(pa.float64())),
+                ], ["lang", "k", "shuffled", "near"])
+
+    got = sample.mapInArrow(per_batch(run), "lang string, k int, shuffled boolean, near array<double>").toArrow()
+    cuts = np.zeros((len(model.languages), len(LENGTHS)))
+    if not len(got):
+        return cuts
+    near = np.array(got.column("near").to_pylist())
+    lang, k, shuffled = (np.array(got.column(c).to_pylist()) for c in ("lang", "k", "shuffled"))
+    for i, name in enumerate(model.languages):
+        for j in range(len(LENGTHS)):
+            own = near[(lang == name) & (k == j) & ~shuffled, i]
+            unlike = near[(k == j) & np.where(shuffled, near.argmax(axis=1) == i, lang != name), i]
+            low = np.quantile(own, 0.01) if len(own) else 0.0
+            high = np.quantile(unlike, 0.99) if len(unlike) else 0.0
+            cuts[i, j] = min(low, high + REJECT_SHARE * (low - high)) if len(own) else cuts[i, max(j - 1, 0)]
+    return cuts
+
+
 def fit(docs: DataFrame, training: Column | None = None, size: int = TRAINING_DOCS, k: int = CENTROIDS) -> Centroids | None:
     """Fit on text and lang of the ``training`` rows (default: not held out); None without any.
 
     Per language, the documents with the smallest hashes of doc_id are taken, about ``size``
     over all languages together; that bounds what the driver holds. The cut follows from the
-    number of documents per language, so only the texts taken are read into Python.
+    number of documents per language, so only the texts taken are read into Python. They are
+    read a second time to fit the cuts of rejection.
     """
     rows = docs.filter(~held_out() & F.col("doc_id").isNotNull() if training is None else training)
     rows = rows.filter("lang is not null and text is not null")
@@ -173,14 +239,13 @@ def fit(docs: DataFrame, training: Column | None = None, size: int = TRAINING_DO
     counts = np.array([np.frombuffer(r["counts"], "<u4") for r in taken], dtype=np.float32)
     lang = np.array([r["lang"] for r in taken])
     idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    x, names, vectors, of, reject = weighted(counts, idf), sorted(set(lang)), [], [], []
+    x, names, vectors, of = weighted(counts, idf), sorted(set(lang)), [], []
     for i, name in enumerate(names):
-        own = x[lang == name]
-        c = _clusters(own, k)
+        c = _clusters(x[lang == name], k)
         vectors.append(c)
         of += [i] * len(c)
-        reject.append(REJECT_SHARE * np.quantile((own @ c.T).max(axis=1), 0.01))
-    return Centroids(idf, np.concatenate(vectors).astype(np.float32), np.array(of), tuple(names), np.array(reject))
+    model = Centroids(idf, np.concatenate(vectors).astype(np.float32), np.array(of), tuple(names), np.zeros((len(names), len(LENGTHS))))
+    return replace(model, reject=_cuts(sample, model))
 
 
 def predictions(column: pa.Array, model: Centroids | None) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -191,9 +256,10 @@ def predictions(column: pa.Array, model: Centroids | None) -> tuple[list[str], n
         return lang, score, rejected
     for start, _, counts, letters in ngram_counts(column):
         best, cosine = model.predict(counts)
+        far = cosine < model.cut(best, letters)
         for i in np.flatnonzero(letters):
             lang[start + i], score[start + i] = model.languages[best[i]], cosine[i]
-            rejected[start + i] = letters[i] >= REJECT_LETTERS and cosine[i] < model.reject[best[i]]
+            rejected[start + i] = far[i]
     return lang, score, rejected
 
 

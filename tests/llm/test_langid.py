@@ -1,3 +1,6 @@
+import base64
+import random
+import string
 import zlib
 
 import numpy as np
@@ -60,3 +63,17 @@ def test_accepted_keeps_rows_and_columns(spark):
     model = langid.fit(spark.read.parquet(f"{SF}/documents.parquet"))
     docs = spark.createDataFrame([(1, "the and of that", "q", 1), (2, "42", "q", 1), (3, None, None, 2)], "doc_id long, text string, lang_pred string, score int")
     assert [tuple(r) for r in langid.accepted(docs, model).collect()] == [(1, "the and of that", "q", 1)]
+
+
+def test_noise_and_unlearned_languages_are_rejected(spark):
+    rng = random.Random(4)
+    finnish = "Tämä on pitkä suomenkielinen teksti, jossa kerrotaan maan historiasta ja sen kansan elämästä pohjoisessa. "
+    polish = "To jest długi tekst w języku polskim, który opowiada o historii kraju i jego mieszkańcach. "
+    noise = "".join(rng.choice(string.ascii_lowercase + " ") for _ in range(2000))
+    texts = [noise, noise.title(), base64.b64encode(rng.randbytes(1500)).decode(), finnish * 20, polish * 20]
+    texts += [t[:35] for t in texts]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts += ["".join(rng.sample(r.text, len(r.text))) for r in docs.filter("n_chars > 1000").limit(40).collect()]
+    out = langid.identify(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), langid.fit(docs)).collect()
+    assert all(r.rejected for r in out if r.doc_id < 10)
+    assert sum(r.rejected for r in out) >= 0.95 * len(texts)
