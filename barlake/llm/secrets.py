@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import re
 from collections.abc import Sequence
 
@@ -22,13 +23,23 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ASSIGN_VALUE = 6
 
-#: Strings without spaces that may be random.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
-#: Known forms that look random but are no secrets: digests, UUIDs, plain numbers.
-KNOWN = re.compile(
-    r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
-    r"|[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}|[0-9+/_=-]+)"
+#: Strings without spaces that may be or hold random ones, and their pieces.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+PIECE = re.compile(r"[A-Za-z0-9]+")
+#: Known forms that look random but are no secrets: digests, UUIDs, short hex numbers, time stamps, plain numbers.
+_FORM = (
+    r"[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128}"
+    r"|[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}|(?:0[xX])?[0-9a-fA-F]{1,16}|[0-9]{8}T[0-9]{6}Z?"
 )
+KNOWN = re.compile(rf"(?:{_FORM}|[0-9+/_=-]+)")
+KNOWN_PART = re.compile(rf"(?<![A-Za-z0-9])(?:{_FORM})(?![A-Za-z0-9])")
+_MIXED = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")
+#: Least length of a random piece with letters and digits, with letters of both cases mixed, with
+#: letters of one case, and of a stretch of several pieces. Clean words of these kinds and
+#: lengths have RATIO characters per token or more in the given tables.
+LEAST_DIGITS, LEAST_MIXED, LEAST_LETTERS, LEAST_JOINED = 12, 16, 20, 20
+#: A stretch of pieces has so many characters per separator at least; names and dates have fewer.
+JOINED_CHARS = 7
 #: Characters per token under which a string counts as random.
 RATIO = 2.0
 KINDS = ("assign", "access", "hex", "random")
@@ -56,21 +67,90 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _varied(word: str) -> bool:
+    return any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
+
+
+def _least(piece: str) -> int:
+    if _varied(piece):
+        return LEAST_DIGITS
+    if piece.isdigit():
+        return len(piece) + 1
+    return LEAST_MIXED if _MIXED.search(piece) else LEAST_LETTERS
+
+
+def _stretches(weights: list[int]) -> list[tuple[int, int]]:
+    """All maximal stretches (from, to) of the largest sums of weights, Ruzzo and Tompa's way."""
+    kept: list[tuple[int, int, int, int, int]] = []  # from, to, sum before, sum after, the last one kept that began lower
+    total = 0
+    for i, w in enumerate(weights):
+        before, total = total, total + w
+        if w <= 0:
+            continue
+        start, k = i, len(kept) - 1
+        while True:
+            while k >= 0 and kept[k][2] >= before:
+                k = kept[k][4]
+            if k < 0 or kept[k][3] >= total:
+                kept.append((start, i + 1, before, total, k))
+                break
+            start, _, before, _, link = kept[k]
+            del kept[k:]
+            k = link
+    return [x[:2] for x in kept]
+
+
+def _random_parts(word: str, path: str, ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of what is random in a string: all of it, pieces, and stretches of pieces."""
+    encode = _encoding(path).encode_ordinary
+    if KNOWN.fullmatch(word):
+        return []
+    known = [m.span() for m in KNOWN_PART.finditer(word) if m.end() - m.start() > LEAST_DIGITS]
+    if len(word) >= LEAST_JOINED and _varied(word) and not known and len(word) < ratio * len(encode(word)):
+        return [(0, len(word))]
+    out, at = [], 0
+    for stop, following in [*known, (len(word), len(word))]:
+        pieces = [m.span() for m in PIECE.finditer(word, at, stop)]
+        at = following
+        if not any(b - a >= _least(word[a:b]) for a, b in pieces) and (not pieces or pieces[-1][1] - pieces[0][0] < LEAST_JOINED):
+            continue
+        weights = [ratio * len(encode(word[a:b])) - (b - a) for a, b in pieces]
+        found = [(a, b) for (a, b), w in zip(pieces, weights) if w > 0 and b - a >= _least(word[a:b]) and not KNOWN.fullmatch(word[a:b])]
+        for i, j in _stretches(weights):
+            a, b = pieces[i][0], pieces[j - 1][1]
+            part = word[a:b]
+            if j - i > 1 and b - a >= max(LEAST_JOINED, JOINED_CHARS * (j - i - 1)) and (_varied(part) or _MIXED.search(part)):
+                if len(part) < ratio * len(encode(part)):
+                    found = [f for f in found if f[1] <= a or f[0] >= b] + [(a, b)]
+        for a, b in sorted(found):
+            while b < len(word) and word[b] == "=" and word[b:].strip("=") == "":
+                b += 1
+            out.append((a, b))
+    return out
+
+
 def random_spans(text: str, taken: Sequence[tuple[str, int, int]], path: str, ratio: float = RATIO) -> list[tuple[str, int, int]]:
-    """Spans of strings with few characters per token that no base span touches.
+    """Spans of strings with few characters per token, in what base spans leave.
 
-    A string needs a digit and a letter: invented or foreign words are as hard to compress,
-    but hold no digits. Digests, UUIDs and numbers are known forms and left out.
+    A string is judged as a whole, by pieces between separators, and by the stretches of
+    pieces that are hardest to compress, so words beside a key don't hide it. Invented or
+    foreign words are nearly as hard to compress as keys without digits, which therefore
+    have to be longer. Digests, UUIDs and numbers are known forms and left out.
     """
-    out = []
+    out, covered, k = [], sorted((s, e) for _, s, e in taken), 0
     for m in CANDIDATE.finditer(text):
-        word, (start, end) = m[0], m.span()
-        if KNOWN.fullmatch(word) or not any(c.isdigit() for c in word) or not any(c.isalpha() for c in word):
-            continue
-        if any(s < end and start < e for _, s, e in taken):
-            continue
-        if len(word) < ratio * len(_encoding(path).encode_ordinary(word)):
-            out.append(("random", start, end))
+        start, end = m.span()
+        while k < len(covered) and covered[k][1] <= start:
+            k += 1
+        free, at = [], start
+        for i in itertools.count(k):
+            if i == len(covered) or covered[i][0] >= end:
+                break
+            free.append((at, covered[i][0]))
+            at = max(at, covered[i][1])
+        for a, b in [*free, (at, end)]:
+            if b - a >= LEAST_DIGITS:
+                out += [("random", a + i, a + j) for i, j in _random_parts(text[a:b], path, ratio)]
     return out
 
 

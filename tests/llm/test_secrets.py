@@ -1,5 +1,8 @@
+import base64
 import hashlib
+import random
 import re
+import string
 
 from barlake.llm import secrets
 
@@ -72,3 +75,37 @@ def test_redaction_masks_and_keeps_rows_and_columns(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long, found string")
     out = sorted((tuple(r) for r in secrets.redact(docs).collect()), key=repr)
     assert out == sorted([(1, "a [SECRET] b", "en", 12, "k"), rows[1], rows[2], (1, "é [SECRET]", "x", 10, "k")], key=repr)
+
+
+def test_keys_are_found_beside_words_short_or_without_digits():
+    path, rng = secrets.vocabulary_path(), random.Random(5)
+    letters = string.ascii_letters
+    prefixes = (
+        "https://api.example.com/users/profile/settings/download/", "/home/ubuntu/projects/application/configuration/credentials/",
+        "session-management-authentication-cookie=", "access_key_identifier=", "0123456789abcdef0123456789abcdef/", "",
+    )
+
+    def share(make, prefix):
+        texts = [(prefix, make()) for _ in range(200)]
+        hit = 0
+        for before, key in texts:
+            spans = secrets.find(f"see {before}{key} here", path)[1]
+            start = 4 + len(before)
+            hit += any(k == "random" and s <= start + 4 and e >= start + len(key) - 4 for k, s, e in spans)
+        return hit / len(texts)
+
+    for prefix in prefixes:
+        assert share(lambda: "".join(rng.choices(letters + string.digits, k=24)), prefix) > 0.97
+        assert share(lambda: "".join(rng.choices(letters + string.digits, k=16)), prefix) > 0.93
+        assert share(lambda: "".join(rng.choices(letters, k=24)), prefix) > 0.93
+        assert share(lambda: base64.b64encode(rng.randbytes(30)).decode(), prefix) > 0.9
+
+
+def test_paths_names_and_known_forms_are_not_random():
+    path = secrets.vocabulary_path()
+    for clean in (
+        "/users/550e8400-e29b-41d4-a716-446655440000/profile", "org/apache/hadoop/hdfs/DFSClient", "AbstractSingletonProxyFactoryBean",
+        "backup-20240105T101530Z", "commit/9f86d081884c", "0x7ffeefbff5c8", "a/b/c/d/e/f/g/h/i/j/k/l",
+        "objects/D41D8CD98F00B204E9800998ECF8427E/data", "Donaudampfschifffahrtsgesellschaft",
+    ):
+        assert [s for s in secrets.find(f"see {clean} now", path)[1] if s[0] == "random"] == [], clean
