@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,8 +15,11 @@ from .common import BLOCK_BYTES, mixed, table
 
 #: Levels of phrases; a phrase of one level has about three of the level below.
 LEVELS = 3
-#: A fingerprint holds the smallest of so many phrase names, eight hex digits each.
+#: The fingerprint column is a short digest: the smallest of so many names of the last level, eight
+#: hex digits each. All names are in the columns of phrases, and likeness is taken from them.
 KEPT = 64
+#: Names per phrase of one level as against the next in the mean of levels that likeness is.
+GROWTH = 3
 #: Rounds of coin tossing after which labels are below 6.
 TOSSES = 4
 _WEIGHTS = np.random.default_rng(7).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
@@ -66,8 +69,12 @@ def parse(names: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return mixed(sums + size.astype(np.uint64)), first[start]
 
 
-def sketches(texts: list[str], levels: int = LEVELS, kept: int = KEPT) -> list[np.ndarray]:
-    """Per text the sorted, distinct, smallest names of its phrases (32 bits); empty for an empty text.
+#: Per level the sorted, distinct names of a text's phrases (32 bits).
+Sketch = tuple[np.ndarray, ...]
+
+
+def sketches(texts: list[str], levels: int = LEVELS) -> list[Sketch]:
+    """All phrase names of each text by level; empty for an empty text.
 
     A text of more than BLOCK_BYTES characters is parsed in slices of so many.
     """
@@ -76,7 +83,7 @@ def sketches(texts: list[str], levels: int = LEVELS, kept: int = KEPT) -> list[n
         for at in range(0, len(text), BLOCK_BYTES):
             slices.append(text[at : at + BLOCK_BYTES])
             owner.append(i)
-    found: list[list[np.ndarray]] = [[] for _ in texts]
+    found: list[list[list[np.ndarray]]] = [[[] for _ in range(levels)] for _ in texts]
     start = 0
     while start < len(slices):
         stop, size = start, 0
@@ -88,30 +95,51 @@ def sketches(texts: list[str], levels: int = LEVELS, kept: int = KEPT) -> list[n
         names = mixed(names + np.uint64(1))
         first = np.zeros(len(names), dtype=bool)
         first[np.concatenate(([0], np.cumsum([len(p) for p in part])[:-1])).astype(np.int64)] = True
-        for _ in range(levels):
+        for level in range(levels):
             names, first = parse(names, first)
-        short = (names >> np.uint64(32)).astype(np.uint32)
-        edges = np.append(np.flatnonzero(first), len(short))
-        for i, (a, b) in enumerate(zip(edges, edges[1:])):
-            found[owner[start + i]].append(np.unique(short[a:b])[:kept])
+            # one sort for all texts of the block: the text's place above its names
+            keys = np.unique(((np.cumsum(first) - 1).astype(np.uint64) << np.uint64(32)) | (names >> np.uint64(32)))
+            edges = np.searchsorted(keys, np.arange(len(part) + 1, dtype=np.uint64) << np.uint64(32))
+            short = keys.astype(np.uint32)
+            for i, (a, b) in enumerate(zip(edges, edges[1:])):
+                found[owner[start + i]][level].append(short[a:b])
         start = stop
-    return [np.unique(np.concatenate(f))[:kept] if len(f) > 1 else f[0] if f else np.zeros(0, np.uint32) for f in found]
+    none = np.zeros(0, np.uint32)
+    return [tuple(np.unique(np.concatenate(f)) if len(f) > 1 else f[0] if f else none for f in text) for text in found]
+
 
+def written(sketch: Sketch) -> str:
+    """The short digest of a fingerprint."""
+    return sketch[-1][:KEPT].astype(">u4").tobytes().hex()
 
-def written(sketch: np.ndarray) -> str:
-    return sketch.astype(">u4").tobytes().hex()
 
+def read(fingerprint: str) -> Sketch:
+    """The names of a short digest, which are of the last level only."""
+    return (np.frombuffer(bytes.fromhex(fingerprint), dtype=">u4").astype(np.uint32),)
 
-def read(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), dtype=">u4").astype(np.uint32)
 
+def common(a: Sketch, b: Sketch) -> list[int]:
+    """How many phrase names two texts share, per level."""
+    out = []
+    for x, y in zip(a, b):
+        both = np.concatenate((x, y))
+        both.sort()
+        out.append(int(np.count_nonzero(both[1:] == both[:-1])))
+    return out
 
-def likeness(a: np.ndarray, b: np.ndarray, kept: int = KEPT) -> float:
-    """Estimated share of common phrases among all (Jaccard), exact for short texts; 1 for two empty ones."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    both = np.unique(np.concatenate((a, b)))[:kept]
-    return float(np.mean(np.isin(both, a) & np.isin(both, b)))
+
+def likeness(a: Sketch, b: Sketch, shared: list[int] | None = None) -> float:
+    """The share of common names among all (Jaccard) per level, in the mean; 1 for two empty texts.
+
+    A level counts GROWTH times as much as the one below, as its phrases are so much longer:
+    long common passages count most, and short texts without a common long phrase are still
+    told apart by the short ones.
+    """
+    if not len(a[0]) or not len(b[0]):
+        return float(len(a[0]) == len(b[0]))
+    shared = common(a, b) if shared is None else shared
+    shares = [n / (len(x) + len(y) - n) for x, y, n in zip(a, b, shared)]
+    return sum(s * GROWTH**i for i, s in enumerate(shares)) / sum(GROWTH**i for i in range(len(shares)))
 
 
 def _bucket(borders: list[int]) -> Column:
@@ -177,7 +205,11 @@ class _Order:
         self.items, self.size, self.known = self.items[-1:], len(self.items[-1][3]), own[-1]
 
     def result(self, item, text, own, new, after):
-        row = (item[2], len(item[3]), hashlib.sha256(text.encode("utf-8")).hexdigest(), written(own), written(new), likeness(own, new), likeness(own, after))
+        near, far = common(own, new), common(own, after)
+        row = (
+            item[2], len(item[3]), hashlib.sha256(text.encode("utf-8")).hexdigest(), written(own), written(new),
+            likeness(own, new, near), likeness(own, after, far), near, far, own, new,
+        )
         for _ in range(item[4]):
             yield row
 
@@ -203,12 +235,18 @@ def edited(text: str, following: str) -> str:
 _RESULT = [
     ("doc_id", None), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+    ("common_edited", pa.list_(pa.int64())), ("common_next", pa.list_(pa.int64())),
+    ("phrases", pa.list_(pa.list_(pa.int32()))), ("edited_phrases", pa.list_(pa.list_(pa.int32()))),
 ]
 
 
 def fingerprint_edits(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Fingerprints of every whole text and of its edit by the next document, and their likeness.
 
+    ``phrases`` and ``edited_phrases`` are all distinct phrase names by level, as signed integers
+    of 32 bits; ``common_edited`` and ``common_next`` count the names shared, per level. The
+    fingerprint strings are short digests of the last level, KEPT names at most.
+
     Next is in descending doc_id; after the last comes the first. Documents of one doc_id
     follow each other by text, a null doc_id comes after all others, and rows equal in both
     count once in the order and get equal results. Null text is empty: its fingerprint is
@@ -227,31 +265,52 @@ def fingerprint_edits(docs: DataFrame, parts: int | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, bucket_now = _Order(), None
         for batch in batches:
-            found = []
             columns = [batch.column(c) for c in ("bucket", "role", "doc_id", "text")]
             for row in zip(*columns):
                 bucket, role, doc_id, text = (v.as_py() for v in row)
                 if bucket != bucket_now:
-                    found += order.finish()
+                    yield from _rows(order.finish())
                     order, bucket_now = _Order(), bucket
-                found += order.add(bucket, role, doc_id, text)
-            yield from _rows(found)
-        yield from _rows(list(order.finish()))
+                yield from _rows(order.add(bucket, role, doc_id, text))
+        yield from _rows(order.finish())
 
     return lined.mapInArrow(
         run,
-        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+        "common_edited array<long>, common_next array<long>, phrases array<array<int>>, edited_phrases array<array<int>>",
     )
 
 
-def _rows(found: list[tuple]) -> Iterator[pa.RecordBatch]:
-    if found:
-        kinds = [pa.int64() if k is None else k for _, k in _RESULT]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], [n for n, _ in _RESULT])
+def _nested(found: tuple[Sketch, ...]) -> pa.Array:
+    """Sketches as lists of lists, without a Python object per name."""
+    levels = [level for sketch in found for level in sketch]
+    inner = np.cumsum([0, *map(len, levels)]).astype(np.int32)
+    outer = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    names = pa.array(np.concatenate(levels).view(np.int32))
+    return pa.ListArray.from_arrays(pa.array(outer), pa.ListArray.from_arrays(pa.array(inner), names))
+
+
+def _rows(found: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Batches of results; each holds about a block of names, or one document's."""
+    part, size = [], 0
+    for row in found:
+        part.append(row)
+        size += sum(map(len, row[-2])) + sum(map(len, row[-1]))
+        if size >= BLOCK_BYTES:
+            yield _batch(part)
+            part, size = [], 0
+    if part:
+        yield _batch(part)
+
+
+def _batch(found: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64() if k is None else k for _, k in _RESULT]
+    columns = [_nested(c) if k == _RESULT[-1][1] else pa.array(c, k) for c, k in zip(zip(*found), kinds)]
+    return pa.RecordBatch.from_arrays(columns, [n for n, _ in _RESULT])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fingerprint of every whole text; null text is empty."""
+    """doc_id, short digest and all phrases of every whole text; null text is empty."""
 
     def run(batches):
         for batch in batches:
@@ -259,11 +318,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             for at in range(0, len(texts), 256):
                 part = sketches(texts.slice(at, 256).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(at, len(part)), pa.array([written(s) for s in part], pa.string())], ["doc_id", "fingerprint"]
+                    [batch.column("doc_id").slice(at, len(part)), pa.array([written(s) for s in part], pa.string()), _nested(tuple(part))],
+                    ["doc_id", "fingerprint", "phrases"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint string")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint string, phrases array<array<int>>")
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,3 +91,19 @@ def test_fingerprints_of_a_table(spark):
     docs = spark.createDataFrame([(1, "same text"), (2, "same text"), (3, None)], "doc_id long, text string")
     got = {r.doc_id: r.fingerprint for r in fp.fingerprints(docs).collect()}
     assert got[1] == got[2] != "" and got[3] == "" and fp.written(fp.read(got[1])) == got[1]
+
+
+def test_all_names_of_all_levels_are_returned_and_compared(spark, made):
+    rng = np.random.default_rng(8)
+    make = lambda n: "".join(rng.choice(list("abcdefghij klmnop"), n))
+    passage = make(3000)
+    texts = [make(300_000) + passage + make(300_000), make(200_000) + passage + make(400_000), "a short text of few phrases", None]
+    rows = [(10 - i, t) for i, t in enumerate(texts)]
+    at = made("documents", rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in fp.op4_fingerprints(spark, at).collect()}
+    sketch = {i: fp.sketches([t or ""])[0] for i, t in rows}
+    for i, _ in rows:
+        assert [np.array(x, np.int32).view(np.uint32).tolist() for x in out[i].phrases] == [x.tolist() for x in sketch[i]]
+    assert [len(x) for x in sketch[10]][2] > 10_000 and out[10].common_next[2] > 60 and out[10].near_next > 0
+    assert len(out[8].fingerprint) <= 8 * fp.KEPT and out[8].common_edited[0] > 0 and out[8].near_edited > 0
+    assert out[7].phrases == [[], [], []]
