@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_sample, table
+from .common import table
 
 #: (verdict, host, path): hosts stand for themselves and all subdomains, paths are prefixes.
 RULES = (
@@ -67,20 +67,31 @@ def ngrams(sizes: Sequence[int] = NGRAM) -> Column:
 
 
 def fit(labelled: DataFrame, features: int = FEATURES, rows: int = TRAINING_ROWS) -> LogisticRegressionModel | None:
-    """A regression from (host, path, label 0/1); None if there are not two labels.
+    """A regression from (host, path, label 0/1); None if the whole table has not two labels.
 
-    About ``rows`` labelled URLs are used, those with the smallest hashes: what is learned
-    doesn't depend on the order of the table.
+    About ``rows`` labelled URLs are used. Of each label those with the smallest hashes are
+    taken: half of ``rows``, or what the rarer label leaves of them; the rarer one is taken whole
+    if it has no more. Weights restore the labels' shares. What is learned doesn't depend on
+    the order of the table.
     """
-    sample = hash_sample(labelled.filter(F.col("label").isNotNull()), F.concat_ws("/", "host", "path"), rows)
+    known = labelled.filter(F.col("label").isNotNull())
+    # one row per label
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    if len(counts) < 2:
+        return None
+    span, left, cut, weight = 1 << 30, rows, F.lit(0), F.lit(1.0)
+    for k, (label, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        take = min(n, max(left // (len(counts) - k), 1))
+        left -= take
+        cut = F.when(F.col("label") == label, span * take // n).otherwise(cut)
+        weight = F.when(F.col("label") == label, n / take).otherwise(weight)
+    sample = known.filter(F.pmod(F.xxhash64(F.concat_ws("/", "host", "path")), F.lit(span)) < cut)
     counted = HashingTF(inputCol="grams", outputCol="features", numFeatures=features, binary=True).transform(
-        sample.select(ngrams().alias("grams"), F.col("label").cast("double").alias("label"))
+        sample.select(ngrams().alias("grams"), F.col("label").cast("double").alias("label"), weight.alias("weight"))
     )
-    counted = counted.select("features", "label").persist()
+    counted = counted.select("features", "label", "weight").persist()
     try:
-        if counted.select("label").distinct().count() < 2:
-            return None
-        return LogisticRegression(maxIter=25, regParam=1e-3, tol=1e-6).fit(counted)
+        return LogisticRegression(maxIter=25, regParam=1e-3, tol=1e-6, weightCol="weight").fit(counted)
     finally:
         counted.unpersist()
 
@@ -96,7 +107,7 @@ def judge(
     one, the urls of ``pages`` that a rule judges are the labelled table.
 
     A null url or one without ``://`` has an empty host and path. With labels of one kind
-    only, that kind is the method's verdict; without labels it is allow, and the score is
+    only in the whole labelled table, that kind is the method's verdict; without labels it is allow, and the score is
     null. Repeated rows are judged alike; other columns are ignored.
     """
     host, path = split_url("url")

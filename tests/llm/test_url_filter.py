@@ -72,3 +72,13 @@ def test_regression_learns_held_out_urls(spark):
     out = {r.page_id: r for r in url_filter.judge(pages, rules=(), labelled=labelled).collect()}
     right = sum((out[i].verdict == "block") == bool(y) for i, _, y in held)
     assert right >= 195 and all(0 <= r.score <= 1 and not math.isnan(r.score) for r in out.values())
+
+
+def test_a_rare_label_is_in_the_sample_of_a_large_table(spark):
+    known = spark.range(60_000).selectExpr("concat('http://library', id % 101, '.net/article/', id) as url", "0 as label")
+    rare = spark.createDataFrame([(f"http://casino-win{i}.net/bonus/{i}", 1) for i in (0, 2, 3)], "url string, label int")  # none is in a third of all URLs by hash
+    pages = spark.createDataFrame(
+        [(1, "http://library7.net/article/99999"), (2, "http://casino-win9.net/bonus/77")], "page_id long, url string"
+    )
+    out = {r.page_id: r for r in url_filter.judge(pages, rules=(), labelled=known.union(rare)).collect()}
+    assert out[1].verdict == "allow" and out[1].score is not None and out[2].score > out[1].score
