@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
+from dataclasses import dataclass
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,28 @@ def ngrams(sizes: Sequence[int] = NGRAM) -> Column:
     return F.concat(*parts)
 
 
-def fit(labelled: DataFrame, features: int = FEATURES, rows: int = TRAINING_ROWS) -> LogisticRegressionModel | None:
+def buckets(features: int) -> Column:
+    """The distinct hash buckets of a URL's n-grams."""
+    return F.array_distinct(F.transform(ngrams(), lambda gram: F.pmod(F.hash(gram), F.lit(features))))
+
+
+@dataclass(frozen=True)
+class Regression:
+    """Weights of the hash buckets, as plain numbers: nothing of it holds on to a session."""
+
+    weights: tuple[float, ...]
+    intercept: float
+
+    def score(self) -> Column:
+        """Probability of block for the columns host and path, as a JVM expression."""
+        # one literal: the list is spelled as text, which Spark turns into an array while it plans
+        weights = F.split(F.lit(",".join(map(repr, self.weights))), ",").cast("array<double>")
+        known = lambda total, bucket: total + F.get(weights, bucket)
+        margin = F.aggregate(buckets(len(self.weights)), F.lit(self.intercept), known)
+        return 1 / (1 + F.exp(-margin))
+
+
+def fit(labelled: DataFrame, features: int = FEATURES, rows: int = TRAINING_ROWS) -> Regression | None:
     """A regression from (host, path, label 0/1); None if the whole table has not two labels.
 
     About ``rows`` labelled URLs are used. Of each label those with the smallest hashes are
@@ -86,14 +108,15 @@ def fit(labelled: DataFrame, features: int = FEATURES, rows: int = TRAINING_ROWS
         cut = F.when(F.col("label") == label, span * take // n).otherwise(cut)
         weight = F.when(F.col("label") == label, n / take).otherwise(weight)
     sample = known.filter(F.pmod(F.xxhash64(F.concat_ws("/", "host", "path")), F.lit(span)) < cut)
-    counted = HashingTF(inputCol="grams", outputCol="features", numFeatures=features, binary=True).transform(
-        sample.select(ngrams().alias("grams"), F.col("label").cast("double").alias("label"), weight.alias("weight"))
-    )
-    counted = counted.select("features", "label", "weight").persist()
+    vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(features)], inputCol="buckets", outputCol="features")
+    counted = vectors.transform(sample.select(
+        buckets(features).cast("array<string>").alias("buckets"), F.col("label").cast("double").alias("label"), weight.alias("weight")
+    )).select("features", "label", "weight").persist()
     try:
-        return LogisticRegression(maxIter=25, regParam=1e-3, tol=1e-6, weightCol="weight").fit(counted)
+        model = LogisticRegression(maxIter=25, regParam=1e-3, tol=1e-6, weightCol="weight").fit(counted)
     finally:
         counted.unpersist()
+    return Regression(tuple(float(x) for x in model.coefficients), float(model.intercept))
 
 
 def judge(
@@ -122,9 +145,7 @@ def judge(
         only = known.agg(F.max("label")).first()[0]
         scored = parts.withColumns({"score": F.lit(None).cast("double"), "guess": F.lit("block" if only else "allow")})
     else:
-        tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=features, binary=True)
-        scored = model.transform(tf.transform(parts.withColumn("grams", ngrams())))
-        scored = scored.withColumn("score", vector_to_array("probability")[1]).withColumn(
+        scored = parts.withColumn("score", model.score()).withColumn(
             "guess", F.when(F.col("score") > 0.5, "block").otherwise("allow")
         )
     return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled", "guess").alias("verdict"), "score")

@@ -82,3 +82,39 @@ def test_a_rare_label_is_in_the_sample_of_a_large_table(spark):
     )
     out = {r.page_id: r for r in url_filter.judge(pages, rules=(), labelled=known.union(rare)).collect()}
     assert out[1].verdict == "allow" and out[1].score is not None and out[2].score > out[1].score
+
+
+def test_after_an_observation(spark):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation("seen")
+    spark.range(10).observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 10
+    assert url_filter.op7_url_filter(spark, SF).filter("score is not null").count() > 0
+
+
+def test_score_by_hand(spark):
+    """The score of each url, from n-grams cut in Python and the fitted weights."""
+    import random
+
+    draw = random.Random(5)
+    urls = [f"https://{draw.choice(['a', 'shop', 'x-y'])}.{draw.choice(['net', 'com', 'org'])}/{draw.choice(['de', 'fr', 'es'])}/{i}" for i in range(60)]
+    labelled = spark.createDataFrame([(u, int("/de/" in u)) for u in urls], "url string, label int")
+    pages = spark.createDataFrame(list(enumerate([*urls, None, "a://é.net/ü?q"])), "page_id long, url string")
+    host, path = url_filter.split_url("url")
+    model = url_filter.fit(labelled.select(host.alias("host"), path.alias("path"), "label").distinct(), features=256)
+    out = url_filter.judge(pages, labelled=labelled, features=256).collect()
+    grams = {}
+    for r in out:
+        cut = set()
+        for mark, text in (("h", f"^{r.host}$"), ("p", f"^{r.path}$")):
+            for n in url_filter.NGRAM:
+                cut |= {mark + text[i : i + n] for i in range(max(len(text) - n + 1, 1))}
+        grams[r.page_id] = cut
+    every = sorted(set().union(*grams.values()))
+    at = {r.g: r.h % 256 for r in spark.createDataFrame([(g,) for g in every], "g string").selectExpr("g", "hash(g) as h").collect()}
+    for r in out:
+        total = model.intercept + sum(model.weights[b] for b in {at[g] for g in grams[r.page_id]})
+        assert math.isclose(r.score, 1 / (1 + math.exp(-total)), rel_tol=1e-9)
+    assert all((r.verdict == "block") == ("/de/" in urls[r.page_id]) for r in out if r.page_id < 60 and r.rule is None)
