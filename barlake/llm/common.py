@@ -11,10 +11,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.session import work_dir
+from barlake.sources.sinks import measured
 
 #: A word: a maximal run of characters that are not ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,6 +58,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged_rows(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``staged``, and the number of rows that were written."""
+    seen = Observation()
+    out = staged(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, measured(seen, "n")["n"]
+
+
 def hash_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     """About ``rows`` rows, or all if there are no more: those with the smallest hashes of ``key``.
 

@@ -1,12 +1,19 @@
-"""Connected components of a table of links."""
+"""Connected components of a table of links, at once or link by link."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
 
+#: Links that a task reduces to a forest at a time.
+FOREST_LINKS = 1 << 20
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour (or itself)."""
@@ -26,21 +33,89 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select(F.col("m").alias("a"), F.col("u").alias("b"))).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(id, component): the smallest id reachable, for every id in ``links`` (a, b).
-
-    Alternates large and small stars until nothing changes. Links of a node are reduced by
-    partial aggregates and joins, never gathered, so a node may have any number of them; the
-    number of rounds grows with the logarithm of the longest path. Every round is stored in
-    the shared folder. Self-links, repeated links and links in both directions do no harm.
-    """
-    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
-    edges, seen = staged(ordered, "links"), None
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (smallest id, id) that connect what the given links connect."""
+    ids, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(ids))
     while True:
-        mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen or mark[0] == 0:
+        p, q = root[x], root[y]
+        if (p == q).all():
             break
-        seen = mark
+        low, high = np.minimum(p, q), np.maximum(p, q)
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
+    child = np.flatnonzero(root != np.arange(len(ids)))
+    return ids[root[child]], ids[child]
+
+
+def _forests(links: DataFrame) -> DataFrame:
+    """The links of each task as forests: never more rows than the task has ids."""
+
+    def made(parts) -> pa.RecordBatch:
+        pair = forest(*(np.concatenate([p[i] for p in parts]) for i in (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in pair], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        parts, held = [], 0
+        for batch in batches:
+            parts.append([batch.column(c).to_numpy() for c in ("a", "b")])
+            held += batch.num_rows
+            if held >= FOREST_LINKS:
+                out = made(parts)
+                if out.num_rows * 2 <= held:  # so many links on few ids: go on with their forest
+                    parts, held = [[out.column(c).to_numpy() for c in ("a", "b")]], out.num_rows
+                else:
+                    yield out
+                    parts, held = [], 0
+        if held:
+            yield made(parts)
+
+    return links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b").mapInArrow(run, "a long, b long")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """True if every edge leads from the smallest id of a component to another of its ids."""
+    ends = edges.select(F.col("b").alias("id"), F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("a", F.lit(0), F.lit(1))
+    )
+    seen = ends.groupBy("id").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return seen.filter("below > 1 or (below = 1 and above = 1)").isEmpty()
+
+
+def stars(links: DataFrame) -> DataFrame:
+    """Stored (a, b): the smallest id a reachable from every other id b in ``links``.
+
+    Each task reduces its own links to a forest; then large and small stars alternate until
+    every id has one link. Links of a node are reduced by partial aggregates and joins, never
+    gathered, so a node may have any number of them; the number of rounds grows with the
+    logarithm of the longest path. Every round is stored in the shared folder. Self-links,
+    repeated links and links in both directions do no harm.
+    """
+    edges = staged(_forests(links).distinct(), "links")
+    while not _settled(edges):
         edges = staged(_small_star(_large_star(edges)), "links")
+    return edges
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(id, component): the smallest id reachable, for every id in ``links`` (a, b)."""
+    edges = stars(links)
     members = edges.select(F.col("b").alias("id"), F.col("a").alias("component"))
     return members.union(edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct())
+
+
+def contracted(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (id, component) of ids that aren't their component's smallest, after more links.
+
+    Only the components that the new links name are worked on: links are told by their
+    components, whose stars then relabel. None stands for no labels so far.
+    """
+    if labels is None:
+        return stars(links).select(F.col("b").alias("id"), F.col("a").alias("component"))
+    of = lambda end: labels.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+    told = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    moved = stars(told).select(F.col("b").alias("component"), F.col("a").alias("to"))
+    old = labels.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return staged(old.union(moved.select("component", "to")), "labels")

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, blocks, mixed, per_batch, staged, table, utf8
-from .components import components
+from .common import BLOCK_BYTES, blocks, mixed, per_batch, staged, staged_rows, table, utf8
+from .components import contracted
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,8 @@ class Scheme:
 TWO_WORDS = Scheme(shingle=2)
 #: Star rounds go on while one in so many members of unsettled keys gets connected by a round.
 STAR_GAIN = 20
+#: Centres that a star round draws for each key.
+STAR_CENTERS = 3
 #: Members of a key that are held at once when the rest of it is compared.
 BLOCK = 4096
 #: Ids are sent to all tasks up to this size, at 16 bytes each.
@@ -264,11 +266,45 @@ def confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
 
 def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of keys that hold more than one component, with each id's component."""
-    rows = buckets.join(labels, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("component"))
+    rows = buckets.select("key", "slot", "id").join(labels, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("component"))
     several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     return rows.join(several.filter("lo <> hi").select("key"), "key", "left_semi")
 
 
+def _with(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Open rows with the facts of their ids: an id meets its facts once, with all its keys in a list.
+
+    A list has one entry for each key of a signature at most.
+    """
+    held = rows.groupBy("id").agg(F.first("component").alias("component"), F.collect_list(F.struct("key", "slot")).alias("at"))
+    return held.join(facts, "id").withColumn("at", F.explode("at")).select("at.key", "at.slot", "id", "component", *(c for c in facts.columns if c != "id"))
+
+
+def _starred(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
+    """(rows of keys that are open still, labels) after star rounds.
+
+    In a round some members of every open key are drawn, and all members of other components
+    that have a full set are compared with them. What a round leaves is examined otherwise.
+    """
+    round_ = 0
+    while True:
+        rows, left = staged_rows(_open(members, labels), "near-open")
+        if not left:
+            return rows, labels
+        drawn = [F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(STAR_CENTERS * round_ + i))) for i in range(STAR_CENTERS)]
+        centers = rows.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("c"))
+        pairs = rows.join(centers, "key").withColumn("c", F.explode("c")).filter("c.component <> component").select(
+            F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b")
+        )
+        pairs = staged(_close(pairs.distinct(), classes, scheme), "near-pairs")
+        more, n = staged_rows(confirmed(pairs, sets, scheme), "near-links")
+        members, round_ = rows, round_ + 1
+        if n:
+            labels = contracted(labels, more)
+        if n * STAR_GAIN <= left:
+            return (staged(_open(members, labels), "near-open") if n else rows), labels
+
+
 def _slots(equal: np.ndarray, scheme: Scheme) -> np.ndarray:
     """The first key slot that each pair shares, from which of its values are equal."""
     out = np.full(len(equal), -1)
@@ -371,16 +407,17 @@ def _compared(rows: DataFrame, scheme: Scheme, emit, schema: str) -> DataFrame:
     return lined.mapInArrow(run, schema).distinct()
 
 
-def links(docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """Confirmed links (a, b) that connect every component of similar classes.
+def link_labels(docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """(id, component) of every class that confirmed links connect with a smaller one.
 
     Members of a key are not all compared with each other. First each is compared with the
-    smallest id of its key; a large group of near copies is mostly connected by that. Then
+    smallest id of its key, then with other members, drawn anew in each round while that
+    connects many; a large group of near copies is mostly connected by that. Then
     signatures single out the members that may have a link to another component still, and
-    only their full sets are read. Star rounds with other centres go on while they connect
-    many. At last, what a key still holds beside its largest component is compared with
-    every member of other components. So each pair that shares a key is examined, or
-    connected already. Texts are read three times in all.
+    only their full sets are read. At last, what a key still holds beside its largest
+    component is compared with every member of other components. So each pair that shares a
+    key is examined, or connected already. Labels are kept from round to round and new links
+    only merge them. Texts are read three times in all.
     """
     keyed = _keyed(classes, scheme)
     shared = keyed.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1")
@@ -388,30 +425,20 @@ def links(docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
     pairs = buckets.filter("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     pairs = staged(_close(pairs, classes, scheme), "near-pairs")
     sets = full_sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), scheme)
-    found = staged(confirmed(pairs, sets, scheme), "near-links")
-
-    larger = buckets.filter("n > 2").select("key", "slot", "id")  # a pair alone on its key is done
-    rows = _open(larger, staged(components(found), "near-components"))
-    sized = rows.join(classes.select("id", "sig", "n"), "id").select("key", "slot", "id", "component", "n", "sig")
-    flagged = staged(_compared(sized, scheme, _flags, "key long, id long"), "near-flagged")
-    members = staged(larger.join(flagged, ["key", "id"]), "near-members")
+    labels = contracted(None, confirmed(pairs, sets, scheme))
+
+    larger = buckets.filter("n > 2")  # a pair alone on its key is done
+    rows, labels = _starred(larger, labels, classes, sets, scheme)
+    sized = _with(rows, classes.select("id", "sig", "n"))
+    flagged, n = staged_rows(_compared(sized, scheme, _flags, "key long, id long"), "near-flagged")
+    if not n:
+        return labels
+    members = staged(rows.select("key", "slot", "id").join(flagged, ["key", "id"]), "near-members")
     sets = full_sets(docs, members.select("id"), scheme)
-    round_ = 0
-    while True:
-        rows = staged(_open(members, staged(components(found), "near-components")), "near-open")
-        drawn = F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(round_))).alias("c")
-        pairs = rows.join(rows.groupBy("key").agg(drawn), "key").filter("c.component <> component").select(
-            F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b")
-        )
-        pairs = staged(_close(pairs.distinct(), classes, scheme), "near-pairs")
-        more = staged(confirmed(pairs, sets, scheme), "near-links")
-        found, members, round_ = found.union(more), rows.select("key", "slot", "id"), round_ + 1
-        if more.count() * STAR_GAIN <= rows.count():
-            break
-    rows = _open(members, staged(components(found), "near-components"))
-    full = rows.join(classes.select("id", "sig"), "id").join(sets, "id").withColumn("n", F.size("shingles").cast("long"))
+    rows, labels = _starred(members, labels, classes, sets, scheme)
+    full = _with(rows, classes.select("id", "sig").join(sets, "id").withColumn("n", F.size("shingles").cast("long")))
     last = _compared(full.select("key", "slot", "id", "component", "n", "sig", "shingles"), scheme, _exact, "a long, b long")
-    return found.union(staged(last, "near-links"))
+    return contracted(labels, last)
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
@@ -433,9 +460,11 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     per_class = known.groupBy("cls").agg(F.min("doc_id").alias("id"), F.min_by(F.struct("sig", "n_shingles"), "doc_id").alias("s"))
     classes = staged(per_class.select("cls", "id", "s.sig", F.col("s.n_shingles").alias("n")), "near-classes")
     # a doc_id on rows of several classes connects them
-    several = known.select("doc_id", "cls").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1")
+    several = staged(known.select("doc_id", "cls").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1"), "near-several")
     bridges = known.join(several, "doc_id").join(classes.select("cls", "id"), "cls").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    labels = components(links(docs.filter("doc_id is not null"), classes, scheme).union(bridges))
+    labels = link_labels(docs.filter("doc_id is not null"), classes, scheme)
+    if not several.isEmpty():
+        labels = contracted(labels, bridges)
     of_class = staged(classes.join(labels, "id", "left").select("cls", F.coalesce("component", "id").alias("of")), "near-labels")
     return rows.join(of_class, "cls", "left").select(
         "doc_id", "n_shingles",
