@@ -30,41 +30,79 @@ MERGED = 64
 #: to the next. U+001C to U+001F aren't white space to the tokenizer.
 _PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 #: Pieces up to this length are remembered, so many of them at most.
-KNOWN_CHARS, KNOWN_PIECES = 32, 1 << 17
+KNOWN_CHARS, KNOWN_PIECES = 32, 1 << 19
+#: Pieces that are encoded in one go.
+RUN = 256
 
+_SPACES = "".join(chr(c) for c in [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+_END = np.array([END], dtype="<u4").tobytes()
 
-@functools.lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(path)
-    out.encode_special_tokens = True  # their names in a text are ordinary text
-    return out, {}
+class Encoder:
+    """The tokenizers library, asked once for each piece as long as it is remembered.
 
-
-def token_ids(texts: Sequence[str], path: str) -> list[np.ndarray]:
-    """Token ids of each text as the tokenizers library encodes it, with END after them.
-
-    A text's pieces are encoded on their own, and each distinct short one once for as long
-    as it is remembered: words repeat.
+    Pieces that were asked for lately are in ``new``, those before them in ``old``; each holds
+    KNOWN_PIECES at most, beside those of one block of texts.
     """
-    tokenizer, known = _tokenizer(path)
-    cut = [[p for part in parts(t) for p in _PIECE.findall(part)] for t in texts]
-    new = list(set().union(*cut).difference(known))
-    extra = {}
-    if new:
-        for piece, encoded in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            (known if len(piece) <= KNOWN_CHARS else extra)[piece] = np.array(encoded.ids, dtype="<u4").tobytes()
-    end = np.array([END], dtype="<u4").tobytes()
-    if extra:
-        find = lambda p: known.get(p) or extra[p]
-    else:
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        # a character of a byte-level token is a byte
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, i in vocabulary.items():
+            self.lengths[i] = len(token)
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encoded(self, pieces: Sequence[str]) -> dict[str, bytes]:
+        """The ids of each piece.
+
+        Pieces that begin with white space and end with text are encoded many in one go: no
+        token crosses from one to the next, so their byte counts cut the ids.
+        """
+        row, alone = [], []
+        for p in pieces:
+            (row if p[0] in " \n\t" and p[-1] not in _SPACES else alone).append(p)
+        runs = [row[i : i + RUN] for i in range(0, len(row), RUN)]
+        texts = [*map("".join, runs), *alone]
+        found = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out = {p: ids.tobytes() for p, ids in zip(alone, found[len(runs) :])}
+        for run, ids in zip(runs, found):
+            ends = np.cumsum(self.lengths[ids])
+            cuts = np.searchsorted(ends, np.cumsum(list(map(len, map(str.encode, run))))) + 1
+            raw, stops = ids.tobytes(), (4 * cuts).tolist()
+            out.update(zip(run, map(raw.__getitem__, map(slice, [0, *stops], stops))))
+        return out
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        cut = [[p for part in parts(t) for p in _PIECE.findall(part)] for t in texts]
+        known, old = self.new, self.old
+        wanted = set().union(*cut).difference(known)
+        again = old.keys() & wanted
+        known.update(zip(again, map(old.__getitem__, again)))
+        found = self.encoded(list(wanted - again))
+        known.update(found)
         find = known.__getitem__
-    out = [np.frombuffer(b"".join([*map(find, pieces), end]), dtype="<u4") for pieces in cut]
-    if len(known) > KNOWN_PIECES:
-        known.clear()
-    return out
+        out = [np.frombuffer(b"".join([*map(find, pieces), _END]), dtype="<u4") for pieces in cut]
+        for p in found:
+            if len(p) > KNOWN_CHARS:
+                del known[p]
+        if len(known) > KNOWN_PIECES:
+            self.new, self.old = {}, known
+        return out
+
+
+_encoder = functools.lru_cache(maxsize=2)(Encoder)
+
+
+def token_ids(texts: Sequence[str], path: str) -> list[np.ndarray]:
+    """Token ids of each text as the tokenizers library encodes it, with END after them."""
+    return _encoder(path).encode(texts)
 
 
 class Packer:

@@ -16,10 +16,12 @@ SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+TOKENIZER.encode_special_tokens = True
+
+
 def reference(text):
-    tokenizer = reference.__dict__.setdefault("made", Tokenizer.from_file(PATH))
-    tokenizer.encode_special_tokens = True
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def crc(ids):
@@ -99,6 +101,17 @@ def test_pieces_encode_like_whole_texts(text):
     assert ids.tolist() == reference(text)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["to", " to", " be", " or", "\n not", "\tbe", " é", " ü\x1c", "  x", "　字", " " * 3, "\xa0", "z" * 40]), max_size=15).map("".join), max_size=8), st.integers(0, 3))
+def test_remembered_pieces_encode_like_whole_texts(texts, most):
+    encoder, packing.KNOWN_PIECES = packing._encoder(PATH), most
+    try:
+        for _ in range(3):
+            assert [x.tolist() for x in encoder.encode(texts)] == [reference(t) for t in texts]
+    finally:
+        packing.KNOWN_PIECES = 1 << 19
+
+
 @given(st.lists(st.integers(1, 200), max_size=60), st.integers(1, 5))
 def test_windows_stay_bounded_and_lose_nothing(sizes, most):
     packer, closed = packing.Packer(32, most), []
