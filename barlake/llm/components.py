@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, staged_rows
 
 #: Links that a task reduces to a forest at a time.
 FOREST_LINKS = 1 << 20
@@ -84,38 +84,47 @@ def _settled(edges: DataFrame) -> bool:
     return seen.filter("below > 1 or (below = 1 and above = 1)").isEmpty()
 
 
-def stars(links: DataFrame) -> DataFrame:
+def stars(links: DataFrame, small: int = FOREST_LINKS) -> DataFrame:
     """Stored (a, b): the smallest id a reachable from every other id b in ``links``.
 
-    Each task reduces its own links to a forest; then large and small stars alternate until
-    every id has one link. Links of a node are reduced by partial aggregates and joins, never
-    gathered, so a node may have any number of them; the number of rounds grows with the
-    logarithm of the longest path. Every round is stored in the shared folder. Self-links,
-    repeated links and links in both directions do no harm.
+    Links are counted as they are stored. Up to ``small`` of them, 16 bytes each, are one
+    task's forest. More are reduced to a forest in every task; then large and small stars
+    alternate until every id has one link. Links of a node are reduced by partial aggregates
+    and joins, never gathered, so a node may have any number of them; the number of rounds
+    grows with the logarithm of the longest path. Every round is stored in the shared folder.
+    Self-links, repeated links and links in both directions do no harm.
     """
-    edges = staged(_forests(links).distinct(), "links")
+    stored, n = staged_rows(links.select("a", "b"), "links")
+    if n <= small:
+        return staged(_forests(stored.coalesce(1)), "links")
+    edges = staged(_forests(stored).distinct(), "links")
     while not _settled(edges):
         edges = staged(_small_star(_large_star(edges)), "links")
     return edges
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, small: int = FOREST_LINKS) -> DataFrame:
     """(id, component): the smallest id reachable, for every id in ``links`` (a, b)."""
-    edges = stars(links)
+    edges = stars(links, small)
     members = edges.select(F.col("b").alias("id"), F.col("a").alias("component"))
     return members.union(edges.select(F.col("a").alias("id"), F.col("a").alias("component")).distinct())
 
 
-def contracted(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+def told(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links between ids as links between their components."""
+    of = lambda end: labels.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+    both = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    return both.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+
+
+def contracted(labels: DataFrame | None, links: DataFrame, small: int = FOREST_LINKS) -> DataFrame:
     """Labels (id, component) of ids that aren't their component's smallest, after more links.
 
-    Only the components that the new links name are worked on: links are told by their
-    components, whose stars then relabel. None stands for no labels so far.
+    ``links`` are between components, so only components that they name are worked on; their
+    stars then relabel. None stands for no labels so far, when every id is its own component.
     """
+    moved = stars(links, small).select(F.col("b").alias("component"), F.col("a").alias("to"))
     if labels is None:
-        return stars(links).select(F.col("b").alias("id"), F.col("a").alias("component"))
-    of = lambda end: labels.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
-    told = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    moved = stars(told).select(F.col("b").alias("component"), F.col("a").alias("to"))
+        return moved.select(F.col("component").alias("id"), F.col("to").alias("component"))
     old = labels.join(moved, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
     return staged(old.union(moved.select("component", "to")), "labels")

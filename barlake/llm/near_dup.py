@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import BLOCK_BYTES, blocks, mixed, per_batch, staged, staged_rows, table, utf8
-from .components import contracted
+from .components import contracted, told
 
 
 @dataclass(frozen=True)
@@ -221,7 +221,9 @@ def _keyed(classes: DataFrame, scheme: Scheme) -> DataFrame:
 
 
 def _close(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """The pairs (a, b) whose set sizes and signatures allow a link."""
+    """The distinct pairs (a, b) of longs, with what is beside them, whose set sizes and signatures allow a link."""
+    names = pairs.columns
+
     side = lambda x: classes.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n").alias(f"n_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
@@ -229,11 +231,11 @@ def _close(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
     def run(batch: pa.RecordBatch):
         a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, scheme.values) for c in ("sig_a", "sig_b"))
         near = pa.array((a != b).sum(axis=1) <= scheme.far)
-        yield batch.select(["a", "b"]).filter(near)
+        yield batch.select(names).filter(near)
 
-    return both.filter(least * 100 >= most * scheme.threshold).select("a", "b", "sig_a", "sig_b").mapInArrow(
-        per_batch(run), "a long, b long"
-    ).distinct()
+    return both.filter(least * 100 >= most * scheme.threshold).select(*names, "sig_a", "sig_b").mapInArrow(
+        per_batch(run), ", ".join(f"{c} long" for c in names)
+    )
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
@@ -261,7 +263,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
     )
     shared = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - shared
-    return both.filter(shared * 100 >= union * scheme.threshold).select("a", "b").distinct()
+    return both.filter(shared * 100 >= union * scheme.threshold).select(*pairs.columns)
 
 
 def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -294,13 +296,14 @@ def _starred(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: Da
         drawn = [F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(STAR_CENTERS * round_ + i))) for i in range(STAR_CENTERS)]
         centers = rows.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("c"))
         pairs = rows.join(centers, "key").withColumn("c", F.explode("c")).filter("c.component <> component").select(
-            F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b")
+            F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b"),
+            F.least("c.component", "component").alias("ca"), F.greatest("c.component", "component").alias("cb"),
         )
         pairs = staged(_close(pairs.distinct(), classes, scheme), "near-pairs")
         more, n = staged_rows(confirmed(pairs, sets, scheme), "near-links")
         members, round_ = rows, round_ + 1
         if n:
-            labels = contracted(labels, more)
+            labels = contracted(labels, more.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         if n * STAR_GAIN <= left:
             return (staged(_open(members, labels), "near-open") if n else rows), labels
 
@@ -438,7 +441,7 @@ def link_labels(docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFram
     rows, labels = _starred(members, labels, classes, sets, scheme)
     full = _with(rows, classes.select("id", "sig").join(sets, "id").withColumn("n", F.size("shingles").cast("long")))
     last = _compared(full.select("key", "slot", "id", "component", "n", "sig", "shingles"), scheme, _exact, "a long, b long")
-    return contracted(labels, last)
+    return contracted(labels, told(last, labels))
 
 
 def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
@@ -464,7 +467,7 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     bridges = known.join(several, "doc_id").join(classes.select("cls", "id"), "cls").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     labels = link_labels(docs.filter("doc_id is not null"), classes, scheme)
     if not several.isEmpty():
-        labels = contracted(labels, bridges)
+        labels = contracted(labels, told(bridges, labels))
     of_class = staged(classes.join(labels, "id", "left").select("cls", F.coalesce("component", "id").alias("of")), "near-labels")
     return rows.join(of_class, "cls", "left").select(
         "doc_id", "n_shingles",

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from barlake.llm import near_dup
-from barlake.llm.components import components
+from barlake.llm.components import components, contracted, told
 
 SF = "/root/testdata/sf0.001"
 
@@ -133,6 +133,28 @@ def test_components_of_a_long_path_and_a_star(spark):
     assert got == want
 
 
+def test_components_of_many_links_are_found_by_all_tasks(spark):
+    """The same components where the links are too many for one task."""
+    links = [(i, i + 1) for i in range(100, 160)] + [(7, j) for j in range(200, 400)] + [(5, 5), (9, 8), (8, 9), (9, 8)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    want = {(i, 100) for i in range(100, 161)} | {(j, 7) for j in [7, *range(200, 400)]} | {(8, 8), (9, 8)}
+    assert {tuple(r) for r in components(df, small=3).collect()} == want
+
+
+@pytest.mark.parametrize("small", [2, 10_000])
+def test_labels_after_more_links(spark, small):
+    rng = random.Random(small)
+    parent, labels = {i: i for i in range(200)}, None
+    for _ in range(4):
+        more = [(rng.randrange(200), rng.randrange(200)) for _ in range(40)]
+        for a, b in more:
+            x, y = sorted((parent[a], parent[b]))
+            parent = {i: x if p == y else p for i, p in parent.items()}
+        df = spark.createDataFrame(more, "a long, b long")
+        labels = contracted(labels, df if labels is None else told(df, labels), small)
+        assert {(r.id, r.component) for r in labels.collect()} == {(i, p) for i, p in parent.items() if i != p}
+
+
 def test_one_document_of_each_group_stays(spark):
     text = "the same eight words stand here twice over"
     rows = [(5, text, "a"), (3, text, "b"), (3, text, "b"), (None, text, "c"), (8, "other text altogether", "d"), (9, None, "e"), (10, "", "f")]
