@@ -6,13 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import code_in_list
 from .aggregates import bars_per_day, short_days
 from .joins import expected_calendar, find_missing, reference_calendar, semi_present
-from .windows import trading_day_offset
+from .windows import calendar_index, trading_day_offset
 
 
 def completeness_report(
@@ -70,6 +70,91 @@ def completeness_report(
     )
 
 
+def missing_ranges(
+    spans: DataFrame,
+    bars: DataFrame,
+    calendar: DataFrame,
+    key: str = "stock_code",
+    date: str = "trade_date",
+    start: str = "ipo_date",
+    end: str | None = None,
+) -> DataFrame:
+    """(key, first_day, last_day, days): runs of trading days that a key has no bar on.
+
+    ``spans`` has one row per key with the day it starts on and maybe the day it ends on, the
+    calendar's last by default. Days are numbered by the calendar, and a run of missing days is the gap
+    between the numbers of two bars that follow each other, or between a bar and an end
+    of the span. So the work follows the bars there are, not the days there should be: a key
+    that never traded is one row. Bars off the calendar or outside the span close no gap.
+    A window group holds a key's trading days. Keys without a start are left out.
+    """
+    index = calendar_index(calendar, date)  # every civil day with the trading days up to it
+    ranked = calendar.select(date).distinct().join(index, date)
+    limits = calendar.agg(F.min(date).alias("__lo"), F.max(date).alias("__hi"))
+    lo, hi = limits.select("__lo").scalar(), limits.select("__hi").scalar()
+    begin = F.greatest(F.col(start), lo)
+    stop = hi if end is None else F.least(F.col(end), hi)
+    dated = spans.filter(F.col(start).isNotNull()).select(key, begin.alias("__begin"), stop.alias("__stop")).filter("__begin <= __stop")
+    # numbers just outside the span, as if there were a bar
+    rank = lambda name: index.select(F.col(date).alias(name), F.col("rank").alias(f"{name}_rank"))
+    edges = (
+        dated.withColumn("__before", F.date_sub("__begin", 1))
+        .join(rank("__stop"), "__stop").join(rank("__before"), "__before", "left")
+        .select(key, F.coalesce("__before_rank", F.lit(0)).alias("__from"), (F.col("__stop_rank") + 1).alias("__to"))
+    )
+    there = bars.select(key, date).join(ranked, date).select(key, "rank").distinct()
+    within = there.join(edges, key).filter((F.col("rank") > F.col("__from")) & (F.col("rank") < F.col("__to"))).select(key, "rank")
+    marks = within.union(edges.select(key, F.explode(F.array("__from", "__to")).alias("rank")))
+    following = F.lead("rank").over(Window.partitionBy(key).orderBy("rank"))
+    gaps = marks.withColumn("__next", following).filter(F.col("__next") - F.col("rank") > 1)
+    day = lambda name, c: ranked.select(F.col("rank").alias(c), F.col(date).alias(name))
+    return (
+        gaps.select(key, (F.col("rank") + 1).alias("__first"), (F.col("__next") - 1).alias("__last"))
+        .join(day("first_day", "__first"), "__first").join(day("last_day", "__last"), "__last")
+        .select(key, "first_day", "last_day", (F.col("__last") - F.col("__first") + 1).cast("bigint").alias("days"))
+    )
+
+
+def daily_ranges(
+    stock_map: DataFrame, daily: DataFrame, codes: Sequence[str] | DataFrame | None = None,
+    reference: Sequence[str] = ("600000", "000001"),
+) -> DataFrame:
+    """The runs of days behind ``completeness_daily``, one row per run."""
+    calendar = reference_calendar(daily, "stock_code", F.col("trade_date"), reference)
+    if codes is not None:
+        stock_map, daily = (code_in_list(df, "stock_code", codes) for df in (stock_map, daily))
+    return missing_ranges(stock_map, daily, calendar)
+
+
+def minute_ranges(
+    minute: DataFrame, reference: str = "600000", codes: Sequence[str] | DataFrame | None = None,
+    key: str = "stock_code", ts: str = "datetime",
+) -> DataFrame:
+    """Runs of days without minute bars, up to each instrument's last day.
+
+    A requested code without any bar is one run over the whole calendar.
+    """
+    day = F.to_date(F.col(ts))
+    calendar = reference_calendar(minute, key, day, [reference])
+    checked = minute if codes is None else code_in_list(minute, key, codes)
+    days = checked.select(key, day.alias("trade_date")).distinct()
+    spans = days.groupBy(key).agg(F.max("trade_date").alias("__last"))
+    if codes is not None:
+        spans = _code_table(minute, codes, key).join(spans, key, "left")
+    spans = spans.withColumns({
+        "__first": calendar.select(F.min("trade_date")).scalar(),
+        "__last": F.coalesce("__last", calendar.select(F.max("trade_date")).scalar()),
+    })
+    return missing_ranges(spans, days, calendar, key, start="__first", end="__last")
+
+
+def _code_table(df: DataFrame, codes: Sequence[str] | DataFrame, key: str) -> DataFrame:
+    """The distinct requested codes as a table (key)."""
+    if not isinstance(codes, DataFrame):
+        codes = df.sparkSession.createDataFrame([(c,) for c in codes], "code string")
+    return codes.select(F.col(codes.columns[0]).alias(key)).filter(F.col(key).isNotNull()).distinct()
+
+
 def completeness_daily(
     stock_map: DataFrame,
     daily: DataFrame,
@@ -82,7 +167,7 @@ def completeness_daily(
 def completeness_minute(
     minute: DataFrame,
     reference: str = "600000",
-    codes: Sequence[str] | None = None,
+    codes: Sequence[str] | DataFrame | None = None,
     key: str = "stock_code",
     ts: str = "datetime",
     min_bars: int = 240,
@@ -114,11 +199,8 @@ def completeness_minute(
         ).filter(F.col("__from").isNotNull())
     else:
         listing = periods.agg(F.collect_list(F.struct("*"))).scalar()
-        wanted = minute.sparkSession.createDataFrame(
-            [(c,) for c in dict.fromkeys(codes)], f"`{key}` string"
-        )
         spans = (
-            wanted.withColumn("__p", F.explode(listing)).select(key, "__p.*")
+            _code_table(minute, codes, key).withColumn("__p", F.explode(listing)).select(key, "__p.*")
             .join(last, [key, "__period"], "left")
             .withColumn("latest", F.coalesce("latest", "__last"))
         )

@@ -96,6 +96,41 @@ def sections_of(text: Column) -> Column:
     return F.filter(pairs, lambda s: (s["name"] != "") & has_text(s["body"]))
 
 
+def section_hash(section: Column) -> Column:
+    """Hash of a section's name and body."""
+    return short_hash(F.concat(section["name"], F.lit("\n"), section["body"]))
+
+
+def report_hash(hashes: Column) -> Column:
+    """Hash of a report: of the hashes of its sections, in order.
+
+    Equal for texts that differ only in what no section shows, e.g. what stands before the
+    first marker.
+    """
+    return short_hash(F.array_join(hashes, ""))
+
+
+def doc_section_hashes(docs: DataFrame, keys: Sequence[str] = ("code",), text: str = "text") -> DataFrame:
+    """(keys, section_no, name, section_hash, report_hash) of every section."""
+    hashed = F.transform(sections_of(F.col(text)), lambda s: F.struct(s["name"].alias("name"), section_hash(s).alias("h")))
+    made = docs.select(*keys, let(hashed, lambda a: F.struct(a.alias("s"), report_hash(F.transform(a, lambda x: x["h"])).alias("report_hash"))).alias("r"))
+    rows = made.select(*keys, "r.report_hash", F.posexplode("r.s").alias("i", "s"))
+    return rows.select(*keys, (F.col("i") + 1).alias("section_no"), "s.name", F.col("s.h").alias("section_hash"), "report_hash")
+
+
+def doc_changed_sections(
+    docs: DataFrame, known: DataFrame, code: str = "code", text: str = "text"
+) -> DataFrame:
+    """(code, section_no, name, body) of the sections whose (code, section_hash) is not in ``known``.
+
+    A body that moved to another place of its report, or that another date's report had, is known.
+    """
+    cut = F.transform(sections_of(F.col(text)), lambda s: F.struct(s["name"].alias("name"), s["body"].alias("body"), section_hash(s).alias("h")))
+    rows = docs.select(code, F.posexplode(cut).alias("i", "s")).select(code, (F.col("i") + 1).alias("section_no"), "s.*")
+    fresh = rows.join(known.select(code, F.col("section_hash").alias("h")), [code, "h"], "left_anti")
+    return fresh.select(code, "section_no", "name", "body")
+
+
 def doc_sections(docs: DataFrame, keys: Sequence[str] = ("code",), text: str = "text") -> DataFrame:
     """(keys, section_no, name, body), numbered from 1."""
     return docs.select(*keys, F.posexplode(sections_of(F.col(text))).alias("i", "s")).select(
@@ -481,34 +516,76 @@ def _section_html(section: Column) -> Column:
     )
 
 
-def render_html(text: Column, code: Column, css: str = CSS) -> Column:
-    """A report as one HTML page: navigation, then its sections. The tags are fixed values."""
+def _rendered(sections: Column, known: Column | None) -> Column:
+    """Array of (name, section_hash, html), one per section.
 
-    def page(sections: Column) -> Column:
-        some = F.size(sections) > 0
-        links = F.transform(
-            sections,
-            lambda s: F.concat(
-                F.lit('<a href="#'), escape(s["name"]), F.lit('">'), escape(s["name"]), F.lit("</a>")
-            ),
-        )
-        nav = F.concat(F.lit("<nav>\n"), F.array_join(links, "\n"), F.lit("\n</nav>"))
-        name = F.coalesce(header_name(F.get(sections, F.lit(0))["body"]), F.lit(""))
-        return F.concat(
-            F.lit('<!DOCTYPE html>\n<html>\n<head>\n<meta charset="utf-8">\n<title>'),
-            code, F.lit(" "), name,
-            F.lit(f" F10</title>\n<style>{css}</style>\n</head>\n<body>\n"),
-            F.when(some, nav).otherwise(""), F.lit("\n"),
-            F.array_join(F.transform(sections, _section_html), "\n"),
-            F.lit("\n</body>\n</html>\n"),
+    Sections whose hash is a key of the map ``known`` are taken from there; the others are parsed.
+    """
+    def one(section: Column) -> Column:
+        digest = section_hash(section)
+        html = _section_html(section)
+        if known is not None:
+            html = F.coalesce(F.try_element_at(known, digest), html)
+        return F.struct(section["name"].alias("name"), digest.alias("section_hash"), html.alias("html"))
+
+    return F.transform(sections, one)
+
+
+def _page(sections: Column, body: Column, code: Column, css: str) -> Column:
+    """One page out of rendered sections: navigation, then the sections. The tags are fixed values.
+
+    ``body`` is the text of the first section, which names the company.
+    """
+    links = F.transform(
+        sections,
+        lambda s: F.concat(
+            F.lit('<a href="#'), escape(s["name"]), F.lit('">'), escape(s["name"]), F.lit("</a>")
+        ),
+    )
+    nav = F.concat(F.lit("<nav>\n"), F.array_join(links, "\n"), F.lit("\n</nav>"))
+    return F.concat(
+        F.lit('<!DOCTYPE html>\n<html>\n<head>\n<meta charset="utf-8">\n<title>'),
+        code, F.lit(" "), F.coalesce(header_name(body), F.lit("")),
+        F.lit(f" F10</title>\n<style>{css}</style>\n</head>\n<body>\n"),
+        F.when(F.size(sections) > 0, nav).otherwise(""), F.lit("\n"),
+        F.array_join(F.transform(sections, lambda s: s["html"]), "\n"),
+        F.lit("\n</body>\n</html>\n"),
+    )
+
+
+def render(text: Column, code: Column, css: str = CSS, known: Column | None = None) -> Column:
+    """A report as (html, sections), its page and the rendered sections that make it up."""
+    def report(sections: Column) -> Column:
+        body = F.get(sections, F.lit(0))["body"]
+        return let(
+            _rendered(sections, known),
+            lambda made: F.struct(_page(made, body, code, css).alias("html"), made.alias("sections")),
         )
 
-    return let(sections_of(text), page)
+    return let(sections_of(text), report)
 
 
 def doc_render_html(
     docs: DataFrame, code: str = "code", text: str = "text", css: str = CSS
 ) -> DataFrame:
     """Documents with their HTML; the text column is replaced by ``html``."""
-    html = render_html(F.col(text), F.col(code), css)
-    return docs.withColumn("html", html).drop(text)
+    return docs.withColumn("html", render(F.col(text), F.col(code), css)["html"]).drop(text)
+
+
+def doc_render_sections(
+    docs: DataFrame, known: DataFrame | None = None, code: str = "code", text: str = "text", css: str = CSS
+) -> DataFrame:
+    """Documents with their HTML and ``sections``; those sections that are known aren't parsed.
+
+    ``known`` (code, section_hash, html) holds sections rendered before. A report has a small
+    number of sections, so those of its code are one map beside it.
+    """
+    if known is None:
+        made = docs.withColumn("__r", render(F.col(text), F.col(code), css))
+    else:
+        own = known.join(docs.select(code).distinct(), code, "left_semi").groupBy(code, "section_hash").agg(F.max("html").alias("html"))
+        maps = own.groupBy(code).agg(F.map_from_entries(F.collect_list(F.struct("section_hash", "html"))).alias("__known"))
+        none = F.expr("map()").cast("map<string,string>")
+        held = docs.join(maps, code, "left").withColumn("__known", F.coalesce("__known", none))
+        made = held.withColumn("__r", render(F.col(text), F.col(code), css, F.col("__known"))).drop("__known")
+    return made.select(*[c for c in docs.columns if c != text], "__r.html", "__r.sections")

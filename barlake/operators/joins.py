@@ -55,10 +55,19 @@ def enrich_dimension(
 
 
 def event_price_join(
-    events: DataFrame, bars: DataFrame, keys: Sequence[str], price: str
+    events: DataFrame, bars: DataFrame, keys: Sequence[str], price: str, date: str = "trade_date"
 ) -> DataFrame:
-    """Corporate action with the price of the bar on the same instrument and day."""
-    return events.join(bars.select(*keys, price), list(keys), "left")
+    """Corporate action with the price of the bar on the same instrument and day.
+
+    Bars partitioned by ``year`` are met on it too, so that Spark prunes the partitions by
+    the years of the events, which are few, before it reads any bar.
+    """
+    if "year" not in bars.columns or date not in keys:
+        return events.join(bars.select(*keys, price), list(keys), "left")
+    dated = events.withColumn("year", F.year(date))
+    found = dated.join(bars.select(*keys, "year", price), [*keys, "year"], "inner").drop("year")
+    priced = found.select(*keys, price)
+    return events.join(priced, list(keys), "left")
 
 
 def reference_calendar(
@@ -112,18 +121,37 @@ def new_keys_only(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> D
     return without_keys(batch, target, keys)
 
 
-def newer_than_watermark(
-    batch: DataFrame, target: DataFrame, key: str, ts: str
-) -> DataFrame:
-    """Rows later than the target's last row of the same key; unseen keys stay whole."""
-    marks = target.groupBy(key).agg(F.max(ts).alias("__mark"))
+def marks_of(table: DataFrame, key: str, ts: str) -> DataFrame:
+    """(key, mark): each key's last time, one row per key."""
+    return table.groupBy(key).agg(F.max(ts).alias("mark"))
+
+
+def merge_marks(marks: DataFrame, more: DataFrame, key: str) -> DataFrame:
+    """Marks after more rows: the later of a key's marks, so a table needn't be read again."""
+    return marks_of(marks.select(key, "mark").unionByName(more.select(key, "mark")), key, "mark")
+
+
+def newer_than_marks(batch: DataFrame, marks: DataFrame, key: str, ts: str) -> DataFrame:
+    """Rows later than their key's mark; keys without one stay whole."""
+    known = marks.select(key, F.col("mark").alias("__mark"))
     return (
-        batch.join(marks, key, "left")
+        batch.join(known, key, "left")
         .filter(F.col("__mark").isNull() | (F.col(ts) > F.col("__mark")))
         .select(*batch.columns)
     )
 
 
+def newer_than_watermark(
+    batch: DataFrame, target: DataFrame, key: str, ts: str
+) -> DataFrame:
+    """Rows later than the target's last row of the same key; unseen keys stay whole.
+
+    The target is read as a whole for that; where it grows by batches, keep its marks
+    (``merge_marks``) and use ``newer_than_marks``.
+    """
+    return newer_than_marks(batch, marks_of(target, key, ts), key, ts)
+
+
 def industry_join(
     quotes: DataFrame,
     industry: DataFrame,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import code_to_prefixed
+from .windows import calendar_index
 
 MAX_ROUNDS = 2
 
@@ -118,6 +119,27 @@ def backfill_worklist(
     return due.filter(F.col("round") <= rounds).select(key, "missing_count", "round")
 
 
+def backfill_ranges(
+    ranges: DataFrame, calendar: DataFrame, key: str = "stock_code", date: str = "trade_date", bridge: int = 0
+) -> DataFrame:
+    """(key, first_day, last_day, days): one request per row for the days of ``missing_ranges``.
+
+    Runs with at most ``bridge`` trading days between them become one request; ``days`` counts the
+    missing ones. A window group holds a key's runs.
+    """
+    rank = calendar_index(calendar, date)
+    placed = ranges
+    for day, name in (("first_day", "__a"), ("last_day", "__b")):
+        placed = placed.join(rank.select(F.col(date).alias(day), F.col("rank").alias(name)), day)
+    w = Window.partitionBy(key).orderBy("__a")
+    near = F.col("__a") - F.lag("__b").over(w) <= bridge + 1
+    heads = placed.withColumn("__head", F.when(near, 0).otherwise(1))
+    parts = heads.withColumn("__part", F.sum("__head").over(w))
+    return parts.groupBy(key, "__part").agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"), F.sum("days").alias("days")
+    ).drop("__part")
+
+
 def repair_worklist(outcome: DataFrame, feeds: DataFrame) -> DataFrame:
     """(target, code) to rebuild after a retry: every table that a succeeded feed serves.
 

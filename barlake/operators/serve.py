@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import code_in_list
 from ..schemas import PRICES
-from .windows import adjust_backward, adjust_forward, change_pct
+from .windows import change_pct, factor_steps, in_days, last_before, step_factor
 
 
 def _plain(code: str) -> str:
@@ -35,25 +35,29 @@ def stock_info(df: DataFrame, code: str) -> DataFrame:
     return df.filter(F.col("stock_code") == _plain(code))
 
 
-def _adjusted(bars: DataFrame, factors: DataFrame | None, fq: str) -> DataFrame:
-    """Bars in adjusted terms; the previous close is the adjusted close of the bar before.
+def _adjusted(bars: DataFrame, steps: DataFrame, start: str, end: str, fq: str) -> DataFrame:
+    """Bars of a range of days in adjusted terms, from these days and the bar before.
 
-    So events on days without a bar count as well. A window group holds a code's bars, one
-    per day. The first bar keeps its own previous close, adjusted like its prices.
+    The previous close is the adjusted close of the bar before, so events on days without a
+    bar count as well. The very first bar keeps its own previous close, adjusted like its prices.
     """
-    if factors is None:
-        raise ValueError("adjusted prices need the factor table")
-    adjust = {"qfq": adjust_forward, "hfq": adjust_backward}.get(fq)
-    if adjust is None:
+    if fq not in ("qfq", "hfq"):
         raise ValueError(f"unknown adjustment {fq!r}")
+    inside = in_days(bars, "trade_date", start, end)
     prices = [c for c in [*PRICES, "pre_close"] if c in bars.columns]
-    out = adjust(bars, factors, prices=prices).drop("adj")
+    factor = F.col("factor_after") if fq == "qfq" else F.try_divide(F.lit(1.0), F.col("factor_upto"))
+    rows = step_factor(inside, steps, start, end)
     if "pre_close" in bars.columns:
-        before = F.lag("close").over(Window.partitionBy("stock_code").orderBy("trade_date"))
-        out = out.withColumn("pre_close", F.coalesce(before, F.col("pre_close")))
+        before = last_before(bars, "stock_code", "trade_date", start, inside.select("stock_code").distinct())
+        rows = rows.unionByName(step_factor(before, steps), allowMissingColumns=True)
+    out = rows.withColumns({c: F.col(c) * factor for c in prices})
+    if "pre_close" in bars.columns:
+        # a window group holds a code's bars of the range, and the one before
+        last = F.lag("close").over(Window.partitionBy("stock_code").orderBy("trade_date"))
+        out = out.withColumn("pre_close", F.coalesce(last, F.col("pre_close")))
         if "change_pct" in bars.columns:
             out = out.withColumn("change_pct", change_pct(F.col("close"), F.col("pre_close")))
-    return out.select(*bars.columns)
+    return out.filter(F.col("trade_date") >= _day(start)).select(*bars.columns)
 
 
 def daily(
@@ -63,9 +67,10 @@ def daily(
     end: str,
     fq: str = "bfq",
     factors: DataFrame | None = None,
+    steps: DataFrame | None = None,
 ) -> DataFrame:
     """One instrument's bars in an inclusive date range, raw or adjusted."""
-    return daily_batch(df, [code], start, end, fq, factors)
+    return daily_batch(df, [code], start, end, fq, factors, steps)
 
 
 def daily_batch(
@@ -75,21 +80,26 @@ def daily_batch(
     end: str,
     fq: str = "bfq",
     factors: DataFrame | None = None,
+    steps: DataFrame | None = None,
 ) -> DataFrame:
     """Bars of several instruments in an inclusive date range, by code and date.
 
-    A factor applies to bars of other dates, so adjustment sees the codes' factors of all
-    dates, and the bar before the range for the first previous close in it.
+    A factor applies to bars of other dates, so adjustment needs the codes' factors of all
+    dates, as ``steps`` (the stored step table, see ``factor_steps``) or as the ``factors``
+    they come from. Of the bars only the range is read, and the one before it for the
+    first previous close.
     """
     wanted = codes if isinstance(codes, DataFrame) else [_plain(c) for c in codes]
     bars = code_in_list(df, "stock_code", wanted)
-    inside = F.col("trade_date").between(_day(start), _day(end))
     if fq == "bfq":
-        return bars.filter(inside).orderBy("stock_code", "trade_date")
-    if factors is not None:
-        factors = code_in_list(factors, "stock_code", wanted)
-    bars = _adjusted(bars.filter(F.col("trade_date") <= _day(end)), factors, fq)
-    return bars.filter(inside).orderBy("stock_code", "trade_date")
+        return in_days(bars, "trade_date", start, end).orderBy("stock_code", "trade_date")
+    if steps is None:
+        if factors is None:
+            raise ValueError("adjusted prices need the factor table")
+        steps = factor_steps(code_in_list(factors, "stock_code", wanted))
+    else:
+        steps = code_in_list(steps, "stock_code", wanted)
+    return _adjusted(bars, steps, start, end, fq).orderBy("stock_code", "trade_date")
 
 
 def minute(df: DataFrame, code: str, date: str) -> DataFrame:

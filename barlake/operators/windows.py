@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,6 +64,41 @@ def _chunked_lag(
     )
 
 
+def in_days(bars: DataFrame, date: str, first: str | None, last: str | None) -> DataFrame:
+    """Bars of an inclusive range of days; partitions by ``year`` are pruned, row groups skipped."""
+    out = bars
+    for day, least in ((first, True), (last, False)):
+        if day is not None:
+            at = F.lit(day).cast("date")
+            out = out.filter(F.col(date) >= at if least else F.col(date) <= at)
+            if "year" in bars.columns:
+                year = int(day[:4])
+                out = out.filter(F.col("year") >= year if least else F.col("year") <= year)
+    return out
+
+
+#: Days before a range that are searched for the bar before it.
+LOOKBACK = 31
+
+
+def last_before(
+    bars: DataFrame, key: str, date: str, day: str, wanted: DataFrame, close: str = "close", lookback: int = LOOKBACK
+) -> DataFrame:
+    """(key, date, close) of the last bar before ``day`` of each key in ``wanted``, if there is one.
+
+    Nearly all keys have one in the days just before. Older bars are read for the others
+    only: two columns and their keys, and not at all if there are none.
+    """
+    day_before = lambda n: (datetime.date.fromisoformat(day) - datetime.timedelta(days=n)).isoformat()
+    columns = bars.select(key, date, close, *(c for c in ("year",) if c in bars.columns))
+    last = lambda df: df.groupBy(key).agg(F.max_by(F.struct(date, close), date).alias("b")).select(key, f"b.{date}", f"b.{close}")
+    near = last(in_days(columns, date, day_before(lookback), day_before(1)).join(wanted.select(key), key, "left_semi"))
+    rest = wanted.select(key).join(near.select(key), key, "left_anti")
+    if rest.isEmpty():
+        return near
+    return near.unionByName(last(in_days(columns, date, None, day_before(lookback + 1)).join(rest, key, "left_semi")))
+
+
 def change_pct(close: Column, pre: Column) -> Column:
     return F.when(pre > 0, (close - pre) / pre * 100)
 
@@ -161,6 +197,63 @@ def single_factor(
     )
 
 
+def factor_steps(
+    events: DataFrame, key: str = "stock_code", date: str = "trade_date", factor: str = "single_factor"
+) -> DataFrame:
+    """(key, from, to, factor_after, factor_upto): cumulative factors as intervals of days.
+
+    From one event to the day before the next the products of the factors after a day, and of
+    those up to it, stay what they are. The first interval of a key has no ``from``, the
+    last no ``to``. An unknown factor counts as 1, several on one day multiply. There is one
+    row per event and one more per key, so the table stays as small as the events', and it
+    serves any range of bars without their history.
+    """
+    once = events.filter(F.col(date).isNotNull()).groupBy(key, date).agg(
+        F.product(F.coalesce(F.col(factor), F.lit(1.0))).alias("__f")
+    )
+    starts = once.select(key, F.lit(None).cast("date").alias(date), F.lit(1.0).alias("__f")).distinct()
+    w = Window.partitionBy(key).orderBy(F.col(date).asc_nulls_first())  # one event per day
+    later = w.rowsBetween(1, Window.unboundedFollowing)
+    return once.unionByName(starts).select(
+        key, F.col(date).alias("from"), F.date_sub(F.lead(date).over(w), 1).alias("to"),
+        F.coalesce(F.product("__f").over(later), F.lit(1.0)).alias("factor_after"),
+        F.product("__f").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("factor_upto"),
+    )
+
+
+def update_steps(steps: DataFrame, events: DataFrame, codes: DataFrame, key: str = "stock_code") -> DataFrame:
+    """The step table after the events of some codes changed: only those are worked out anew."""
+    listed = codes.select(F.col(codes.columns[0]).alias(key)).distinct()
+    anew = factor_steps(events.join(listed, key, "left_semi"), key)
+    return steps.join(listed, key, "left_anti").unionByName(anew)
+
+
+def step_factor(
+    bars: DataFrame, steps: DataFrame, first: str | None = None, last: str | None = None,
+    key: str = "stock_code", date: str = "trade_date",
+) -> DataFrame:
+    """Bars with the factor_after and factor_upto of the step they lie in.
+
+    With the days ``first`` and ``last`` of the range all bars are of, steps are cut to it
+    and repeated for each of its years they reach into, and meet bars on key and year. Without, they
+    meet on the key: for a few bars of each. Either is an equi-join, and a bar lies in
+    exactly one of its key's steps; 1 stands for a key without events.
+    """
+    at, same = F.col(f"b.{date}"), F.col(f"b.{key}") == F.col(f"s.{key}")
+    starts, ends = F.col("s.from").isNull() | (at >= F.col("s.from")), F.col("s.to").isNull() | (at <= F.col("s.to"))
+    rows = bars
+    if first is not None:
+        lo, hi = F.lit(first).cast("date"), F.lit(last).cast("date")
+        steps = steps.filter((F.col("from").isNull() | (F.col("from") <= hi)) & (F.col("to").isNull() | (F.col("to") >= lo)))
+        years = F.sequence(F.year(F.greatest("from", lo)), F.year(F.least("to", hi)))
+        steps = steps.withColumn("__year", F.explode(years))
+        rows = bars.withColumn("__year", F.year(date))
+        same = same & (F.col("b.__year") == F.col("s.__year"))
+    met = rows.alias("b").join(steps.alias("s"), same & starts & ends, "left")
+    factors = [F.coalesce(F.col(f"s.{c}"), F.lit(1.0)).alias(c) for c in ("factor_after", "factor_upto")]
+    return met.select(*[F.col(f"b.{c}") for c in bars.columns], *factors)
+
+
 def adjust_forward(
     bars: DataFrame,
     factors: DataFrame,

@@ -1,15 +1,22 @@
 """Full, incremental and repair builds of the silver tables.
 
-A full build writes a new version. An incremental one appends to the current version the
-rows it lacks; a day that lands late also corrects the bar after it. A repair replaces
-rows: for the year-partitioned bar tables by overwriting the touched years, for the small
-tables by a new version. The codes of a repair are a table throughout.
+Every build ends with a new version of its table, which readers see as a whole or not at
+all. A full build's is complete. An incremental one's adds the rows the table lacks, and a
+day that lands late also corrects the bar after it; a repair's replaces rows. For the
+year-partitioned bar tables and the reports, which lie in hash buckets, such a version holds
+only the years or buckets that changed and goes on using the others. The codes of a repair
+are a table throughout.
+
+Of minute bars, each code's last stored time and the time up to which landed rows were
+looked at belong to the version (``marks``), so an incremental build reads neither the
+stored table nor landed rows it has seen.
 """
 
 from __future__ import annotations
 
+import contextlib
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,14 +25,16 @@ from pyspark.sql import functions as F
 from ..functions import code_in_list, code_to_prefixed_lookup, date_prefix_filter
 from ..operators import quality
 from ..operators.documents import doc_changed, doc_hash
-from ..operators.joins import new_keys_only, newer_than_watermark
+from ..operators.joins import marks_of, merge_marks, new_keys_only, newer_than_marks
 from ..operators.upsert import new_rows, replace_keys, upsert_update
-from ..operators.windows import change_pct, surrogate_id
-from ..schemas import ADJ_FACTOR, BUILD_RESULT, DAILY, DOC, FINANCE, MINUTE, STOCK_MAP
+from ..operators.windows import change_pct, factor_steps, last_before, surrogate_id, update_steps
+from ..schemas import (
+    ADJ_FACTOR, ADJ_STEP, BUILD_RESULT, DAILY, DOC, DOC_SECTION, FINANCE, MINUTE, STOCK_MAP,
+)
 from ..sources.files import landed_documents, read_documents
 from ..sources.sinks import (
-    by_year, current_version, drop_old_versions, measured, path_exists, read_version, remove_path,
-    require_rename, stored_years, write_version,
+    current_version, drop_old_versions, drop_unused_parts, measured, new_version, path_exists,
+    read_version, remove_path, stored_years, write_parts, write_version,
 )
 from . import silver
 
@@ -45,6 +54,10 @@ _KEYS = {
     "doc": ["stock_code", "trade_date"],
 }
 _YEAR_OF = {"daily": "trade_date", "minute": "datetime"}
+# Reports lie in so many buckets of their codes' hashes.
+DOC_BUCKETS = 64
+# Landed rows may be stamped so long before they can be read.
+ARRIVAL_LAG = "1 day"
 _RULES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "stock_map": quality.dq_stock_map,
     "daily": lambda df: quality.null_rule(df, "silver.daily", "pre_close", "info"),
@@ -76,6 +89,7 @@ class _Job:
         self.spark, self.target, self.paths = spark, target, paths
         self.gate = Observation()
         self.written = Observation()
+        self.landed: Observation | None = None  # the last arrival among the rows looked at
         self.gated = target in ("daily", "minute")
         self.years: list[int] | None = None  # years of a bar table this build wrote
         self.root = paths.clean(target)
@@ -87,12 +101,24 @@ class _Job:
     def optional(self, table: str) -> DataFrame | None:
         return self.bronze(table) if path_exists(self.spark, self.paths.raw(table)) else None
 
+    @property
+    def by(self) -> str | None:
+        return {"daily": "year", "minute": "year", "doc": "bucket"}.get(self.target)
+
     def current(self) -> DataFrame:
-        return read_version(self.spark, self.root, _SCHEMAS[self.target])
+        table = read_version(self.spark, self.root, _SCHEMAS[self.target])
+        if self.by and self.by not in table.columns:  # no partition was ever written
+            table = table.withColumn(self.by, F.lit(None).cast("int"))
+        return table
+
+    def partitioned(self, df: DataFrame) -> DataFrame:
+        """Rows with the column that their table is partitioned by."""
+        if self.target == "doc":
+            return df.withColumn("bucket", F.pmod(F.xxhash64("stock_code"), F.lit(DOC_BUCKETS)).cast("int"))
+        return df.withColumn("year", F.year(_YEAR_OF[self.target]))
 
     def other(self, target: str) -> DataFrame:
-        table = read_version(self.spark, self.paths.clean(target), _SCHEMAS[target])
-        return table.select(*_SCHEMAS[target].fieldNames())
+        return read_version(self.spark, self.paths.clean(target), _SCHEMAS[target])
 
     # -- rows of the target, from all landed data or from a part of it
 
@@ -115,17 +141,47 @@ class _Job:
             if secondary is not None:
                 secondary = date_prefix_filter(secondary, "date", day)
             if self.path is not None:
-                seed = silver.last_close(self.current(), F.lit(day).cast("date"))
+                codes = silver.landed_codes(primary, secondary)
+                seed = last_before(self.current(), "stock_code", "trade_date", day, codes).select(
+                    "stock_code", F.col("close").alias("seed_close")
+                )
         return silver.daily_bars(primary, secondary, seed, self.gate)[0]
 
     def _minute(self, day, codes):
         raw = self._pick(self.bronze("minute"), "stock_code", codes)
+        if day is not None:
+            raw = silver.since_marks(raw, self.marks(), ARRIVAL_LAG)
+        if "ingested_at" in raw.columns and codes is None:
+            self.landed = Observation()
+            arrived = F.max(F.col("ingested_at").cast("timestamp_ntz"))
+            raw = raw.observe(self.landed, arrived.cast("string").alias("arrived"))
         if day is not None:
             typed = raw.withColumn("__ts", F.col("datetime").try_cast("timestamp_ntz"))
-            marks = self.current().select("stock_code", F.col("datetime").alias("__ts"))
-            raw = newer_than_watermark(typed, marks, "stock_code", "__ts").drop("__ts")
+            raw = newer_than_marks(typed, self.marks(), "stock_code", "__ts").drop("__ts")
         return silver.minute_bars(raw, self.gate)[0]
 
+    # -- marks: (stock_code, mark, arrived), one row per code, stored with each version of the minute table
+
+    def marks(self) -> DataFrame:
+        """Marks of the current version; of one that has none, from the table itself."""
+        path = self._marks_of(self.path)
+        if path_exists(self.spark, path):
+            return self.spark.read.schema("stock_code string, mark timestamp_ntz, arrived timestamp_ntz").parquet(path)
+        own = marks_of(self.current(), "stock_code", "datetime")
+        return own.withColumn("arrived", F.lit(None).cast("timestamp_ntz"))
+
+    def _save_marks(self, marks: DataFrame, path: str, known: DataFrame | None) -> None:
+        """Store the marks of a version that isn't visible yet."""
+        seen = measured(self.landed, "arrived")["arrived"] if self.landed is not None else None
+        before = None if known is None else known.agg(F.max("arrived").cast("string")).first()[0]
+        arrived = max((t for t in (seen, before) if t), default=None)  # 0 where nothing was read
+        rows = marks.select("stock_code", "mark", F.lit(arrived).cast("timestamp_ntz").alias("arrived"))
+        write_version(rows.coalesce(1), f"{self.paths.silver}/marks/{self.target}", int(path.rsplit("v=", 1)[1]))
+        drop_old_versions(self.spark, f"{self.paths.silver}/marks/{self.target}", keep=3)
+
+    def _marks_of(self, path: str) -> str:
+        return f"{self.paths.silver}/marks/{self.target}/{path.rsplit('/', 1)[1]}"
+
     def _adj_factor(self, day, codes):
         raw = self._pick(self.bronze("xdxr"), "code", codes)
         events = silver.corporate_actions(raw)
@@ -155,84 +211,138 @@ class _Job:
         indexed = self.paths.raw("docs_landed")
         if path_exists(self.spark, indexed):
             known = self.current() if day is not None else None
-            docs = landed_documents(self.spark, indexed, known)
-            return silver.doc_pages(self._pick(docs, "stock_code", codes))
-        docs = self._pick(
-            read_documents(self.spark, self.paths.raw("docs")), "stock_code", codes
-        )
-        if day is not None:
-            known = self.current().select(
-                "stock_code", F.col("source_hash").alias("file_hash")
+            docs = self._pick(landed_documents(self.spark, indexed, known), "stock_code", codes)
+        else:
+            docs = self._pick(
+                read_documents(self.spark, self.paths.raw("docs")), "stock_code", codes
             )
-            docs = doc_changed(doc_hash(docs), known, "stock_code")
-        return silver.doc_pages(docs)
+            if day is not None:
+                known = self.current().select(
+                    "stock_code", F.col("source_hash").alias("file_hash")
+                )
+                docs = doc_changed(doc_hash(docs), known, "stock_code")
+        return silver.changed_pages(docs, None if day is None else self.sections())
+
+    # -- sections of reports, rendered: a second table in the same buckets
+
+    def sections(self) -> DataFrame:
+        return read_version(self.spark, f"{self.root}_section", DOC_SECTION).select(*DOC_SECTION.fieldNames())
+
+    def _save_sections(self, pages: DataFrame, buckets: Sequence[int] | None) -> None:
+        """Store the sections of new pages: of all, or in place of their reports' in the buckets given.
+
+        They come before the pages, whose hashes decide what is rendered: if a build dies in between, the
+        next one renders the same reports again.
+        """
+        root, rows = f"{self.root}_section", silver.page_sections(pages)
+        if buckets is not None and current_version(self.spark, root) is not None:
+            held = read_version(self.spark, root, DOC_SECTION)
+            if "bucket" in held.columns:
+                gone = pages.select("stock_code").distinct()
+                held = held.filter(F.col("bucket").isin(list(buckets))).join(gone, "stock_code", "left_anti")
+                rows = held.select(*DOC_SECTION.fieldNames()).unionByName(rows)
+        write_parts(self.partitioned(rows), root, "bucket", ["stock_code", "section_no"], buckets)
+        drop_unused_parts(self.spark, root)
 
     # -- writing
 
-    def _counted(self, df: DataFrame) -> DataFrame:
-        names = _SCHEMAS[self.target].fieldNames()
+    def _counted(self, df: DataFrame, *more: str) -> DataFrame:
+        names = [*_SCHEMAS[self.target].fieldNames(), *more]
         span = []
         if self.target in _YEAR_OF:
             year = F.year(_YEAR_OF[self.target])
             span = [F.min(year).alias("first"), F.max(year).alias("last")]
         return df.select(*names).observe(self.written, F.count(F.lit(1)).alias("n"), *span)
 
-    def _years(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("year", F.year(_YEAR_OF[self.target]))
+    def _save_steps(self, codes: DataFrame | None = None) -> None:
+        """Keep the step table of this version of the factors; only steps of the codes given are worked out anew."""
+        root, factors = self.paths.clean("adj_step"), self.current().select(*ADJ_FACTOR.fieldNames())
+        steps = factor_steps(factors) if codes is None else update_steps(read_version(self.spark, root, ADJ_STEP), factors, codes)
+        write_version(steps, root, int(self.path.rsplit("v=", 1)[1]))
+        drop_old_versions(self.spark, root)
 
     def _new_version(self, df: DataFrame) -> None:
-        if self.target in _YEAR_OF:
-            self.path = write_version(
-                by_year(self._years(df), *_KEYS[self.target]), self.root, partition_by=["year"]
-            )
+        if self.by:
+            self.path = write_parts(self.partitioned(df), self.root, self.by, _KEYS[self.target])
+            drop_unused_parts(self.spark, self.root)
         else:
             self.path = write_version(df, self.root)
-        drop_old_versions(self.spark, self.root)
+            drop_old_versions(self.spark, self.root)
 
     def full(self) -> None:
+        if self.target == "doc":
+            with self._staged(self._counted(self.rows(), "sections")) as pages:
+                self._save_sections(pages, None)
+                self._new_version(pages.drop("sections"))
+            return
         self._new_version(self._counted(self.rows()))
+        if self.target == "adj_factor":
+            self._save_steps()
+        if self.target == "minute":
+            self._save_marks(marks_of(self.current(), "stock_code", "datetime"), self.path, None)
 
     def incremental(self, day: str) -> None:
-        batch = self.rows(day=day)
         if self.target == "doc":
-            self._new_version(upsert_update(self.current(), self._counted(batch), _KEYS["doc"]))
-            return
-        target = self.current()
-        if self.target == "daily":  # the batch is one day: other years cannot clash
-            target = target.filter(F.col("year") == int(day[:4]))
-        if self.target == "minute":  # later than the code's last bar, hence unseen
-            fresh = self._counted(batch)
+            self._change_parts(self.rows(day=day), lambda held, rows: upsert_update(held, rows, _KEYS["doc"]))
+        elif self.target == "daily":
+            self._add_day(day)
+        elif self.target == "minute":  # later than the code's last bar, hence unseen
+            known = self.marks()
+            with self._staged(self._counted(self.rows(day=day))) as fresh:
+                path = new_version(self.root)
+                marks = merge_marks(known, marks_of(fresh, "stock_code", "datetime"), "stock_code")
+                self._save_marks(marks, path, known)
+                self._add(fresh, path=path)
         else:
-            fresh = self._counted(new_rows(target, batch, _KEYS[self.target]))
-        if self.target in _YEAR_OF:
-            # sorted, for row-group skipping
-            rows = self._years(fresh).sortWithinPartitions("year", *_KEYS[self.target])
-            rows.write.mode("append").partitionBy("year").parquet(self.path)
-        else:
-            fresh.write.mode("append").parquet(self.path)
-        if self.target == "daily":
-            self._correct_after(day)
+            with self._staged(self._counted(new_rows(self.current(), self.rows(day=day), _KEYS[self.target]))) as fresh:
+                steps = stored_steps(self.spark, self.paths) if self.target == "adj_factor" else None
+                self._new_version(self.current().unionByName(fresh))
+                if self.target == "adj_factor":
+                    self._save_steps(None if steps is None else fresh.select("stock_code"))
+
+    def _add(self, fresh: DataFrame, replaced: Sequence[int] = (), path: str | None = None) -> None:
+        """A version with more rows, or with other rows in the years it replaces."""
+        self.path = write_parts(self.partitioned(fresh), self.root, self.by, _KEYS[self.target], list(replaced), path)
+        drop_unused_parts(self.spark, self.root)
 
-    def _correct_after(self, day: str) -> None:
-        """Give each code's first bar after a day that landed late its new previous close.
+    def _add_day(self, day: str) -> None:
+        """Add a day's bars, and give each code's first bar after it its new previous close.
 
         Nothing is stored after the newest day, so the usual build ends with a look at the
         partitions from the day's year on.
         """
         stored, at = self.current(), F.lit(day).cast("date")
-        from_day = stored.filter((F.col("year") >= int(day[:4])) & (F.col("trade_date") >= at))
-        later = from_day.filter(F.col("trade_date") > at)
+        same_day = stored.filter((F.col("year") == int(day[:4])) & (F.col("trade_date") == at))
+        fresh = self._counted(new_rows(same_day, self.rows(day=day), _KEYS["daily"]))
+        later = stored.filter((F.col("year") >= int(day[:4])) & (F.col("trade_date") > at))
         if later.isEmpty():
+            self._add(fresh)
             return
-        today = from_day.filter(F.col("trade_date") == at).select("stock_code", F.col("close").alias("__close"))
-        following = later.groupBy("stock_code").agg(F.min("trade_date").alias("trade_date"))
-        wrong = (
-            later.join(following, ["stock_code", "trade_date"]).join(today, "stock_code")
-            .filter(~F.col("pre_close").eqNullSafe(F.col("__close")))
-            .withColumn("pre_close", F.col("__close"))
-            .withColumn("change_pct", change_pct(F.col("close"), F.col("pre_close")))
-        )
-        self._overwrite_years(wrong.drop("year", "__close"), lambda held, rows: upsert_update(held, rows, _KEYS["daily"]))
+        names = DAILY.fieldNames()
+        with self._staged(fresh) as fresh:
+            today = same_day.select(*names).unionByName(fresh).select("stock_code", F.col("close").alias("__close"))
+            following = later.groupBy("stock_code").agg(F.min("trade_date").alias("trade_date"))
+            wrong = (
+                later.join(following, ["stock_code", "trade_date"]).join(today, "stock_code")
+                .filter(~F.col("pre_close").eqNullSafe(F.col("__close")))
+                .withColumn("pre_close", F.col("__close"))
+                .withColumn("change_pct", change_pct(F.col("close"), F.col("pre_close")))
+            )
+            with self._staged(wrong.select(*names)) as wrong:
+                years = [r[0] for r in wrong.select(F.year("trade_date")).distinct().collect()]
+                held = stored.filter(F.col("year").isin(years)).select(*names)
+                changed = upsert_update(held, wrong, _KEYS["daily"])
+                self._add(changed.unionByName(fresh), years)
+
+    @contextlib.contextmanager
+    def _staged(self, df: DataFrame) -> Iterator[DataFrame]:
+        """Rows stored while they are in use, so that they are worked out once."""
+        folder = f"{self.paths.silver}/repair/{self.target}-{time.time_ns()}"
+        df.write.parquet(folder)
+        try:
+            yield self.spark.read.schema(df.schema).parquet(folder)
+        finally:
+            remove_path(self.spark, folder)
 
     def repair(self, codes: DataFrame) -> None:
         # rebuilt rows come from landed tables only, never from the partitions replaced
@@ -240,45 +350,39 @@ class _Job:
         if self.target in ("adj_factor", "stock_map"):
             rows = self._counted(batch)
             self._new_version(upsert_update(self.current(), rows, _KEYS[self.target]))
-        elif self.target in ("finance", "doc"):
+            if self.target == "adj_factor":
+                self._save_steps()
+        elif self.target == "finance":
             rows = self._counted(batch)
             self._new_version(replace_keys(self.current(), rows, "stock_code", codes))
         else:
-            self._replace_years(batch, codes)
-
-    def _replace_years(self, batch: DataFrame, codes: DataFrame) -> None:
-        """Rewrite the year partitions that hold, or will hold, rows of the codes."""
-        held = code_in_list(self.current(), "stock_code", codes).select("year")
-        self._overwrite_years(
-            self._counted(batch), lambda stored, rows: replace_keys(stored, rows, "stock_code", codes), held
-        )
-
-    def _overwrite_years(self, batch: DataFrame, change, also: DataFrame | None = None) -> None:
-        """Overwrite the years of ``batch`` (and ``also``) with ``change`` of their stored rows.
+            held = code_in_list(self.current(), "stock_code", codes).select(self.by)
+            self._change_parts(
+                batch, lambda stored, rows: replace_keys(stored, rows, "stock_code", codes), held, codes
+            )
 
-        The new rows of all touched years are staged first, and what is staged is removed at
-        the end: the overwrite reads nothing that it replaces.
-        """
-        require_rename(self.spark, self.path)
-        names = [*_SCHEMAS[self.target].fieldNames(), "year"]
-        rows = f"{self.paths.silver}/repair/{self.target}-rows-{time.time_ns()}"
-        self._years(batch).select(*names).write.parquet(rows)
-        rebuilt = self.spark.read.parquet(rows)
-        touched = rebuilt.select("year") if also is None else rebuilt.select("year").union(also)
-        years = [r[0] for r in touched.distinct().collect()]  # one small number per calendar year
-        stored = self.current().select(*names).filter(F.col("year").isin(years))
-        staged = f"{self.paths.silver}/repair/{self.target}-years-{time.time_ns()}"
-        change(stored, rebuilt).write.partitionBy("year").parquet(staged)
-        now = self.spark.read.schema(rebuilt.schema).parquet(staged)
-        left = [r[0] for r in now.select("year").distinct().collect()]
-        by_year(now, *_KEYS[self.target]).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("year").parquet(self.path)
-        for year in set(years) - set(left):  # no new files replaced the old ones
-            remove_path(self.spark, f"{self.path}/year={year}")
-        self.years = years
-        for folder in (rows, staged):
-            remove_path(self.spark, folder)
+    def _change_parts(
+        self, batch: DataFrame, change, also: DataFrame | None = None, codes: DataFrame | None = None
+    ) -> None:
+        """A version with ``change`` of the partitions that rows of ``batch`` (and ``also``) lie in."""
+        names = _SCHEMAS[self.target].fieldNames()
+        known = self.marks() if self.target == "minute" else None
+        sections = ["sections"] if self.target == "doc" else []
+        with self._staged(self._counted(batch, *sections)) as rows:
+            touched = self.partitioned(rows).select(self.by)
+            touched = touched if also is None else touched.union(also)
+            values = [r[0] for r in touched.distinct().collect()]  # one small number per year or bucket
+            if not values:
+                return
+            if sections:
+                self._save_sections(rows, values)
+            stored, path = self.current().filter(F.col(self.by).isin(values)).select(*names), new_version(self.root)
+            if known is not None:
+                own = marks_of(rows, "stock_code", "datetime")
+                kept = known.select("stock_code", "mark")
+                self._save_marks(replace_keys(kept, own, "stock_code", codes), path, known)
+            self._add(change(stored, rows.select(*names)), values, path)
+            self.years = values
 
     def _written_years(self) -> list[int]:
         """Exactly the stored years that this build changed."""
@@ -292,8 +396,8 @@ class _Job:
     def result(self, mode: str) -> DataFrame:
         # all issues are stored as a table; the result row has their number and its place
         written, table = measured(self.written, "n")["n"], self.current()
-        if self.target == "minute" and mode != "full":
-            table = table.filter(F.col("year").isin(self._written_years()))
+        if self.target == "minute":  # a full build has just made its keys unique
+            table = table.filter(F.col("year").isin([] if mode == "full" else self._written_years()))
         found = _RULES[self.target](table)
         where = write_version(found, f"{self.paths.silver}/issues/{self.target}")
         drop_old_versions(self.spark, f"{self.paths.silver}/issues/{self.target}")
@@ -316,6 +420,14 @@ class _Job:
                        shown.get("error", []), shown.get("warning", []))
 
 
+def stored_steps(spark: SparkSession, paths: Paths) -> DataFrame | None:
+    """The kept step table, if it is that of the current version of the factors."""
+    factors, steps = (current_version(spark, paths.clean(t)) for t in ("adj_factor", "adj_step"))
+    if factors is None or steps is None or factors.rsplit("/", 1)[1] != steps.rsplit("/", 1)[1]:
+        return None
+    return spark.read.schema(ADJ_STEP).parquet(steps)
+
+
 def _result(spark, target, mode, status, read=0, written=0, rejected=0, errors=(), warnings=()):
     row = (target, mode, status, read, written, rejected, list(errors), list(warnings))
     return spark.createDataFrame([row], BUILD_RESULT)

@@ -13,7 +13,7 @@ from ..functions import (
     rename_keys, strip_exchange, text_to_timestamp, ymd_to_date,
 )
 from ..operators.aggregates import dedup_keep_last, merge_same_day_events
-from ..operators.documents import doc_hash, doc_render_html
+from ..operators.documents import doc_hash, doc_render_html, doc_render_sections
 from ..operators.joins import enrich_dimension, event_price_join, merge_by_priority
 from ..operators.keep import keep_first
 from ..operators.windows import change_pct, pre_close, single_factor, surrogate_id
@@ -83,6 +83,14 @@ def last_close(daily: DataFrame, before: Column) -> DataFrame:
     )
 
 
+def landed_codes(primary: DataFrame, secondary: DataFrame | None = None) -> DataFrame:
+    """(stock_code) of landed daily bars, in plain form."""
+    codes = primary.select(F.col("stock_code").cast("string").alias("stock_code"))
+    if secondary is not None:
+        codes = codes.union(secondary.select(strip_exchange(F.col("stock_code"))))
+    return codes.distinct()
+
+
 def minute_bars(
     raw: DataFrame, observation: Observation | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -106,6 +114,30 @@ def minute_bars(
     return kept.drop(*arrival), typed.filter(~ok).drop(*arrival)
 
 
+def since_marks(raw: DataFrame, marks: DataFrame, lag: str) -> DataFrame:
+    """Landed minute bars that can be newer than the marks (stock_code, mark, arrived).
+
+    Rows are stamped when they land, so those stamped more than ``lag`` before the last
+    build's newest row were looked at then. Without stamps the bound is the least mark, if no
+    code is unmarked: the day of a bar is compared as text, which never leaves out a later one.
+    Both bounds are values, so the scan skips files and row groups by them.
+    """
+    if "ingested_at" in raw.columns:
+        arrived = marks.agg(F.max("arrived")).first()[0]
+        if arrived is None:
+            return raw
+        bound = F.lit(arrived).cast(raw.schema["ingested_at"].dataType) - F.expr(f"INTERVAL {lag}")
+        return raw.filter((F.col("ingested_at") >= bound) | F.col("ingested_at").isNull())
+    unmarked = raw.select("stock_code").distinct().join(marks, "stock_code", "left_anti")
+    least = marks.agg(F.min("mark")).first()[0]
+    if least is None or not unmarked.isEmpty():
+        return raw
+    if raw.schema["datetime"].dataType.typeName() != "string":
+        return raw.filter(F.col("datetime") >= F.lit(least).cast(raw.schema["datetime"].dataType))
+    # a text that doesn't begin with a digit may still be read as a time
+    return raw.filter((F.col("datetime") >= f"{least:%Y-%m-%d}") | (F.col("datetime") < "0") | (F.col("datetime") >= ":"))
+
+
 def corporate_actions(raw: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Ex-right events (category 1) of real days, per share, one per code and day.
 
@@ -187,8 +219,23 @@ def doc_pages(docs: DataFrame) -> DataFrame:
     )
 
 
+def changed_pages(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``doc_pages`` with their sections, of which those in ``known`` aren't parsed again."""
+    sources = docs.withColumn("source_hash", F.substring(F.sha2("text", 256), 1, 16))
+    pages = doc_render_sections(sources, known, code="stock_code")
+    return doc_hash(pages, "html").select(
+        "stock_code", "trade_date", "html", "file_size", "file_hash", "source_hash", "sections"
+    )
+
+
+def page_sections(pages: DataFrame) -> DataFrame:
+    """One row per section of rendered pages."""
+    rows = pages.select("stock_code", "trade_date", F.posexplode("sections").alias("i", "s"))
+    return rows.select("stock_code", "trade_date", (F.col("i") + 1).alias("section_no"), "s.name", "s.section_hash", "s.html")
+
+
 __all__ = [
-    "adj_factors", "corporate_actions", "daily_bars", "doc_pages", "finance_rows",
-    "instruments", "last_close", "minute_bars", "numeric", "primary_bars",
-    "secondary_bars", "stock_map", "with_factor",
+    "adj_factors", "changed_pages", "corporate_actions", "daily_bars", "doc_pages", "finance_rows",
+    "instruments", "landed_codes", "last_close", "minute_bars", "page_sections", "numeric", "primary_bars",
+    "secondary_bars", "since_marks", "stock_map", "with_factor",
 ]

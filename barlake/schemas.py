@@ -81,6 +81,15 @@ DOC = _struct(
     stock_code=T.StringType(), trade_date=T.DateType(), html=T.StringType(),
     file_size=T.LongType(), file_hash=T.StringType(), source_hash=T.StringType(),
 )
+DOC_SECTION = _struct(
+    stock_code=T.StringType(), trade_date=T.DateType(), section_no=T.IntegerType(),
+    name=T.StringType(), section_hash=T.StringType(), html=T.StringType(),
+)
+ADJ_STEP = T.StructType([
+    T.StructField("stock_code", T.StringType()), T.StructField("from", T.DateType()),
+    T.StructField("to", T.DateType()), T.StructField("factor_after", T.DoubleType()),
+    T.StructField("factor_upto", T.DoubleType()),
+])
 ISSUE = _struct(
     level=T.StringType(), table=T.StringType(), stock_code=T.StringType(),
     trade_date=T.DateType(), column=T.StringType(), message=T.StringType(),

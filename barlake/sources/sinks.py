@@ -1,11 +1,11 @@
 """Table writers.
 
-Appends go straight to the table. Small tables are replaced by a complete new version beside
-the old one, which readers pick up once its success marker exists, so a job that dies
-half-way leaves the previous version in place. Year partitions are overwritten one by one:
-Spark stages them and renames them in at job commit. That is no single step, and a driver
-lost during the commit can leave a year out until the job is run again; where a store
-can't rename folders at all, such writes are refused (``require_rename``).
+Landed tables are appended to. Cleaned ones get a new version beside the old one, which
+readers pick up once its success marker exists, so a job that dies half-way leaves the
+previous version in place. A version is complete, or it holds only the partitions that
+changed and goes on using those of older versions (``write_parts``): the list of them is
+stored before the marker. So an append, a repair or a late day shows as a whole or not at
+all, and no store needs to rename or overwrite anything.
 """
 
 from __future__ import annotations
@@ -21,10 +21,6 @@ from pyspark.sql.types import StructType
 from ..operators.upsert import new_rows
 from ..session import work_dir
 
-# File systems that rename a folder in one step.
-_RENAMING = ("file", "hdfs", "viewfs")
-
-
 def add_lineage(
     df: DataFrame, source: str, data_type: str, batch_id: str, ingested_at: Column | None = None
 ) -> DataFrame:
@@ -109,14 +105,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def require_rename(spark: SparkSession, path: str) -> None:
-    """Refuse to overwrite partitions in a store that copies objects to rename them."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    scheme = where.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
-    if scheme not in _RENAMING:
-        raise ValueError(f"partitions can't be replaced safely in a {scheme} store")
-
-
 def stored_years(spark: SparkSession, path: str) -> list[int]:
     """Years of a year-partitioned folder, from its listing alone."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -180,10 +168,92 @@ def next_versions(spark: SparkSession, root: str, checkpoint: str) -> int:
 
 
 def read_version(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """The newest version, with its partition column if it has one."""
     path = current_version(spark, root)
     if path is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    if not path_exists(spark, _kept(root, path)):
+        return spark.read.schema(schema).parquet(path)
+    folders = [f"{root}/{version}/{part}" for part, version in table_parts(spark, root)]
+    if not folders:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).option("basePath", root).parquet(*folders).drop("v")
+
+
+def new_version(root: str) -> str:
+    """Folder of a version to be written."""
+    return f"{root}/v={time.time_ns():020d}"
+
+
+def _kept(root: str, path: str) -> str:
+    """Where a version lists the partitions of older versions that it goes on using."""
+    return f"{root}/kept/{path.rsplit('/', 1)[1]}"
+
+
+def table_parts(spark: SparkSession, root: str, path: str | None = None) -> list[tuple[str, str]]:
+    """(partition folder, version) of all partitions that make up a version, the newest by default.
+
+    One small row per partition and write: a full build brings them together again.
+    """
+    path = current_version(spark, root) if path is None else path
+    if path is None:
+        return []
+    own, kept = [(part, path.rsplit("/", 1)[1]) for part in _partitions(spark, path)], []
+    if path_exists(spark, _kept(root, path)):
+        kept = [tuple(r) for r in spark.read.schema("part string, version string").parquet(_kept(root, path)).collect()]
+    return sorted(own + kept)
+
+
+def _partitions(spark: SparkSession, path: str) -> list[str]:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return [name for name in (status.getPath().getName() for status in listed) if "=" in name]
+
+
+def write_parts(
+    df: DataFrame, root: str, by: str, order: Sequence[str] = (), replaced: Sequence | None = None, path: str | None = None
+) -> str:
+    """A new version that holds the rows of ``df``, partitioned by a column, and what it keeps.
+
+    Partitions of the version before stay in use, but for those whose value is ``replaced``
+    (an empty list replaces none, so rows are added). With None nothing is kept. ``df`` may
+    read the version before: nothing of it is touched.
+    """
+    spark = df.sparkSession
+    path = new_version(root) if path is None else path
+    if replaced is not None:
+        gone = {f"{by}={value}" for value in replaced}
+        kept = [p for p in table_parts(spark, root) if p[0] not in gone]
+        rows = spark.createDataFrame(kept, "part string, version string").coalesce(1)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_kept(root, path))
+    laid_out = df.hint("rebalance", by).sortWithinPartitions(by, *order)
+    laid_out.write.mode("append").partitionBy(by).parquet(path)
+    return path
+
+
+def drop_unused_parts(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete partitions that none of the newest ``keep`` versions uses; returns what was deleted.
+
+    Call it when no job reads an older version any more.
+    """
+    newest, used = None, set()
+    for _ in range(keep):
+        path = current_version(spark, root, newest)
+        if path is None:
+            break
+        newest = int(path.rsplit("v=", 1)[1])
+        used |= {f"{version}/{part}" for part, version in table_parts(spark, root, path)}
+    dropped, older = [], newest
+    while older is not None and (old := current_version(spark, root, older)) is not None:
+        older = int(old.rsplit("v=", 1)[1])
+        names = [f"{old.rsplit('/', 1)[1]}/{part}" for part in _partitions(spark, old)]
+        unused = [f"{root}/{name}" for name in names if name not in used]
+        if len(unused) == len(names):  # nothing of the version is used any more
+            unused = [old, _kept(root, old)]
+        for folder in unused:
+            remove_path(spark, folder)
+        dropped += unused
+    return dropped
 
 
 def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barlake.operators import serve
 from barlake.operators.runs import failed_codes, run_step_rollup
-from barlake.plans.build import Paths, build_all, build_full, build_incremental, build_repair
+from barlake.plans.build import Paths, build_all, build_full, build_incremental, build_repair, stored_steps
 from barlake.plans.landed import dedup_landed, save_steps
-from barlake.schemas import DAILY, STEP_LOG
+from barlake.schemas import ADJ_FACTOR, DAILY, DOC, MINUTE, PRICES, STEP_LOG
 from barlake.session import work_dir
+from barlake.sources.files import land_documents
 from barlake.sources.sinks import read_version
 
 from .registry import query, rounded
-from .table_queries import _DAILY_OUT
+from .table_queries import _ADJ_ALL, _ADJ_OUT, _DAILY_OUT
 
 C = F.col
 
@@ -125,3 +127,128 @@ def _(t):
     save_steps(t.spark, f"{root}/step", steps.withColumn("status", F.lit("running")))
     save_steps(t.spark, f"{root}/step", steps)
     return read_version(t.spark, f"{root}/step", STEP_LOG).select("plan_id", "step_name", "seq", "rows", "failed", "status", C("n_errors").alias("n"))
+
+
+# ---- all years, and the tables kept beside the targets --------------------------------
+
+
+def _later(df, column, code="stock_code", days=366):
+    """A third of the codes trade for another year."""
+    kind = df.schema[column].dataType.simpleString()
+    shifted = (C(column).cast("timestamp_ntz") + F.expr(f"interval {days} days"))
+    text = F.date_format(shifted, "yyyy-MM-dd HH:mm:ss") if kind == "string" else shifted.cast(kind)
+    return df.unionByName(df.filter(F.right(code, F.lit(6)).cast("int") % 3 == 0).withColumn(column, text))
+
+
+_MINUTE_OUT = "stock_code, datetime, open, high, low, close, vol, round(amount, 4) AS amount"
+_MINUTE_YEARS = f"SELECT {_MINUTE_OUT} FROM (SELECT * FROM fx_minute UNION ALL SELECT * REPLACE (datetime + INTERVAL 366 DAY AS datetime) FROM fx_minute WHERE CAST(stock_code AS INTEGER) % 3 = 0)"
+
+
+def _stored_minute(t, paths):
+    return rounded(read_version(t.spark, paths.clean("minute"), MINUTE).select(*MINUTE.fieldNames()), 4, "amount")
+
+
+def _land_minute(t, paths, rows, at, mode="append"):
+    stamped = rows.withColumn("ingested_at", F.lit(at).cast("timestamp_ntz"))
+    stamped.write.mode(mode).option("partitionOverwriteMode", "static").parquet(paths.raw("minute"))
+
+
+@query("build_incremental_minute", _MINUTE_YEARS)
+def _(t):
+    # three landings; the second holds the last days of the first year, the third another year and repeats
+    paths, rows = Paths(*(work_dir(t.spark, n) for n in ("bronze", "silver"))), _later(t.fx_minute_raw(), "datetime")
+    early, late = C("datetime") < "2024-01-20", C("datetime") >= "2025"
+    _land_minute(t, paths, rows.filter(early), "2024-02-01")
+    build_full(t.spark, "minute", paths)
+    _land_minute(t, paths, rows.filter(~early & ~late), "2024-02-02")
+    build_incremental(t.spark, "minute", paths, "2024-02-02")
+    _land_minute(t, paths, rows.filter(late | (C("datetime") >= "2024-01-25")), "2025-02-02")
+    for _ in range(2):  # the second time nothing is new
+        build_incremental(t.spark, "minute", paths, "2025-02-02")
+    return _stored_minute(t, paths)
+
+
+@query("build_repair_minute", _MINUTE_YEARS.replace("open, high, low, close, vol", ", ".join(f"CASE WHEN stock_code IN (SELECT code FROM fx_failed) THEN {c} * 2 ELSE {c} END AS {c}" for c in ("open", "high", "low", "close")) + ", vol"))
+def _(t):
+    paths, rows = Paths(*(work_dir(t.spark, n) for n in ("bronze", "silver"))), _later(t.fx_minute_raw(), "datetime")
+    _land_minute(t, paths, rows, "2024-02-01")
+    build_full(t.spark, "minute", paths)
+    doubled = rows.withColumns({c: C(c) * 2 for c in ("open", "high", "low", "close")})
+    _land_minute(t, paths, doubled, "2024-02-02", "overwrite")
+    build_repair(t.spark, "minute", paths, failed_codes(t.fx_results()).select("code"))
+    return _stored_minute(t, paths)
+
+
+@query("build_late_days", f"SELECT {_DAILY_OUT.replace('round(change_pct, 4)', 'round(CASE WHEN pre_close > 0 THEN (close - pre_close) / pre_close * 100 END, 4)').replace('volume,', 'CAST(CASE WHEN volume < 1 THEN 0 ELSE volume END AS BIGINT) AS volume,')} FROM (SELECT *, lag(close) OVER (PARTITION BY stock_code ORDER BY trade_date) AS pre_close FROM (SELECT * FROM fx_merged UNION ALL SELECT * REPLACE (CAST(trade_date + INTERVAL 366 DAY AS DATE) AS trade_date) FROM fx_merged WHERE CAST(stock_code AS INTEGER) % 3 = 0) WHERE close > 0 AND high >= low)")
+def _(t):
+    # two years; the last day of the first and a day of the second land late
+    paths = Paths(*(work_dir(t.spark, n) for n in ("bronze", "silver")))
+    feeds = {"daily_primary": (_later(t.fx_daily_a(), "datetime"), "datetime"), "daily_secondary": (_later(t.fx_daily_b(), "date"), "date")}
+    days = ["2024-01-30", "2025-01-15"]
+    for name, (df, date) in feeds.items():
+        df.filter(~C(date).substr(1, 10).isin(days)).write.parquet(paths.raw(name))
+    build_full(t.spark, "daily", paths)
+    for day in days:
+        for name, (df, date) in feeds.items():
+            df.filter(C(date).startswith(day)).write.mode("append").parquet(paths.raw(name))
+        build_incremental(t.spark, "daily", paths, day)
+    return stored(t, paths)
+
+
+def _factors_in_two_steps(t):
+    """Daily bars and events landed, the later half of the events built incrementally."""
+    paths = Paths(*(work_dir(t.spark, n) for n in ("bronze", "silver")))
+    t.fx_daily_a().write.parquet(paths.raw("daily_primary"))
+    t.fx_daily_b().write.parquet(paths.raw("daily_secondary"))
+    build_full(t.spark, "daily", paths)
+    early = C("day") < 15
+    t.fx_xdxr().filter(early).write.parquet(paths.raw("xdxr"))
+    build_full(t.spark, "adj_factor", paths)
+    t.fx_xdxr().filter(~early).write.mode("append").parquet(paths.raw("xdxr"))
+    build_incremental(t.spark, "adj_factor", paths, "2024-01-30")
+    return paths
+
+
+@query("build_incremental_factors", "SELECT stock_code, trade_date, round(fenhong, 6) AS fenhong, round(songzhuangu, 6) AS songzhuangu, round(peigu, 6) AS peigu, peigu_price, round(single_factor, 6) AS single_factor FROM fx_factors")
+def _(t):
+    paths = _factors_in_two_steps(t)
+    out = read_version(t.spark, paths.clean("adj_factor"), ADJ_FACTOR)
+    return rounded(out, 6, "fenhong", "songzhuangu", "peigu", "single_factor")
+
+
+@query("q_daily_qfq_stored", _ADJ_OUT.format(rows=_ADJ_ALL.format(op="* p", cmp=">"), codes="SELECT stock_code FROM fx_events"))
+def _(t):
+    # from the stored bars of the range, the bar before it and the kept step table
+    paths = _factors_in_two_steps(t)
+    daily = read_version(t.spark, paths.clean("daily"), DAILY)
+    codes = read_version(t.spark, paths.clean("adj_factor"), ADJ_FACTOR).select("stock_code").distinct()
+    out = serve.daily_batch(daily, codes, "2024-01-05", "2024-01-20", "qfq", steps=stored_steps(t.spark, paths))
+    return rounded(rounded(out.select(*DAILY.fieldNames()), 4, *PRICES, "pre_close", "amount"), 6, "change_pct")
+
+
+@query("build_incremental_doc", """SELECT printf('%06d', doc_id) AS stock_code, substr(sha256(replace(replace(t, chr(13) || chr(10), chr(10)), chr(13), chr(10))), 1, 16) AS source_hash, doc_id % 5 = 0 AS rewritten FROM (
+ SELECT doc_id, '=== a ===' || chr(10) || text || chr(10) || '=== b ===' || chr(10) || 'tail' || CASE WHEN doc_id % 5 = 0 THEN ' changed' ELSE '' END AS t FROM documents)""")
+def _(t):
+    # one of two sections changes in every fifth report; its page is new, with the other section as it was
+    paths = Paths(*(work_dir(t.spark, n) for n in ("bronze", "silver")))
+    change = F.when(C("doc_id") % 5 == 0, " changed").otherwise("")
+    text = lambda tail: F.concat(F.lit("=== a ===\n"), "text", F.lit("\n=== b ===\ntail"), tail)
+    rows = t.table("documents").select(
+        F.format_string("%06d", "doc_id").alias("stock_code"), F.lit("2024-01-05").cast("date").alias("trade_date"), "doc_id", "text"
+    )
+    plain = lambda df, tail: df.select("stock_code", "trade_date", F.regexp_replace(text(tail), "\r\n?", "\n").alias("text"))
+    land_documents(plain(rows, F.lit("")), paths.raw("docs_landed"), "b1")
+    build_full(t.spark, "doc", paths)
+    before = read_version(t.spark, paths.clean("doc"), DOC).select("stock_code", C("file_hash").alias("__was"))
+    before = spark_table(t, before)
+    land_documents(plain(rows, change), paths.raw("docs_landed"), "b2")
+    build_incremental(t.spark, "doc", paths, "2024-01-06")
+    now = read_version(t.spark, paths.clean("doc"), DOC)
+    return now.join(before, "stock_code").select("stock_code", "source_hash", (C("file_hash") != C("__was")).alias("rewritten"))
+
+
+def spark_table(t, df):
+    """Rows as they are now: the versions they come from may be dropped."""
+    path = work_dir(t.spark, "rows")
+    df.write.parquet(path)
+    return t.spark.read.parquet(path)

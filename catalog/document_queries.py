@@ -102,3 +102,25 @@ def _(t):
     pages = docs.doc_render_html(docs.doc_assemble(t.fx_doc_parts()))
     found = lambda mark: F.regexp_count("html", F.lit(mark)).cast("long")
     return pages.select("code", found('<section id="').alias("sections"), found('<a href="#').alias("links"), found("<h1>").alias("headings"))
+
+
+_TITLE = "'=== ' || category || ' ===' || chr(10) || text"
+_BODY = "chr(10) || text || CASE WHEN pos < n THEN chr(10) || chr(10) ELSE '' END"
+_SECTION_HASHES = f"""SELECT code, pos AS section_no, category AS name, {_HASH.format("category || chr(10) || " + _BODY)} AS section_hash
+ FROM (SELECT *, row_number() OVER (PARTITION BY code ORDER BY category) AS pos, count(*) OVER (PARTITION BY code) AS n FROM fx_doc_parts WHERE trim(text, ' ' || chr(9) || chr(10) || chr(13)) <> '')"""
+
+
+@query("doc_section_hashes", f"SELECT x.*, {_HASH.format('y.all_hashes')} AS report_hash FROM ({_SECTION_HASHES}) x JOIN (SELECT code, string_agg(section_hash, '' ORDER BY section_no) AS all_hashes FROM ({_SECTION_HASHES}) GROUP BY code) y USING (code)")
+def _(t):
+    return docs.doc_section_hashes(docs.doc_assemble(t.fx_doc_parts())).withColumn("section_no", C("section_no").cast("bigint"))
+
+
+# one part of every fifth report is another text than before
+@query("doc_changed_sections", f"SELECT code, section_no, name FROM ({_SECTION_HASHES}) WHERE section_no = 2 AND CAST(substr(code, 2) AS BIGINT) % 5 = 0")
+def _(t):
+    reports = docs.doc_assemble(t.fx_doc_parts())
+    known = docs.doc_section_hashes(reports)
+    changed = (C("section_no") == 2) & (F.substring("code", 2, 18).cast("bigint") % 5 == 0)
+    known = known.withColumn("section_hash", F.when(changed, F.lit("other")).otherwise(C("section_hash")))
+    out = docs.doc_changed_sections(reports, known)
+    return out.select("code", C("section_no").cast("bigint").alias("section_no"), "name")

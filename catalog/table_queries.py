@@ -205,6 +205,36 @@ def _(t):
     return out.withColumn("missing_dates", joined("missing_dates"))
 
 
+_RANGES = """SELECT * FROM (WITH c AS (SELECT trade_date, row_number() OVER (ORDER BY trade_date) AS r FROM fx_cal),
+ m AS (SELECT s.stock_code, c.trade_date, c.r - row_number() OVER (PARTITION BY s.stock_code ORDER BY c.r) AS g FROM fx_stock_map s JOIN c ON c.trade_date >= s.ipo_date
+  LEFT JOIN fx_daily k ON k.stock_code = s.stock_code AND k.trade_date = c.trade_date WHERE k.stock_code IS NULL)
+ SELECT stock_code, min(trade_date) AS first_day, max(trade_date) AS last_day, count(*) AS days FROM m GROUP BY stock_code, g)"""
+
+
+@query("missing_ranges", _RANGES)
+def _(t):
+    return complete.daily_ranges(t.fx_stock_map(), t.fx_daily(), reference=REF)
+
+
+# two days are one request if less than three trading days lie between them
+@query("backfill_ranges", f"""SELECT * FROM (WITH c AS (SELECT trade_date, row_number() OVER (ORDER BY trade_date) AS r FROM fx_cal), x AS (SELECT q.*, a.r AS a, b.r AS b FROM ({_RANGES}) q JOIN c a ON a.trade_date = first_day JOIN c b ON b.trade_date = last_day),
+ y AS (SELECT *, CASE WHEN a - lag(b) OVER (PARTITION BY stock_code ORDER BY a) <= 3 THEN 0 ELSE 1 END AS head FROM x), z AS (SELECT *, sum(head) OVER (PARTITION BY stock_code ORDER BY a) AS part FROM y)
+ SELECT stock_code, min(first_day) AS first_day, max(last_day) AS last_day, CAST(sum(days) AS BIGINT) AS days FROM z GROUP BY stock_code, part)""")
+def _(t):
+    calendar = joins.reference_calendar(t.fx_daily(), "stock_code", C("trade_date"), REF)
+    ranges = complete.daily_ranges(t.fx_stock_map(), t.fx_daily(), reference=REF)
+    return runs.backfill_ranges(ranges, calendar, bridge=2)
+
+
+@query("minute_ranges", """SELECT * FROM (WITH d AS (SELECT DISTINCT stock_code, CAST(datetime AS DATE) AS day FROM fx_minute), cal AS (SELECT day, row_number() OVER (ORDER BY day) AS r FROM d WHERE stock_code = '000000'),
+ s AS (SELECT 'x' || code AS stock_code, (SELECT max(day) FROM cal) AS latest FROM fx_stocks UNION ALL SELECT stock_code, max(day) FROM d GROUP BY 1),
+ m AS (SELECT s.stock_code, cal.day, r - row_number() OVER (PARTITION BY s.stock_code ORDER BY r) AS g FROM s JOIN cal ON cal.day <= latest LEFT JOIN d ON d.stock_code = s.stock_code AND d.day = cal.day WHERE d.day IS NULL)
+ SELECT stock_code, min(day) AS first_day, max(day) AS last_day, count(*) AS days FROM m GROUP BY stock_code, g)""")
+def _(t):
+    codes = t.fx_stocks().select("code").union(t.fx_stocks().select(F.concat(F.lit("x"), "code")))  # half of them never traded
+    return complete.minute_ranges(t.fx_minute(), "000000", codes)
+
+
 _MINUTE = """SELECT stock_code, missing_date, CAST((SELECT count(*) FROM cal WHERE d > missing_date AND d <= latest) AS INTEGER) AS "offset", daily_bars FROM (
  SELECT l.stock_code, c.d AS missing_date, l.latest, CAST(NULL AS BIGINT) AS daily_bars FROM last l JOIN cal c ON c.d <= l.latest
  WHERE NOT EXISTS (SELECT 1 FROM per_day p WHERE p.stock_code = l.stock_code AND p.d = c.d)
@@ -217,6 +247,21 @@ def _(t):
     return complete.completeness_minute(t.fx_minute(), "000000", min_bars=3)
 
 
+@query("completeness_minute_codes", f"SELECT * FROM ({_MINUTE}) WHERE stock_code IN (SELECT code FROM fx_industry WHERE industry IS NOT NULL)")
+def _(t):
+    # the codes are a table; those without any bar are left out of the comparison
+    codes = t.fx_industry().filter("industry is not null").select("code").join(t.fx_minute().select(C("stock_code").alias("code")), "code", "left_semi")
+    return complete.completeness_minute(t.fx_minute(), "000000", codes, min_bars=3)
+
+
+@query("minute_marks", "SELECT stock_code, max(datetime) AS mark FROM fx_minute GROUP BY 1")
+def _(t):
+    # marks of the first days, merged with those of the rest
+    first = joins.marks_of(t.fx_minute().filter("datetime < '2024-01-10'"), "stock_code", "datetime")
+    rest = joins.marks_of(t.fx_minute().filter("datetime >= '2024-01-10'"), "stock_code", "datetime")
+    return joins.merge_marks(first, rest, "stock_code")
+
+
 _TWO_YEARS = """SELECT * FROM (WITH m AS (SELECT stock_code, CAST(datetime AS DATE) AS d FROM fx_minute UNION ALL SELECT stock_code, CAST(datetime + INTERVAL 366 DAY AS DATE) FROM fx_minute WHERE CAST(stock_code AS INTEGER) % 3 = 0),
  cal AS (SELECT DISTINCT d, year(d) AS y FROM m WHERE stock_code = '000000'),
  per_day AS (SELECT stock_code, d, year(d) AS y, count(*) AS bars FROM m GROUP BY 1, 2), last AS (SELECT stock_code, y, max(d) AS latest FROM per_day GROUP BY 1, 2)
@@ -338,6 +383,31 @@ _QFQ = _ADJ.format(op="* p", cmp=">")
 _HFQ = _ADJ.format(op="/ nullif(p, 0)", cmp="<=")
 
 
+@query("factor_steps", """SELECT * FROM (WITH e AS (SELECT stock_code, trade_date, product(coalesce(single_factor, 1)) AS f FROM fx_factors GROUP BY 1, 2),
+ k AS (SELECT stock_code, trade_date FROM e UNION ALL SELECT DISTINCT stock_code, CAST(NULL AS DATE) FROM e)
+ SELECT k.stock_code, k.trade_date AS "from", CAST(min(e.trade_date) FILTER (WHERE later) - 1 AS DATE) AS "to",
+  round(coalesce(product(f) FILTER (WHERE later), 1), 6) AS factor_after, round(coalesce(product(f) FILTER (WHERE NOT later), 1), 6) AS factor_upto
+ FROM k JOIN (SELECT * FROM e) e ON e.stock_code = k.stock_code, LATERAL (SELECT k.trade_date IS NULL OR e.trade_date > k.trade_date AS later) GROUP BY 1, 2)""")
+def _(t):
+    return rounded(windows.factor_steps(t.fx_factors()), 6, "factor_after", "factor_upto")
+
+
+@query("step_factor", "SELECT stock_code, trade_date, round(p, 6) AS factor_after, round(q, 6) AS factor_upto FROM (SELECT b.stock_code, b.trade_date, coalesce(product(coalesce(f.single_factor, 1)) FILTER (WHERE f.trade_date > b.trade_date), 1) AS p, coalesce(product(coalesce(f.single_factor, 1)) FILTER (WHERE f.trade_date <= b.trade_date), 1) AS q FROM fx_daily b LEFT JOIN fx_factors f ON f.stock_code = b.stock_code GROUP BY 1, 2)")
+def _(t):
+    # the steps of half of the codes come from an update of a table without events after a day
+    factors, codes = t.fx_factors(), t.fx_factors().filter(C("stock_code") >= "3").select("stock_code")
+    old = factors.filter((C("stock_code") < "3") | (C("trade_date") < "2024-01-15"))
+    steps = windows.update_steps(windows.factor_steps(old), factors, codes)
+    out = windows.step_factor(t.fx_daily(), steps, "2023-12-01", "2024-03-01")
+    return rounded(out, 6, "factor_after", "factor_upto").select(*DAY, "factor_after", "factor_upto")
+
+
+@query("last_before", "SELECT code AS stock_code, max(trade_date) AS trade_date, max_by(close, trade_date) AS close FROM fx_stocks JOIN fx_daily ON stock_code = code WHERE trade_date < DATE '2024-01-12' GROUP BY 1")
+def _(t):
+    wanted = t.fx_stocks().select(C("code").alias("stock_code"))
+    return windows.last_before(t.fx_daily(), "stock_code", "trade_date", "2024-01-12", wanted, lookback=2)
+
+
 @query("adjust_forward", _QFQ)
 def _(t):
     out = windows.adjust_forward(t.fx_daily(), t.fx_factors())

@@ -1,13 +1,18 @@
 """Builds over landed folders: full, incremental and repair agree."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from barlake.plans.build import TARGETS, Paths, _SCHEMAS, build, build_all
+from barlake.operators import serve
+from barlake.operators.windows import factor_steps
+from barlake.plans import build as build_module
+from barlake.plans.build import TARGETS, Paths, _Job, _SCHEMAS, build, build_all, stored_steps
 from barlake.plans import landed
-from barlake.schemas import FINANCE_MEASURES, STEP_LOG
+from barlake.schemas import DOC_SECTION, FINANCE_MEASURES, STEP_LOG
 from barlake.sources import files
-from barlake.sources.sinks import read_version
+from barlake.sources.sinks import read_version, table_parts, write_parts
 
 CODES = ["000001", "300001", "600000", "688001", "900001"]
 
@@ -173,3 +178,154 @@ def test_step_numbers_continue(spark, tmp_path):
     landed.save_steps(spark, root, steps([("b", 2), ("c", 3)]))
     got = {r.step_name: (r.seq, r.rows) for r in read_version(spark, root, STEP_LOG).collect()}
     assert got == {"a": (0, 1), "b": (1, 2), "c": (2, 3)}
+
+
+def text_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def stamped(spark, root, rows, at, mode="append"):
+    """Minute bars that land at a time."""
+    kind = "stock_code string, datetime string, close double, open double, high double, low double, vol double, amount double"
+    full = [(c, t, p, p, p + 1, p - 1, 1.0, 1.0) for c, t, p in rows]
+    df = spark.createDataFrame(full, kind).withColumn("ingested_at", F.lit(at).cast("timestamp_ntz"))
+    df.coalesce(1).write.mode(mode).option("partitionOverwriteMode", "static").parquet(f"{root}/minute")
+
+
+def test_minute_marks_prune_what_was_looked_at(spark, tmp_path):
+    paths = Paths(str(tmp_path / "bronze"), str(tmp_path / "silver"))
+    stamped(spark, paths.bronze, [("600000", "2024-01-02 09:31:00", 5.0), ("000001", "2020-01-02 09:31:00", 5.0)], "2024-01-02 16:00")
+    build(spark, "minute", "full", paths)
+    stamped(spark, paths.bronze, [("600000", "2024-01-03 09:31:00", 6.0), ("300001", "2019-05-05 10:00:00", 7.0)], "2024-01-03 16:00")
+    assert build(spark, "minute", "incremental", paths, day="2024-01-03").first().rows_written == 2
+    job = _Job(spark, "minute", paths)
+    marks = {r.stock_code: (str(r.mark), str(r.arrived)) for r in job.marks().collect()}
+    at = "2024-01-03 16:00:00"
+    assert marks == {"600000": ("2024-01-03 09:31:00", at), "000001": ("2020-01-02 09:31:00", at), "300001": ("2019-05-05 10:00:00", at)}
+    text = text_of(job.rows(day="2024-01-04"))
+    assert "GreaterThanOrEqual(ingested_at,2024-01-02T16:00)" in text
+    assert f"{paths.silver}/minute/v=" not in text and "marks" in text  # the stored table isn't read
+    # a whole build later the marks are those of the table
+    before = stored(spark, paths, "minute")
+    build(spark, "minute", "full", paths)
+    assert stored(spark, paths, "minute") == before
+    assert {r.stock_code for r in _Job(spark, "minute", paths).marks().collect()} == set(marks)
+
+
+def test_minute_rows_without_stamps_are_pruned_by_the_least_mark(spark, paths):
+    build(spark, "minute", "full", paths)
+    text = text_of(_Job(spark, "minute", paths).rows(day="2024-01-05"))
+    assert "GreaterThanOrEqual(datetime,2024-01-04)" in text
+    land(spark, paths.bronze, [28, 29, 2, 3, 4, 5])
+    more = spark.read.parquet(paths.raw("minute")).limit(1).withColumns({"stock_code": F.lit("111111"), "datetime": F.lit("2001-02-03 10:00")})
+    more.write.mode("append").parquet(paths.raw("minute"))
+    assert build(spark, "minute", "incremental", paths, day="2024-01-05").first().rows_written == 6
+
+
+@pytest.mark.parametrize("stop", ["before the bars", "half of the bars"])
+def test_a_stopped_append_loses_nothing(spark, paths, tmp_path, monkeypatch, stop):
+    land(spark, paths.bronze, [28, 29, 2])
+    build(spark, "minute", "full", paths)
+    before = stored(spark, paths, "minute")
+    land(spark, paths.bronze, [28, 29, 2, 3, 4])
+    real = build_module.write_parts
+
+    def stopped(df, root, by, order=(), replaced=None, path=None):
+        if stop == "half of the bars":  # the newer day is there, its marker isn't
+            real(df.filter("datetime >= '2024-01-04'"), root, by, order, replaced, path)
+            (tmp_path / path[path.index("silver"):] / "_SUCCESS").unlink()
+        raise OSError("stopped")
+
+    monkeypatch.setattr(build_module, "write_parts", stopped)
+    assert build(spark, "minute", "incremental", paths, day="2024-01-04").first().status == "fail"
+    assert stored(spark, paths, "minute") == before
+    monkeypatch.undo()
+    assert build(spark, "minute", "incremental", paths, day="2024-01-04").first().rows_written == 10
+    whole = Paths(paths.bronze, str(tmp_path / "whole"))
+    build(spark, "minute", "full", whole)
+    assert stored(spark, paths, "minute") == stored(spark, whole, "minute")
+
+
+def test_a_repair_leaves_older_versions_whole(spark, paths):
+    """A reader that began before a repair, or while it runs, sees all years as they were."""
+    build(spark, "daily", "full", paths)
+    reader = read_version(spark, paths.clean("daily"), _SCHEMAS["daily"])
+    before = sorted(map(str, reader.collect()))
+    land(spark, paths.bronze, [28, 29, 2, 3, 4], price=2.0)
+    build(spark, "daily", "repair", paths, codes=["600000"])
+    assert sorted(map(str, reader.collect())) == before
+    parts = table_parts(spark, paths.clean("daily"))
+    assert [p for p, _ in parts] == ["year=2023", "year=2024"] and len({v for _, v in parts}) == 1
+
+
+def test_unused_parts_are_dropped(spark, paths, tmp_path):
+    build(spark, "daily", "full", paths)
+    for k in range(4):
+        land(spark, paths.bronze, [2, 3, 4], price=2.0 + k)  # 2023 goes with the first repair
+        build(spark, "daily", "repair", paths, codes=CODES if k == 0 else ["600000"])
+    root = tmp_path / "silver" / "daily"
+    assert len([v for v in root.iterdir() if v.name.startswith("v=")]) == 2
+    assert read_version(spark, paths.clean("daily"), _SCHEMAS["daily"]).count() == 15
+
+
+def test_events_prune_the_years_of_bars(spark, paths):
+    build(spark, "daily", "full", paths)
+    build(spark, "adj_factor", "full", paths)
+    text = text_of(_Job(spark, "adj_factor", paths).rows(day="2024-01-04"))
+    assert re.search(r"PartitionFilters: \[.*dynamicpruning", text)
+
+
+def test_one_changed_section_rewrites_one_bucket(spark, paths, tmp_path):
+    at = tmp_path / "bronze" / "docs"
+    for c in CODES:
+        (at / f"{c}_20240105.txt").write_text(f"=== a ===\nprofile of {c}\n=== b ===\nsecond of {c}\n=== c ===\nthird")
+    build(spark, "doc", "full", paths)
+    was = dict(table_parts(spark, paths.clean("doc")))
+    (at / "600000_20240105.txt").write_text("=== a ===\nprofile of 600000\n=== b ===\nnew text\n=== c ===\nthird")
+    # what is known isn't parsed: a stored section that says something else shows in the new page
+    known = read_version(spark, paths.clean("doc_section"), DOC_SECTION)
+    assert known.count() == 15
+    job = _Job(spark, "doc", paths)
+    odd = known.select(*DOC_SECTION.fieldNames()).withColumn("html", F.concat(F.lit("known "), "name"))
+    job.sections = lambda: odd
+    assert [r.html.count("known") for r in job.rows(day="2024-01-06").collect()] == [2]
+    assert build(spark, "doc", "incremental", paths, day="2024-01-06").first().rows_written == 1
+    now = dict(table_parts(spark, paths.clean("doc")))
+    assert len([b for b in was if was[b] != now[b]]) == 1 and set(was) == set(now)
+    whole = Paths(paths.bronze, str(tmp_path / "whole"))
+    build(spark, "doc", "full", whole)
+    assert stored(spark, paths, "doc") == stored(spark, whole, "doc")
+    sections = lambda p: sorted(map(str, read_version(spark, p.clean("doc_section"), DOC_SECTION).select(*DOC_SECTION.fieldNames()).collect()))
+    assert sections(paths) == sections(whole)
+
+
+def test_steps_are_those_of_the_factors(spark, paths):
+    build(spark, "daily", "full", paths)
+    assert stored_steps(spark, paths) is None
+    build(spark, "adj_factor", "full", paths)
+    first = stored_steps(spark, paths)
+    assert first.count() == 2
+    land_events(spark, paths.bronze, [*XDXR, ("600000", 2024, 1, 4, 1, 5.0, 0.0, 1.0, 0.0), ("300001", 2024, 1, 3, 1, 5.0, 0.0, 1.0, 0.0)])
+    build(spark, "adj_factor", "incremental", paths, day="2024-01-04")
+    factors = read_version(spark, paths.clean("adj_factor"), _SCHEMAS["adj_factor"])
+    kept = stored_steps(spark, paths)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, factor_steps(factors).select(kept.columns).collect())) and kept.count() == 5
+
+
+def test_a_short_adjusted_range_reads_its_days_and_the_bar_before(spark, tmp_path):
+    """All bars but those of the range and the one before it are wrong on purpose."""
+    root, days = str(tmp_path / "daily"), [f"{y}-06-{d:02d}" for y in (2019, 2020, 2021, 2022, 2023, 2024) for d in range(1, 29)]
+    rows = [("600000", d, 10.0 + i, 9.0 + i if i else None) for i, d in enumerate(days)] + [("000001", "2020-06-03", 7.0, None), ("000001", "2024-06-10", 8.0, 7.0)]
+    bars = spark.createDataFrame(rows, "stock_code string, day string, close double, pre_close double").select("stock_code", F.col("day").cast("date").alias("trade_date"), "close", "close", "pre_close")
+    bars = bars.toDF("stock_code", "trade_date", "open", "close", "pre_close").withColumns({"high": F.col("close"), "low": F.col("close")})
+    events = spark.createDataFrame([("600000", "2023-06-20", 0.5), ("600000", "2024-06-09", 0.8), ("000001", "2021-01-01", 0.5)], "stock_code string, day string, single_factor double").select("stock_code", F.col("day").cast("date").alias("trade_date"), "single_factor")
+    want = serve.daily_batch(bars, ["600000", "000001"], "2024-06-09", "2024-06-12", "qfq", events).collect()
+    assert [(r.stock_code, str(r.trade_date), r.close, r.pre_close) for r in want][:2] == [("000001", "2024-06-10", 8.0, 3.5), ("600000", "2024-06-09", 158.0, 157 * 0.8)]
+    write_parts(bars.withColumn("year", F.year("trade_date")), root, "year", ["stock_code", "trade_date"])
+    stored_bars = read_version(spark, root, bars.schema)
+    out = serve.daily_batch(stored_bars, ["600000"], "2024-06-09", "2024-06-12", "qfq", steps=factor_steps(events))
+    assert [tuple(r) for r in out.select(*bars.columns).collect()] == [tuple(r) for r in want if r.stock_code == "600000"]
+    text = text_of(out)
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", text, re.S)
+    assert filters and all("year" in f and "2024" in f for f in filters)
+    assert [tuple(r) for r in serve.daily_batch(stored_bars, ["600000", "000001"], "2024-06-09", "2024-06-12", "qfq", events).select(*bars.columns).collect()] == [tuple(r) for r in want]
