@@ -10,12 +10,13 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import _texts, parts, vocabulary_path
-from .common import staged, table
+from .bpe import parts, vocabulary_path
+from .common import BATCH_ROWS, blocks, staged, table, utf8
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Ends every document.
@@ -31,11 +32,16 @@ MERGED = 64
 _PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 #: Pieces up to this length are remembered, so many of them at most.
 KNOWN_CHARS, KNOWN_PIECES = 32, 1 << 19
+#: Bytes of text whose words are told apart at once: the more, the fewer words are looked up again.
+BLOCK_BYTES = 1 << 22
 #: Pieces that are encoded in one go.
 RUN = 256
 
 _SPACES = "".join(chr(c) for c in [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
-_END = np.array([END], dtype="<u4").tobytes()
+#: A space after white space.
+_UNEVEN = f"[{_SPACES}] "
+_LAST = np.array([END], dtype="<u4")
+_END = _LAST.tobytes()
 
 
 class Encoder:
@@ -79,30 +85,74 @@ class Encoder:
             out.update(zip(run, map(raw.__getitem__, map(slice, [0, *stops], stops))))
         return out
 
-    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        cut = [[p for part in parts(t) for p in _PIECE.findall(part)] for t in texts]
+    def known_ids(self, wanted: set[str]) -> dict[str, bytes]:
+        """A dictionary that has the ids of the wanted pieces, new ones encoded."""
         known, old = self.new, self.old
-        wanted = set().union(*cut).difference(known)
-        again = old.keys() & wanted
+        missing = wanted.difference(known)
+        again = old.keys() & missing
         known.update(zip(again, map(old.__getitem__, again)))
-        found = self.encoded(list(wanted - again))
-        known.update(found)
-        find = known.__getitem__
-        out = [np.frombuffer(b"".join([*map(find, pieces), _END]), dtype="<u4") for pieces in cut]
-        for p in found:
+        known.update(self.encoded(list(missing - again)))
+        return known
+
+    def forget(self, wanted: set[str]) -> None:
+        """Keep no long pieces, and of the others the generation that is full as the old one."""
+        for p in wanted:
             if len(p) > KNOWN_CHARS:
-                del known[p]
-        if len(known) > KNOWN_PIECES:
-            self.new, self.old = {}, known
+                self.new.pop(p, None)
+        if len(self.new) > KNOWN_PIECES:
+            self.new, self.old = {}, self.new
+
+    def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Ids of each text, cut into pieces one by one."""
+        cut = [[p for part in parts(t) for p in _PIECE.findall(part)] for t in texts]
+        wanted = set().union(*cut)
+        find = self.known_ids(wanted).__getitem__
+        out = [np.frombuffer(b"".join([*map(find, pieces), _END]), dtype="<u4") for pieces in cut]
+        self.forget(wanted)
+        return out
+
+    def encode_spaced(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of texts in which no space follows white space: their words, with the space
+        before them, are the pieces. Words are told apart and put together by column."""
+        lists = pc.split_pattern(texts, " ")
+        at, words = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+        first = at[:-1]
+        heads = words.take(pa.array(first)).to_pylist()
+        later = np.ones(len(words), dtype=bool)
+        later[first] = False
+        coded = words.filter(pa.array(later)).dictionary_encode()
+        spaced = [" " + w for w in coded.dictionary.to_pylist()]
+        wanted = {*spaced, *heads} - {""}
+        known = self.known_ids(wanted)
+        raw = [known[p] for p in spaced]
+        flat, sizes = np.frombuffer(b"".join(raw), dtype="<u4"), np.array([len(r) // 4 for r in raw], dtype=np.int64)
+        of = coded.indices.to_numpy()
+        starts, counts = (np.cumsum(sizes) - sizes)[of], sizes[of]
+        ends = np.cumsum(counts)
+        ids = flat[np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
+        stops = np.concatenate(([0], ends))[at[1:] - np.arange(1, len(at))]
+        head = [np.frombuffer(known[h] if h else b"", dtype="<u4") for h in heads]
+        out = [np.concatenate((h, ids[a:b], _LAST)) for h, a, b in zip(head, [0, *stops[:-1]], stops)]
+        self.forget(wanted)
+        return out
+
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        for rows, encode in ((~uneven, self.encode_spaced), (uneven, lambda part: self.encode(part.to_pylist()))):
+            places = np.flatnonzero(rows)
+            if len(places):
+                for k, ids in zip(places, encode(texts.take(pa.array(places)))):
+                    out[k] = ids
         return out
 
 
 _encoder = functools.lru_cache(maxsize=2)(Encoder)
 
 
-def token_ids(texts: Sequence[str], path: str) -> list[np.ndarray]:
+def token_ids(texts: pa.Array, path: str) -> list[np.ndarray]:
     """Token ids of each text as the tokenizers library encodes it, with END after them."""
-    return _encoder(path).encode(texts)
+    return _encoder(path).encode_column(texts)
 
 
 class Packer:
@@ -212,9 +262,11 @@ def _first_round(docs: DataFrame, kind: str, path: str | None, size: int, most:
         packer, rows, doc_kind = Packer(size, most), _Rows(part << 32, part, with_ids), None
 
         def packed(batch: pa.RecordBatch):
-            for start, stop, texts in _texts(batch, "text"):
+            texts = batch.column("text").fill_null("")
+            _, at = utf8(texts)
+            for start, stop in blocks(at, BLOCK_BYTES, BATCH_ROWS):
                 docs_here = batch.column("doc_id").slice(start, stop - start).to_pylist()
-                for doc, ids in zip(docs_here, token_ids(texts, vocabulary)):
+                for doc, ids in zip(docs_here, token_ids(texts.slice(start, stop - start), vocabulary)):
                     rows.closed(packer.put((doc, len(ids)), 0, ids))
                 yield rows.batch(doc_kind)
 

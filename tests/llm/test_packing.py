@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -97,7 +98,7 @@ def test_empty_table(spark, made):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(list("ab1'sé!  \x1c\x1f\x85　​") + [" ", "  ", "\n", "\t", "\r\n", "'ll", "<|endoftext|>"]), max_size=40).map("".join))
 def test_pieces_encode_like_whole_texts(text):
-    (ids,) = packing.token_ids([text], PATH)
+    (ids,) = packing.token_ids(pa.array([text]), PATH)
     assert ids.tolist() == reference(text)
 
 
@@ -108,6 +109,8 @@ def test_remembered_pieces_encode_like_whole_texts(texts, most):
     try:
         for _ in range(3):
             assert [x.tolist() for x in encoder.encode(texts)] == [reference(t) for t in texts]
+            assert [x.tolist() for x in encoder.encode_column(pa.array(texts, pa.string()).slice(0))] == [reference(t) for t in texts]
+            assert [x.tolist() for x in encoder.encode_column(pa.array(texts, pa.string()).slice(1))] == [reference(t) for t in texts[1:]]
     finally:
         packing.KNOWN_PIECES = 1 << 19
 
