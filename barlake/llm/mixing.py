@@ -63,8 +63,10 @@ def thresholds(sized: DataFrame, budgets: DataFrame, bits: int = LEVEL_BITS) ->
     nested: a larger amount has a higher threshold over the same hash. A source without
     a boundary bucket (the amount covers all of it) gets 2**60.
 
-    At the last level the bucket is one hash value; it is taken if that brings the sum
-    nearer the amount. Each level shuffles one row per source, map task and bucket.
+    At the last level the bucket is one hash value: one document, or rows that repeat it. As
+    many of them are taken as bring the sum nearest the amount: all or none by the
+    threshold; else the hash is the ``edge``, and ``take`` rows are taken of it. Each level shuffles one row per
+    source, map task and bucket.
     """
     zero = F.lit(0).cast("long")
     open_ = staged(
@@ -77,19 +79,19 @@ def thresholds(sized: DataFrame, budgets: DataFrame, bits: int = LEVEL_BITS) ->
         parent = F.shiftright("h", shift + bits)
         rows = sized.select(F.col("source").alias("s"), "size", bucket.alias("bucket"), parent.alias("parent"))
         sums = (
-            rows.groupBy("s", "parent", "bucket").agg(F.sum("size").alias("words"))
+            rows.groupBy("s", "parent", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
             if used == bits
             else rows.join(
                 open_.select(F.col("source").alias("bs"), "prefix").distinct(),
                 F.col("s").eqNullSafe(F.col("bs")) & (F.col("parent") == F.col("prefix")), "left_semi",
-            ).groupBy("s", "parent", "bucket").agg(F.sum("size").alias("words"))
+            ).groupBy("s", "parent", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
         )
         upto = Window.partitionBy("source", "budget").orderBy("bucket")
         found = open_.select("source", "budget", "amount", "prefix", "below").join(sums, F.col("s").eqNullSafe(F.col("source")) & (F.col("parent") == F.col("prefix")), "left")
         found = found.withColumn("reach", F.col("below") + F.coalesce(F.sum("words").over(upto), F.lit(0)))
         # the first bucket whose running sum reaches the amount, or one past the last bucket
         boundary = found.groupBy("source", "budget", "amount", "prefix").agg(
-            F.min(F.when(F.col("reach") >= F.col("amount"), F.struct("bucket", (F.col("reach") - F.col("words")).alias("below"), "words"))).alias("at"),
+            F.min(F.when(F.col("reach") >= F.col("amount"), F.struct("bucket", (F.col("reach") - F.col("words")).alias("below"), "words", "rows"))).alias("at"),
             F.max("reach").alias("all"),
         )
         past = (F.col("prefix") + 1) * (1 << bits)
@@ -98,12 +100,18 @@ def thresholds(sized: DataFrame, budgets: DataFrame, bits: int = LEVEL_BITS) ->
                 "source", "budget", "amount",
                 F.coalesce(F.col("at.bucket"), past).alias("prefix"),
                 F.coalesce(F.col("at.below"), F.col("all")).alias("below"),
-                F.coalesce(F.col("at.words"), F.lit(0)).alias("words"),
+                F.coalesce(F.col("at.words"), F.lit(0)).alias("words"), F.coalesce(F.col("at.rows"), F.lit(0)).alias("rows"),
             ),
             "mix-level",
         )
-    nearer = F.abs(F.col("below") + F.col("words") - F.col("amount")) < F.abs(F.col("below") - F.col("amount"))
-    return open_.select("source", "budget", (F.col("prefix") + nearer.cast("long")).alias("threshold"))
+    share = (F.col("amount") - F.col("below")) / F.col("words") * F.col("rows")
+    take = F.when(F.col("words") > 0, F.least(F.greatest(F.ceil(share - 0.5), F.lit(0)), F.col("rows"))).otherwise(F.lit(0))
+    some = (F.col("take") > 0) & (F.col("take") < F.col("rows"))
+    return open_.withColumn("take", take).select(
+        "source", "budget",
+        (F.col("prefix") + ((F.col("take") == F.col("rows")) & (F.col("rows") > 0)).cast("long")).alias("threshold"),
+        F.when(some, F.col("prefix")).alias("edge"), F.when(some, F.col("take")).alias("take"),
+    )
 
 
 def hashed(docs: DataFrame) -> Column:
@@ -123,13 +131,37 @@ def source_cuts(sized: DataFrame, weights: tuple[int, ...], share: float, repeat
     found = thresholds(sized, plan.select("source", F.lit(0).alias("budget"), rest.alias("amount")))
     cuts = plan.alias("p").join(found.alias("t"), F.col("p.source").eqNullSafe(F.col("t.source"))).select(
         F.col("p.source").alias("of"), F.col("source_size").alias("of_size"), F.col("target").alias("of_target"),
-        "rounds", "threshold",
+        "rounds", "threshold", "edge", "take",
     )
     return staged(cuts, "mix-cuts")
 
 
-def copies(h: Column, repeats: int) -> Column:
-    return F.col("rounds") + ((h < F.col("threshold")) & (F.col("rounds") < repeats)).cast("long")
+def decided(rows: DataFrame, cuts: DataFrame, repeats: int) -> DataFrame:
+    """``rows`` (with in_source and h) with their source's cuts and ``copies``.
+
+    A row's copies follow from its own hash and the few numbers of its source, so rows are decided
+    where they lie. Only where some of several rows with one hash are to be taken are these numbered: in
+    each task, after those of the tasks before. Equal rows can't be told apart, so which are
+    taken makes no difference.
+    """
+    met = rows.join(cuts, F.col("in_source").eqNullSafe(F.col("of")))
+    more = lambda yes: F.col("rounds") + (yes & (F.col("rounds") < repeats)).cast("long")
+    plain = met.withColumn("copies", more(F.col("h") < F.col("threshold")))
+    if cuts.filter("edge is not null").isEmpty():
+        return plain
+    at_edge = F.coalesce(F.col("h") == F.col("edge"), F.lit(False))
+    names = plain.columns
+    key = F.coalesce(F.concat(F.lit("="), "of"), F.lit(""))
+    edge = met.filter(at_edge).withColumns({"__s": key, "part": F.spark_partition_id(), "__id": F.monotonically_increasing_id()})
+    edge = staged(edge, "mix-edge")
+    # a source has one edge, so a group is at most what one task had read
+    sizes = edge.groupBy("__s", "part").agg(F.count("*").alias("k"))
+    upto = Window.partitionBy("__s").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("__s", "part", F.coalesce(F.sum("k").over(upto), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("__s", "part").orderBy("__id"))
+    numbered = edge.withColumn("own", own).join(before, ["__s", "part"])
+    numbered = numbered.withColumn("copies", more(F.col("before") + F.col("own") <= F.col("take")))
+    return plain.filter(~at_edge).unionByName(numbered.select(*names))
 
 
 def mix(
@@ -143,15 +175,15 @@ def mix(
     is ever sorted, and the same table gives the same mix on every run.
 
     Null text has size 0. Null sources are one source, the last. Null doc_ids are hashed by
-    text alone. Rows equal in doc_id and text share one decision, as they share the hash.
-    An empty table gives an empty result; other columns are ignored.
+    text alone. Rows equal in doc_id and text share the hash; at the threshold as many of
+    them are taken as the target asks for. An empty table gives an empty result; other columns are ignored.
     """
     sized = staged(docs.select("doc_id", "source", word_count("text").alias("size"), hashed(docs).alias("h")), "mix-sizes")
     cuts = source_cuts(sized, weights, share, repeats)
-    taken = copies(F.col("h"), repeats)
-    return sized.join(cuts, F.col("source").eqNullSafe(F.col("of"))).select(
+    rows = decided(sized.withColumn("in_source", F.col("source")), cuts, repeats)
+    return rows.select(
         "doc_id", "source", "size", F.col("of_size").alias("source_size"), F.col("of_target").alias("target"),
-        taken.alias("copies"), (F.col("size") * taken).alias("taken"),
+        "copies", (F.col("size") * F.col("copies")).alias("taken"),
     )
 
 
@@ -160,16 +192,13 @@ def taken_documents(
 ) -> DataFrame:
     """Every document as often as the mix takes it, with all its columns.
 
-    A row's copies follow from its own hash and the few numbers of its source, so texts are
-    filtered where they lie.
+    Texts are filtered where they lie (``decided``).
     """
     sized = staged(docs.select("source", word_count("text").alias("size"), hashed(docs).alias("h")), "mix-sizes")
-    cuts = source_cuts(sized, weights, share, repeats).select("of", "rounds", "threshold")
+    cuts = source_cuts(sized, weights, share, repeats).select("of", "rounds", "threshold", "edge", "take")
     names = docs.columns
     row = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), docs["source"].alias("in_source"), hashed(docs).alias("h"))
-    kept = row.join(cuts, F.col("in_source").eqNullSafe(F.col("of"))).select(
-        "row", copies(F.col("h"), repeats).cast("int").alias("n")
-    )
+    kept = decided(row, cuts, repeats).select("row", F.col("copies").cast("int").alias("n"))
     repeated = kept.filter("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
     return repeated.select(*[F.col("row").getField(c).alias(c) for c in names])
 

@@ -100,3 +100,18 @@ def test_taken_documents_keep_all_columns(spark, made):
     for r in out.collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + 1
     assert got == {k: v for k, v in want.items() if v}
+
+
+def test_repeated_rows_are_taken_one_by_one(spark, made):
+    """Sources of equal rows come as near their targets as a single row allows."""
+    rows = [(1, "a b c d", "copies")] * 400 + [(2, "e f", "few")] * 7 + [(i, "w x y", "plain") for i in range(10, 400)]
+    at = made("documents", rows, "doc_id long, text string, source string")
+    out = mixing.op10_mixing(spark, at).collect()
+    assert len(out) == len(rows)
+    check(rows, out)
+    docs = spark.read.parquet(f"{at}/documents.parquet").repartition(5)
+    kept = mixing.taken_documents(docs).groupBy("source").count().collect()
+    want = {}
+    for r in out:
+        want[r.source] = want.get(r.source, 0) + r.copies
+    assert {r["source"]: r["count"] for r in kept} == want
