@@ -33,6 +33,13 @@ _FORM = (
 )
 KNOWN = re.compile(rf"(?:{_FORM}|[0-9+/_=-]+)")
 KNOWN_PART = re.compile(rf"(?<![A-Za-z0-9])(?:{_FORM})(?![A-Za-z0-9])")
+#: Known names of any length, told by what they begin or end with: digests in base64 behind their
+#: algorithm, book numbers, dated file names, ordinals and names of character sets.
+KNOWN_NAME = re.compile(
+    r"(?<![A-Za-z0-9])(?:[sS][hH][aA](?:1|224|256|384|512)[-_=/][A-Za-z0-9+/]{27,86}={0,2}"
+    r"|ISBN[_=-]?(?:97[89]-?)?[0-9](?:-?[0-9]){8}-?[0-9X]|(?:19|20)[0-9]{6}[_-][0-9]{4,6}|[0-9]+(?:st|nd|rd|th)"
+    r"|(?:ISO|iso)[-_]8859[-_][0-9]{1,2}|(?:UTF|utf)[-_]?(?:8|16|32)(?:LE|BE|le|be)?|(?:CP|cp)[0-9]{3,5}|[wW]indows-[0-9]{3,4})(?![A-Za-z0-9])"
+)
 _MIXED = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")
 #: Least length of a random piece with letters and digits, with letters of both cases mixed, with
 #: letters of one case, and of a stretch of several pieces. Clean words of these kinds and
@@ -106,6 +113,8 @@ def _random_parts(word: str, path: str, ratio: float) -> list[tuple[int, int]]:
     if KNOWN.fullmatch(word):
         return []
     known = [m.span() for m in KNOWN_PART.finditer(word) if m.end() - m.start() > LEAST_DIGITS]
+    names = [m.span() for m in KNOWN_NAME.finditer(word)]
+    known = sorted(names + [(a, b) for a, b in known if not any(a < y and x < b for x, y in names)])
     if len(word) >= LEAST_JOINED and _varied(word) and not known and len(word) < ratio * len(encode(word)):
         return [(0, len(word))]
     out, at = [], 0
@@ -135,7 +144,7 @@ def random_spans(text: str, taken: Sequence[tuple[str, int, int]], path: str, ra
     A string is judged as a whole, by pieces between separators, and by the stretches of
     pieces that are hardest to compress, so words beside a key don't hide it. Invented or
     foreign words are nearly as hard to compress as keys without digits, which therefore
-    have to be longer. Digests, UUIDs and numbers are known forms and left out.
+    have to be longer. Digests, UUIDs, numbers and known names are left out.
     """
     out, covered, k = [], sorted((s, e) for _, s, e in taken), 0
     for m in CANDIDATE.finditer(text):

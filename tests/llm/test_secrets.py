@@ -109,3 +109,18 @@ def test_paths_names_and_known_forms_are_not_random():
         "objects/D41D8CD98F00B204E9800998ECF8427E/data", "Donaudampfschifffahrtsgesellschaft",
     ):
         assert [s for s in secrets.find(f"see {clean} now", path)[1] if s[0] == "random"] == [], clean
+
+
+def test_known_names_are_no_secrets():
+    clean = [
+        "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=", "sha512-z4PhNX7vuL3xVChQ1m2AB9Yg5AULVxXcg/SpIdNs6c5H0NE8XYXysP+DGNKHfuwvY7kxvUdBeoGlODJ6+SfaPg==",
+        "/wiki/ISBN_978-3-16-148410-0", "IMG_20240105_123456_HDR", "ISO-8859-15/UTF-16LE/CP1252", "1st-2nd-3rd-4th-5th-6th",
+        "https://example.org/books/ISBN-0-306-40615-2/cover", "windows-1252/iso-8859-1", "VID_20231224_1805_final",
+    ]
+    for text in clean:
+        assert secrets.find(f"see {text} here", secrets.vocabulary_path())[1] == [], text
+    key = "q8Zr4LwX0vTn2KdJ7sBf"
+    for text in (f"ISO-8859-15/{key}", f"IMG_20240105_123456_{key}", f"1st-{key}"):
+        spans = secrets.find(text, secrets.vocabulary_path())[1]
+        at = text.index(key)
+        assert any(s <= at and e >= at + len(key) for _, s, e in spans), text
