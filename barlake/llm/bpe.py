@@ -32,11 +32,12 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 @functools.lru_cache(maxsize=4)
 def token_bytes(path: str) -> tuple[bytes, ...]:
-    """The bytes of each id of a rank file (``base64 rank`` lines)."""
-    ranks = read_ranks(path)
-    out = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        out[rank] = token
+    """The bytes of each id: its token's characters, turned back by the reversed byte table."""
+    byte_of = {character: byte for byte, character in enumerate(byte_characters())}
+    vocabulary = tokenizer(path).get_vocab()
+    out = [b""] * (max(vocabulary.values()) + 1)
+    for token, i in vocabulary.items():
+        out[i] = bytes(byte_of[character] for character in token)
     return tuple(out)
 
 
