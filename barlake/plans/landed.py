@@ -5,14 +5,14 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import dedup_latest_ties
 from ..operators.upsert import upsert_update
 from ..schemas import PLAN_LOG, STEP_LOG
 from ..sources.sinks import (
-    drop_old_versions, insert_new, path_exists, read_version, remove_path, write_version,
+    drop_old_versions, insert_new, measured, path_exists, read_version, remove_path, write_version,
 )
 
 # The business key of each landed table.
@@ -28,10 +28,11 @@ LANDED_KEYS = {
 def dedup_landed(
     spark: SparkSession, bronze: str, keys: Mapping[str, Sequence[str]] = LANDED_KEYS, ts: str = "ingested_at"
 ) -> DataFrame:
-    """Keep the latest landed rows per key of each table there is; (table, before, after).
+    """Keep the latest landed rows per key of each table there is; (table, before, after, status).
 
-    The rows that stay are stored beside the table before they replace it. A driver lost while
-    they do leaves them there, under ``dedup-...``.
+    A table without stamps can't be reduced and is ``skipped``. The rows that stay are stored
+    beside the table before they replace it. A driver lost while they do leaves them there,
+    under ``dedup-...``.
     """
     counts = []
     for name, key in keys.items():
@@ -40,16 +41,20 @@ def dedup_landed(
             continue
         landed = spark.read.parquet(path)
         if ts not in landed.columns:
+            n = landed.count()
+            counts.append((name, n, n, "skipped"))
             continue
-        beside = f"{bronze}/dedup-{name}-{time.time_ns()}"
-        dedup_latest_ties(landed, key, ts).write.parquet(beside)
-        kept = spark.read.schema(landed.schema).parquet(beside)
-        before, after = landed.count(), kept.count()
+        beside, seen = f"{bronze}/dedup-{name}-{time.time_ns()}", Observation()
+        kept = dedup_latest_ties(landed, key, ts).observe(seen, F.count(F.lit(1)).alias("n"))
+        kept.write.parquet(beside)
+        before, after = landed.count(), measured(seen, "n")["n"]  # the first is in the files' footers
         if after < before:
-            kept.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+            spark.read.schema(landed.schema).parquet(beside).write.mode("overwrite").option(
+                "partitionOverwriteMode", "static"
+            ).parquet(path)
         remove_path(spark, beside)
-        counts.append((name, before, after))
-    return spark.createDataFrame(counts, "table string, before bigint, after bigint")
+        counts.append((name, before, after, "done"))
+    return spark.createDataFrame(counts, "table string, before bigint, after bigint, status string")
 
 
 def append_intraday(df: DataFrame, path: str, day: str) -> int:

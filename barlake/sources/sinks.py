@@ -167,14 +167,14 @@ def next_versions(spark: SparkSession, root: str, checkpoint: str) -> int:
     return spark.read.parquet(kept).first()["first"]
 
 
-def read_version(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """The newest version, with its partition column if it has one."""
-    path = current_version(spark, root)
+def read_version(spark: SparkSession, root: str, schema: StructType, below: int | None = None) -> DataFrame:
+    """The newest version, or the newest below one, with its partition column if it has one."""
+    path = current_version(spark, root, below)
     if path is None:
         return spark.createDataFrame([], schema)
     if not path_exists(spark, _kept(root, path)):
         return spark.read.schema(schema).parquet(path)
-    folders = [f"{root}/{version}/{part}" for part, version in table_parts(spark, root)]
+    folders = [f"{root}/{version}/{part}" for part, version in table_parts(spark, root, path)]
     if not folders:
         return spark.read.schema(schema).parquet(path)
     return spark.read.schema(schema).option("basePath", root).parquet(*folders).drop("v")
@@ -211,19 +211,24 @@ def _partitions(spark: SparkSession, path: str) -> list[str]:
 
 
 def write_parts(
-    df: DataFrame, root: str, by: str, order: Sequence[str] = (), replaced: Sequence | None = None, path: str | None = None
+    df: DataFrame, root: str, by: str, order: Sequence[str] = (), replaced: Sequence | None = None,
+    path: str | None = None, below: int | None = None,
 ) -> str:
     """A new version that holds the rows of ``df``, partitioned by a column, and what it keeps.
 
     Partitions of the version before stay in use, but for those whose value is ``replaced``
     (an empty list replaces none, so rows are added). With None nothing is kept. ``df`` may
-    read the version before: nothing of it is touched.
+    read the version before: nothing of it is touched. A version that is named (``path``,
+    after those ``below`` it) is made anew if it is made again.
     """
     spark = df.sparkSession
-    path = new_version(root) if path is None else path
+    if path is None:
+        path = new_version(root)
+    elif below is not None:
+        remove_path(spark, path)  # of an attempt before this one
     if replaced is not None:
-        gone = {f"{by}={value}" for value in replaced}
-        kept = [p for p in table_parts(spark, root) if p[0] not in gone]
+        gone, before = {f"{by}={value}" for value in replaced}, current_version(spark, root, below)
+        kept = [p for p in table_parts(spark, root, before) if p[0] not in gone]
         rows = spark.createDataFrame(kept, "part string, version string").coalesce(1)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_kept(root, path))
     laid_out = df.hint("rebalance", by).sortWithinPartitions(by, *order)

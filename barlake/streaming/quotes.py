@@ -9,13 +9,14 @@ last two versions, so finding the current one costs the same however long a stre
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions import code_to_plain, in_trading_session, pct_or_zero
+from ..functions import code_to_plain, heat_tier, in_trading_session, pct_or_zero
 from ..operators.aggregates import industry_average
 from ..operators.joins import industry_join
 from ..operators.upsert import new_rows
@@ -23,7 +24,8 @@ from ..schemas import QUOTE_FIELDS
 from ..sources.files import gbk_lines
 from ..sources.parsers import parse_quote_lines
 from ..sources.sinks import (
-    current_version, drop_old_versions, next_versions, read_table, touched_partitions, write_version,
+    current_version, drop_old_versions, drop_unused_parts, next_versions, read_table, read_version,
+    touched_partitions, write_parts, write_version,
 )
 
 _SALTS = 32
@@ -113,6 +115,38 @@ def stream_dedup(
     )
 
 
+def stream_split_late(
+    sdf: DataFrame, root: str, checkpoint: str, delay: str = "10 minutes", ts: str = "event_time"
+) -> StreamingQuery:
+    """Rows in time under ``root``/on_time, and those behind the watermark under ``root``/late with their reason.
+
+    A watermark drops late rows unseen; here they are a table, to be looked at or merged by
+    a repair. The mark of a batch is the latest event time of all batches before it, less the
+    delay, and is stored with the batch, as a version; so a repeated batch is split as it was. A row without
+    an event time is late, too. Every row of the input is in exactly one of the two tables.
+    """
+    def split(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = current_version(spark, f"{root}/marks", below=batch_id)
+        seen = None if before is None else spark.read.schema("mark timestamp").parquet(before).first()["mark"]
+        mark = F.lit(seen).cast("timestamp")
+        edge = mark - F.expr(f"INTERVAL {delay}")
+        reason = F.when(F.col(ts).isNull(), "no event time").when(
+            F.col(ts) < edge, F.concat(F.lit("behind "), F.date_format(edge, "yyyy-MM-dd HH:mm:ss"))
+        )
+        rows = batch.withColumn("reason", reason).persist()
+        try:
+            for name, part in (("on_time", rows.filter("reason is null").drop("reason")), ("late", rows.filter("reason is not null"))):
+                part.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{name}/batch={batch_id}")
+            newest = rows.agg(F.greatest(F.max(F.col(ts).cast("timestamp")), mark).alias("mark"))
+            write_version(newest, f"{root}/marks", batch_id)
+        finally:
+            rows.unpersist()
+        drop_old_versions(spark, f"{root}/marks")
+
+    return run_available(sdf, checkpoint, split)
+
+
 def run_available(
     sdf: DataFrame,
     checkpoint: str,
@@ -169,6 +203,72 @@ def stream_industry(
     return run_available(stream_latest(sdf), checkpoint, publish, mode="complete")
 
 
+def stream_industry_changes(
+    sdf: DataFrame, industry: DataFrame, root: str, checkpoint: str, default: str = "其他", buckets: int = 64
+) -> StreamingQuery:
+    """``stream_industry`` at the cost of the quotes that moved.
+
+    Kept are each code's last quote, in buckets of its hash, and per industry the exact sum
+    and count of its members' changes. A batch takes the old quotes of its codes out of the sums and puts
+    the new ones in; only buckets with a moved code are written. Quotes, sums and averages are
+    versions numbered by batch, made from those below it, so a repeated batch writes the
+    same. A quote that isn't newer than the one kept changes nothing.
+    """
+    spark = sdf.sparkSession
+    rest = [c for c in sdf.columns if c != "code"]
+    quote = StructType([f for f in sdf.schema.fields])
+    first = next_versions(spark, f"{root}/sums", checkpoint)
+    sums_schema = "industry string, total decimal(38,9), members bigint"
+    tail = [F.col(c) for c in ["update_time", "poll_id", *[c for c in rest if c not in ("update_time", "poll_id")]]]
+
+    def members(quotes: DataFrame) -> DataFrame:
+        named = quotes.select("code", "name", pct_or_zero(F.col("change_pct")).alias("pct"))
+        joined = industry_join(named, industry, default)
+        return joined.groupBy("industry").agg(
+            F.sum(F.col("pct").cast("decimal(28,9)")).alias("total"), F.count(F.lit(1)).alias("members")
+        )
+
+    def change(batch: DataFrame, batch_id: int) -> None:
+        session, version = batch.sparkSession, first + batch_id
+        below = current_version(session, f"{root}/quotes", below=version)
+        bucket = F.pmod(F.xxhash64("code"), F.lit(buckets)).cast("int")
+        newest = batch.groupBy("code").agg(F.max(F.struct(*tail)).alias("q")).select("code", *[F.col("q")[c].alias(c) for c in rest])
+        newest = newest.withColumn("bucket", bucket).persist()
+        try:
+            touched = [r[0] for r in newest.select("bucket").distinct().collect()]  # ``buckets`` numbers at most
+            held = read_version(session, f"{root}/quotes", quote, below=version)
+            held = held.withColumn("bucket", F.lit(None).cast("int")) if "bucket" not in held.columns else held
+            held = held.filter(F.col("bucket").isin(touched)).select("code", *rest, "bucket")
+            both = held.withColumn("__new", F.lit(False)).unionByName(newest.withColumn("__new", F.lit(True)))
+            last = both.groupBy("code", "bucket").agg(F.max(F.struct(*tail, "__new")).alias("q"))
+            now = last.select("code", *[F.col("q")[c].alias(c) for c in rest], F.col("q")["__new"].alias("__new"), "bucket").persist()
+            moved = now.filter("__new")
+            old = held.join(moved.select("code"), "code", "left_semi")
+            sums = [members(moved), members(old).select("industry", (-F.col("total")).alias("total"), (-F.col("members")).alias("members"))]
+            stored = current_version(session, f"{root}/sums", below=version)
+            if stored is not None:
+                sums.append(session.read.schema(sums_schema).parquet(stored))
+            total = reduce(DataFrame.unionByName, sums).groupBy("industry").agg(
+                F.sum("total").cast("decimal(38,9)").alias("total"), F.sum("members").cast("bigint").alias("members")
+            ).filter("members > 0")
+            write_parts(
+                now.drop("__new"), f"{root}/quotes", "bucket", ["code"], None if below is None else touched,
+                f"{root}/quotes/v={version:020d}", below=version,
+            )
+            kept = write_version(total, f"{root}/sums", version)
+            average = (F.col("total") / F.col("members")).cast("double")
+            shown = session.read.schema(sums_schema).parquet(kept).select("industry", average.alias("avg_pct"), "members")
+            write_version(shown.withColumn("tier", heat_tier(F.col("avg_pct"))), f"{root}/out", version)
+            now.unpersist()
+        finally:
+            newest.unpersist()
+        for name in ("sums", "out"):
+            drop_old_versions(session, f"{root}/{name}")
+        drop_unused_parts(session, f"{root}/quotes")
+
+    return run_available(sdf, checkpoint, change)
+
+
 def stream_bronze_to_silver(
     spark: SparkSession,
     source: str,
@@ -201,6 +301,6 @@ def stream_bronze_to_silver(
 
 __all__ = [
     "QUOTE_FIELDS", "poll_of", "run_available", "stream_bronze_to_silver", "stream_dedup",
-    "stream_industry", "stream_latest", "stream_quotes", "stream_session_gate",
-    "stream_snapshot_replace", "stream_subscribe", "wildcard_subscribers",
+    "stream_industry", "stream_industry_changes", "stream_latest", "stream_quotes", "stream_session_gate",
+    "stream_snapshot_replace", "stream_split_late", "stream_subscribe", "wildcard_subscribers",
 ]

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from barlake.operators import serve
 from barlake.operators.runs import failed_codes, run_step_rollup
 from barlake.plans.build import Paths, build_all, build_full, build_incremental, build_repair, stored_steps
-from barlake.plans.landed import dedup_landed, save_steps
-from barlake.schemas import ADJ_FACTOR, DAILY, DOC, MINUTE, PRICES, STEP_LOG
+from barlake.plans.landed import LANDED_KEYS, dedup_landed, save_steps
+from barlake.schemas import ADJ_FACTOR, DAILY, DOC, FINANCE_MEASURES, MINUTE, PRICES, STEP_LOG
 from barlake.session import work_dir
 from barlake.sources.files import land_documents
 from barlake.sources.sinks import read_version
@@ -119,6 +119,31 @@ def _(t):
     return kept.unionByName(total)
 
 
+_REPEATED = " UNION ALL ".join(f"SELECT '{name}' AS \"table\", count(*) + count(*) FILTER (WHERE {again}) AS before, count(*) AS after, 'done' AS status, round(sum({value}) + count(*) FILTER (WHERE {again}), 2) AS total FROM {table}" for name, table, again, value in (
+    ("daily_primary", "fx_daily_a", "CAST(stock_code AS INTEGER) % 2 = 0", "close"), ("daily_secondary", "fx_daily_b", "CAST(stock_code AS INTEGER) % 2 = 0", "close"), ("minute", "fx_minute", "CAST(stock_code AS INTEGER) % 2 = 0", "close"),
+    ("finance", "fx_finance_rows", "CAST(stock_code AS INTEGER) % 2 = 0", FINANCE_MEASURES[0])))
+
+
+@query("landed_dedup_all", _REPEATED + " UNION ALL SELECT 'xdxr', count(*), count(DISTINCT (code, d, category)), 'done', round(sum(peigujia) FILTER (WHERE first), 2) FROM (SELECT *, row_number() OVER (PARTITION BY code, d, category ORDER BY arrival DESC) = 1 AS first FROM fx_xdxr) UNION ALL SELECT 'stocks', count(*), count(*), 'skipped', NULL FROM fx_stocks")
+def _(t):
+    # half of the codes land again with other values; stocks have no stamps
+    bronze, one, two = work_dir(t.spark, "bronze"), F.lit("2024-02-01").cast("timestamp_ntz"), F.lit("2024-02-02").cast("timestamp_ntz")
+    finance = t.fx_finance().filter("ingested_at = timestamp_ntz'2024-02-02'").drop("ingested_at")
+    tables = {"daily_primary": (t.fx_daily_a(), "stock_code", "close"), "daily_secondary": (t.fx_daily_b(), "stock_code", "close"),
+              "minute": (t.fx_minute_raw(), "stock_code", "close"), "finance": (finance, "code", FINANCE_MEASURES[0])}
+    for name, (df, code, value) in tables.items():
+        again = df.filter(F.right(code, F.lit(6)).cast("int") % 2 == 0).withColumn(value, C(value) + 1)
+        df.withColumn("ingested_at", one).unionByName(again.withColumn("ingested_at", two)).write.parquet(f"{bronze}/{name}")
+    t.fx_xdxr().write.parquet(f"{bronze}/xdxr")
+    t.fx_stocks().write.parquet(f"{bronze}/stocks")
+    counts = dedup_landed(t.spark, bronze, LANDED_KEYS | {"stocks": ["code"]})
+    totals = None
+    for name, value in [(n, v) for n, (_, _, v) in tables.items()] + [("xdxr", "peigujia")]:
+        one_row = t.spark.read.parquet(f"{bronze}/{name}").agg(F.round(F.sum(value), 2).alias("total")).select(F.lit(name).alias("table"), "total")
+        totals = one_row if totals is None else totals.unionByName(one_row)
+    return counts.join(totals, "table", "left").select("table", "before", "after", "status", "total")
+
+
 @query("run_log", """SELECT plan_id, step_name, CAST(row_number() OVER (PARTITION BY plan_id ORDER BY step_name) - 1 AS INTEGER) AS seq, rows, failed, status, n FROM (
  SELECT plan_id, step_name, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(failed) AS BIGINT) AS failed, CASE WHEN sum(failed) = 0 THEN 'ok' ELSE 'partial' END AS status, CAST(count(*) FILTER (WHERE status <> 'ok') * 3 AS BIGINT) AS n FROM fx_results GROUP BY 1, 2)""")
 def _(t):

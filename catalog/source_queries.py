@@ -62,27 +62,29 @@ def _(t):
     return docs.select("stock_code", F.substring(F.sha2("text", 256), 1, 16).alias("h"), "trade_date")
 
 
-@query("src_documents_landed", "SELECT source AS stock_code, max(doc_id) AS n, md5(arg_max(text, doc_id) || CASE WHEN source < 'src2' THEN ' again' ELSE '' END) AS h FROM documents GROUP BY source HAVING max(doc_id) >= 0")
+@query("src_documents_landed", "SELECT CAST(doc_id AS VARCHAR) AS stock_code, doc_id % 3 = 0 AS changed, md5(text || CASE WHEN doc_id % 3 = 0 THEN ' again' ELSE '' END) AS h FROM documents")
 def _(t):
-    # the newest document of each source lands, then some change and land again
-    path = work_dir(t.spark, "landed") + "/docs"
-    docs = t.table("documents").groupBy(C("source").alias("stock_code")).agg(F.max("doc_id").alias("n"), F.max_by("text", "doc_id").alias("text"))
-    dated = docs.withColumn("trade_date", F.lit("2024-01-31").cast("date"))
-    files.land_documents(dated, path, "b1")
+    # every document lands; then a third of them changes, another third lands again as it was
+    path, d = work_dir(t.spark, "landed") + "/docs", C("doc_id")
+    docs = t.table("documents").select(d.cast("string").alias("stock_code"), F.lit("2024-01-31").cast("date").alias("trade_date"), "text", "doc_id")
+    files.land_documents(docs.drop("doc_id"), path, "b1")
     known = files.landed_documents(t.spark, path).select("stock_code", F.substring(F.sha2("text", 256), 1, 16).alias("source_hash"))
-    again = dated.filter("stock_code < 'src2'").withColumn("text", F.concat("text", F.lit(" again")))
-    files.land_documents(again, path, "b2")
-    changed = files.landed_documents(t.spark, path, known).select("stock_code", F.md5("text").alias("h"), F.lit(True).alias("new"))
-    first = docs.select("stock_code", F.md5("text").alias("was"), "n")
-    return first.join(changed, "stock_code", "left").select("stock_code", "n", F.coalesce("h", "was").alias("h"))
+    known.write.parquet(path + "-known")  # as of now
+    known = t.spark.read.parquet(path + "-known")
+    again = docs.filter(d % 3 < 2).withColumn("text", F.when(d % 3 == 0, F.concat("text", F.lit(" again"))).otherwise(C("text")))
+    files.land_documents(again.withColumn("trade_date", F.lit("2024-02-01").cast("date")).drop("doc_id"), path, "b2")
+    changed = files.landed_documents(t.spark, path, known).select("stock_code", F.lit(True).alias("changed"))
+    newest = files.landed_documents(t.spark, path).select("stock_code", F.md5("text").alias("h"))
+    return newest.join(changed, "stock_code", "left").select("stock_code", F.coalesce("changed", F.lit(False)).alias("changed"), "h")
 
 
-@query("sink_intraday", "SELECT market || code AS stock_code, CAST(ts AS DATE) AS trade_date, strftime(ts, '%H%M') AS time, count(*) > 0 AS stored FROM (SELECT ts, user_id FROM events) JOIN (SELECT DISTINCT user_id, code, market FROM (SELECT user_id FROM events) JOIN (SELECT DISTINCT " + _code("user_id") + " AS code, " + _market("user_id") + " AS market, user_id AS u FROM events) ON u = user_id) USING (user_id) WHERE CAST(ts AS DATE) IN (DATE '2024-01-05', DATE '2024-01-08') GROUP BY 1, 2, 3")
+@query("sink_intraday", "SELECT DISTINCT " + _market("user_id") + " || " + _code("user_id") + " AS stock_code, CAST(ts AS DATE) AS trade_date, strftime(ts, '%H%M') AS time, true AS stored FROM events")
 def _(t):
     path, u = work_dir(t.spark, "intraday") + "/points", C("user_id")
     points = t.table("events").select(
         F.concat(fx_market(u), fx_code(u)).alias("stock_code"), F.date_format("ts", "HHmm").alias("time"), F.to_date("ts").alias("day"), C("value").alias("price"))
-    for day in ("2024-01-05", "2024-01-08", "2024-01-05"):  # one day is fetched twice
+    days = sorted(str(r[0]) for r in points.select("day").distinct().collect())  # one run per trading day
+    for day in [*days, days[0]]:  # one day is fetched twice
         append_intraday(points.filter(C("day") == day).drop("day"), path, day)
     return t.spark.read.parquet(path).select("stock_code", C("trade_date").cast("date"), "time", F.lit(True).alias("stored"))
 

@@ -31,6 +31,15 @@ def live(t) -> DataFrame:
     return st.stream_quotes(t.spark, land(t), encoding="UTF-8", max_files=16)
 
 
+def poll_by_poll(t):
+    """The stream again and again, each time with one more poll landed."""
+    path = work_dir(t.spark, "landing") + "/quotes"
+    lines = t.fx_quote_lines().withColumn("poll", C("poll_id")).select("poll", "value")
+    for poll in sorted(r[0] for r in lines.select("poll").distinct().collect()):
+        lines.filter(C("poll") == poll).write.mode("append").partitionBy("poll").text(path)
+        yield st.stream_quotes(t.spark, path, encoding="UTF-8")
+
+
 def drain(t, sdf: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream to its end into Parquet and read the result."""
     root = work_dir(t.spark, "stream")
@@ -84,8 +93,11 @@ def _(t):
     return drain(t, st.stream_session_gate(live(t))).select(*_LIVE)
 
 
-@query("stream_industry", """SELECT industry, round(avg(pct), 6) AS avg_pct, count(*) AS members, CASE WHEN abs(avg(pct)) >= 8 THEN 5 WHEN abs(avg(pct)) >= 6 THEN 4 WHEN abs(avg(pct)) >= 4 THEN 3 WHEN abs(avg(pct)) >= 2 THEN 2 ELSE 1 END AS tier
- FROM (SELECT coalesce(CASE WHEN industry LIKE 'C27%' THEN substr(industry, 4) ELSE industry END, '其他') AS industry, CAST(change_pct AS DOUBLE) AS pct FROM fx_latest LEFT JOIN fx_industry USING (code)) GROUP BY 1""")
+_INDUSTRY = """SELECT industry, round(avg(pct), 6) AS avg_pct, count(*) AS members, CASE WHEN abs(avg(pct)) >= 8 THEN 5 WHEN abs(avg(pct)) >= 6 THEN 4 WHEN abs(avg(pct)) >= 4 THEN 3 WHEN abs(avg(pct)) >= 2 THEN 2 ELSE 1 END AS tier
+ FROM (SELECT coalesce(CASE WHEN industry LIKE 'C27%' THEN substr(industry, 4) ELSE industry END, '其他') AS industry, CAST(change_pct AS DOUBLE) AS pct FROM fx_latest LEFT JOIN fx_industry USING (code)) GROUP BY 1"""
+
+
+@query("stream_industry", _INDUSTRY)
 def _(t):
     root = work_dir(t.spark, "industry")
     industry = t.fx_industry().filter("industry is not null").withColumn("industry", industry_label(C("industry")))
@@ -95,6 +107,27 @@ def _(t):
     return rounded(read_version(t.spark, f"{root}/out", empty.schema), 6, "avg_pct")
 
 
+@query("stream_industry_changes", _INDUSTRY)
+def _(t):
+    # poll after poll: each run takes the old quotes of its codes out and puts the new ones in
+    root = work_dir(t.spark, "industry")
+    industry = t.fx_industry().filter("industry is not null").withColumn("industry", industry_label(C("industry")))
+    for sdf in poll_by_poll(t):
+        st.stream_industry_changes(sdf, industry, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    schema = t.spark.createDataFrame([], "industry string, avg_pct double, members bigint, tier int").schema
+    return rounded(read_version(t.spark, f"{root}/out/out", schema), 6, "avg_pct")
+
+
+@query("stream_split_late", f"""SELECT q.poll_id, code, update_time, current_price, ts IS NULL OR coalesce(ts < mark - INTERVAL 1000 DAY, false) AS late FROM (SELECT *, {_EVENT} AS ts FROM fx_live) q
+ JOIN (SELECT p.poll_id, max(m.mark) AS mark FROM (SELECT DISTINCT poll_id FROM fx_live) p LEFT JOIN (SELECT poll_id, max({_EVENT}) AS mark FROM fx_live GROUP BY 1) m ON m.poll_id < p.poll_id GROUP BY 1) b ON b.poll_id = q.poll_id""")
+def _(t):
+    root, names = work_dir(t.spark, "late"), ["poll_id", "code", "update_time", "current_price"]
+    for sdf in poll_by_poll(t):
+        st.stream_split_late(sdf, root, f"{root}/checkpoint", "1000 days").awaitTermination()
+    read = lambda name: t.spark.read.parquet(f"{root}/{name}").select(*names)
+    return read("on_time").withColumn("late", F.lit(False)).unionByName(read("late").withColumn("late", F.lit(True)))
+
+
 @query("stream_dedup", "SELECT DISTINCT code, update_time FROM fx_live")
 def _(t):
     # a delay longer than the data's span: every repeat is inside the watermark
