@@ -301,6 +301,67 @@ def coverage_by_table(tables: Sequence[Landed], day: Column, ts: str = "ingested
     return reduce(DataFrame.unionByName, parts)
 
 
+# ---- coverage as bitmaps ----------------------------------------------------------------
+
+
+def _bits(numbers: Column) -> Column:
+    return F.bitmap_construct_agg(F.bitmap_bit_position(numbers)).alias("bits")
+
+
+def code_bitmap(codes: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(bucket, bits) of a set of codes, by their numbers (code, number from 1, dense).
+
+    A bucket stands for 32,768 numbers and is 4 KB. Codes without a number are left out.
+    """
+    known = codes.select(F.col(codes.columns[0]).alias("code")).join(numbers, "code")
+    return known.groupBy(F.bitmap_bucket_number("number").alias("bucket")).agg(_bits(F.col("number")))
+
+
+def day_bitmaps(df: DataFrame, code: str, ts: str, numbers: DataFrame) -> DataFrame:
+    """(day, bucket, bits): which codes arrived on each day.
+
+    Bits are set in every task before the shuffle, so it moves a bitmap per day, bucket and
+    task, however many rows a day has. Stored, the bitmaps stand for the rows in any question of
+    coverage: those of more rows, or of another day, are put together by ``merge_bitmaps``.
+    """
+    rows = df.select(F.col(code).cast("string").alias("code"), F.to_date(F.col(ts)).alias("day")).filter("day is not null")
+    known = rows.join(numbers, "code")
+    return known.groupBy("day", F.bitmap_bucket_number("number").alias("bucket")).agg(_bits(F.col("number")))
+
+
+def merge_bitmaps(*bitmaps: DataFrame, by: Sequence[str] = ("day",)) -> DataFrame:
+    """The union of bitmaps per ``by`` and bucket; with no ``by``, of all days together."""
+    every = reduce(DataFrame.unionByName, bitmaps)
+    return every.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def bitmap_coverage(bitmaps: DataFrame, expected: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by``, expected, present, missing and a status, from bitmaps alone.
+
+    ``bitmaps`` has ``by``, bucket and bits, e.g. a month of stored day bitmaps, whose union says
+    which codes arrived in it; ``expected`` (bucket, bits) are the codes there should
+    be. Missing is what the union with the expected ones adds to those present.
+    """
+    groups, empty = bitmaps.select(*by).distinct() if by else None, F.lit(b"\0")
+    wanted = expected.withColumnRenamed("bits", "wanted")
+    there = merge_bitmaps(bitmaps, by=by)
+    all_buckets = wanted
+    if by:
+        # the expected bitmap beside every group: a few buckets each
+        listed = wanted.agg(F.collect_list(F.struct("bucket", "wanted")).alias("w")).scalar()
+        all_buckets = groups.select(*by, F.inline(listed))
+    both = there.join(all_buckets, [*by, "bucket"], "full")
+    either = F.coalesce("bits", empty), F.coalesce("wanted", empty)
+    rows = both.select(*by, "bucket", F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), either[0].alias("bits")), F.struct(F.lit(1).alias("kind"), either[1].alias("bits")),
+        F.struct(F.lit(2).alias("kind"), either[0].alias("bits")), F.struct(F.lit(2).alias("kind"), either[1].alias("bits")),
+    )).alias("x")).select(*by, "bucket", "x.*")
+    counted = rows.groupBy(*by, "kind", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bits")).alias("n"))
+    n = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0))
+    out = counted.groupBy(*by).agg(n(1).alias("expected"), n(0).alias("present"), (n(2) - n(0)).alias("missing"))
+    return out.withColumn("status", F.when(F.col("missing") == 0, "ok").otherwise("gap"))
+
+
 def present_without_start(
     instruments: DataFrame, bars: DataFrame, key: str = "stock_code", start: str = "ipo_date"
 ) -> DataFrame:

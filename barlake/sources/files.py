@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.keep import keep_last
 from ..schemas import INDUSTRY
 
 
@@ -76,6 +77,32 @@ def landed_documents(spark: SparkSession, path: str, known: DataFrame | None = N
     return texts.join(newest, keys, "left_semi").select("stock_code", "trade_date", "text").distinct()
 
 
+def compact_documents(spark: SparkSession, path: str, file_rows: int = 10_000) -> int:
+    """Merge the landed batches into one container, sorted by code; returns the documents kept.
+
+    Many small landings become files of up to ``file_rows`` documents, each a range of codes, so
+    the index is read from few footers and a code's texts from few row groups. Of a code and date only
+    the document that landed last is kept; no other could be the newest. The container's name sorts right after
+    the last batch it holds, and batches go once it is complete: what is the newest never changes, also if
+    the job stops in between.
+    """
+    landed = spark.read.option("basePath", path).parquet(path).withColumn("batch", F.col("batch").cast("string"))
+    batches = [r[0] for r in landed.select("batch").distinct().collect()]  # one name per landing
+    if len(batches) < 2:
+        return landed.count()
+    name = max(batches) + "!"
+    kept, seen = keep_last(landed, ["stock_code", "trade_date"], ["batch", "source_hash"]).drop("batch"), Observation()
+    ranged = kept.repartitionByRange("stock_code", "trade_date").sortWithinPartitions("stock_code", "trade_date")
+    beside = f"{path}/batch={name}"
+    ranged.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static"
+    ).option("maxRecordsPerFile", file_rows).parquet(beside)
+    for batch in batches:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={batch}")
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return seen.get["n"]
+
+
 def read_industry(spark: SparkSession, path: str) -> DataFrame:
     """Industry CSV, all text; rows without code or industry are dropped."""
     return spark.read.csv(path, header=True, schema=INDUSTRY).filter(

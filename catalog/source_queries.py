@@ -78,6 +78,24 @@ def _(t):
     return newest.join(changed, "stock_code", "left").select("stock_code", F.coalesce("changed", F.lit(False)).alias("changed"), "h")
 
 
+@query("src_documents_compacted", "SELECT CAST(doc_id AS VARCHAR) AS stock_code, md5(text || CASE WHEN doc_id % 3 = 0 THEN ' again' WHEN doc_id % 3 = 1 THEN ' last' ELSE '' END) AS h, true AS few FROM documents")
+def _(t):
+    # twenty landings, compacted, some more, compacted again, and one that stays beside the container
+    path, d = work_dir(t.spark, "compact") + "/docs", C("doc_id")
+    docs = t.table("documents").select(d.cast("string").alias("stock_code"), F.lit("2024-01-31").cast("date").alias("trade_date"), "text", "doc_id")
+    batches = F.format_string("b%02d", d % 20)
+    landed = docs.select("stock_code", "trade_date", F.substring(F.sha2("text", 256), 1, 16).alias("source_hash"), "text", batches.alias("batch"))
+    landed.write.partitionBy("batch").parquet(path)
+    files.compact_documents(t.spark, path)
+    change = lambda k, tail: docs.filter(d % 3 == k).withColumn("text", F.concat("text", F.lit(tail))).drop("doc_id")
+    files.land_documents(change(0, " again"), path, "b20")
+    files.land_documents(change(1, " first"), path, "b21")
+    files.compact_documents(t.spark, path)
+    files.land_documents(change(1, " last"), path, "b22")
+    few = t.spark.read.parquet(path).select(F.input_file_name().alias("f")).distinct().count() <= 40
+    return files.landed_documents(t.spark, path).select("stock_code", F.md5("text").alias("h"), F.lit(few).alias("few"))
+
+
 @query("sink_intraday", "SELECT DISTINCT " + _market("user_id") + " || " + _code("user_id") + " AS stock_code, CAST(ts AS DATE) AS trade_date, strftime(ts, '%H%M') AS time, true AS stored FROM events")
 def _(t):
     path, u = work_dir(t.spark, "intraday") + "/points", C("user_id")

@@ -315,6 +315,36 @@ def _(t):
     return complete.coverage_by_table(landed(t), day10())
 
 
+def _bitmaps(t):
+    """Numbers of all codes, and the day bitmaps of two tables, put together from two halves of the days."""
+    numbers = windows.surrogate_id(t.fx_stocks().select("code").distinct(), "code", name="number")
+    tables = []
+    for name, df, code, ts in (("daily", t.fx_daily_a(), "stock_code", "datetime"), ("minute", t.fx_minute(), "stock_code", "datetime")):
+        early = F.to_date(C(ts)) < "2024-01-12"
+        halves = [complete.day_bitmaps(df.filter(half), code, ts, numbers) for half in (early, ~early)]
+        tables.append(complete.merge_bitmaps(*halves).withColumn("table", F.lit(name)))
+    expected = t.fx_stocks().filter(is_a_share(C("code"), C("market"))).select("code")
+    return tables[0].unionByName(tables[1]), complete.code_bitmap(expected, numbers)
+
+
+_ARRIVED = "(SELECT 'daily' AS \"table\", stock_code AS code, trade_date AS day FROM fx_daily_a UNION SELECT 'minute', stock_code, CAST(datetime AS DATE) FROM fx_minute)"
+_COVERED = """SELECT {by}, (SELECT count(*) FROM fx_stock_map) AS expected, count(DISTINCT code) AS present, (SELECT count(*) FROM fx_stock_map) - count(DISTINCT s.stock_code) AS missing,
+ CASE WHEN (SELECT count(*) FROM fx_stock_map) = count(DISTINCT s.stock_code) THEN 'ok' ELSE 'gap' END AS status FROM {rows} a LEFT JOIN fx_stock_map s ON s.stock_code = a.code {where} GROUP BY {by}"""
+
+
+@query("coverage_by_day", _COVERED.format(by='"table", day', rows=_ARRIVED, where=""))
+def _(t):
+    bitmaps, expected = _bitmaps(t)
+    return complete.bitmap_coverage(bitmaps, expected, ["table", "day"])
+
+
+@query("coverage_of_span", _COVERED.format(by='"table"', rows=_ARRIVED, where="WHERE day BETWEEN DATE '2024-01-09' AND DATE '2024-01-16'"))
+def _(t):
+    bitmaps, expected = _bitmaps(t)
+    span = bitmaps.filter(C("day").between("2024-01-09", "2024-01-16"))
+    return complete.bitmap_coverage(span.drop("day"), expected, ["table"])
+
+
 @query("run_step_rollup", """SELECT plan_id, step_name, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(failed) AS BIGINT) AS failed, CAST(sum(elapsed_ms) AS BIGINT) AS elapsed_ms,
  (SELECT coalesce(string_agg(error, '|' ORDER BY seq, pos), '') FROM (SELECT * FROM (SELECT f.seq, u.pos, CASE u.pos WHEN 0 THEN f.code || ': timeout' WHEN 1 THEN 'general failure' ELSE 'sh' || f.code || ': empty: x' END AS error FROM fx_results f, (SELECT unnest([0, 1, 2]) AS pos) u WHERE f.status <> 'ok' AND f.plan_id = r.plan_id AND f.step_name = r.step_name) ORDER BY seq, pos LIMIT 50)) AS errors,
  (SELECT coalesce(string_agg(code, ',' ORDER BY code), '') FROM (SELECT DISTINCT code FROM (SELECT f.code FROM fx_results f WHERE f.status <> 'ok' AND f.plan_id = r.plan_id AND f.step_name = r.step_name UNION ALL SELECT 'sh' || f.code FROM fx_results f WHERE f.status <> 'ok' AND f.plan_id = r.plan_id AND f.step_name = r.step_name) ORDER BY code LIMIT 100)) AS failed_codes,
