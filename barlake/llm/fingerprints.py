@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -13,11 +14,10 @@ from pyspark.sql import functions as F
 
 from .common import BLOCK_BYTES, mixed, table
 
-#: Levels of phrases; a phrase of one level has about three of the level below.
+#: Levels of phrases that every text has; a phrase of one level has about three of the level below.
 LEVELS = 3
-#: The fingerprint column is a short digest: the smallest of so many names of the last level, eight
-#: hex digits each. All names are in the columns of phrases, and likeness is taken from them.
-KEPT = 64
+#: Longer texts have more: levels are added while the last one has more phrases than this.
+MORE_PHRASES = 512
 #: Names per phrase of one level as against the next in the mean of levels that likeness is.
 GROWTH = 3
 #: Rounds of coin tossing after which labels are below 6.
@@ -55,67 +55,166 @@ def parse(names: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     run = np.flatnonzero(first | (names != _shifted(names)))
     length = np.diff(np.append(run, len(names))).astype(np.uint64)
     symbols, first = names[run], first[run]
-    symbols = np.where(length > 1, mixed(symbols + length * np.uint64(0x9E3779B97F4A7C15)), symbols)
+    symbols = _symbols(symbols, length)
+    start = _starts(symbols, first)
+    return _named(symbols, start), first[start]
+
+
+def _symbols(names: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A symbol for each run of one name."""
+    return np.where(length > 1, mixed(names + length * np.uint64(0x9E3779B97F4A7C15)), names)
+
+
+def _starts(symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where phrases begin: at each text's first symbol and at local maxima of the tossed labels."""
     labels = symbols
     for _ in range(TOSSES):
         labels = _tossed(labels, first)
     last = np.append(first[1:], True)
     rises = ~first & (labels > _shifted(labels))
     falls = ~last & (labels > np.append(labels[1:], labels[-1:]))
-    start = np.flatnonzero(first | (rises & falls))
+    return np.flatnonzero(first | (rises & falls))
+
+
+def _named(symbols: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The names of the phrases that begin at ``start`` and cover the symbols from there on."""
     size = np.diff(np.append(start, len(symbols)))
-    inside = np.arange(len(symbols)) - np.repeat(start, size)
-    sums = np.add.reduceat(symbols * _WEIGHTS[inside % len(_WEIGHTS)], start)
-    return mixed(sums + size.astype(np.uint64)), first[start]
+    inside = np.arange(len(symbols) - start[0]) - np.repeat(start - start[0], size)
+    sums = np.add.reduceat(symbols[start[0] :] * _WEIGHTS[inside % len(_WEIGHTS)], start - start[0])
+    return mixed(sums + size.astype(np.uint64))
+
+
+#: Symbols before a place that its label and those of its neighbours depend on, and one more.
+CONTEXT = TOSSES + 3
+
+
+class _Level:
+    """``parse`` of one long text that comes piece by piece; cut at phrase borders only.
+
+    Held are a run and a phrase that may go on, and the few symbols before it that coin tossing looks
+    back on. So a phrase is the same wherever pieces end.
+    """
+
+    def __init__(self):
+        self.name, self.length = None, 0  # the run that may go on
+        self.symbols, self.open, self.begun = np.zeros(0, np.uint64), 0, False
+
+    def feed(self, names: np.ndarray, end: bool) -> np.ndarray:
+        """Names of the phrases that are whole now."""
+        if len(names):
+            run = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+            length = np.diff(np.append(run, len(names))).astype(np.uint64)
+            runs = names[run]
+            if self.name is not None and self.name == runs[0]:
+                length[0] += np.uint64(self.length)
+            elif self.name is not None:
+                runs, length = np.append(self.name, runs), np.append(np.uint64(self.length), length)
+        elif self.name is not None:
+            runs, length = np.array([self.name]), np.array([self.length], np.uint64)
+        else:
+            return np.zeros(0, np.uint64)
+        if not end:
+            self.name, self.length = runs[-1], int(length[-1])
+            runs, length = runs[:-1], length[:-1]
+        symbols = np.concatenate((self.symbols, _symbols(runs, length)))
+        if not len(symbols):
+            return symbols
+        first = np.zeros(len(symbols), dtype=bool)
+        first[0] = True
+        start = _starts(symbols, first)
+        start = start[start > self.open]  # which is the text's first symbol, or a border found before
+        if not end:
+            start = start[start < len(symbols) - 1]
+        borders = np.append(self.open, start)
+        stop = len(symbols) if end else int(borders[-1])
+        whole = borders if end else borders[:-1]
+        out = _named(symbols[:stop], whole) if len(whole) and stop > whole[0] else np.zeros(0, np.uint64)
+        cut = max(stop - CONTEXT, 0)
+        self.symbols, self.open, self.begun = symbols[cut:], stop - cut, True
+        return out
 
 
 #: Per level the sorted, distinct names of a text's phrases (32 bits).
 Sketch = tuple[np.ndarray, ...]
 
 
-def sketches(texts: list[str], levels: int = LEVELS) -> list[Sketch]:
-    """All phrase names of each text by level; empty for an empty text.
+def sketches(texts: list[str]) -> list[Sketch]:
+    """All phrase names of each text by level; LEVELS empty ones for an empty text.
 
-    A text of more than BLOCK_BYTES characters is parsed in slices of so many.
+    Texts are parsed a block at a time, a longer one by itself, piece by piece.
     """
-    slices, owner = [], []
-    for i, text in enumerate(texts):
-        for at in range(0, len(text), BLOCK_BYTES):
-            slices.append(text[at : at + BLOCK_BYTES])
-            owner.append(i)
-    found: list[list[list[np.ndarray]]] = [[[] for _ in range(levels)] for _ in texts]
-    start = 0
-    while start < len(slices):
-        stop, size = start, 0
-        while stop < len(slices) and (stop == start or size + len(slices[stop]) <= BLOCK_BYTES):
-            size += len(slices[stop])
-            stop += 1
-        part = slices[start:stop]
-        names = np.frombuffer("".join(part).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
-        names = mixed(names + np.uint64(1))
-        first = np.zeros(len(names), dtype=bool)
-        first[np.concatenate(([0], np.cumsum([len(p) for p in part])[:-1])).astype(np.int64)] = True
-        for level in range(levels):
-            names, first = parse(names, first)
-            # one sort for all texts of the block: the text's place above its names
-            keys = np.unique(((np.cumsum(first) - 1).astype(np.uint64) << np.uint64(32)) | (names >> np.uint64(32)))
-            edges = np.searchsorted(keys, np.arange(len(part) + 1, dtype=np.uint64) << np.uint64(32))
-            short = keys.astype(np.uint32)
-            for i, (a, b) in enumerate(zip(edges, edges[1:])):
-                found[owner[start + i]][level].append(short[a:b])
-        start = stop
     none = np.zeros(0, np.uint32)
-    return [tuple(np.unique(np.concatenate(f)) if len(f) > 1 else f[0] if f else none for f in text) for text in found]
+    out: list[Sketch] = [(none,) * LEVELS] * len(texts)
+    part: list[int] = []
+    size = 0
+    for i, text in enumerate(texts):
+        if len(text) > BLOCK_BYTES:
+            out[i] = _long(text)
+        elif text:
+            if size + len(text) > BLOCK_BYTES:
+                _block(texts, part, out)
+                part, size = [], 0
+            part.append(i)
+            size += len(text)
+    if part:
+        _block(texts, part, out)
+    return out
+
+
+def _characters(text: str) -> np.ndarray:
+    names = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    return mixed(names + np.uint64(1))
+
+
+def _block(texts: list[str], part: list[int], out: list[Sketch]) -> None:
+    names = _characters("".join([texts[i] for i in part]))
+    first = np.zeros(len(names), dtype=bool)
+    first[np.concatenate(([0], np.cumsum([len(texts[i]) for i in part])[:-1])).astype(np.int64)] = True
+    found: list[list[np.ndarray]] = [[] for _ in part]
+    open_ = np.ones(len(part), dtype=bool)
+    while open_.any():
+        names, first = parse(names, first)
+        # one sort for all texts of the block: the text's place above its names
+        keys = np.unique(((np.cumsum(first) - 1).astype(np.uint64) << np.uint64(32)) | (names >> np.uint64(32)))
+        edges = np.searchsorted(keys, np.arange(len(part) + 1, dtype=np.uint64) << np.uint64(32))
+        short = keys.astype(np.uint32)
+        phrases = np.diff(np.append(np.flatnonzero(first), len(names)))
+        for k in np.flatnonzero(open_):
+            found[k].append(short[edges[k] : edges[k + 1]])
+            open_[k] = len(found[k]) < LEVELS or phrases[k] > MORE_PHRASES
+    for i, levels in zip(part, found):
+        out[i] = tuple(levels)
+
+
+def _long(text: str) -> Sketch:
+    """A text of more than a block, level after level; only names of 32 bits are held of all of it."""
+    pieces: Iterable[np.ndarray] = (_characters(text[at : at + BLOCK_BYTES]) for at in range(0, len(text), BLOCK_BYTES))
+    found = []
+    while True:
+        level, made = _Level(), []
+        for piece in pieces:
+            made.append(level.feed(piece, False))
+        made.append(level.feed(np.zeros(0, np.uint64), True))
+        found.append(np.unique(np.concatenate([(m >> np.uint64(32)).astype(np.uint32) for m in made])))
+        if len(found) >= LEVELS and sum(map(len, made)) <= MORE_PHRASES:
+            return tuple(found)
+        pieces = made
 
 
 def written(sketch: Sketch) -> str:
-    """The short digest of a fingerprint."""
-    return sketch[-1][:KEPT].astype(">u4").tobytes().hex()
+    """The fingerprint: all names of each level, in order, in base64; levels end with a dot.
+
+    Empty for an empty text.
+    """
+    if not len(sketch[0]):
+        return ""
+    return "".join(base64.b64encode(level.astype(">u4").tobytes()).decode() + "." for level in sketch)
 
 
 def read(fingerprint: str) -> Sketch:
-    """The names of a short digest, which are of the last level only."""
-    return (np.frombuffer(bytes.fromhex(fingerprint), dtype=">u4").astype(np.uint32),)
+    """The names that a fingerprint holds, by level."""
+    levels = fingerprint.split(".")[:-1] or [""] * LEVELS
+    return tuple(np.frombuffer(base64.b64decode(level), dtype=">u4").astype(np.uint32) for level in levels)
 
 
 def common(a: Sketch, b: Sketch) -> list[int]:
@@ -131,6 +230,8 @@ def common(a: Sketch, b: Sketch) -> list[int]:
 def likeness(a: Sketch, b: Sketch, shared: list[int] | None = None) -> float:
     """The share of common names among all (Jaccard) per level, in the mean; 1 for two empty texts.
 
+    Levels that both texts have are compared.
+
     A level counts GROWTH times as much as the one below, as its phrases are so much longer:
     long common passages count most, and short texts without a common long phrase are still
     told apart by the short ones.
@@ -245,7 +346,7 @@ def fingerprint_edits(docs: DataFrame, parts: int | None = None) -> DataFrame:
 
     ``phrases`` and ``edited_phrases`` are all distinct phrase names by level, as signed integers
     of 32 bits; ``common_edited`` and ``common_next`` count the names shared, per level. The
-    fingerprint strings are short digests of the last level, KEPT names at most.
+    fingerprint strings spell the same names (``read``), and likeness is what they say.
 
     Next is in descending doc_id; after the last comes the first. Documents of one doc_id
     follow each other by text, a null doc_id comes after all others, and rows equal in both
@@ -310,7 +411,7 @@ def _batch(found: list[tuple]) -> pa.RecordBatch:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, short digest and all phrases of every whole text; null text is empty."""
+    """doc_id, fingerprint and all phrases of every whole text; null text is empty."""
 
     def run(batches):
         for batch in batches:
@@ -328,4 +429,4 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint, its edit's, and how alike they and the next document's are."""
-    return fingerprint_edits(table(spark, sf_dir, "documents"))
+    return fingerprint_edits(table(spark, sf_dir, "documents")).drop("phrases", "edited_phrases")

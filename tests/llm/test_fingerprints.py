@@ -93,17 +93,77 @@ def test_fingerprints_of_a_table(spark):
     assert got[1] == got[2] != "" and got[3] == "" and fp.written(fp.read(got[1])) == got[1]
 
 
-def test_all_names_of_all_levels_are_returned_and_compared(spark, made):
+def test_all_names_of_all_levels_are_returned_and_compared(spark):
     rng = np.random.default_rng(8)
     make = lambda n: "".join(rng.choice(list("abcdefghij klmnop"), n))
     passage = make(3000)
     texts = [make(300_000) + passage + make(300_000), make(200_000) + passage + make(400_000), "a short text of few phrases", None]
     rows = [(10 - i, t) for i, t in enumerate(texts)]
-    at = made("documents", rows, "doc_id long, text string")
-    out = {r.doc_id: r for r in fp.op4_fingerprints(spark, at).collect()}
+    out = {r.doc_id: r for r in fp.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     sketch = {i: fp.sketches([t or ""])[0] for i, t in rows}
     for i, _ in rows:
         assert [np.array(x, np.int32).view(np.uint32).tolist() for x in out[i].phrases] == [x.tolist() for x in sketch[i]]
     assert [len(x) for x in sketch[10]][2] > 10_000 and out[10].common_next[2] > 60 and out[10].near_next > 0
-    assert len(out[8].fingerprint) <= 8 * fp.KEPT and out[8].common_edited[0] > 0 and out[8].near_edited > 0
+    assert [x.tolist() for x in fp.read(out[10].fingerprint)] == [x.tolist() for x in sketch[10]] and out[8].common_edited[0] > 0 and out[8].near_edited > 0
     assert out[7].phrases == [[], [], []]
+
+
+def plain(text):
+    """The parse, symbol by symbol: the names of each level in order."""
+    mix = lambda x: int(fp.mixed(np.array([x % 2**64], np.uint64))[0])
+    names, levels = [mix(ord(c) + 1) for c in text], []
+    while True:
+        symbols = []
+        for k, n in enumerate(names):
+            if k and n == names[k - 1]:
+                symbols[-1][1] += 1
+            else:
+                symbols.append([n, 1])
+        symbols = [mix(n + k * 0x9E3779B97F4A7C15) if k > 1 else n for n, k in symbols]
+        labels = symbols
+        for _ in range(fp.TOSSES):
+            tossed = []
+            for k, x in enumerate(labels):
+                apart = x ^ (labels[k - 1] if k else x ^ 1)
+                place = (apart & -apart).bit_length() - 1
+                tossed.append(2 * place + (x >> place & 1))
+            labels = tossed
+        start = [0] + [k for k in range(1, len(labels) - 1) if labels[k - 1] < labels[k] > labels[k + 1]]
+        names = []
+        for a, b in zip(start, [*start[1:], len(symbols)]):
+            names.append(mix(sum(symbols[k] * int(fp._WEIGHTS[(k - a) % 64]) for k in range(a, b)) + b - a))
+        levels.append(names)
+        if len(levels) >= fp.LEVELS and len(names) <= fp.MORE_PHRASES:
+            return levels
+
+
+def test_parse_by_hand(monkeypatch):
+    """Names of short and long texts, whole and piece by piece, against a plain parse."""
+    monkeypatch.setattr(fp, "MORE_PHRASES", 5)
+    rng = np.random.default_rng(4)
+    texts = ["a", "ab", "aaaa", "abab" * 9, "x" * 700 + "yz" + "x" * 900, "".join(rng.choice(list("ab c"), 3000)), "".join(rng.choice(list("abcdefgh é漢"), 2500)), "q" * 300 + "".join(rng.choice(list("abc"), 900))]
+    want = [[sorted({n >> 32 for n in level}) for level in plain(t)] for t in texts]
+    for block in (1 << 18, 1000, 64, 7, 1):
+        monkeypatch.setattr(fp, "BLOCK_BYTES", block)
+        assert [[level.tolist() for level in sketch] for sketch in fp.sketches(texts)] == want, block
+
+
+def test_a_shift_costs_a_long_text_no_more_than_a_short_one():
+    rng = np.random.default_rng(6)
+    lost = []
+    for n in (200_000, 2_000_000):
+        text = "".join(rng.choice(list("abcdefghij klmnop"), n))
+        a, b = fp.sketches([text, "".join(rng.choice(list("abcdef"), 1000)) + text])
+        lost.append([len(np.setdiff1d(x, y)) for x, y in zip(a, b)])
+    assert all(x <= 6 for x in lost[0]) and all(x <= 6 for x in lost[1]), lost
+    assert len(lost[1]) > len(lost[0]) > fp.LEVELS
+
+
+def test_likeness_is_that_of_the_fingerprints(spark):
+    rows = [(i, f"text number {i} with some words " * (i + 1)) for i in range(30)] + [(40, None), (41, "")]
+    out = {r.doc_id: r for r in fp.fingerprint_edits(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    order = sorted(out, reverse=True)
+    for i, following in zip(order, [*order[1:], order[0]]):
+        r = out[i]
+        assert r.near_edited == fp.likeness(fp.read(r.fingerprint), fp.read(r.edited_fingerprint))
+        assert r.near_next == fp.likeness(fp.read(r.fingerprint), fp.read(out[following].fingerprint))
