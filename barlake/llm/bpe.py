@@ -145,17 +145,22 @@ def _texts(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, list[
         yield start, stop, values.slice(start, stop - start).to_pylist()
 
 
-def encode(docs: DataFrame, keep: Sequence[str] = ("doc_id",), with_offsets: bool = True, path: str | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, keep: Sequence[str] = ("doc_id",), with_offsets: bool = True, path: str | None = None, with_check: bool = False
+) -> DataFrame:
     """``keep`` columns, token_ids and n_tokens of every whole text, and each token's characters.
 
     token_ids, token_starts and token_ends are arrays of int (offsets in code points, end
-    exclusive). Null text encodes as empty: no tokens. Rows are encoded on their own, so
+    exclusive). ``with_check`` adds decodes: whether the ids decode to exactly the text's
+    bytes. Null text encodes as empty: no tokens. Rows are encoded on their own, so
     repeated rows give equal ids; columns not in ``keep`` are ignored, and a kept column
     named like a result is dropped in its favour.
     """
     added = "n_tokens long, token_ids array<int>"
     if with_offsets:
         added += ", token_starts array<int>, token_ends array<int>"
+    if with_check:
+        added += ", decodes boolean"
     made = {part.split()[0] for part in added.split(", ")}
     keep = [c for c in keep if c not in made]
     rows = docs.select(*keep, F.col("text").alias("__text"))
@@ -170,8 +175,9 @@ def encode(docs: DataFrame, keep: Sequence[str] = ("doc_id",), with_offsets: boo
             if with_offsets:
                 spans = [offsets(t, x, vocabulary) for t, x in zip(texts, ids)]
                 columns += [_lists([s for s, _ in spans]), _lists([e for _, e in spans])]
-            names = [*keep, "n_tokens", "token_ids", "token_starts", "token_ends"]
-            yield pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+            if with_check:
+                columns.append(pa.array([decode_bytes(x.tolist(), vocabulary) == t.encode("utf-8") for t, x in zip(texts, ids)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *(part.split()[0] for part in added.split(", "))])
 
     return rows.mapInArrow(per_batch(run), schema)
 

@@ -52,7 +52,7 @@ def test_stages_one_by_one(spark):
     texts = {r["doc_id"]: r["text"] for r in before}
     assert len(after) == len(before)
     for r in after:
-        assert r["token_ids"] == enc.encode_ordinary(texts[r["doc_id"]]) and r["n_tokens"] == len(r["token_ids"])
+        assert r["decodes"] and r["token_ids"] == enc.encode_ordinary(texts[r["doc_id"]]) and r["n_tokens"] == len(r["token_ids"])
 
 
 def test_odd_documents_go_through_all_stages(spark, made):
