@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.schemas import QUOTE_FIELDS
-from barlake.sources.sinks import read_version
+from barlake.sources.sinks import read_version, table_parts
 from barlake.streaming import quotes as st
 
 
@@ -125,3 +125,43 @@ def test_dedup_forgets_behind_the_watermark(spark, tmp_path):
     out = drain(spark, st.stream_dedup(stream(spark, str(folder)), "10 minutes"), tmp_path)
     # the copy of 11:30 is a repeat; that of 09:30 lands an hour late and is dropped as late
     assert sorted(r.update_time[-6:] for r in out.collect()) == ["093000", "093100", "113000"]
+
+
+def polls(folder, rows):
+    """One file per poll, read in this order."""
+    folder.mkdir(exist_ok=True)
+    for poll, lines in rows:
+        file = folder / f"poll{poll}.txt"
+        file.write_bytes("".join(x + "\n" for x in lines).encode("gbk"))
+        os.utime(file, (1_700_000_000 + poll, 1_700_000_000 + poll))
+
+
+def test_late_rows_are_a_table(spark, tmp_path):
+    folder, root, at = tmp_path / "landing", str(tmp_path / "split"), str(tmp_path / "ck")
+    polls(folder, [(1, [line("600000", "1", "20240105093000")]), (2, [line("600000", "1", "20240105113000"), line("000001", "1", "20240105092000")])])
+    st.stream_split_late(stream(spark, str(folder)), root, at).awaitTermination()
+    polls(folder, [(3, [line("600000", "1", "20240105112500"), line("000001", "1", "20240105111900"), line("300001", "1", "some day")])])
+    st.stream_split_late(stream(spark, str(folder)), root, at).awaitTermination()
+    on_time = spark.read.parquet(f"{root}/on_time").select("code", "update_time").collect()
+    late = {(r.code, r.update_time): r.reason for r in spark.read.parquet(f"{root}/late").collect()}
+    assert late == {("000001", "20240105111900"): "behind 2024-01-05 11:20:00", ("300001", "some day"): "no event time"}
+    assert len(on_time) == 4 and not {tuple(r) for r in on_time} & set(late)
+
+
+def test_industry_changes_follow_the_quotes_that_moved(spark, tmp_path):
+    folder, root, at = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "ck")
+    industry = spark.createDataFrame([("600000", "n", "bank"), ("000001", "n", "bank"), ("300001", "n", "chips")], "code string, name string, industry string")
+    schema = spark.createDataFrame([], "industry string, avg_pct double, members bigint, tier int").schema
+    whole = str(tmp_path / "whole")
+    for poll, lines in enumerate([
+        [line("600000", "1", "20240105093000", "1.5"), line("300001", "1", "20240105093000", "9")],
+        [line("600000", "1", "20240105093100", "3"), line("000001", "1", "20240105093100", "2")],
+        [line("600000", "1", "20240105093000", "7"), line("688001", "1", "20240105093200", "4")],  # the first is older than the one kept
+    ], 1):
+        polls(folder, [(poll, lines)])
+        st.stream_industry_changes(stream(spark, str(folder)), industry, root, at, buckets=4).awaitTermination()
+        st.stream_industry(stream(spark, str(folder)), industry, f"{whole}{poll}", f"{at}{poll}").awaitTermination()
+        rows = lambda df: sorted((r.industry, round(r.avg_pct, 6), r.members, r.tier) for r in df.collect())
+        assert rows(read_version(spark, f"{root}/out", schema)) == rows(read_version(spark, f"{whole}{poll}", schema))
+    kept = table_parts(spark, f"{root}/quotes")
+    assert len({v for _, v in kept}) > 1  # buckets without a moved code are those of older versions
