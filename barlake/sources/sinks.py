@@ -10,8 +10,9 @@ all, and no store needs to rename or overwrite anything.
 
 from __future__ import annotations
 
+import itertools
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -125,20 +126,22 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def current_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
-    """Folder of the newest finished version under ``root``, or of the newest below one."""
+def finished_versions(spark: SparkSession, root: str, below: int | None = None) -> Iterator[str]:
+    """Folders of the finished versions under ``root``, newest first; markers are looked up as they are asked for."""
     where = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(where):
-        return None
-    done = [
-        status.getPath().getName()
-        for status in fs.listStatus(where)
-        if status.getPath().getName().startswith("v=")
-        and (below is None or int(status.getPath().getName()[2:]) < below)
-        and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-    ]
-    return f"{root}/{max(done)}" if done else None
+        return
+    names = [status.getPath().getName() for status in fs.listStatus(where)]
+    for name in sorted((n for n in names if n.startswith("v=")), reverse=True):
+        path = spark._jvm.org.apache.hadoop.fs.Path(where, name)
+        if (below is None or int(name[2:]) < below) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
+            yield f"{root}/{name}"
+
+
+def current_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
+    """Folder of the newest finished version under ``root``, or of the newest below one."""
+    return next(finished_versions(spark, root, below), None)
 
 
 def write_version(
@@ -239,25 +242,24 @@ def write_parts(
 def drop_unused_parts(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     """Delete partitions that none of the newest ``keep`` versions uses; returns what was deleted.
 
-    Call it when no job reads an older version any more.
+    Called after every write, it has to look at the version that has just fallen out, and at
+    versions of which nothing is used any more. Call it when no job reads an older version.
     """
-    newest, used = None, set()
-    for _ in range(keep):
-        path = current_version(spark, root, newest)
-        if path is None:
-            break
-        newest = int(path.rsplit("v=", 1)[1])
-        used |= {f"{version}/{part}" for part, version in table_parts(spark, root, path)}
-    dropped, older = [], newest
-    while older is not None and (old := current_version(spark, root, older)) is not None:
-        older = int(old.rsplit("v=", 1)[1])
-        names = [f"{old.rsplit('/', 1)[1]}/{part}" for part in _partitions(spark, old)]
-        unused = [f"{root}/{name}" for name in names if name not in used]
-        if len(unused) == len(names):  # nothing of the version is used any more
-            unused = [old, _kept(root, old)]
-        for folder in unused:
-            remove_path(spark, folder)
-        dropped += unused
+    versions = list(itertools.islice(finished_versions(spark, root), keep + 1))
+    used = {p for path in versions[:keep] for p in table_parts(spark, root, path)}
+    if len(versions) <= keep:
+        return []
+    fallen = versions[keep]
+    unused = [p for p in table_parts(spark, root, fallen) if p not in used]
+    dropped = [f"{root}/{version}/{part}" for part, version in unused]
+    for folder in dropped:
+        remove_path(spark, folder)
+    in_use = {version for _, version in used}
+    for version in {version for _, version in unused} | {fallen.rsplit("/", 1)[1]}:
+        if version not in in_use:
+            remove_path(spark, f"{root}/{version}")
+            remove_path(spark, _kept(root, f"{root}/{version}"))
+            dropped.append(f"{root}/{version}")
     return dropped
 
 

@@ -120,3 +120,25 @@ def test_year_overwrite_touches_only_its_years(spark, tmp_path):
     sinks.write_by_year(df, path, "d")
     sinks.write_by_year(df.filter("k = 'b'").withColumn("k", F.lit("c")), path, "d", mode="overwrite")
     assert {(r.k, r.year) for r in spark.read.parquet(path).collect()} == {("a", 2023), ("c", 2024)}
+
+
+def test_partitions_of_older_versions_stay_in_use(spark, tmp_path):
+    """Appends and replacements over many versions, each read as a whole; what no version uses goes."""
+    root = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, year int")
+    sinks.write_parts(rows(("a", 1), ("b", 2)), root, "year")
+    sinks.write_parts(rows(("c", 2)), root, "year", replaced=[])
+    sinks.write_parts(rows(("d", 3)), root, "year", replaced=[])
+    schema = spark.createDataFrame([], "k string").schema
+    read = lambda: sorted((r.k, r.year) for r in sinks.read_version(spark, root, schema).collect())
+    assert read() == [("a", 1), ("b", 2), ("c", 2), ("d", 3)]
+    assert sinks.drop_unused_parts(spark, root) == []
+    sinks.write_parts(rows(("e", 2)), root, "year", replaced=[2, 3])  # 3 has no rows any more
+    sinks.write_parts(rows(("f", 4)), root, "year", replaced=[])
+    assert read() == [("a", 1), ("e", 2), ("f", 4)]
+    dropped = sinks.drop_unused_parts(spark, root)
+    assert len([d for d in dropped if "year=" in d]) == 3 and read() == [("a", 1), ("e", 2), ("f", 4)]
+    assert len([v for v in os.listdir(root) if v.startswith("v=")]) == 3  # the first one's year 1 is in use
+    unfinished = sinks.write_parts(rows(("g", 1)), root, "year", replaced=[1])
+    os.remove(f"{unfinished}/_SUCCESS")
+    assert read() == [("a", 1), ("e", 2), ("f", 4)]
