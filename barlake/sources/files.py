@@ -1,7 +1,13 @@
-"""File readers."""
+"""File readers, and writers of what they read."""
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from urllib.parse import unquote, urlparse
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +53,41 @@ def read_documents(spark: SparkSession, path: str, today: str | None = None) ->
     )
 
 
+def write_documents(docs: DataFrame, path: str) -> None:
+    """A text file per document (name, text) in a new folder, as ``read_documents`` reads them.
+
+    Every task has a folder of its own for its files, so folders are as many as tasks. Rows of one name
+    that lie in one task are lines of one file. On a mounted folder the tasks write the files
+    themselves: Hadoop's local file system starts a process for each file to set its mode, and
+    moves it when the job commits. Other stores get them from Spark's writer, in a folder per name.
+    """
+    where = urlparse(path)
+    if where.scheme not in ("", "file"):
+        docs.select("name", "text").write.partitionBy("name").text(path)
+        return
+    root = unquote(where.path) if where.scheme else path
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folder, now, out = f"{root}/{TaskContext.get().partitionId():05d}", None, None
+        for batch in batches:
+            for name, text in zip(batch.column("name"), batch.column("text")):
+                # a document without a name lies where Spark's writer puts it
+                file = f"{name}.txt" if name.is_valid else "name=__HIVE_DEFAULT_PARTITION__/part-0.txt"
+                if file != now:
+                    if out is not None:
+                        out.close()
+                    os.makedirs(os.path.dirname(f"{folder}/{file}"), exist_ok=True)
+                    now, out = file, open(f"{folder}/{file}", "wb")
+                out.write((text.as_py() or b"") + b"\n")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+        if out is not None:
+            out.close()
+
+    os.makedirs(root)
+    rows = docs.select("name", F.col("text").cast("binary").alias("text")).sortWithinPartitions("name")
+    rows.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+
+
 def land_documents(docs: DataFrame, path: str, batch: str) -> None:
     """Append documents (stock_code, trade_date, text) to a container table, as one batch.
 

@@ -57,7 +57,7 @@ def _(t):
     # a name per document; every fifth has no date
     day = F.date_format(F.date_add(F.lit("2024-02-01").cast("date"), (d % 28).cast("int")), "yyyyMMdd")
     name = F.concat(d.cast("string"), F.when(d % 5 == 0, "").otherwise(F.concat(F.lit("_"), day)))
-    t.table("documents").select(name.alias("name"), "text").write.mode("overwrite").partitionBy("name").text(path)
+    files.write_documents(t.table("documents").select(name.alias("name"), "text"), path)
     docs = files.read_documents(t.spark, path, "2024-01-31")
     return docs.select("stock_code", F.substring(F.sha2("text", 256), 1, 16).alias("h"), "trade_date")
 

@@ -142,3 +142,14 @@ def test_partitions_of_older_versions_stay_in_use(spark, tmp_path):
     unfinished = sinks.write_parts(rows(("g", 1)), root, "year", replaced=[1])
     os.remove(f"{unfinished}/_SUCCESS")
     assert read() == [("a", 1), ("e", 2), ("f", 4)]
+
+
+def test_written_documents_are_files_in_few_folders(spark, tmp_path):
+    rows = [(f"{i:06d}_20260622", f"a\r\nb{i}") for i in range(300)] + [("000007_20260622", "again"), (None, "unnamed"), ("x", None)]
+    docs = spark.createDataFrame(rows, "name string, text string").coalesce(2)
+    files.write_documents(docs, str(tmp_path / "docs ü"))
+    assert sum(len(d) for _, d, _ in os.walk(tmp_path / "docs ü")) <= 3  # not one per document
+    got = {(r.stock_code, str(r.trade_date)): r.text for r in files.read_documents(spark, str(tmp_path / "docs ü"), "2024-01-31").collect()}
+    assert len(got) == 302 and got["000008", "2026-06-22"] == "a\nb8\n" and got["x", "2024-01-31"] == "\n"
+    assert got["", "2024-01-31"] == "unnamed\n"
+    assert got["000007", "2026-06-22"] in ("a\nb7\n", "again\n", "a\nb7\nagain\n", "again\na\nb7\n")
