@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import heat_tier
+from ..session import work_dir
 from .keep import keep_last
 
 
@@ -102,10 +103,28 @@ def industry_members(df: DataFrame, group: str) -> DataFrame:
     """One row per member of an industry with its place by size of move, largest first.
 
     The main form: a reader takes the rows of the industries it shows. Ties follow code,
-    name and change.
+    name and change. Members are numbered in ranges of (industry, place) and shifted by the
+    sizes of the industry's earlier ranges, so no task sorts a whole industry. Rows are stored
+    before they are ranged, so that the sample of them doesn't work them out twice, and after it, so that all
+    that follows sees the same ranges. Only the table of range sizes, a row for each range and
+    industry in it, is windowed by industry.
     """
-    order = Window.partitionBy(group).orderBy(F.abs(F.col("pct")).desc(), "code", "name", "pct")
-    return df.select(group, F.row_number().over(order).alias("place"), "code", "name", "pct")
+    spark, path, size = df.sparkSession, work_dir(df.sparkSession, "members"), F.abs(F.col("pct")).desc()
+    rows = df.select(group, "code", "name", "pct")
+    rows.write.parquet(f"{path}/rows")
+    rows = spark.read.schema(rows.schema).parquet(f"{path}/rows")
+    ranged = rows.repartitionByRange(group, size, "code", "name", "pct").withColumn("__range", F.spark_partition_id())
+    ranged.write.parquet(f"{path}/ranged")
+    cut = spark.read.schema(ranged.schema).parquet(f"{path}/ranged")
+    earlier = Window.partitionBy("__group").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = cut.groupBy(F.col(group).alias("__group"), F.col("__range").alias("__at")).agg(F.count(F.lit(1)).alias("__n")).select(
+        "__group", "__at", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__shift")
+    )
+    order = Window.partitionBy("__range", group).orderBy(size, "code", "name", "pct")
+    placed = cut.withColumn("__place", F.row_number().over(order)).join(
+        F.broadcast(shifts), (F.col("__range") == F.col("__at")) & F.col(group).eqNullSafe(F.col("__group"))
+    )
+    return placed.select(group, (F.col("__shift") + F.col("__place")).cast("int").alias("place"), "code", "name", "pct")
 
 
 def industry_groups(df: DataFrame, group: str, part: Column | None = None) -> DataFrame:

@@ -3,9 +3,10 @@
 import re
 
 import pytest
+from pyspark.sql.functions import spark_partition_id
 
 import __spark_entry__ as entry
-from barlake.operators import serve
+from barlake.operators import aggregates, serve
 from barlake.sources.sinks import write_by_year
 from catalog import registry
 from catalog.fixtures import Tables
@@ -65,3 +66,19 @@ def test_daily_build_has_two_shuffles_after_its_inputs(spark):
     t = Tables(spark, SF)
     inputs = plan(t.fx_daily_a()).count("Exchange") + plan(t.fx_daily_b()).count("Exchange")
     assert plan(t.fx_daily()).count("Exchange") - inputs == 2
+
+
+def test_members_of_an_industry_are_ranked_in_ranges(spark):
+    rows = [(("a", None)[i % 50 == 0], f"{i % 900:06d}", "n", float(i % 21 - 10)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "industry string, code string, name string, pct double")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = aggregates.industry_members(df, "industry").withColumn("task", spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for name in ("a", None):
+        own = sorted((r for r in got if r.industry == name), key=lambda r: r.place)
+        assert [r.place for r in own] == list(range(1, len(own) + 1))
+        order = [(-abs(r.pct), r.code, r.name, r.pct) for r in own]
+        assert order == sorted((-abs(p), c, n, p) for i, c, n, p in rows if i == name)
+    assert len({r.task for r in got if r.industry == "a"}) > 1  # one task had them all
