@@ -28,7 +28,14 @@ from ..sources.sinks import (
     touched_partitions, write_parts, write_version,
 )
 
-_SALTS = 32
+#: Where streams keep state that grows with the rows: on disk, changes written batch by batch.
+_STORE = "spark.sql.streaming.stateStore"
+DISK_STATE = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STORE}.rocksdb.trackTotalNumberOfRows": "false",
+}
 #: Channel of those who want all codes.
 EVERYTHING = "*"
 
@@ -99,20 +106,18 @@ def wildcard_subscribers(subscriptions: DataFrame) -> DataFrame:
 
 def stream_dedup(
     sdf: DataFrame, delay: str = "10 minutes", keys: Sequence[str] = ("code", "update_time"),
-    ts: str = "event_time", spread: str = "poll_id",
+    ts: str = "event_time",
 ) -> DataFrame:
     """Suppress repeated identical polls inside the watermark.
 
-    Copies of one quote are first reduced within a few salts of ``spread`` and then
-    across them, so a quote repeated in most polls does not fill one task.
+    State is one row per quote, kept once, on the executors' disks: the session's streams use
+    RocksDB from here on, so state takes bounded memory and a batch costs its own rows, while the
+    default store copies the map of all keys for every batch. A poll has a quote once, so a key's copies in a
+    batch are the batch's polls at most; they meet one row of state, however many they are.
     """
-    salted = sdf.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(_SALTS)))
-    return (
-        salted.withWatermark(ts, delay)
-        .dropDuplicatesWithinWatermark([*keys, "__salt"])
-        .dropDuplicatesWithinWatermark(list(keys))
-        .drop("__salt")
-    )
+    for name, value in DISK_STATE.items():
+        sdf.sparkSession.conf.set(name, value)
+    return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def stream_split_late(

@@ -131,8 +131,7 @@ def _(t):
 @query("stream_dedup", "SELECT DISTINCT code, update_time FROM fx_live")
 def _(t):
     # a delay longer than the data's span: every repeat is inside the watermark
-    out = drain(t, st.stream_dedup(live(t), "4000 days"))
-    return out.select("code", "update_time")
+    return drain(t, st.stream_dedup(live(t), "4000 days").select("code", "update_time"))
 
 
 @query("stream_bronze_to_silver", "SELECT stock_code, datetime, open, high, low, close, vol, round(amount, 4) AS amount FROM fx_minute")

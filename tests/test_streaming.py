@@ -165,3 +165,19 @@ def test_industry_changes_follow_the_quotes_that_moved(spark, tmp_path):
         assert rows(read_version(spark, f"{root}/out", schema)) == rows(read_version(spark, f"{whole}{poll}", schema))
     kept = table_parts(spark, f"{root}/quotes")
     assert len({v for _, v in kept}) > 1  # buckets without a moved code are those of older versions
+
+
+def test_dedup_keeps_a_quote_once_on_disk(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for poll in range(3):
+        rows = [line(f"{i:06d}", "1", "20240105093000") for i in range(20)]
+        (folder / f"poll{poll}.txt").write_bytes("\n".join(rows).encode("gbk"))
+    q = st.run_available(
+        st.stream_dedup(stream(spark, str(folder))), str(tmp_path / "ck"),
+        lambda df, i: df.write.mode("append").parquet(str(tmp_path / "out")))
+    q.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 20
+    assert os.listdir(tmp_path / "ck" / "state") == ["0"]  # one operator holds state, not one per round
+    names = [n for _, _, files in os.walk(tmp_path / "ck" / "state") for n in files]
+    assert any(n.endswith(".changelog") for n in names) and not any(n.endswith(".delta") for n in names)
