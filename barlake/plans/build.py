@@ -31,7 +31,7 @@ from ..operators.windows import change_pct, factor_steps, last_before, surrogate
 from ..schemas import (
     ADJ_FACTOR, ADJ_STEP, BUILD_RESULT, DAILY, DOC, DOC_SECTION, FINANCE, MINUTE, STOCK_MAP,
 )
-from ..sources.files import landed_documents, read_documents
+from ..sources.files import TEXT_CODEC, landed_documents, read_documents
 from ..sources.sinks import (
     current_version, drop_old_versions, drop_unused_parts, measured, new_version, path_exists,
     read_version, remove_path, stored_years, write_parts, write_version,
@@ -105,6 +105,10 @@ class _Job:
     def by(self) -> str | None:
         return {"daily": "year", "minute": "year", "doc": "bucket"}.get(self.target)
 
+    @property
+    def codec(self) -> str | None:
+        return TEXT_CODEC if self.target == "doc" else None
+
     def current(self) -> DataFrame:
         table = read_version(self.spark, self.root, _SCHEMAS[self.target])
         if self.by and self.by not in table.columns:  # no partition was ever written
@@ -241,7 +245,7 @@ class _Job:
                 gone = pages.select("stock_code").distinct()
                 held = held.filter(F.col("bucket").isin(list(buckets))).join(gone, "stock_code", "left_anti")
                 rows = held.select(*DOC_SECTION.fieldNames()).unionByName(rows)
-        write_parts(self.partitioned(rows), root, "bucket", ["stock_code", "section_no"], buckets)
+        write_parts(self.partitioned(rows), root, "bucket", ["stock_code", "section_no"], buckets, codec=TEXT_CODEC)
         drop_unused_parts(self.spark, root)
 
     # -- writing
@@ -263,7 +267,7 @@ class _Job:
 
     def _new_version(self, df: DataFrame) -> None:
         if self.by:
-            self.path = write_parts(self.partitioned(df), self.root, self.by, _KEYS[self.target])
+            self.path = write_parts(self.partitioned(df), self.root, self.by, _KEYS[self.target], codec=self.codec)
             drop_unused_parts(self.spark, self.root)
         else:
             self.path = write_version(df, self.root)
@@ -302,7 +306,7 @@ class _Job:
 
     def _add(self, fresh: DataFrame, replaced: Sequence[int] = (), path: str | None = None) -> None:
         """A version with more rows, or with other rows in the years it replaces."""
-        self.path = write_parts(self.partitioned(fresh), self.root, self.by, _KEYS[self.target], list(replaced), path)
+        self.path = write_parts(self.partitioned(fresh), self.root, self.by, _KEYS[self.target], list(replaced), path, codec=self.codec)
         drop_unused_parts(self.spark, self.root)
 
     def _add_day(self, day: str) -> None:
@@ -338,7 +342,7 @@ class _Job:
     def _staged(self, df: DataFrame) -> Iterator[DataFrame]:
         """Rows stored while they are in use, so that they are worked out once."""
         folder = f"{self.paths.silver}/repair/{self.target}-{time.time_ns()}"
-        df.write.parquet(folder)
+        df.write.parquet(folder, compression=self.codec)
         try:
             yield self.spark.read.schema(df.schema).parquet(folder)
         finally:

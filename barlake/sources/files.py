@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ..operators.keep import keep_last
 from ..schemas import INDUSTRY
 
+#: Codec of stored texts and pages, the greater part of what is written for them.
+TEXT_CODEC = "zstd"
+
 
 def gbk_lines(files: DataFrame) -> DataFrame:
     """Rows of a binary-file source as GBK text lines (needs the charset option)."""
@@ -97,7 +100,7 @@ def land_documents(docs: DataFrame, path: str, batch: str) -> None:
     rows = docs.select("stock_code", "trade_date", F.substring(F.sha2("text", 256), 1, 16).alias("source_hash"), "text")
     rows.withColumn("batch", F.lit(batch)).sortWithinPartitions("stock_code").write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy("batch").parquet(path)
+    ).option("compression", TEXT_CODEC).partitionBy("batch").parquet(path)
 
 
 def landed_documents(spark: SparkSession, path: str, known: DataFrame | None = None) -> DataFrame:
@@ -115,7 +118,8 @@ def landed_documents(spark: SparkSession, path: str, known: DataFrame | None = N
     batches = [r[0] for r in newest.select("batch").distinct().collect()]  # one name per landing
     texts = landed.filter(F.col("batch").isin(batches))
     keys = ["stock_code", "trade_date", "batch", "source_hash"]
-    return texts.join(newest, keys, "left_semi").select("stock_code", "trade_date", "text").distinct()
+    # rows of one key have one text: they are dropped where the join has put them, texts don't move again
+    return texts.join(newest, keys, "left_semi").dropDuplicates(keys).select("stock_code", "trade_date", "text")
 
 
 def compact_documents(spark: SparkSession, path: str, file_rows: int = 10_000) -> int:
@@ -137,7 +141,7 @@ def compact_documents(spark: SparkSession, path: str, file_rows: int = 10_000) -
     beside = f"{path}/batch={name}"
     ranged.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option(
         "partitionOverwriteMode", "static"
-    ).option("maxRecordsPerFile", file_rows).parquet(beside)
+    ).option("maxRecordsPerFile", file_rows).option("compression", TEXT_CODEC).parquet(beside)
     for batch in batches:
         where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch={batch}")
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -215,7 +215,7 @@ def _partitions(spark: SparkSession, path: str) -> list[str]:
 
 def write_parts(
     df: DataFrame, root: str, by: str, order: Sequence[str] = (), replaced: Sequence | None = None,
-    path: str | None = None, below: int | None = None,
+    path: str | None = None, below: int | None = None, codec: str | None = None,
 ) -> str:
     """A new version that holds the rows of ``df``, partitioned by a column, and what it keeps.
 
@@ -235,7 +235,7 @@ def write_parts(
         rows = spark.createDataFrame(kept, "part string, version string").coalesce(1)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_kept(root, path))
     laid_out = df.hint("rebalance", by).sortWithinPartitions(by, *order)
-    laid_out.write.mode("append").partitionBy(by).parquet(path)
+    laid_out.write.mode("append").partitionBy(by).parquet(path, compression=codec)
     return path
 
 

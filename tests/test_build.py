@@ -329,3 +329,20 @@ def test_a_short_adjusted_range_reads_its_days_and_the_bar_before(spark, tmp_pat
     filters = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", text, re.S)
     assert filters and all("year" in f and "2024" in f for f in filters)
     assert [tuple(r) for r in serve.daily_batch(stored_bars, ["600000", "000001"], "2024-06-09", "2024-06-12", "qfq", events).select(*bars.columns).collect()] == [tuple(r) for r in want]
+
+
+def test_texts_of_landed_documents_move_once_and_are_stored_small(spark, tmp_path):
+    at = str(tmp_path / "docs")
+    rows = [(f"{i:06d}", f"=== a ===\n{'word ' * 50}{i}") for i in range(20)]
+    docs = spark.createDataFrame(rows + rows[:5], "stock_code string, text string")
+    files.land_documents(docs.selectExpr("stock_code", "date'2024-01-05' as trade_date", "text"), at, "b1")
+    assert all(f.name.endswith(".zstd.parquet") for f in (tmp_path / "docs").rglob("part-*"))
+    got = files.landed_documents(spark, at)
+    assert sorted((r.stock_code, r.text) for r in got.collect()) == rows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = files.landed_documents(spark, at)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = [k for k in re.findall(r"hashpartitioning\(([^)]*)", plan) if "batch" in k]
+    assert keys and not re.search(r"hashpartitioning\([^)]*text#", plan)  # texts moved again, to be made distinct
