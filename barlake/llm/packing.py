@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,47 @@ _SPACES = "".join(chr(c) for c in [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680,
 #: A space after white space.
 _UNEVEN = f"[{_SPACES}] "
 _LAST = np.array([END], dtype="<u4")
-_END = _LAST.tobytes()
+
+
+def _kind(piece: str) -> int:
+    """1 if a piece must be encoded alone, and 2 more if it is too long to be remembered."""
+    return (piece[0] not in " \n\t" or piece[-1] in _SPACES) + 2 * (len(piece) > KNOWN_CHARS)
+
+
+class _Known:
+    """Ids of pieces, one after the other, and the places of the pieces there.
+
+    Place 0 is the end of a text, place 1 the empty piece.
+    """
+
+    def __init__(self):
+        self.places: dict[str | None, int] = {None: 0, "": 1}
+        self.ids, self.starts, self.counts = _LAST, np.array([0, 1]), np.array([1, 0])
+
+    def add(self, pieces: Sequence[str], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The places that the pieces, new ones, get."""
+        n = len(self.counts)
+        self.places.update(zip(pieces, range(n, n + len(pieces))))
+        self.starts = np.concatenate((self.starts, np.cumsum(counts) - counts + len(self.ids)))
+        self.counts = np.concatenate((self.counts, counts))
+        self.ids = np.concatenate((self.ids, ids))
+        return np.arange(n, n + len(pieces))
+
+    def drop(self, pieces: Sequence[str]) -> None:
+        """Forget pieces, those that were added last."""
+        for p in pieces:
+            del self.places[p]
+        n = len(self.counts) - len(pieces)
+        if pieces:
+            self.ids = self.ids[: self.starts[n]].copy()
+            self.starts, self.counts = self.starts[:n].copy(), self.counts[:n].copy()
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at ``places``, one piece after the other, and the number of each piece's ids."""
+        counts = self.counts[places]
+        ends = np.cumsum(counts)
+        shift = self.starts[places] - (ends - counts)
+        return self.ids[np.repeat(shift, counts) + np.arange(ends[-1] if len(ends) else 0)], counts
 
 
 class Encoder:
@@ -62,54 +103,59 @@ class Encoder:
         self.lengths = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.lengths[i] = len(token)
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.new, self.old = _Known(), _Known()
 
-    def encoded(self, pieces: Sequence[str]) -> dict[str, bytes]:
-        """The ids of each piece.
+    def encoded(self, sorts: Sequence[Sequence[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, sorted by ``_kind``, and the number of each piece's ids.
 
         Pieces that begin with white space and end with text are encoded many in one go: no
-        token crosses from one to the next, so their byte counts cut the ids.
+        token crosses from one to the next, so the byte counts of all pieces cut the ids.
         """
-        row, alone = [], []
-        for p in pieces:
-            (row if p[0] in " \n\t" and p[-1] not in _SPACES else alone).append(p)
-        runs = [row[i : i + RUN] for i in range(0, len(row), RUN)]
-        texts = [*map("".join, runs), *alone]
-        found = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        out = {p: ids.tobytes() for p, ids in zip(alone, found[len(runs) :])}
-        for run, ids in zip(runs, found):
-            ends = np.cumsum(self.lengths[ids])
-            cuts = np.searchsorted(ends, np.cumsum(list(map(len, map(str.encode, run))))) + 1
-            raw, stops = ids.tobytes(), (4 * cuts).tolist()
-            out.update(zip(run, map(raw.__getitem__, map(slice, [0, *stops], stops))))
-        return out
-
-    def known_ids(self, wanted: set[str]) -> dict[str, bytes]:
-        """A dictionary that has the ids of the wanted pieces, new ones encoded."""
-        known, old = self.new, self.old
-        missing = wanted.difference(known)
-        again = old.keys() & missing
-        known.update(zip(again, map(old.__getitem__, again)))
-        known.update(self.encoded(list(missing - again)))
-        return known
-
-    def forget(self, wanted: set[str]) -> None:
-        """Keep no long pieces, and of the others the generation that is full as the old one."""
-        for p in wanted:
-            if len(p) > KNOWN_CHARS:
-                self.new.pop(p, None)
-        if len(self.new) > KNOWN_PIECES:
-            self.new, self.old = {}, self.new
+        texts = []
+        for kind, part in enumerate(sorts):
+            texts += part if kind % 2 else ["".join(part[i : i + RUN]) for i in range(0, len(part), RUN)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, dtype="<u4") for e in found])
+        sizes = pc.binary_length(pa.array([p for part in sorts for p in part], pa.large_string())).to_numpy()
+        cuts = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes)) + 1
+        return ids, np.diff(cuts, prepend=0)
+
+    def texts(self, pieces: Sequence[str], order: Callable[[np.ndarray], np.ndarray]) -> list[np.ndarray]:
+        """Ids of texts whose pieces are ``pieces``, none twice, new ones encoded.
+
+        ``order`` makes of the places of ``pieces`` those of all texts' pieces, with place 0
+        after each text. No long pieces are kept, and of the others the generation that is
+        full as the old one.
+        """
+        known, old, n = self.new, self.old, len(pieces)
+        at = np.fromiter(map(known.places.get, pieces, itertools.repeat(-1)), np.int64, n)
+        lost = np.flatnonzero(at < 0)
+        missing = [pieces[i] for i in lost.tolist()]
+        before = np.fromiter(map(old.places.get, missing, itertools.repeat(-1)), np.int64, len(missing))
+        again = before >= 0
+        if again.any():
+            at[lost[again]] = known.add(list(itertools.compress(missing, again)), *old.of(before[again]))
+            lost, missing = lost[~again], list(itertools.compress(missing, ~again))
+        kind = np.fromiter(map(_kind, missing), np.int64, len(missing))
+        # those that are kept first, and of each sort those that are encoded many in one go
+        turn = np.argsort(kind, kind="stable")
+        cuts, turn = np.searchsorted(kind[turn], [0, 1, 2, 3, 4]).tolist(), turn.tolist()
+        sorts = [[missing[i] for i in turn[start:stop]] for start, stop in zip(cuts, cuts[1:])]
+        if missing:
+            at[lost[turn]] = known.add([p for part in sorts for p in part], *self.encoded(sorts))
+        places = order(at)
+        ids, counts = known.of(places)
+        stops = np.cumsum(counts)[places == 0].tolist()
+        known.drop([p for part in sorts[2:] for p in part])
+        if len(known.places) > KNOWN_PIECES:
+            self.new, self.old = _Known(), known
+        return [ids[start:stop].copy() for start, stop in zip([0, *stops], stops)]
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text, cut into pieces one by one."""
-        cut = [[p for part in parts(t) for p in _PIECE.findall(part)] for t in texts]
-        wanted = set().union(*cut)
-        find = self.known_ids(wanted).__getitem__
-        out = [np.frombuffer(b"".join([*map(find, pieces), _END]), dtype="<u4") for pieces in cut]
-        self.forget(wanted)
-        return out
+        cut = [p for t in texts for p in (*(p for part in parts(t) for p in _PIECE.findall(part)), None)]
+        at = {p: i for i, p in enumerate(dict.fromkeys(cut))}
+        return self.texts(list(at), lambda places: places[[at[p] for p in cut]])
 
     def encode_spaced(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of texts in which no space follows white space: their words, with the space
@@ -117,24 +163,20 @@ class Encoder:
         lists = pc.split_pattern(texts, " ")
         at, words = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
         first = at[:-1]
-        heads = words.take(pa.array(first)).to_pylist()
+        heads = words.take(pa.array(first)).dictionary_encode()
         later = np.ones(len(words), dtype=bool)
         later[first] = False
-        coded = words.filter(pa.array(later)).dictionary_encode()
-        spaced = [" " + w for w in coded.dictionary.to_pylist()]
-        wanted = {*spaced, *heads} - {""}
-        known = self.known_ids(wanted)
-        raw = [known[p] for p in spaced]
-        flat, sizes = np.frombuffer(b"".join(raw), dtype="<u4"), np.array([len(r) // 4 for r in raw], dtype=np.int64)
-        of = coded.indices.to_numpy()
-        starts, counts = (np.cumsum(sizes) - sizes)[of], sizes[of]
-        ends = np.cumsum(counts)
-        ids = flat[np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
-        stops = np.concatenate(([0], ends))[at[1:] - np.arange(1, len(at))]
-        head = [np.frombuffer(known[h] if h else b"", dtype="<u4") for h in heads]
-        out = [np.concatenate((h, ids[a:b], _LAST)) for h, a, b in zip(head, [0, *stops[:-1]], stops)]
-        self.forget(wanted)
-        return out
+        spaced = words.filter(pa.array(later)).dictionary_encode()
+        names = lambda coded: coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+        def order(places: np.ndarray) -> np.ndarray:
+            n, out = len(spaced.dictionary), np.zeros(len(words) + len(texts), dtype=np.int64)
+            where = np.arange(len(words)) + np.repeat(np.arange(len(texts)), np.diff(at))
+            out[where[later]] = places[:n][spaced.indices.to_numpy()]
+            out[where[first]] = places[n:][heads.indices.to_numpy()]
+            return out
+
+        return self.texts([*(" " + w for w in names(spaced)), *names(heads)], order)
 
     def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
         uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)

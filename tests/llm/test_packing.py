@@ -140,3 +140,18 @@ def test_best_fit():
     (closed,) = put("e", 8)  # fits neither: d, the fullest, gets its head
     assert [(p[0], p[1], len(p[2])) for p in closed] == [("d", 0, 9), ("e", 0, 1)]
     assert sorted(w[0] for w in packer.open) == [3, 4]
+
+
+def test_ids_of_remembered_pieces_lie_in_one_array():
+    encoder = packing.Encoder(PATH)
+    texts = ["to be or not to be", "be " + "z" * 99, "", "to\n be or", " "]
+    for _ in range(2):
+        for column in (texts, texts[::-1]):
+            assert [x.tolist() for x in encoder.encode_column(pa.array(column))] == [reference(t) for t in column]
+    known = encoder.new
+    # a long piece leaves neither a place nor ids behind
+    assert max(len(p) for p in known.places if p) <= packing.KNOWN_CHARS
+    assert len(known.ids) == known.counts.sum() and len(known.places) == len(known.counts)
+    for piece, place in known.places.items():
+        ids, _ = known.of(np.array([place]))
+        assert ids.tolist() == (reference(piece)[:-1] if piece is not None else [packing.END])
