@@ -78,20 +78,18 @@ def thresholds(sized: DataFrame, budgets: DataFrame, bits: int = LEVEL_BITS) ->
         bucket = F.shiftright("h", shift)
         parent = F.shiftright("h", shift + bits)
         rows = sized.select(F.col("source").alias("s"), "size", bucket.alias("bucket"), parent.alias("parent"))
-        sums = (
-            rows.groupBy("s", "parent", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
-            if used == bits
-            else rows.join(
-                open_.select(F.col("source").alias("bs"), "prefix").distinct(),
-                F.col("s").eqNullSafe(F.col("bs")) & (F.col("parent") == F.col("prefix")), "left_semi",
-            ).groupBy("s", "parent", "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
-        )
+        names = ["source", "budget", "amount", "prefix", "below"]
+        met = rows.join(
+            open_.select(*names), F.col("s").eqNullSafe(F.col("source")) & (F.col("parent") == F.col("prefix"))
+        ).groupBy(*names, "bucket").agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
+        # a budget that meets no documents has this row alone
+        none = open_.select(*names, F.lit(None).cast("long").alias("bucket"), zero.alias("words"), zero.alias("rows"))
         upto = Window.partitionBy("source", "budget").orderBy("bucket")
-        found = open_.select("source", "budget", "amount", "prefix", "below").join(sums, F.col("s").eqNullSafe(F.col("source")) & (F.col("parent") == F.col("prefix")), "left")
-        found = found.withColumn("reach", F.col("below") + F.coalesce(F.sum("words").over(upto), F.lit(0)))
+        found = met.unionByName(none).withColumn("reach", F.col("below") + F.sum("words").over(upto))
+        reached = F.col("bucket").isNotNull() & (F.col("reach") >= F.col("amount"))
         # the first bucket whose running sum reaches the amount, or one past the last bucket
         boundary = found.groupBy("source", "budget", "amount", "prefix").agg(
-            F.min(F.when(F.col("reach") >= F.col("amount"), F.struct("bucket", (F.col("reach") - F.col("words")).alias("below"), "words", "rows"))).alias("at"),
+            F.min(F.when(reached, F.struct("bucket", (F.col("reach") - F.col("words")).alias("below"), "words", "rows"))).alias("at"),
             F.max("reach").alias("all"),
         )
         past = (F.col("prefix") + 1) * (1 << bits)

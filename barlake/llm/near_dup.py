@@ -250,8 +250,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, scheme: Scheme) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, stop - start), lists], ["id", "shingles"])
 
-    ids = staged(ids.distinct(), "near-ids")
-    small = ids.count() * 16 <= BROADCAST_BYTES
+    ids, n = staged_rows(ids.distinct(), "near-ids")
+    small = n * 16 <= BROADCAST_BYTES
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if small else ids, "id", "left_semi")
     return staged(rows.mapInArrow(per_batch(run), "id long, shingles array<long>"), "near-sets")
 
@@ -278,12 +278,17 @@ def _with(rows: DataFrame, facts: DataFrame) -> DataFrame:
 
     A list has one entry for each key of a signature at most.
     """
-    held = rows.groupBy("id").agg(F.first("component").alias("component"), F.collect_list(F.struct("key", "slot")).alias("at"))
-    return held.join(facts, "id").withColumn("at", F.explode("at")).select("at.key", "at.slot", "id", "component", *(c for c in facts.columns if c != "id"))
+    names = [c for c in rows.columns if c not in ("id", "component")]
+    held = rows.groupBy("id").agg(F.first("component").alias("component"), F.collect_list(F.struct(*names)).alias("at"))
+    return held.join(facts, "id").withColumn("at", F.explode("at")).select(
+        *(f"at.{c}" for c in names), "id", "component", *(c for c in facts.columns if c != "id")
+    )
 
 
-def _starred(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Scheme) -> tuple[DataFrame, DataFrame]:
-    """(rows of keys that are open still, labels) after star rounds.
+def _starred(
+    members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Scheme
+) -> tuple[DataFrame, int, DataFrame]:
+    """(rows of keys that are open still, their number, labels) after star rounds.
 
     In a round some members of every open key are drawn, and all members of other components
     that have a full set are compared with them. What a round leaves is examined otherwise.
@@ -292,7 +297,7 @@ def _starred(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: Da
     while True:
         rows, left = staged_rows(_open(members, labels), "near-open")
         if not left:
-            return rows, labels
+            return rows, left, labels
         drawn = [F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(STAR_CENTERS * round_ + i))) for i in range(STAR_CENTERS)]
         centers = rows.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("c"))
         pairs = rows.join(centers, "key").withColumn("c", F.explode("c")).filter("c.component <> component").select(
@@ -305,7 +310,7 @@ def _starred(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: Da
         if n:
             labels = contracted(labels, more.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         if n * STAR_GAIN <= left:
-            return (staged(_open(members, labels), "near-open") if n else rows), labels
+            return (*(staged_rows(_open(members, labels), "near-open") if n else (rows, left)), labels)
 
 
 def _slots(equal: np.ndarray, scheme: Scheme) -> np.ndarray:
@@ -341,11 +346,11 @@ def _exact(key, x, block, i, j, equal, scheme):
     return [np.concatenate(a), np.concatenate(b)] if a else [np.zeros(0, np.int64)] * 2
 
 
-def _compared(rows: DataFrame, scheme: Scheme, emit, schema: str) -> DataFrame:
+def _compared(rows: DataFrame, facts: DataFrame, scheme: Scheme, emit, schema: str) -> DataFrame:
     """Pairs of a key in different components whose signatures and sizes allow a link.
 
-    ``rows`` has key, slot, id, component, n, sig and maybe shingles. Members outside a key's
-    largest component are compared with all its members. These come in blocks of about
+    ``rows`` has key, slot, id and component, ``facts`` id, n, sig and maybe shingles. Members outside
+    a key's largest component are compared with all its members. These come in blocks of about
     BLOCK rows; a task holds one block while the others stream by. What leaves the task is
     what ``emit`` makes of the pairs: rows of keys, or confirmed links, never all pairs.
     """
@@ -353,12 +358,12 @@ def _compared(rows: DataFrame, scheme: Scheme, emit, schema: str) -> DataFrame:
     main = held.groupBy("key").agg(
         F.max_by("component", F.struct("k", "component")).alias("main"), F.ceil(F.sum("k") / BLOCK).cast("int").alias("cut")
     )
-    columns = [c for c in rows.columns if c != "key"]
-    sized = rows.join(main, "key")
-    own = F.pmod(F.xxhash64("id"), "cut").cast("int").alias("block")
-    kept = sized.select("key", own, F.lit(0).alias("kind"), *columns)
-    every = F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block")
-    minor = sized.filter("component <> main").select("key", every, F.lit(1).alias("kind"), *columns)
+    columns = ["slot", "id", "component", *(c for c in facts.columns if c != "id")]
+    place = lambda block, kind: F.struct(block.cast("int").alias("block"), F.lit(kind).alias("kind"))
+    own = F.array(place(F.pmod(F.xxhash64("id"), "cut"), 0))
+    every = F.transform(F.sequence(F.lit(0), F.col("cut") - 1), lambda block: place(block, 1))
+    where = F.explode(F.when(F.col("component") != F.col("main"), F.concat(own, every)).otherwise(own))
+    sized = _with(rows.join(staged(main, "near-main"), "key"), facts)
     names = [part.split()[0] for part in schema.split(", ")]
 
     def loaded(batch, start, stop):
@@ -406,7 +411,8 @@ def _compared(rows: DataFrame, scheme: Scheme, emit, schema: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(f)) for f in zip(*found)], names)
 
     shuffles = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lined = kept.unionByName(minor).repartition(shuffles, "key", "block").sortWithinPartitions("key", "block", "kind")
+    placed = sized.withColumn("at", where).select("key", "at.block", "at.kind", *columns)
+    lined = placed.repartition(shuffles, "key", "block").sortWithinPartitions("key", "block", "kind")
     return lined.mapInArrow(run, schema).distinct()
 
 
@@ -431,16 +437,20 @@ def link_labels(docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFram
     labels = contracted(None, confirmed(pairs, sets, scheme))
 
     larger = buckets.filter("n > 2")  # a pair alone on its key is done
-    rows, labels = _starred(larger, labels, classes, sets, scheme)
-    sized = _with(rows, classes.select("id", "sig", "n"))
-    flagged, n = staged_rows(_compared(sized, scheme, _flags, "key long, id long"), "near-flagged")
+    rows, n, labels = _starred(larger, labels, classes, sets, scheme)
+    if not n:
+        return labels
+    flags = _compared(rows, classes.select("id", "sig", "n"), scheme, _flags, "key long, id long")
+    flagged, n = staged_rows(flags, "near-flagged")
     if not n:
         return labels
     members = staged(rows.select("key", "slot", "id").join(flagged, ["key", "id"]), "near-members")
     sets = full_sets(docs, members.select("id"), scheme)
-    rows, labels = _starred(members, labels, classes, sets, scheme)
-    full = _with(rows, classes.select("id", "sig").join(sets, "id").withColumn("n", F.size("shingles").cast("long")))
-    last = _compared(full.select("key", "slot", "id", "component", "n", "sig", "shingles"), scheme, _exact, "a long, b long")
+    rows, n, labels = _starred(members, labels, classes, sets, scheme)
+    if not n:
+        return labels
+    full = classes.select("id", "sig").join(sets, "id").select("id", "sig", F.size("shingles").cast("long").alias("n"), "shingles")
+    last = staged(_compared(rows, full, scheme, _exact, "a long, b long"), "near-last")
     return contracted(labels, told(last, labels))
 
 
@@ -463,10 +473,11 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     per_class = known.groupBy("cls").agg(F.min("doc_id").alias("id"), F.min_by(F.struct("sig", "n_shingles"), "doc_id").alias("s"))
     classes = staged(per_class.select("cls", "id", "s.sig", F.col("s.n_shingles").alias("n")), "near-classes")
     # a doc_id on rows of several classes connects them
-    several = staged(known.select("doc_id", "cls").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1"), "near-several")
+    torn = known.select("doc_id", "cls").distinct().groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1")
+    several, n = staged_rows(torn, "near-several")
     bridges = known.join(several, "doc_id").join(classes.select("cls", "id"), "cls").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     labels = link_labels(docs.filter("doc_id is not null"), classes, scheme)
-    if not several.isEmpty():
+    if n:
         labels = contracted(labels, told(bridges, labels))
     of_class = staged(classes.join(labels, "id", "left").select("cls", F.coalesce("component", "id").alias("of")), "near-labels")
     return rows.join(of_class, "cls", "left").select(
@@ -475,6 +486,12 @@ def near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _small_ids(ids: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Ids as they are stored, to be broadcast up to BROADCAST_BYTES, and their number."""
+    stored, n = staged_rows(ids, name)
+    return F.broadcast(stored) if n * 16 <= BROADCAST_BYTES else stored, n
+
+
 def without_near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataFrame:
     """The rows of ``docs``, with all their columns, less all but one document of each group.
 
@@ -482,13 +499,12 @@ def without_near_duplicates(docs: DataFrame, scheme: Scheme = Scheme()) -> DataF
     rows with a null doc_id and all documents without words.
     """
     judged = near_duplicates(docs, scheme)
-    gone = staged(judged.filter(~F.col("kept")).select("doc_id").distinct(), "near-gone")
-    repeated = staged(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "near-repeated")
-    small = lambda ids: F.broadcast(ids) if ids.count() * 16 <= BROADCAST_BYTES else ids
-    left = docs.join(small(gone), "doc_id", "left_anti")
-    if not repeated.isEmpty():
-        again = left.join(small(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        left = left.join(small(repeated), "doc_id", "left_anti").unionByName(again)
+    gone = _small_ids(judged.filter(~F.col("kept")).select("doc_id").distinct(), "near-gone")[0]
+    repeated, n = _small_ids(docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "near-repeated")
+    left = docs.join(gone, "doc_id", "left_anti")
+    if n:
+        again = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+        left = left.join(repeated, "doc_id", "left_anti").unionByName(again)
     return left.select(*[left[c] for c in docs.columns])
 
 

@@ -115,3 +115,21 @@ def test_repeated_rows_are_taken_one_by_one(spark, made):
     for r in out:
         want[r.source] = want.get(r.source, 0) + r.copies
     assert {r["source"]: r["count"] for r in kept} == want
+
+
+def test_a_level_meets_the_documents_by_one_join(spark, monkeypatch, capsys):
+    plans, staged = [], mixing.staged
+
+    def seen(df, name):
+        if name == "mix-level":
+            capsys.readouterr()
+            df.explain()
+            plans.append(capsys.readouterr().out)
+        return staged(df, name)
+
+    monkeypatch.setattr(mixing, "staged", seen)
+    sized = spark.createDataFrame([("a", 3, 5 << 50), ("a", 4, 9 << 50), (None, 2, 7)], "source string, size long, h long")
+    budgets = spark.createDataFrame([("a", 0, 3.0), (None, 0, 9.0), ("none", 0, 1.0)], "source string, budget int, amount double")
+    got = {r.source: r.threshold for r in mixing.thresholds(sized, budgets).collect()}
+    assert 5 << 50 < got["a"] <= 9 << 50 and min(got[None], got["none"]) >= 1 << mixing.HASH_BITS
+    assert plans and all(plan.count("Join") == 1 for plan in plans)

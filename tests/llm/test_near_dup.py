@@ -162,3 +162,11 @@ def test_one_document_of_each_group_stays(spark):
     out = near_dup.without_near_duplicates(docs)
     assert out.columns == docs.columns
     assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted([rows[1], rows[3], rows[4], rows[5], rows[6]], key=repr)
+
+
+def test_keys_without_open_members_are_not_compared(spark, monkeypatch):
+    """What isn't needed isn't planned: each plan of a comparison costs the driver memory."""
+    monkeypatch.setattr(near_dup, "_compared", None)
+    rows = [(1, "a b c d e"), (2, "A b c d e"), (3, "v w x y z"), (4, None)]
+    out = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), near_dup.TWO_WORDS)
+    check(rows, out.collect())
