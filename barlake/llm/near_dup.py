@@ -285,6 +285,17 @@ def _with(rows: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
+def _met(rows: DataFrame, centers: DataFrame) -> DataFrame:
+    """(id, component, c) of open rows: the centres of other components that an id meets, each once.
+
+    Keys of near copies draw the same few centres. A list has STAR_CENTERS entries for each key of
+    an id at most.
+    """
+    others = F.filter("c", lambda c: c.component != F.col("component"))
+    met = rows.join(centers, "key").select("id", "component", others.alias("c")).filter(F.size("c") > 0)
+    return met.groupBy("id", "component").agg(F.array_distinct(F.flatten(F.collect_list("c"))).alias("c"))
+
+
 def _starred(
     members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, scheme: Scheme
 ) -> tuple[DataFrame, int, DataFrame]:
@@ -300,7 +311,7 @@ def _starred(
             return rows, left, labels
         drawn = [F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(STAR_CENTERS * round_ + i))) for i in range(STAR_CENTERS)]
         centers = rows.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("c"))
-        pairs = rows.join(centers, "key").withColumn("c", F.explode("c")).filter("c.component <> component").select(
+        pairs = _met(rows, centers).withColumn("c", F.explode("c")).select(
             F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b"),
             F.least("c.component", "component").alias("ca"), F.greatest("c.component", "component").alias("cb"),
         )

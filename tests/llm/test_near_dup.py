@@ -92,6 +92,44 @@ def test_broad_families_of_near_copies(spark, seed):
     check(rows, near_dup.near_duplicates(docs).collect(), k=5)
 
 
+def executed(plan):
+    """The nodes of a plan that has run."""
+    yield plan
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        inner = [plan.executedPlan()]
+    elif plan.nodeName().endswith("QueryStage"):
+        inner = [plan.plan()]
+    else:
+        inner = [plan.children().apply(i) for i in range(plan.children().size())]
+    for child in inner:
+        yield from executed(child)
+
+
+def test_an_id_meets_a_centre_once(spark, monkeypatch):
+    """However many keys of near copies draw the same centre, a round makes one row of the two."""
+    rng, rounds, close = random.Random(3), [], near_dup._close
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    base, rows = [word() for _ in range(110)], []
+    for i in range(150):
+        own = list(base)
+        for _ in range(rng.randrange(14)):
+            own[rng.randrange(len(own))] = word()
+        rows.append((i, " ".join(own)))
+
+    def kept(pairs, *more):
+        rounds.append(pairs)
+        return close(pairs, *more)
+
+    monkeypatch.setattr(near_dup, "_close", kept)
+    check(rows, near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), near_dup.TWO_WORDS).collect())
+    rounds = [pairs for pairs in rounds if "ca" in pairs.columns]
+    assert rounds
+    for pairs in rounds:
+        distinct = len(pairs.collect())
+        made = [n.metrics().apply("numOutputRows").value() for n in executed(pairs._jdf.queryExecution().executedPlan()) if n.nodeName() == "Generate"]
+        assert len(made) == 1 and distinct <= made[0] <= 2 * distinct  # two centres that meet are met from both sides
+
+
 def test_rows_that_share_a_doc_id_are_one_document(spark):
     a, b = "p q r s t u v w", "k l m n o h i j"
     rows = [(4, a), (9, b), (9, a), (7, b)]
