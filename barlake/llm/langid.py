@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import functools
 import itertools
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -191,7 +193,7 @@ def _cuts(sample: DataFrame, model: Centroids) -> np.ndarray:
     cuts = np.zeros((len(model.languages), len(LENGTHS)))
     if not len(got):
         return cuts
-    near = np.array(got.column("near").to_pylist())
+    near = got.column("near").combine_chunks().flatten().to_numpy().reshape(len(got), -1)
     lang, k, shuffled = (np.array(got.column(c).to_pylist()) for c in ("lang", "k", "shuffled"))
     for i, name in enumerate(model.languages):
         for j in range(len(LENGTHS)):
@@ -207,9 +209,9 @@ def fit(docs: DataFrame, training: Column | None = None, size: int = TRAINING_DO
     """Fit on text and lang of the ``training`` rows (default: not held out); None without any.
 
     Per language, the documents with the smallest hashes of doc_id are taken, about ``size``
-    over all languages together; that bounds what the driver holds. The cut follows from the
-    number of documents per language, so only the texts taken are read into Python. They are
-    read a second time to fit the cuts of rejection.
+    over all languages together; that bounds what the driver holds. Counts come to it compressed
+    and are unpacked language by language. The cut follows from the number of documents per
+    language, so only the texts taken are read into Python. They are read a second time to fit the cuts of rejection.
     """
     rows = docs.filter(~held_out() & F.col("doc_id").isNotNull() if training is None else training)
     rows = rows.filter("lang is not null and text is not null")
@@ -225,23 +227,32 @@ def fit(docs: DataFrame, training: Column | None = None, size: int = TRAINING_DO
     def run(batch: pa.RecordBatch):
         for start, stop, counts, letters in ngram_counts(batch.column("text")):
             kept = np.flatnonzero(letters)
-            vectors = [counts[i].astype(np.uint16 if counts[i].max() < 65536 else np.uint32) for i in kept]
             yield pa.RecordBatch.from_arrays([
                 batch.column("lang").slice(start, stop - start).take(pa.array(kept)),
                 batch.column("__h").slice(start, stop - start).take(pa.array(kept)),
-                pa.array([v.astype("<u4").tobytes() for v in vectors], pa.binary()),
+                pa.array([zlib.compress(counts[i].astype("<u4").tobytes(), 1) for i in kept], pa.binary()),
             ], ["lang", "h", "counts"])
 
-    taken = sample.mapInArrow(per_batch(run), "lang string, h long, counts binary").toArrow().to_pylist()
-    if not taken:
+    taken = sample.mapInArrow(per_batch(run), "lang string, h long, counts binary").toArrow()
+    if not len(taken):
         return None
-    taken.sort(key=lambda r: (r["lang"], r["h"], r["counts"]))
-    counts = np.array([np.frombuffer(r["counts"], "<u4") for r in taken], dtype=np.float32)
-    lang = np.array([r["lang"] for r in taken])
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    x, names, vectors, of = weighted(counts, idf), sorted(set(lang)), [], []
-    for i, name in enumerate(names):
-        c = _clusters(x[lang == name], k)
+    by_language: dict[str, list[tuple[int, bytes]]] = {}
+    for lang, h, packed in zip(*(taken.column(c).to_pylist() for c in ("lang", "h", "counts"))):
+        by_language.setdefault(lang, []).append((h, packed))
+    n, seen = len(taken), np.zeros(FEATURES, dtype=np.int64)
+    del taken
+    for rows in by_language.values():
+        same = Counter(h for h, _ in rows)  # rows of one hash go by their counts
+        rows.sort(key=lambda r: (r[0], zlib.decompress(r[1]) if same[r[0]] > 1 else b""))
+        for _, packed in rows:
+            seen += np.frombuffer(zlib.decompress(packed), "<u4") > 0
+    idf = (np.log((1 + n) / (1 + seen)) + 1).astype(np.float32)
+    names, vectors, of = sorted(by_language), [], []
+    for i, name in enumerate(names):  # one language's vectors are unpacked at a time
+        x = np.empty((len(by_language[name]), FEATURES), dtype=np.float32)
+        for row, (_, packed) in zip(x, by_language.pop(name)):
+            row[:] = np.frombuffer(zlib.decompress(packed), "<u4")
+        c = _clusters(weighted(x, idf), k)
         vectors.append(c)
         of += [i] * len(c)
     model = Centroids(idf, np.concatenate(vectors).astype(np.float32), np.array(of), tuple(names), np.zeros((len(names), len(LENGTHS))))

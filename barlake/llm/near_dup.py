@@ -220,20 +220,33 @@ def _keyed(classes: DataFrame, scheme: Scheme) -> DataFrame:
     return classes.select("id", "sig").mapInArrow(per_batch(run), "key long, slot int, id long")
 
 
-def _close(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
-    """The distinct pairs (a, b) of longs, with what is beside them, whose set sizes and signatures allow a link."""
-    names = pairs.columns
+def _side(classes: DataFrame, x: str) -> DataFrame:
+    return classes.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n").alias(f"n_{x}"))
+
+
+def _beside(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """A row (x, y, sig_x, n_x) of each id x and each y of its list ``c``.
+
+    An id meets its signature once, before its pairs are rows. Where ``met`` has components, there are ca and cb, the
+    smaller and the larger one of the two.
+    """
+    rows = met.withColumnRenamed("id", "x").join(_side(classes, "x"), "x").withColumn("c", F.explode("c"))
+    of = [f("c.component", "component").alias(name) for f, name in ((F.least, "ca"), (F.greatest, "cb"))]
+    return rows.select("x", F.col("c.id").alias("y"), "sig_x", "n_x", *(of if "component" in met.columns else ()))
 
-    side = lambda x: classes.select(F.col("id").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n").alias(f"n_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+
+def _close(pairs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFrame:
+    """(a, b), the smaller id first, and ca and cb if there are any, of the pairs whose set sizes and signatures allow a link."""
+    names = ["a", "b", *(c for c in ("ca", "cb") if c in pairs.columns)]
+    both = pairs.join(_side(classes, "y"), "y").withColumns({"a": F.least("x", "y"), "b": F.greatest("x", "y")})
+    least, most = F.least("n_x", "n_y"), F.greatest("n_x", "n_y")
 
     def run(batch: pa.RecordBatch):
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, scheme.values) for c in ("sig_a", "sig_b"))
-        near = pa.array((a != b).sum(axis=1) <= scheme.far)
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint16).reshape(-1, scheme.values) for c in ("sig_x", "sig_y"))
+        near = pa.array((x != y).sum(axis=1) <= scheme.far)
         yield batch.select(names).filter(near)
 
-    return both.filter(least * 100 >= most * scheme.threshold).select(*names, "sig_a", "sig_b").mapInArrow(
+    return both.filter(least * 100 >= most * scheme.threshold).select(*names, "sig_x", "sig_y").mapInArrow(
         per_batch(run), ", ".join(f"{c} long" for c in names)
     )
 
@@ -266,11 +279,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame, scheme: Scheme) -> DataFrame:
     return both.filter(shared * 100 >= union * scheme.threshold).select(*pairs.columns)
 
 
-def _open(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of keys that hold more than one component, with each id's component."""
+def _open(buckets: DataFrame, labels: DataFrame, round_: int) -> DataFrame:
+    """Rows of keys that hold more than one component, with each id's component.
+
+    ``c`` has the centres that the round draws from all members of the key, told apart.
+    """
     rows = buckets.select("key", "slot", "id").join(labels, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("component"))
-    several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return rows.join(several.filter("lo <> hi").select("key"), "key", "left_semi")
+    least = [F.xxhash64("id", F.lit(STAR_CENTERS * round_ + i)) for i in range(STAR_CENTERS)]
+    drawn = [F.struct(*(F.min_by(c, h).alias(c) for c in ("id", "component"))) for h in least]
+    several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.array_distinct(F.array(*drawn)).alias("c"))
+    return rows.join(several.filter("lo <> hi").select("key", "c"), "key")
 
 
 def _with(rows: DataFrame, facts: DataFrame) -> DataFrame:
@@ -285,15 +303,15 @@ def _with(rows: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def _met(rows: DataFrame, centers: DataFrame) -> DataFrame:
+def _met(rows: DataFrame) -> DataFrame:
     """(id, component, c) of open rows: the centres of other components that an id meets, each once.
 
     Keys of near copies draw the same few centres. A list has STAR_CENTERS entries for each key of
     an id at most.
     """
     others = F.filter("c", lambda c: c.component != F.col("component"))
-    met = rows.join(centers, "key").select("id", "component", others.alias("c")).filter(F.size("c") > 0)
-    return met.groupBy("id", "component").agg(F.array_distinct(F.flatten(F.collect_list("c"))).alias("c"))
+    met = rows.select("id", "component", others.alias("c")).filter(F.size("c") > 0)
+    return met.groupBy("id").agg(F.first("component").alias("component"), F.array_distinct(F.flatten(F.collect_list("c"))).alias("c"))
 
 
 def _starred(
@@ -301,27 +319,21 @@ def _starred(
 ) -> tuple[DataFrame, int, DataFrame]:
     """(rows of keys that are open still, their number, labels) after star rounds.
 
-    In a round some members of every open key are drawn, and all members of other components
+    In a round some members of every open key are drawn as it is found open, and all members of other components
     that have a full set are compared with them. What a round leaves is examined otherwise.
     """
     round_ = 0
     while True:
-        rows, left = staged_rows(_open(members, labels), "near-open")
+        rows, left = staged_rows(_open(members, labels, round_), "near-open")
         if not left:
             return rows, left, labels
-        drawn = [F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(STAR_CENTERS * round_ + i))) for i in range(STAR_CENTERS)]
-        centers = rows.groupBy("key").agg(F.array_distinct(F.array(*drawn)).alias("c"))
-        pairs = _met(rows, centers).withColumn("c", F.explode("c")).select(
-            F.least("c.id", "id").alias("a"), F.greatest("c.id", "id").alias("b"),
-            F.least("c.component", "component").alias("ca"), F.greatest("c.component", "component").alias("cb"),
-        )
-        pairs = staged(_close(pairs.distinct(), classes, scheme), "near-pairs")
+        pairs = staged(_close(_beside(_met(rows), classes), classes, scheme).distinct(), "near-pairs")
         more, n = staged_rows(confirmed(pairs, sets, scheme), "near-links")
         members, round_ = rows, round_ + 1
         if n:
             labels = contracted(labels, more.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
         if n * STAR_GAIN <= left:
-            return (*(staged_rows(_open(members, labels), "near-open") if n else (rows, left)), labels)
+            return (*(staged_rows(_open(members, labels, round_).drop("c"), "near-open") if n else (rows.drop("c"), left)), labels)
 
 
 def _slots(equal: np.ndarray, scheme: Scheme) -> np.ndarray:
@@ -442,8 +454,8 @@ def link_labels(docs: DataFrame, classes: DataFrame, scheme: Scheme) -> DataFram
     keyed = _keyed(classes, scheme)
     shared = keyed.groupBy("key").agg(F.min("id").alias("center"), F.count("*").alias("n")).filter("n > 1")
     buckets = staged(keyed.join(shared, "key"), "near-keys")
-    pairs = buckets.filter("id <> center").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = staged(_close(pairs, classes, scheme), "near-pairs")
+    met = buckets.filter("id <> center").groupBy("id").agg(F.collect_set(F.struct(F.col("center").alias("id"))).alias("c"))
+    pairs = staged(_close(_beside(met, classes), classes, scheme), "near-pairs")  # a centre is smaller, so a pair is met once
     sets = full_sets(docs, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), scheme)
     labels = contracted(None, confirmed(pairs, sets, scheme))
 

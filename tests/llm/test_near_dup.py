@@ -130,6 +130,35 @@ def test_an_id_meets_a_centre_once(spark, monkeypatch):
         assert len(made) == 1 and distinct <= made[0] <= 2 * distinct  # two centres that meet are met from both sides
 
 
+def test_a_star_round_shuffles_little(spark, monkeypatch):
+    """Each shuffle is as many tasks as there are partitions, and the driver keeps something of every task.
+
+    Open rows bring their centres along, an id is grouped once, and what is shuffled again is its centres' signatures.
+    """
+    rounds, close = [], near_dup._close
+
+    def kept(pairs, *more):
+        out = close(pairs, *more)
+        rounds.append((out.distinct() if "ca" in pairs.columns else out, "ca" in pairs.columns))
+        return out
+
+    monkeypatch.setattr(near_dup, "_close", kept)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(110)]
+    rows = [(i, " ".join(f"{w}x{i}" if j in own else w for j, w in enumerate(base))) for i in range(150) for own in [rng.sample(range(110), i % 14)]]
+    check(rows, near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), near_dup.TWO_WORDS).collect())
+    assert {star for _, star in rounds} == {False, True}
+    at = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(at)
+    spark.conf.set(at, -1)
+    try:
+        for out, star in rounds:
+            plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") <= 4 + star, plan
+    finally:
+        spark.conf.set(at, before)
+
+
 def test_rows_that_share_a_doc_id_are_one_document(spark):
     a, b = "p q r s t u v w", "k l m n o h i j"
     rows = [(4, a), (9, b), (9, a), (7, b)]
