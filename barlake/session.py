@@ -19,6 +19,8 @@ CONF = {
     # hot keys in equi-joins are split at run time, even at the price of one more shuffle
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM never compiles a method of more bytes: rows of many columns would be interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # decode(..., 'GBK') for landing files in the exchange's native encoding
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

@@ -175,12 +175,15 @@ def read_version(spark: SparkSession, root: str, schema: StructType, below: int
     path = current_version(spark, root, below)
     if path is None:
         return spark.createDataFrame([], schema)
-    if not path_exists(spark, _kept(root, path)):
-        return spark.read.schema(schema).parquet(path)
-    folders = [f"{root}/{version}/{part}" for part, version in table_parts(spark, root, path)]
-    if not folders:
-        return spark.read.schema(schema).parquet(path)
-    return spark.read.schema(schema).option("basePath", root).parquet(*folders).drop("v")
+    folders = []
+    if path_exists(spark, _kept(root, path)):
+        folders = [f"{root}/{version}/{part}" for part, version in table_parts(spark, root, path)]
+    if folders:
+        table = spark.read.schema(schema).option("basePath", root).parquet(*folders).drop("v")
+    else:
+        table = spark.read.schema(schema).parquet(path)
+    names = schema.fieldNames()  # a partition column of the schema has its place there, another is the last
+    return table.select(*names, *[c for c in table.columns if c not in names])
 
 
 def new_version(root: str) -> str:
@@ -215,26 +218,29 @@ def _partitions(spark: SparkSession, path: str) -> list[str]:
 
 def write_parts(
     df: DataFrame, root: str, by: str, order: Sequence[str] = (), replaced: Sequence | None = None,
-    path: str | None = None, below: int | None = None, codec: str | None = None,
+    path: str | None = None, below: int | None = None, codec: str | None = None, spread: bool = True,
 ) -> str:
     """A new version that holds the rows of ``df``, partitioned by a column, and what it keeps.
 
     Partitions of the version before stay in use, but for those whose value is ``replaced``
     (an empty list replaces none, so rows are added). With None nothing is kept. ``df`` may
     read the version before: nothing of it is touched. A version that is named (``path``,
-    after those ``below`` it) is made anew if it is made again.
+    after those ``below`` it) is made anew if it is made again. Rows that a shuffle has just dealt
+    out needn't be ``spread`` once more.
     """
     spark = df.sparkSession
     if path is None:
         path = new_version(root)
     elif below is not None:
-        remove_path(spark, path)  # of an attempt before this one
+        for attempt in (path, _kept(root, path)):  # before this one
+            remove_path(spark, attempt)
     if replaced is not None:
         gone, before = {f"{by}={value}" for value in replaced}, current_version(spark, root, below)
         kept = [p for p in table_parts(spark, root, before) if p[0] not in gone]
         rows = spark.createDataFrame(kept, "part string, version string").coalesce(1)
         rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_kept(root, path))
-    laid_out = df.hint("rebalance", by).sortWithinPartitions(by, *order)
+    laid_out = df.hint("rebalance", by) if spread else df
+    laid_out = laid_out.sortWithinPartitions(by, *order)
     laid_out.write.mode("append").partitionBy(by).parquet(path, compression=codec)
     return path
 

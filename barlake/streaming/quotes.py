@@ -25,7 +25,7 @@ from ..sources.files import gbk_lines
 from ..sources.parsers import parse_quote_lines
 from ..sources.sinks import (
     current_version, drop_old_versions, drop_unused_parts, next_versions, read_table, read_version,
-    touched_partitions, write_parts, write_version,
+    remove_path, table_parts, touched_partitions, write_parts, write_version,
 )
 
 #: Where streams keep state that grows with the rows: on disk, changes written batch by batch.
@@ -171,24 +171,56 @@ def run_available(
 def stream_snapshot_replace(sdf: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """The newest poll replaces the snapshot, so codes absent from it vanish.
 
-    A poll may arrive in several batches and older polls may come late: stored and new
-    rows are put together and only those of the highest poll stay. A row without a poll number
-    is an error, for its file's name can't be placed.
+    A poll may arrive in several batches and older polls may come late: of stored and new rows only
+    those of the highest poll stay, each once. A row without a poll number is an error, for its
+    file's name can't be placed.
+
+    A batch is worked out once: its rows that aren't older than the snapshot are stored by poll. The
+    highest poll's make a new snapshot, or they are added to the stored one as another part, so a poll of many
+    batches isn't written again with each. Rows lie with their hash (``__hash``, which isn't in the
+    stream's schema): of the stored rows only hashes are read, and the rows whose hash comes again, which are
+    compared whole. A batch that brings nothing new leaves the snapshot as it is.
     """
     schema, first = sdf.schema, next_versions(sdf.sparkSession, root, checkpoint)
+    names, hashed = schema.fieldNames(), StructType([*schema.fields]).add("__hash", "long")
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         spark, version = batch.sparkSession, first + batch_id
-        stored = current_version(spark, root, below=version)
-        both = batch if stored is None else batch.unionByName(
-            spark.read.schema(schema).parquet(stored)
-        )
-        seen = both.agg(F.max("poll_id").alias("newest"), F.count_if(F.col("poll_id").isNull()).alias("lost")).first()
-        if seen["lost"]:
-            raise ValueError(f"{seen['lost']} quotes come from files without a poll number")
-        newest = F.lit(seen["newest"]).cast("bigint")
-        write_version(both.filter(F.col("poll_id") == newest).distinct(), root, version)
-        drop_old_versions(spark, root)
+        stored, number = current_version(spark, root, below=version), F.col("poll_id")
+        known = read_version(spark, root, hashed, below=version)
+        have = None if stored is None else known.agg(F.max(number).alias("newest")).first()["newest"]
+        held = f"{checkpoint}/held"
+        try:
+            rows = batch if have is None else batch.filter(number.isNull() | (number >= F.lit(have)))
+            writer = rows.withColumn("__hash", F.xxhash64(*names)).write.mode("overwrite")
+            writer.option("partitionOverwriteMode", "static").partitionBy("poll_id").parquet(held)
+            seen = spark.read.schema(hashed).parquet(held)
+            polls = [r["poll_id"] for r in seen.select("poll_id").distinct().collect()]  # a number per poll of the batch
+            if None in polls:
+                raise ValueError(f"{seen.filter(number.isNull()).count()} quotes come from files without a poll number")
+            if not polls and stored is not None:
+                return
+            newest = max(polls, default=None)
+            fresh = seen.filter(number == F.lit(newest).cast("bigint")).select(*names, "__hash")
+            added = have is not None and newest == have
+            if added and not table_parts(spark, root, stored):  # it was written whole, without hashes
+                whole = known.select(*names).withColumn("__hash", F.xxhash64(*names))
+                fresh, added = fresh.unionByName(whole), False
+            again = known.select("__hash").join(fresh.select("__hash"), "__hash", "left_semi").distinct()
+            if added and not again.isEmpty():
+                old = known.join(again, "__hash", "left_semi").select(*names, "__hash").withColumn("__old", F.lit(True))
+                both = fresh.withColumn("__old", F.lit(False)).unionByName(old)
+                once = both.groupBy(*names, "__hash").agg(F.bool_or("__old").alias("__old")).filter("not __old").drop("__old")
+                if once.isEmpty():
+                    return
+            else:
+                once = fresh.distinct()
+            write_parts(
+                once, root, "poll_id", replaced=[] if added else None, path=f"{root}/v={version:020d}", below=version, spread=False
+            )
+        finally:
+            remove_path(spark, held)
+        drop_unused_parts(spark, root)
 
     return run_available(sdf, checkpoint, replace)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.schemas import QUOTE_FIELDS
-from barlake.sources.sinks import read_version, table_parts
+from barlake.sources.sinks import read_version, table_parts, write_version
 from barlake.streaming import quotes as st
 
 
@@ -181,3 +181,51 @@ def test_dedup_keeps_a_quote_once_on_disk(spark, tmp_path):
     assert os.listdir(tmp_path / "ck" / "state") == ["0"]  # one operator holds state, not one per round
     names = [n for _, _, files in os.walk(tmp_path / "ck" / "state") for n in files]
     assert any(n.endswith(".changelog") for n in names) and not any(n.endswith(".delta") for n in names)
+
+
+def snapshot(spark, folder, root, at):
+    sdf = stream(spark, str(folder))
+    st.stream_snapshot_replace(sdf, root, at).awaitTermination()
+    rows = read_version(spark, root, sdf.schema)
+    assert rows.columns == sdf.columns
+    return sorted((r.poll_id, r.code, r.current_price) for r in rows.collect())
+
+
+def test_snapshot_of_many_batches_is_not_written_again(spark, tmp_path):
+    folder, root, at = tmp_path / "landing", str(tmp_path / "snap"), str(tmp_path / "ck")
+    clock = "20240105093000"
+    a, b, c = (line(code, "1", clock) for code in ("600000", "000001", "300001"))
+    folder.mkdir()
+
+    def land(name, rows, at=[0]):  # noqa: B006 - files are read in this order
+        (folder / name).write_bytes("".join(x + "\n" for x in rows).encode("gbk"))
+        at[0] += 1
+        os.utime(folder / name, (1_700_000_000 + at[0], 1_700_000_000 + at[0]))
+
+    land("poll2.txt", [a, a])
+    assert snapshot(spark, folder, root, at) == [(2, "600000", "1")]
+    written = {n for n in os.listdir(f"{root}/v={0:020d}/poll_id=2") if n.endswith(".parquet")}
+    land("poll2-more.txt", [a, b, b])  # a row of the batch before comes again
+    land("poll1.txt", [c])  # an older poll
+    land("poll2-last.txt", [b, c])
+    assert snapshot(spark, folder, root, at) == [(2, "000001", "1"), (2, "300001", "1"), (2, "600000", "1")]
+    # the first batch's rows are still those that it wrote; a batch that changes nothing has no version
+    assert len(table_parts(spark, root)) == 3
+    assert {n for n in os.listdir(f"{root}/v={0:020d}/poll_id=2") if n.endswith(".parquet")} == written
+    land("poll3.txt", [b])
+    assert snapshot(spark, folder, root, at) == [(3, "000001", "1")]
+    land("poll4.txt", [])
+    land("poll2-late.txt", [a])
+    assert snapshot(spark, folder, root, at) == [(3, "000001", "1")]
+    assert "held" not in os.listdir(at)
+
+
+def test_snapshot_that_was_written_whole_goes_on(spark, tmp_path):
+    folder, root, at = tmp_path / "landing", str(tmp_path / "snap"), str(tmp_path / "ck")
+    a, b = (line(code, "1", "20240105093000") for code in ("600000", "000001"))
+    polls(folder, [(2, [a])])
+    rows = stream(spark, str(folder))
+    q = st.run_available(rows, str(tmp_path / "whole"), lambda df, i: write_version(df, root, i))
+    q.awaitTermination()
+    (folder / "poll2-more.txt").write_bytes("".join(x + "\n" for x in (a, b)).encode("gbk"))
+    assert snapshot(spark, folder, root, at) == [(2, "000001", "1"), (2, "600000", "1")]
