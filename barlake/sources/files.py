@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import bz2
+import gzip
 import os
-from collections.abc import Iterator
-from urllib.parse import unquote, urlparse
+import re
+import zlib
+from collections.abc import Callable, Iterator
+from urllib.parse import quote, unquote, urlparse
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -44,18 +48,148 @@ def document_columns(name: Column, today: Column) -> tuple[Column, Column]:
 
 
 def read_documents(spark: SparkSession, path: str, today: str | None = None) -> DataFrame:
-    """Whole text files as (stock_code, trade_date, file_path, text)."""
+    """Whole text files as (stock_code, trade_date, file_path, text).
+
+    Files of a mounted folder are listed and read by the tasks, when the rows are asked for: the driver
+    sees none of their names, however many there are. Hidden and empty files are left out and packed ones
+    unpacked, as Spark's reader does it, which reads single files, patterns and other stores; there the
+    driver holds the list of files.
+    """
     day = F.current_date() if today is None else F.lit(today).cast("date")
-    code, date = document_columns(F.col("_metadata.file_path"), day)
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    root = _mounted(spark, path)
+    if root is not None:
+        files = _mounted_files(spark, root)
+    else:
+        files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+        files = files.select(F.col("_metadata.file_path").alias("file_path"), "value")
+    code, date = document_columns(F.col("file_path"), day)
     return files.select(
         code.alias("stock_code"),
         date.alias("trade_date"),
-        F.col("_metadata.file_path").alias("file_path"),
+        "file_path",
         F.regexp_replace("value", "\r\n?", "\n").alias("text"),
     )
 
 
+def _mounted(spark: SparkSession, path: str) -> str | None:
+    """The plain name of a folder that every task can open, if the path is one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() != "file" or not fs.exists(where) or not fs.getFileStatus(where).isDirectory():
+        return None
+    return fs.makeQualified(where).toUri().getPath()
+
+
+def _mounted_files(spark: SparkSession, root: str) -> DataFrame:
+    """(file_path, value) of all files below a mounted folder.
+
+    A task lists the folder, tasks walk through the folders in it, and pieces of the list are dealt out
+    to those that read. What a task holds is a piece of the list and the texts of a batch.
+    """
+    # a number of parts of its own: by the size of the list they would be brought together
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (top, below, read), piece = _file_tasks(), "folder string, names array<string>"
+    entries = spark.createDataFrame([(root,)], "folder string").mapInArrow(top, piece)
+    pieces = entries.repartition(tasks).mapInArrow(below, piece).repartition(tasks)
+    files = pieces.mapInArrow(read, "file_path string, value binary")
+    return files.select("file_path", F.col("value").cast("string").alias("value"))
+
+
+#: Names in a piece of a list of files, and bytes of texts in a batch of more than one.
+_PIECE_NAMES, _READ_BYTES = 256, 1 << 22
+
+
+def _file_tasks() -> tuple[Callable, Callable, Callable]:
+    """What the tasks do that list a folder, walk through the folders in it and read files.
+
+    The functions have all they need with them, so the workers needn't import this package.
+    """
+    pieces = pa.schema([("folder", pa.string()), ("names", pa.list_(pa.string()))])
+    contents = pa.schema([("file_path", pa.string()), ("value", pa.binary())])
+    # files that Hadoop's codecs pack; of the last two kinds it packs blocks of its own
+    packed = {
+        ".gz": gzip.decompress, ".bz2": bz2.decompress, ".deflate": zlib.decompress,
+        ".zst": lambda found: pa.CompressedInputStream(pa.BufferReader(found), "zstd").read(),
+        ".lz4": None, ".snappy": None,
+    }
+    # java.net.URI spells a path with these characters as they are, and of the others quotes those below
+    # 128, white space and control characters
+    plain, spaces = re.compile(r"[A-Za-z0-9_\-!.~'()*,;:$&+=@/]*"), re.compile("[\x80-\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+    def spelled(path: str) -> str:
+        if plain.fullmatch(path):
+            return path
+        return "".join(c if plain.fullmatch(c) or (ord(c) > 127 and not spaces.match(c)) else quote(c, safe="") for c in path)
+
+    def hidden(name: str) -> bool:  # from Spark's readers
+        return (name.startswith("_") and "=" not in name) or name.startswith(".") or name.endswith("._COPYING_")
+
+    def piece(folder: str, names: list[str] | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist([{"folder": folder, "names": names}], pieces)
+
+    def listed(folder: str, deep: bool) -> Iterator[pa.RecordBatch]:
+        folders = [folder]
+        while folders:
+            here, names = folders.pop(), []
+            with os.scandir(here) as entries:
+                for entry in entries:
+                    if hidden(entry.name):
+                        continue
+                    if not entry.is_dir():
+                        names.append(entry.name)
+                    elif deep:
+                        folders.append(entry.path)
+                    else:
+                        yield piece(entry.path, None)
+                    if len(names) == _PIECE_NAMES:
+                        yield piece(here, names)
+                        names = []
+            if names:
+                yield piece(here, names)
+
+    def content(file: str) -> bytes | None:  # Spark's readers skip empty files
+        with open(file, "rb") as opened:
+            found = opened.read()
+        kind = os.path.splitext(file)[1]
+        if not found or kind not in packed:
+            return found or None
+        if packed[kind] is None:
+            raise ValueError(f"{file} is packed in a way that only Spark's reader unpacks: read it by its own path")
+        return packed[kind](found)
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                yield from listed(folder, deep=False)
+
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["names"] is None:
+                    yield from listed(row["folder"], deep=True)
+                else:
+                    yield piece(row["folder"], row["names"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                for name in row["names"]:
+                    file = f"{row['folder'].rstrip('/')}/{name}"
+                    text = content(file)
+                    if text is None:
+                        continue
+                    if held and size + len(text) > _READ_BYTES:
+                        yield pa.RecordBatch.from_pylist(held, contents)
+                        held, size = [], 0
+                    held.append({"file_path": f"file:{spelled(file)}", "value": text})
+                    size += len(text)
+        if held:
+            yield pa.RecordBatch.from_pylist(held, contents)
+
+    return top, below, read
+
+
 def write_documents(docs: DataFrame, path: str) -> None:
     """A text file per document (name, text) in a new folder, as ``read_documents`` reads them.
 

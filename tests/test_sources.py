@@ -1,3 +1,4 @@
+import gzip
 import json
 import os
 
@@ -153,3 +154,30 @@ def test_written_documents_are_files_in_few_folders(spark, tmp_path):
     assert len(got) == 302 and got["000008", "2026-06-22"] == "a\nb8\n" and got["x", "2024-01-31"] == "\n"
     assert got["", "2024-01-31"] == "unnamed\n"
     assert got["000007", "2026-06-22"] in ("a\nb7\n", "again\n", "a\nb7\nagain\n", "again\na\nb7\n")
+
+
+def test_mounted_documents_are_listed_and_read_by_tasks(spark, tmp_path):
+    # the rows are those of Spark's reader, and no list of files passes the driver
+    root = tmp_path / "docs ü%"
+    deep = root / "sub" / "name=7_20240103"
+    deep.mkdir(parents=True)
+    (root / "_hidden").mkdir()
+    (root / "_hidden" / "x.txt").write_text("x")
+    (deep / "part-0.txt").write_text("deep")
+    for name in ("a b_20240101.txt", "行情_20240102.txt", "p%41[1]{}.txt", "q?x#y.txt", "_a=b.txt", "_x.txt", ".y.txt", "z._COPYING_"):
+        (root / name).write_text(f"of {name}")
+    (root / "empty.txt").write_text("")
+    (root / "bad.txt").write_bytes(b"\xff\xfe\r\nx\r")
+    (root / "packed_20240104.txt.gz").write_bytes(gzip.compress(b"packed"))
+    for i in range(600):
+        (root / f"{i:06d}_20240105.txt").write_text(f"text {i}")
+    path = F.col("_metadata.file_path")
+    known = spark.read.option("recursiveFileLookup", "true").text(str(root), wholetext=True)
+    known = known.select(path.alias("file_path"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
+    docs = files.read_documents(spark, str(root), "2024-01-31")
+    row = lambda df: sorted((r.file_path, bytes(r.b)) for r in df.withColumn("b", F.col("text").cast("binary")).collect())
+    assert row(docs) == row(known) and docs.count() == 608
+    assert docs.inputFiles() == []
+    (root / "late.txt").write_text("landed after the plan was made")
+    assert docs.filter("stock_code = 'late'").count() == 1
+    assert files.read_documents(spark, f"{root}/00000*", "2024-01-31").count() == 10  # a pattern is for Spark's reader
