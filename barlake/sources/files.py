@@ -205,7 +205,7 @@ def write_documents(docs: DataFrame, path: str) -> None:
     root = unquote(where.path) if where.scheme else path
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        folder, now, out = f"{root}/{TaskContext.get().partitionId():05d}", None, None
+        folder, now, out, made = f"{root}/{TaskContext.get().partitionId():05d}", None, None, None
         for batch in batches:
             for name, text in zip(batch.column("name"), batch.column("text")):
                 # a document without a name lies where Spark's writer puts it
@@ -213,7 +213,9 @@ def write_documents(docs: DataFrame, path: str) -> None:
                 if file != now:
                     if out is not None:
                         out.close()
-                    os.makedirs(os.path.dirname(f"{folder}/{file}"), exist_ok=True)
+                    if (place := os.path.dirname(f"{folder}/{file}")) != made:
+                        os.makedirs(place, exist_ok=True)  # once, for a look at it costs more than a file
+                        made = place
                     now, out = file, open(f"{folder}/{file}", "wb")
                 out.write((text.as_py() or b"") + b"\n")
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])

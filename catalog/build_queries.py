@@ -10,7 +10,7 @@ from barlake.plans.build import Paths, build_all, build_full, build_incremental,
 from barlake.plans.landed import LANDED_KEYS, dedup_landed, save_steps
 from barlake.schemas import ADJ_FACTOR, DAILY, DOC, FINANCE_MEASURES, MINUTE, PRICES, STEP_LOG
 from barlake.session import work_dir
-from barlake.sources.files import land_documents
+from barlake.sources.files import land_documents, write_documents
 from barlake.sources.sinks import read_version
 
 from .registry import query, rounded
@@ -34,7 +34,9 @@ def land(t, with_docs: bool = False, day: str | None = None) -> Paths:
             df = df.filter(C("date") <= day)
         df.write.mode("overwrite").parquet(f"{root}/bronze/{name}")
     if with_docs:
-        t.fx_reports().select("text").write.mode("overwrite").option("maxRecordsPerFile", 1).text(f"{root}/bronze/docs")
+        # a file per report; a name without digits, which would be read as a date
+        number = F.translate(F.monotonically_increasing_id().cast("string"), "0123456789", "abcdefghij")
+        write_documents(t.fx_reports().select(F.concat(F.lit("report-"), number).alias("name"), "text"), f"{root}/bronze/docs")
     return Paths(f"{root}/bronze", f"{root}/silver")
 
 

@@ -1,5 +1,6 @@
 """Builds over landed folders: full, incremental and repair agree."""
 
+import os
 import re
 
 import pytest
@@ -10,9 +11,10 @@ from barlake.operators.windows import factor_steps
 from barlake.plans import build as build_module
 from barlake.plans.build import TARGETS, Paths, _Job, _SCHEMAS, build, build_all, stored_steps
 from barlake.plans import landed
-from barlake.schemas import DOC_SECTION, FINANCE_MEASURES, STEP_LOG
+from barlake.schemas import DOC, DOC_SECTION, FINANCE_MEASURES, STEP_LOG
 from barlake.sources import files
 from barlake.sources.sinks import read_version, table_parts, write_parts
+from catalog import build_queries
 
 CODES = ["000001", "300001", "600000", "688001", "900001"]
 
@@ -346,3 +348,24 @@ def test_texts_of_landed_documents_move_once_and_are_stored_small(spark, tmp_pat
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     keys = [k for k in re.findall(r"hashpartitioning\(([^)]*)", plan) if "batch" in k]
     assert keys and not re.search(r"hashpartitioning\([^)]*text#", plan)  # texts moved again, to be made distinct
+
+
+def test_reports_land_as_files_of_few_folders(spark, tmp_path):
+    class Inputs:
+        """Three reports, two of them equal; of the other inputs it doesn't matter what is in them."""
+
+        def __getattr__(self, name):
+            return spark if name == "spark" else lambda: spark.range(1)
+
+        def fx_reports(self):
+            rows = [("000001", "=== a ===\nx"), ("000001", "=== a ===\nx"), (None, "=== a ===\nother")]
+            return spark.createDataFrame(rows, "code string, text string").coalesce(1)
+
+    landed_at = build_queries.land(Inputs(), with_docs=True)
+    found = [(folder, names) for folder, _, names in os.walk(landed_at.raw("docs")) if names]
+    assert len(found) == 1 and len(found[0][1]) == 3
+    assert all(n.startswith("report-") for n in found[0][1])  # written by the tasks themselves, not by Spark's writer
+    build_module.build_full(spark, "doc", landed_at)
+    pages = read_version(spark, landed_at.clean("doc"), DOC).collect()
+    assert len({p.stock_code for p in pages}) == len(pages) == 3  # equal reports stay two
+    assert [p.html.count("other") for p in sorted(pages, key=lambda p: p.file_size)] == [0, 0, 1]
